@@ -15,6 +15,9 @@ RUN_ROWS = 65_536
 
 
 def with_run(df: DataFrame, order: str = "rec_no", run_rows: int = RUN_ROWS) -> DataFrame:
+    """Add the run of each row. A ``run`` column already there is kept, and with it the partitioning by it."""
+    if "run" in df.columns:
+        return df
     return df.withColumn("run", F.expr(f"{order} div {run_rows}"))
 
 

@@ -12,20 +12,69 @@ FILE = ["pod_file"]
 MINUTE = ["pod_file", "minute_no"]
 
 
+def boundaries(records: DataFrame) -> DataFrame:
+    """Marker and end-of-file records: about one row per recorded minute."""
+    return records.filter(F.col("rec_type").isin(L.MARKER, L.END_OF_FILE))
+
+
+def _run_totals(runs: DataFrame, counters: dict[str, Column]) -> DataFrame:
+    end = F.min(F.when(F.col("rec_type") == L.END_OF_FILE, F.col("rec_no")))
+    marker = F.sum((F.col("rec_type") == L.MARKER).cast("long"))
+    if counters:
+        marker = F.max("_m")
+    held = [F.max(f"{p}{n}").alias(f"{p}{n}") for n in counters for p in ("_n_", "_at_")]
+    return runs.groupBy("pod_file", "run").agg(
+        marker.alias("_m"), F.max("rec_no").alias("_last"), end.alias("_end"), *held
+    )
+
+
+def _offsets(totals: DataFrame, counters: dict[str, Column]) -> DataFrame:
+    """Per run: markers and flagged records before it; per file: its end."""
+    before, whole = earlier_runs(FILE), W.partitionBy(*FILE)
+    offsets = totals.select(
+        "pod_file",
+        "run",
+        F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_m_before"),
+        F.min("_end").over(whole).alias("_end_at"),
+        F.max("_last").over(whole).alias("_last_at"),
+        *[F.coalesce(F.sum(f"_n_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in counters],
+        *[F.col(f"_at_{n}") for n in counters],
+    )
+    for name in counters:
+        # Flagged records of the file up to the last marker of an earlier run.
+        up_to = F.col(f"_before_{name}") + F.col(f"_at_{name}")
+        offsets = offsets.withColumn(f"_held_{name}", F.max(up_to).over(before)).drop(f"_at_{name}")
+    return offsets
+
+
+def run_offsets(bounds: DataFrame, file_ends: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
+    """Offsets of every run of a file from its boundaries and last record number alone.
+
+    With them :func:`segment` reads the records once.
+    """
+    sparse = _run_totals(with_run(bounds, run_rows=run_rows), {}).drop("_last")
+    last_run = F.expr(f"last_rec div {run_rows}")
+    dense = file_ends.select(
+        "pod_file", F.col("last_rec").alias("_last"), F.explode(F.sequence(F.lit(0).cast("long"), last_run)).alias("run")
+    )
+    return _offsets(dense.join(sparse, ["pod_file", "run"], "left").na.fill(0, ["_m"]), {})
+
+
 def segment(
     records: DataFrame,
     counters: dict[str, Column] | None = None,
+    offsets: DataFrame | None = None,
     stop_at_end: bool = False,
     run_rows: int = RUN_ROWS,
 ) -> DataFrame:
     """Number every record by the minute markers at or before it in its file.
 
-    Adds ``seg_no`` (markers so far), ``last_rec`` (last record number of the file) and, for each
+    Adds ``run`` (by which the rows stay partitioned), ``seg_no`` (markers so far), ``last_rec`` (last record number of the file) and, for each
     counter, ``pos_<name>``: how many flagged records lie between the last marker and this record,
     this record included. With ``stop_at_end`` a file ends before its first end-of-file record.
 
     A file may hold any share of all rows: windows run inside runs of ``run_rows`` records, and
-    once more over the table of run totals.
+    once more over the table of run totals. Without ``offsets`` the totals take a pass of their own.
     """
     counters = counters or {}
     marker = F.col("rec_type") == L.MARKER
@@ -36,32 +85,8 @@ def segment(
         local = local.withColumn(f"_n_{name}", F.sum(flag.cast("long")).over(inside))
     for name in counters:
         local = local.withColumn(f"_at_{name}", F.max(F.when(marker, F.col(f"_n_{name}"))).over(inside))
-
-    end = F.min(F.when(F.col("rec_type") == L.END_OF_FILE, F.col("rec_no")))
-    if counters:
-        held = [F.max(f"{p}{n}").alias(f"{p}{n}") for n in counters for p in ("_n_", "_at_")]
-        totals = local.groupBy("pod_file", "run").agg(
-            F.max("_m").alias("_m"), F.max("rec_no").alias("_last"), end.alias("_end"), *held
-        )
-    else:
-        totals = runs.groupBy("pod_file", "run").agg(
-            F.sum(marker.cast("long")).alias("_m"), F.max("rec_no").alias("_last"), end.alias("_end")
-        )
-    before = earlier_runs(FILE)
-    whole = W.partitionBy(*FILE)
-    offsets = totals.select(
-        "pod_file",
-        "run",
-        F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_m_before"),
-        F.min("_end").over(whole).alias("_end_at"),
-        F.max("_last").over(whole).alias("_last_at"),
-        *[F.coalesce(F.sum(f"_n_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in counters],
-        *[F.col(f"_at_{n}") for n in counters],
-    )
-    for name in counters:
-        # Flagged records of the file up to the last marker of an earlier run.
-        up_to = F.col(f"_before_{name}") + F.col(f"_at_{name}")
-        offsets = offsets.withColumn(f"_held_{name}", F.max(up_to).over(before)).drop(f"_at_{name}")
+    if offsets is None:
+        offsets = _offsets(_run_totals(local if counters else runs, counters), counters)
 
     joined = local.join(offsets, ["pod_file", "run"])
     if stop_at_end:
@@ -77,7 +102,7 @@ def segment(
         for n in counters
     ]
     return joined.select(
-        *records.columns, (F.col("_m_before") + F.col("_m")).alias("seg_no"), last.alias("last_rec"), *positions
+        *records.columns, "run", (F.col("_m_before") + F.col("_m")).alias("seg_no"), last.alias("last_rec"), *positions
     )
 
 
@@ -165,14 +190,14 @@ def fpod_minute_rows(marks: DataFrame) -> DataFrame:
     )
 
 
-def cp1_click_totals(boundaries: DataFrame, file_ends: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
+def cp1_click_totals(bounds: DataFrame, file_ends: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """Clicks logged in each CP1 minute, from marker positions alone.
 
-    ``boundaries`` holds only marker and end-of-file records, ``file_ends`` the last record number
+    ``bounds`` holds only marker and end-of-file records, ``file_ends`` the last record number
     of each file. A minute spans its marker up to the next one; end-of-file records do not count.
     """
     ends = F.col("rec_type") == L.END_OF_FILE
-    numbered = segment(boundaries.select("pod_file", "rec_no", "rec_type"), {"end": ends}, run_rows=run_rows)
+    numbered = segment(bounds.select("pod_file", "rec_no", "rec_type"), {"end": ends}, run_rows=run_rows)
     marks = markers(numbered).select("pod_file", "marker_no", "rec_no")
     dropped = numbered.filter(ends).groupBy("pod_file", F.col("seg_no").alias("marker_no")).agg(
         F.count("*").alias("_dropped")

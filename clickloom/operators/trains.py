@@ -21,7 +21,7 @@ SEGMENT_CLICKS = 65_536
 def with_interval(
     clicks: DataFrame, minute: str = "minute_no", run_rows: int = RUN_ROWS
 ) -> DataFrame:
-    """Add ``ici_us``, the time since the previous click of the train in record order."""
+    """Add ``ici_us``, the time since the previous click of the train in record order, and ``run``."""
     keys = ["pod_file", minute, "train_id"]
     runs = with_run(clicks, run_rows=run_rows)
     inside = W.partitionBy(*keys, "run").orderBy("rec_no")
@@ -33,7 +33,7 @@ def with_interval(
     return (
         runs.join(carried, [*keys, "run"])
         .withColumn("ici_us", F.col("time_us") - previous)
-        .drop("run", "_carried")
+        .drop("_carried")
     )
 
 

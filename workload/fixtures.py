@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.operators.ordering import number_rows
+from clickloom.session import write_and_read
 
-_numbered: dict[tuple[str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def once(spark: SparkSession, sf: str, label: str, build) -> DataFrame:
+    """Write an input view to the shared folder on first use; later queries read the written table."""
+    key = (spark.sparkContext.applicationId, sf, label)
+    if key not in _written:
+        _written[key] = write_and_read(build(), label)
+    return _written[key]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,32 +26,31 @@ def text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _numbered_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    user, value, ts = F.col("user_id"), F.floor("value").cast("int"), F.col("ts")
+    code = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "error", 3).otherwise(0)
+    rows = table(spark, sf, "events").select(
+        F.concat(
+            F.lit("FX"), text(user % 3), F.lit(" 2024 01 01 POD"), text(100 + user % 3), F.lit(" file01")
+        ).alias("pod_file"),
+        F.date_trunc("hour", ts).cast("timestamp_ntz").alias("minute_start"),
+        (F.col("event_id") % 2).cast("int").alias("train_id"),
+        (code * 16 + value % 4).cast("int").alias("b37"),
+        (F.minute(ts).cast("long") * 1_000_000 + F.second(ts).cast("long") * 16_665).alias("time_us"),
+        (value % 256).cast("int").alias("nix"),
+        ts.cast("timestamp_ntz").alias("ts"),
+        "event_id",
+    )
+    return number_rows(rows, ["pod_file"], ["ts", "event_id"])
+
+
 def clicks(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks of three recorders; an hour of events stands for a minute."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _numbered:
-        user, value, ts = F.col("user_id"), F.floor("value").cast("int"), F.col("ts")
-        code = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "error", 3).otherwise(0)
-        rows = table(spark, sf, "events").select(
-            F.concat(
-                F.lit("FX"), text(user % 3), F.lit(" 2024 01 01 POD"), text(100 + user % 3), F.lit(" file01")
-            ).alias("pod_file"),
-            F.date_trunc("hour", ts).cast("timestamp_ntz").alias("minute_start"),
-            (F.col("event_id") % 2).cast("int").alias("train_id"),
-            (code * 16 + value % 4).cast("int").alias("b37"),
-            (F.minute(ts).cast("long") * 1_000_000 + F.second(ts).cast("long") * 16_665).alias("time_us"),
-            (value % 256).cast("int").alias("nix"),
-            ts.cast("timestamp_ntz").alias("ts"),
-            "event_id",
-        )
-        _numbered[key] = number_rows(rows, ["pod_file"], ["ts", "event_id"])
-    return _numbered[key]
+    return once(spark, sf, "clicks", lambda: _numbered_clicks(spark, sf))
 
 
-def _minutes(spark: SparkSession, sf: str) -> DataFrame:
+def hours_of(spark: SparkSession, sf: str) -> DataFrame:
     """Hours of each recorder with their ordinal and first click; at most one row per hour of the calendar."""
-    from pyspark.sql import Window as W
-
     hours = clicks(spark, sf).groupBy("pod_file", "minute_start").agg(F.min("rec_no").alias("first_click"))
     return hours.withColumn("m", F.row_number().over(W.partitionBy("pod_file").orderBy("minute_start")))
 
@@ -52,8 +60,29 @@ def _marker_bytes(start: Column) -> dict[str, Column]:
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    """C-POD record stream: a marker, then the clicks of the hour. Record numbers by arithmetic."""
-    hours = _minutes(spark, sf)
+    """C-POD record stream: a marker, then the clicks of the hour."""
+    return once(spark, sf, "records", lambda: _records(spark, sf))
+
+
+def cp3(spark: SparkSession, sf: str) -> DataFrame:
+    """The C-POD stream as a train file; one recorder lacks its last marker."""
+    return once(spark, sf, "cp3", lambda: _cp3(spark, sf))
+
+
+def _cp3(spark: SparkSession, sf: str) -> DataFrame:
+    rows = records(spark, sf)
+    is_marker = F.col("rec_type") == 254
+    last = rows.filter(F.col("pod_file").startswith("FX1") & is_marker).groupBy("pod_file").agg(
+        F.max("rec_no").alias("rec_no")
+    )
+    return rows.join(last, ["pod_file", "rec_no"], "left_anti").withColumn(
+        "b9", F.when(is_marker, F.col("rec_no") % 3)
+    )
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    """Record numbers by arithmetic: clicks so far plus markers so far."""
+    hours = hours_of(spark, sf)
     marks = hours.select(
         "pod_file",
         F.lit(254).alias("rec_type"),
@@ -80,7 +109,11 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 
 def fp_records(spark: SparkSession, sf: str) -> DataFrame:
     """F-POD record stream: markers, and a train record before each click record."""
-    hours = _minutes(spark, sf)
+    return once(spark, sf, "fp_records", lambda: _fp_records(spark, sf))
+
+
+def _fp_records(spark: SparkSession, sf: str) -> DataFrame:
+    hours = hours_of(spark, sf)
     r = F.col("first_click") + F.col("m") - 1
     none = F.lit(None).cast("int")
     b4_b5 = _marker_bytes(F.col("minute_start"))
