@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Patterns of the naming rules (fixed values).
 EXTENSIONS = ("CP1", "CP3", "FP1", "FP3")
@@ -64,43 +64,53 @@ def serial(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, SERIAL, 1), F.lit(""))
 
 
-def parse(name: Column) -> dict[str, Column]:
-    """All fields of a detector file name, in dependency order by plain composition."""
-    full = F.regexp_replace(F.coalesce(name, F.lit("")), INNER_EXT, "")
-    ext = extension(full)
-    core = stem(full)
-    year, month, day = (F.regexp_extract(core, LOOSE_DATE, i) for i in (1, 2, 3))
-    date = F.when(
-        year != "", F.concat(year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    ).otherwise(NO_DATE)
-    number = F.regexp_extract(core, FILE_NUMBER, 1)
-    # At least two digits, without surplus leading zeros.
-    digits = F.regexp_replace(number, r"^0+(?=\d)", "")
-    file_no = F.when(number == "", NO_NUMBER).when(F.length(digits) < 2, F.lpad(digits, 2, "0")).otherwise(digits)
-    family = F.when(ext.startswith("CP"), "CP").when(ext.startswith("FP"), "FP").otherwise("")
-    receiver = F.coalesce(serial(core), F.lit(NO_SERIAL))
-    base_key = F.concat_ws("_", date, receiver, file_no)
-    kind = F.regexp_replace(ext, r"^[A-Z]+", "")
-    has_part = core.rlike(PART_SUFFIX)
-    has_soft = core.rlike(SOFTWARE_SUFFIX)
+FIELDS = (
+    "date_str", "serial", "file_no", "family", "kind", "has_part", "has_soft", "name_score",
+    "base_key", "pair_key", "pair_group_key", "pair_variant_key",
+)
+
+
+def with_fields(files: DataFrame, name: str = "name_ext") -> DataFrame:
+    """All fields of the detector file names, in steps so that no pattern is evaluated twice."""
+    whole = F.regexp_replace(F.coalesce(name, F.lit("")), INNER_EXT, "")
+    split = files.withColumn("_whole", whole).withColumns(
+        {"_core": stem(F.col("_whole")), "_ext": extension(F.col("_whole"))}
+    )
+    core, ext = F.col("_core"), F.col("_ext")
+    found = split.withColumns(
+        {
+            **{f"_{part}": F.regexp_extract(core, LOOSE_DATE, i) for i, part in enumerate("ymd", 1)},
+            "_serial": serial(core),
+            # Without surplus leading zeros.
+            "_number": F.regexp_replace(F.regexp_extract(core, FILE_NUMBER, 1), r"^0+(?=\d)", ""),
+            "has_part": core.rlike(PART_SUFFIX),
+            "has_soft": core.rlike(SOFTWARE_SUFFIX),
+        }
+    )
+    date = F.concat("_y", F.lpad("_m", 2, "0"), F.lpad("_d", 2, "0"))
+    two_digits = F.when(F.length("_number") < 2, F.lpad("_number", 2, "0")).otherwise(F.col("_number"))
     score = (
         core.rlike(EXTRA_STATION).cast("int") * 3
         + (F.regexp_count(core, F.lit(POD_TOKEN)) > 1).cast("int") * 3
-        + has_part.cast("int") * 2
-        + has_soft.cast("int") * 2
-        + (number == "").cast("int") * 5
+        + F.col("has_part").cast("int") * 2
+        + F.col("has_soft").cast("int") * 2
+        + (F.col("_number") == "").cast("int") * 5
+    )
+    named = found.withColumns(
+        {
+            "date_str": F.when(F.col("_y") != "", date).otherwise(NO_DATE),
+            "serial": F.coalesce("_serial", F.lit(NO_SERIAL)),
+            "file_no": F.when(F.col("_number") == "", NO_NUMBER).otherwise(two_digits),
+            "family": F.when(ext.startswith("CP"), "CP").when(ext.startswith("FP"), "FP").otherwise(""),
+            "kind": F.regexp_replace(ext, r"^[A-Z]+", ""),
+            "name_score": score,
+        }
+    )
+    keyed = named.withColumn("base_key", F.concat_ws("_", "date_str", "serial", "file_no")).withColumns(
+        {
+            "pair_key": F.concat_ws("_", "base_key", "family", "kind"),
+            "pair_group_key": F.concat_ws("_", "base_key", "family"),
+            "pair_variant_key": F.concat_ws("_", variant_stem(F.col(name)), F.col("family")),
+        }
     )
-    return {
-        "date_str": date,
-        "serial": receiver,
-        "file_no": file_no,
-        "family": family,
-        "kind": kind,
-        "has_part": has_part,
-        "has_soft": has_soft,
-        "name_score": score,
-        "base_key": base_key,
-        "pair_key": F.concat_ws("_", base_key, family, kind),
-        "pair_group_key": F.concat_ws("_", base_key, family),
-        "pair_variant_key": F.concat_ws("_", variant_stem(name), family),
-    }
+    return keyed.select(*files.columns, *FIELDS)

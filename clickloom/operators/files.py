@@ -20,7 +20,7 @@ def drop_copies(files: DataFrame) -> DataFrame:
 
 
 def with_name_fields(files: DataFrame) -> DataFrame:
-    return files.withColumns(N.parse(F.col("name_ext")))
+    return N.with_fields(files)
 
 
 def unsupported(files: DataFrame) -> DataFrame:

@@ -6,35 +6,49 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom import layout as L
 from clickloom.functions import amplitude as A
-from clickloom.operators.segment import MINUTE, markers, segment
+from clickloom.operators.segment import MINUTE, boundaries, markers, segment
 
 # Limits of the filter (fixed values).
 AMPLITUDE_ABOVE = 11
 KHZ_RANGE = (21, 221)
 
 
-def passing_clicks(
+def keep_passing(
     records: DataFrame, by_duration: bool = False, above: int = AMPLITUDE_ABOVE, khz: tuple[int, int] = KHZ_RANGE
 ) -> DataFrame:
-    """Click records within the limits. Needs b4, b7, b11, b14, b15 and has_extended_amps."""
-    clicks = records.filter(F.col("rec_type") <= L.LAST_FPOD_CLICK_TYPE)
-    values = clicks.withColumn("_ipi", F.col("b7").cast("int") + 1).withColumn("_raw", F.col("b11").cast("int"))
-    loud = A.with_real_amplitude(
-        values.withColumnsRenamed({"_ipi": "click_ipi", "_raw": "click_raw"}), "click_raw", "click_ipi"
-    ).filter(F.col("real_peak") > above)
-    duration = A.click_duration(F.col("b14").cast("int"), F.col("b15").cast("int"))
-    frequency = (
-        A.duration_khz(F.col("click_ipi"), F.col("b4").cast("int"), duration)
-        if by_duration
-        else A.peak_khz(F.col("click_ipi"))
+    """Markers and the click records within the limits: a narrow filter ahead of any shuffle.
+
+    Needs b4, b7, b11, b14, b15 and has_extended_amps.
+    """
+    values = records.withColumns(
+        {"click_ipi": F.col("b7").cast("int") + 1, "click_raw": F.col("b11").cast("int")}
+    )
+    frequency = A.peak_khz(F.col("click_ipi"))
+    if by_duration:
+        duration = A.click_duration(F.col("b14").cast("int"), F.col("b15").cast("int"))
+        frequency = A.duration_khz(F.col("click_ipi"), F.col("b4").cast("int"), duration)
+    passes = (F.col("real_peak") > above) & frequency.between(*khz)
+    is_click = F.col("rec_type") <= L.LAST_FPOD_CLICK_TYPE
+    return (
+        A.with_real_amplitude(values, "click_raw", "click_ipi")
+        .filter((F.col("rec_type") == L.MARKER) | (is_click & passes))
+        .select("pod_file", "rec_no", "rec_type")
     )
-    return loud.filter(frequency.between(*khz)).drop("click_ipi", "click_raw", "real_peak")
 
 
-def filtered_click_counts(records: DataFrame, by_duration: bool = False) -> DataFrame:
-    """Passing clicks of every FP1 minute, empty minutes included."""
-    cut = segment(records)
-    minutes = markers(cut).select("pod_file", F.col("marker_no").alias("minute_no"))
-    inside = cut.filter(F.col("seg_no") >= 1).withColumnRenamed("seg_no", "minute_no")
-    counts = passing_clicks(inside, by_duration).groupBy(*MINUTE).agg(F.count("*").alias("nall"))
+def filtered_click_counts(
+    records: DataFrame,
+    by_duration: bool = False,
+    offsets: DataFrame | None = None,
+    bounds: DataFrame | None = None,
+) -> DataFrame:
+    """Passing clicks of every FP1 minute, empty minutes included.
+
+    With ``offsets`` and the marker records as ``bounds`` the click records are read once.
+    """
+    marks = markers(segment(boundaries(records) if bounds is None else bounds))
+    minutes = marks.select("pod_file", F.col("marker_no").alias("minute_no"))
+    cut = segment(keep_passing(records, by_duration), offsets=offsets)
+    inside = cut.filter((F.col("seg_no") >= 1) & (F.col("rec_type") != L.MARKER))
+    counts = inside.groupBy("pod_file", F.col("seg_no").alias("minute_no")).agg(F.count("*").alias("nall"))
     return minutes.join(counts, MINUTE, "left").na.fill(0, ["nall"])

@@ -230,6 +230,11 @@ def file_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def odd_file_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The file list with odd names, as a table."""
+    return once(spark, sf, "odd-files", lambda: _odd_file_list(spark, sf))
+
+
+def _odd_file_list(spark: SparkSession, sf: str) -> DataFrame:
     """The file list with names gone wrong: foreign and double extensions, station names, missing numbers."""
     part = F.expr("sel_no div 4")
     name = F.col("name_ext")

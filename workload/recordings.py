@@ -44,7 +44,7 @@ GROUP BY pod_file, minute_start""",
     "cp3": """
 SELECT *, CASE WHEN rec_type = 254 THEN rec_no % 3 END AS b9 FROM fx_records r
 WHERE NOT (pod_file LIKE 'FX1%' AND rec_type = 254
-           AND rec_no = (SELECT max(rec_no) FROM fx_records m WHERE m.rec_type = 254 AND m.pod_file LIKE 'FX1%'))""",
+           AND rec_no = (SELECT max(rec_no) FROM fx_records m WHERE m.rec_type = 254 AND m.pod_file = r.pod_file))""",
     "cp3_seg": """
 SELECT *, CAST(sum(CASE WHEN rec_type = 254 THEN 1 ELSE 0 END) OVER (PARTITION BY pod_file ORDER BY rec_no) AS BIGINT) AS seg_no,
        max(rec_no) OVER (PARTITION BY pod_file) AS last_rec
@@ -542,18 +542,23 @@ def u1(spark, sf):
 
 # ---- amplitude and frequency of F-POD clicks
 
-FP_CLICKS = """
-SELECT pod_file, rec_no, nix AS raw_peak, CAST(rec_no % 300 AS INT) + 1 AS ipi, CAST(rec_no % 24 AS INT) AS cycles,
-       CAST(time_us % 256 AS INT) AS b14, CAST(rec_no % 256 AS INT) AS b15, rec_no % 2 = 0 AS has_extended_amps
+
+def fp_clicks_sql(ipi: str = "rec_no % 300", extended: str = "rec_no % 2 = 0") -> str:
+    return f"""
+SELECT pod_file, rec_no, nix AS raw_peak, CAST({ipi} AS INT) + 1 AS ipi, CAST(rec_no % 24 AS INT) AS cycles,
+       CAST(time_us % 256 AS INT) AS b14, CAST(rec_no % 256 AS INT) AS b15, {extended} AS has_extended_amps
 FROM fx_clicks"""
-REAL_PEAK_SQL = f"""
+
+
+def real_peak_sql(clicks: str) -> str:
+    return f"""
 SELECT pod_file, rec_no, CAST(CASE WHEN NOT has_extended_amps THEN greatest(raw_peak, 2)
     WHEN raw_peak > 222 AND ipi BETWEEN 10 AND 256 THEN
       least(50 * ipi, greatest(384, CASE WHEN raw_peak = 255 THEN 50 * ipi ELSE
         least(50 * ipi, round(power(4000.0::DOUBLE / ipi, -0.75) * power(10.0::DOUBLE, 5.24 * power(rise::DOUBLE, -0.11)))) END))
     WHEN greatest(raw_peak, 2) < 128 THEN greatest(raw_peak, 2) * 2 ELSE raw_peak + 128 END AS INT) AS real_peak
 FROM (SELECT *, CASE WHEN raw_peak < 232 THEN 32 + (231 - raw_peak) * 4 WHEN raw_peak < 240 THEN 16 + (239 - raw_peak) * 2
-                     ELSE 255 - raw_peak END AS rise FROM ({FP_CLICKS}) c) r"""
+                     ELSE 255 - raw_peak END AS rise FROM ({clicks}) c) r"""
 
 
 def amplitude_clicks(spark: SparkSession, sf: str) -> DataFrame:
@@ -568,7 +573,7 @@ def amplitude_clicks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("f12_real_amplitude", views(REAL_PEAK_SQL, "fx_clicks"))
+@query("f12_real_amplitude", views(real_peak_sql(fp_clicks_sql()), "fx_clicks"))
 def f12(spark, sf):
     return A.with_real_amplitude(amplitude_clicks(spark, sf)).select("pod_file", "rec_no", "real_peak")
 
@@ -579,7 +584,7 @@ def f12(spark, sf):
         f"""SELECT pod_file, rec_no, CAST(pk AS INT) AS khz, CAST(CASE WHEN abs(dur - pk) > 30 THEN pk ELSE dur END AS INT) AS khz_from_duration
 FROM (SELECT *, CASE WHEN cycles >= 5 AND cycles < 16 AND d >= 100 THEN round(4000.0::DOUBLE * (cycles - 3) / d)
                      WHEN cycles >= 16 AND d >= 100 THEN round(60000.0::DOUBLE / d) ELSE pk END AS dur
-      FROM (SELECT *, round(4000.0::DOUBLE / ipi) AS pk, ((b14 & 240) << 4) | b15 AS d FROM ({FP_CLICKS}) c) a) b""",
+      FROM (SELECT *, round(4000.0::DOUBLE / ipi) AS pk, ((b14 & 240) << 4) | b15 AS d FROM ({fp_clicks_sql()}) c) a) b""",
         "fx_clicks",
     ),
 )
@@ -591,22 +596,21 @@ def f13(spark, sf):
     )
 
 
-@query(
-    "c10_filtered_click_counts",
-    views(
-        f"""SELECT m.pod_file, m.minute_no, count(k.rec_no) AS nall
+def c10_sql(**columns: str) -> str:
+    clicks = fp_clicks_sql(**columns)
+    return f"""SELECT m.pod_file, m.minute_no, count(k.rec_no) AS nall
 FROM (SELECT pod_file, seg_no AS minute_no FROM cp1_seg WHERE rec_type = 254) m
 LEFT JOIN (SELECT s.pod_file, s.seg_no, s.rec_no FROM cp1_seg s
            JOIN (SELECT row_number() OVER (PARTITION BY pod_file ORDER BY rec_no) AS click_no, pod_file, rec_no FROM cp1_seg WHERE rec_type < 254) n
              ON n.pod_file = s.pod_file AND n.rec_no = s.rec_no
-           JOIN ({REAL_PEAK_SQL}) a ON a.pod_file = n.pod_file AND a.rec_no = n.click_no
-           JOIN ({FP_CLICKS}) c ON c.pod_file = n.pod_file AND c.rec_no = n.click_no
+           JOIN ({real_peak_sql(clicks)}) a ON a.pod_file = n.pod_file AND a.rec_no = n.click_no
+           JOIN ({clicks}) c ON c.pod_file = n.pod_file AND c.rec_no = n.click_no
            WHERE a.real_peak > 11 AND round(4000.0::DOUBLE / c.ipi) BETWEEN 21 AND 221) k
   ON k.pod_file = m.pod_file AND k.seg_no = m.minute_no
-GROUP BY m.pod_file, m.minute_no""",
-        "fx_clicks", "cp1_seg",
-    ),
-)
+GROUP BY m.pod_file, m.minute_no"""
+
+
+@query("c10_filtered_click_counts", views(c10_sql(), "fx_clicks", "cp1_seg"))
 def c10(spark, sf):
     """Markers and clicks as an FP1 stream whose click bytes hold the amplitude view."""
     hours = X.hours_of(spark, sf)
