@@ -47,6 +47,12 @@ def missing_mandatory(df: DataFrame, mandatory: tuple[str, ...] = S.MANDATORY) -
     return [c for c in mandatory if c not in present]
 
 
+def missing_column_rows(df: DataFrame, mandatory: tuple[str, ...] = S.MANDATORY) -> DataFrame:
+    """Absent mandatory columns as report rows, with the number of sheet rows they are absent from."""
+    names = F.array(*[F.lit(c) for c in missing_mandatory(df, mandatory)]).cast("array<string>")
+    return df.agg(F.count("*").alias("n_rows")).select(F.explode(names).alias("column_name"), "n_rows")
+
+
 def empty_counts(df: DataFrame, mandatory: tuple[str, ...] = S.MANDATORY) -> DataFrame:
     """One row per mandatory column with its count of empty values, in one pass."""
     present = [c for c in mandatory if c in df.columns]

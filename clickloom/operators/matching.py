@@ -1,14 +1,19 @@
-"""Files to deployments, and the tables built from the matches."""
+"""Files to deployments, and the tables built from the matches.
+
+A file names a recorder serial and a day; a deployment covers days of a serial. Counts, first
+deployments and unmatched files come from these (serial, day) tables and never list the pairs of a
+busy recorder. Only :func:`match_pairs` lists pairs, because there they are the result.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import filenames as N, text as T
 from clickloom.operators.ordering import first_row, number_in_groups
 
-# Days per join bucket: long enough that a deployment covers few, short enough to split a serial.
-BUCKET_DAYS = 32
 LIST_FILES = 10_000
 
 MANUFACTURER = "CHELONIA"
@@ -43,10 +48,6 @@ def in_range(day: Column, activation: Column, deploy: Column, end: Column, inclu
     return (before | after) & (day < end)
 
 
-def _epoch_bucket(day: Column) -> Column:
-    return F.floor(F.unix_date(day) / BUCKET_DAYS)
-
-
 def _serial_rows(files: DataFrame, mode: str) -> DataFrame:
     core = N.stem(F.col("name_ext"))
     if mode == "serial":
@@ -64,21 +65,25 @@ def _serial_rows(files: DataFrame, mode: str) -> DataFrame:
     return files.withColumn("serial", F.explode(F.array_distinct(starts)))
 
 
-def match_pairs(
-    files: DataFrame, deployments: DataFrame, mode: str = "serial", inclusive: bool = False
-) -> DataFrame:
-    """Pairs (row_no, sel_no, name_ext) of deployments and train files.
+@dataclass(frozen=True)
+class MatchIndex:
+    """Both sides of the match by serial and day.
 
-    Serial and date bucket form an equi-join; each deployment is repeated only for the buckets it
-    covers, so a busy serial is spread over its time span. ``mode="contains"`` accepts a receiver
-    number that is the start of a longer serial.
+    ``files``: sel_no, name_ext, serial, day. ``covered``: row_no, serial, day.
     """
+
+    files: DataFrame
+    covered: DataFrame
+
+
+def match_index(
+    files: DataFrame, deployments: DataFrame, mode: str = "serial", inclusive: bool = False
+) -> MatchIndex:
+    """Index train files and deployments. ``mode="contains"`` accepts a receiver number that starts a longer serial."""
     if mode not in ("serial", "contains"):
         raise ValueError(f"unknown mode {mode!r}")
     dated = train_files(files).withColumn("day", N.strict_day(F.col("name_ext"))).filter(F.col("day").isNotNull())
-    left = _serial_rows(dated, mode).select(
-        "sel_no", "name_ext", "day", "serial", _epoch_bucket(F.col("day")).alias("bucket")
-    )
+    named = _serial_rows(dated, mode).select("sel_no", "name_ext", "serial", "day")
     spans = deployments.select(
         "row_no",
         receiver_serial(F.col("RECEIVER")).alias("serial"),
@@ -86,18 +91,36 @@ def match_pairs(
         F.to_date("DEPLOY_DATE_TIME").alias("deploy"),
         F.to_date("VALID_DATA_UNTIL_DATE_TIME").alias("end"),
     ).filter("serial IS NOT NULL AND activation IS NOT NULL AND deploy IS NOT NULL AND end IS NOT NULL")
-    first = F.least("activation", "deploy")
-    right = spans.filter(F.col("end") > first).withColumn(
-        "bucket", F.explode(F.sequence(_epoch_bucket(first), _epoch_bucket(F.date_sub("end", 1))))
+    # Days beyond the files of a serial cannot match; an end date far off adds no rows.
+    known = named.groupBy("serial").agg(F.min("day").alias("_from"), F.max("day").alias("_to"))
+    first = F.greatest(F.least("activation", "deploy"), F.col("_from"))
+    last = F.least(F.date_sub("end", 1), F.col("_to"))
+    covered = (
+        spans.join(known, "serial")
+        .filter(last >= first)
+        .withColumn("day", F.explode(F.sequence(first, last)))
+        .filter(in_range(F.col("day"), F.col("activation"), F.col("deploy"), F.col("end"), inclusive))
+        .select("row_no", "serial", "day")
     )
-    hit = in_range(F.col("day"), F.col("activation"), F.col("deploy"), F.col("end"), inclusive)
-    return left.join(right, ["serial", "bucket"]).filter(hit).select("row_no", "sel_no", "name_ext")
+    return MatchIndex(named, covered)
+
 
+def match_pairs(index: MatchIndex) -> DataFrame:
+    """Pairs (row_no, sel_no, name_ext) of deployments and train files."""
+    return index.files.join(index.covered, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
 
-def annotate(deployments: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Deployments with MatchCount, PodType, RowType and DeploymentID."""
-    found = pairs.groupBy("row_no").agg(
-        F.count("*").alias("MatchCount"), F.max_by(N.pod_type(F.col("name_ext")), "sel_no").alias("PodType")
+
+def annotate(deployments: DataFrame, index: MatchIndex) -> DataFrame:
+    """Deployments with MatchCount, PodType (of the last file), RowType and DeploymentID."""
+    per_day = index.files.groupBy("serial", "day").agg(
+        F.count("*").alias("_n"),
+        F.max_by(N.pod_type(F.col("name_ext")), "sel_no").alias("_type"),
+        F.max("sel_no").alias("_last"),
+    )
+    found = (
+        index.covered.join(per_day, ["serial", "day"])
+        .groupBy("row_no")
+        .agg(F.sum("_n").alias("MatchCount"), F.max_by("_type", "_last").alias("PodType"))
     )
     digits = receiver_serial(F.col("RECEIVER"))
     return (
@@ -110,11 +133,26 @@ def annotate(deployments: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def file_only_rows(files: DataFrame, pairs: DataFrame) -> DataFrame:
+def lower_name(name: str = "name_ext") -> Column:
+    return F.lower(F.trim(name)).alias("lower_name")
+
+
+def first_deployment(index: MatchIndex) -> DataFrame:
+    """Lowest deployment row of each file name."""
+    lowest = index.covered.groupBy("serial", "day").agg(F.min("row_no").alias("row_no"))
+    return (
+        index.files.join(lowest, ["serial", "day"])
+        .groupBy(lower_name())
+        .agg(F.min("row_no").alias("row_no"))
+    )
+
+
+def file_only_rows(files: DataFrame, index: MatchIndex) -> DataFrame:
     """One row per train file name that no deployment matched, compared without case."""
-    keyed = train_files(files).select("sel_no", "name_ext", F.lower("name_ext").alias("lower_name"))
-    matched = pairs.select(F.lower("name_ext").alias("lower_name")).distinct()
-    lone = first_row(["lower_name"], [-F.col("sel_no")], keyed.join(matched, "lower_name", "left_anti"))
+    keyed = train_files(files).select("sel_no", "name_ext", lower_name())
+    lone = first_row(
+        ["lower_name"], [-F.col("sel_no")], keyed.join(first_deployment(index), "lower_name", "left_anti")
+    )
     return lone.select(
         F.lit("file-only").alias("RowType"),
         F.col("name_ext").alias("FileName"),
@@ -124,14 +162,11 @@ def file_only_rows(files: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def match_deployments(
-    files: DataFrame, deployments: DataFrame, mode: str = "serial", inclusive: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """(deployments and file-only rows, pairs)."""
-    pairs = match_pairs(files, deployments, mode, inclusive)
-    rows = annotate(deployments, pairs).withColumn("FileName", F.lit(None).cast("string"))
-    alone = file_only_rows(files, pairs).drop("lower_name")
-    return rows.unionByName(alone, allowMissingColumns=True), pairs
+def match_deployments(files: DataFrame, deployments: DataFrame, index: MatchIndex) -> DataFrame:
+    """Annotated deployments, then a file-only row for each unmatched file name."""
+    rows = annotate(deployments, index).withColumn("FileName", F.lit(None).cast("string"))
+    alone = file_only_rows(files, index).drop("lower_name")
+    return rows.unionByName(alone, allowMissingColumns=True)
 
 
 def file_lists(pairs: DataFrame, per_row: int = LIST_FILES) -> DataFrame:
@@ -148,20 +183,13 @@ def file_lists(pairs: DataFrame, per_row: int = LIST_FILES) -> DataFrame:
     )
 
 
-def first_deployment(pairs: DataFrame) -> DataFrame:
-    """Lowest deployment row of each file name."""
-    return pairs.groupBy(F.lower(F.trim("name_ext")).alias("lower_name")).agg(F.min("row_no").alias("row_no"))
-
-
-def process_list(selected: DataFrame, files: DataFrame, pairs: DataFrame, deployments: DataFrame) -> DataFrame:
+def process_list(selected: DataFrame, files: DataFrame, index: MatchIndex, deployments: DataFrame) -> DataFrame:
     """Selected files with full path and first deployment; files without one are dropped.
 
     Rows keep ``sel_no``; sort by it for the order of selection.
     """
-    lower = F.lower(F.trim("name_ext"))
     paths = first_row(
-        ["lower_name"], [F.col("file_no")],
-        files.select(lower.alias("lower_name"), "path", F.col("sel_no").alias("file_no")),
+        ["lower_name"], [F.col("file_no")], files.select(lower_name(), "path", F.col("sel_no").alias("file_no"))
     ).drop("file_no")
     meta = deployments.select(
         "row_no",
@@ -170,9 +198,9 @@ def process_list(selected: DataFrame, files: DataFrame, pairs: DataFrame, deploy
         F.col("VALID_DATA_UNTIL_DATE_TIME").alias("valid_until"),
     )
     return (
-        selected.select("sel_no", "name_ext", lower.alias("lower_name"))
+        selected.select("sel_no", "name_ext", lower_name())
         .join(paths, "lower_name")
-        .join(first_deployment(pairs), "lower_name")
+        .join(first_deployment(index), "lower_name")
         .join(meta, "row_no")
         .drop("lower_name")
     )
@@ -200,7 +228,7 @@ def detection_spans(detections: DataFrame) -> DataFrame:
 
 
 def file_overview(
-    selected: DataFrame, pairs: DataFrame, deployments: DataFrame, spans: DataFrame, status: DataFrame
+    selected: DataFrame, index: MatchIndex, deployments: DataFrame, spans: DataFrame, status: DataFrame
 ) -> DataFrame:
     """Match, deployment length, detection span and status of each selected file.
 
@@ -208,17 +236,12 @@ def file_overview(
     """
     days = T.seconds_between(F.col("DEPLOY_DATE_TIME"), F.col("VALID_DATA_UNTIL_DATE_TIME"))
     lengths = deployments.select("row_no", T.format_duration(days).alias("_length"))
-    owners = (
-        pairs.groupBy(N.stem(F.col("name_ext")).alias("Filename"))
-        .agg(F.min("row_no").alias("row_no"))
-        .join(lengths, "row_no")
-        .select("Filename", "_length")
-    )
+    owners = first_deployment(index).join(lengths, "row_no").select("lower_name", "_length")
     span = spans.select(F.col("PODfile").alias("Filename"), T.format_duration(F.col("span_seconds")).alias("_span"))
     state = status.select(F.col("pod_file").alias("Filename"), F.col("status").alias("_status"))
     return (
-        selected.select("sel_no", N.stem(F.col("name_ext")).alias("Filename"))
-        .join(owners, "Filename", "left")
+        selected.select("sel_no", N.stem(F.col("name_ext")).alias("Filename"), lower_name())
+        .join(owners, "lower_name", "left")
         .join(span, "Filename", "left")
         .join(state, "Filename", "left")
         .select(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom import layout as L
 from clickloom.functions import records as R
-from clickloom.operators.ordering import RUN_ROWS, number_in_groups, with_run
+from clickloom.operators.ordering import RUN_ROWS, earlier_runs, with_run
 
 SPECIES_NBHF = 0
 QUALITIES = {"Hi": 3, "Med": 2, "Low": 1, "All": 0}
@@ -120,23 +120,47 @@ def click_arrays(
     segment_clicks: int = SEGMENT_CLICKS,
     run_rows: int = RUN_ROWS,
 ) -> DataFrame:
-    """Clicks of each train as arrays in record order.
+    """Clicks of each train as arrays in record order, with the class byte of its first record and its click count.
 
     A row holds at most ``segment_clicks`` clicks; a longer train continues in rows with the next
-    ``segment_no``, so no array grows with the data and no click is lost. ``ici_us`` has one entry per click after
-    the first of the train.
+    ``segment_no``, so no array grows with the data and no click is lost. ``ici_us`` has one entry
+    per click after the first of the train.
     """
     keys = ["pod_file", minute, "train_id"]
-    placed = number_in_groups(with_interval(clicks, minute, run_rows), keys, run_rows=run_rows)
-    row = F.struct("pos", *values, "ici_us")
+    runs = with_run(clicks, run_rows=run_rows)
+    totals = runs.groupBy(*keys, "run").agg(
+        F.count("*").alias("_n"),
+        F.max_by("time_us", "rec_no").alias("_end"),
+        F.min_by("class_byte", "rec_no").alias("_class"),
+    )
+    over_runs, whole = W.partitionBy(*keys).orderBy("run"), W.partitionBy(*keys)
+    offsets = totals.select(
+        *keys,
+        "run",
+        F.coalesce(F.sum("_n").over(earlier_runs(keys)), F.lit(0)).alias("_before"),
+        F.lag("_end").over(over_runs).alias("_carried"),
+        F.sum("_n").over(whole).alias("no_of_clicks"),
+        F.min_by("_class", "run").over(whole).alias("_class"),
+    )
+    inside = W.partitionBy(*keys, "run").orderBy("rec_no")
+    previous = F.coalesce(F.lag("time_us").over(inside), F.col("_carried"))
+    placed = runs.join(offsets, [*keys, "run"]).withColumns(
+        {"pos": F.row_number().over(inside) + F.col("_before"), "ici_us": F.col("time_us") - previous}
+    )
     grouped = (
         placed.withColumn("segment_no", F.expr(f"(pos - 1) div {segment_clicks}"))
         .groupBy(*keys, "segment_no")
-        .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("pos", *values, "ici_us"))).alias("_rows"),
+            F.first("no_of_clicks").alias("no_of_clicks"),
+            F.first("_class").alias("class_byte"),
+        )
     )
     return grouped.select(
         *keys,
         "segment_no",
+        "no_of_clicks",
+        "class_byte",
         *[F.col(f"_rows.{v}").alias(v) for v in values],
         F.filter(F.col("_rows.ici_us"), lambda x: x.isNotNull()).alias("ici_us"),
     )

@@ -90,14 +90,8 @@ def cpod_trains(files: DataFrame) -> DataFrame:
 
 
 def _trains(clicks: DataFrame, rows: DataFrame, values: list[str], family: str) -> DataFrame:
-    keys = [*G.MINUTE, "train_id"]
-    facts = T.with_class(T.train_facts(clicks), family)
-    arrays = T.click_arrays(clicks, values)
-    return (
-        arrays.join(facts, keys)
-        .join(rows.select(*G.MINUTE, "minute_start"), G.MINUTE)
-        .drop("class_byte", "first_rec", "first_us", "last_us", "min_ici_us")
-    )
+    arrays = T.with_class(T.click_arrays(clicks, values), family)
+    return arrays.join(rows.select(*G.MINUTE, "minute_start"), G.MINUTE).drop("class_byte")
 
 
 def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
@@ -191,12 +185,11 @@ def run(
     kept = write_and_read(kept, "kept-files")
     sheet = P.prepare_deployments(I.read_sheet(spark, sheet_path), project)
     sheet = write_and_read(sheet, "deployments")
-    rows, pairs = M.match_deployments(kept, sheet, mode)
-    pairs = write_and_read(pairs, "pairs")
-    rows = write_and_read(rows, "matched")
+    index = M.match_index(kept, sheet, mode)
+    rows = write_and_read(M.match_deployments(kept, sheet, index), "matched")
     matched = rows.filter(F.col("RowType") == "metadata")
     train = M.train_files(kept)
-    todo = write_and_read(M.process_list(train, kept, pairs, matched), "process-list")
+    todo = write_and_read(M.process_list(train, kept, index, matched), "process-list")
     done = harmonise(files_to_read(todo, kept), buzz_us)
     status = write_and_read(done.status, "status")
     labels = todo.select(N.stem(F.col("name_ext")).alias("pod_file"), "deployment_id", "deploy", "valid_until").distinct()
@@ -207,7 +200,7 @@ def run(
     rest = {
         "deployments": O.deployment_rows(rows, S.OUTPUT_ORDER),
         "receivers": M.receivers(matched),
-        "overview": M.file_overview(train, pairs, matched, spans, status),
+        "overview": M.file_overview(train, index, matched, spans, status),
         "bad_files": status.filter("status <> 'OK'"),
         "rejected_files": rejected,
         "file_problems": C.pair_problems(files),

@@ -342,7 +342,7 @@ FROM annotated a JOIN fx_deployments d USING (row_no) WHERE a.MatchCount > 0""",
 )
 def k1(spark, sf):
     def build():
-        rows, _ = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf))
+        rows = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf), matches.odd_index(spark, sf))
         out = O.deployment_rows(rows, S.OUTPUT_ORDER)
         return O.write_table(out, new_folder(spark, "k1"), "csv")
 

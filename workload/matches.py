@@ -30,18 +30,22 @@ def views(body: str, source: str = "fx_file_list", **more: str) -> str:
     return with_views(body, source, "fx_deployments", extra=extra)
 
 
-def pairs(spark, sf, files=None):
-    return M.match_pairs(files or X.file_list(spark, sf), X.conformed_deployments(spark, sf))
+def index(spark, sf, files=None, **options):
+    return M.match_index(files or X.file_list(spark, sf), X.conformed_deployments(spark, sf), **options)
+
+
+def odd_index(spark, sf):
+    return index(spark, sf, X.odd_file_list(spark, sf))
 
 
 @query("j1_match_pairs", views("SELECT row_no, sel_no, name_ext FROM pairs"))
 def j1(spark, sf):
-    return pairs(spark, sf)
+    return M.match_pairs(index(spark, sf))
 
 
 @query("j1_match_pairs_odd_names", views("SELECT row_no, sel_no, name_ext FROM pairs", "fx_odd_files"))
 def j1_odd(spark, sf):
-    return pairs(spark, sf, X.odd_file_list(spark, sf))
+    return M.match_pairs(odd_index(spark, sf))
 
 
 @query(
@@ -49,7 +53,7 @@ def j1_odd(spark, sf):
     views("SELECT s.row_no, f.sel_no, f.name_ext FROM train_files f JOIN spans s ON f.serial = s.id AND f.day >= least(s.a, s.d) AND f.day < s.v"),
 )
 def j1_inclusive(spark, sf):
-    return M.match_pairs(X.file_list(spark, sf), X.conformed_deployments(spark, sf), inclusive=True)
+    return M.match_pairs(index(spark, sf, inclusive=True))
 
 
 SHORT = "substr(id, 1, 3)"
@@ -68,7 +72,7 @@ def j1_contains(spark, sf):
     short = X.conformed_deployments(spark, sf).withColumn(
         "RECEIVER", F.concat(F.lit("C-POD-"), F.substring(M.receiver_serial(F.col("RECEIVER")), 1, 3))
     )
-    return M.match_pairs(X.odd_file_list(spark, sf), short, mode="contains")
+    return M.match_pairs(M.match_index(X.odd_file_list(spark, sf), short, mode="contains"))
 
 
 @query(
@@ -79,7 +83,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY sel_no) AS pos F
     ),
 )
 def j1_lists(spark, sf):
-    lists = M.file_lists(pairs(spark, sf))
+    lists = M.file_lists(M.match_pairs(index(spark, sf)))
     return lists.select("row_no", "list_no", F.array_join("MatchingFiles", "|").alias("files"))
 
 
@@ -93,7 +97,7 @@ ANNOTATION = "row_no, RECEIVER, MatchCount, PodType, RowType, DeploymentID"
 
 @query("c8_annotated_deployments", views(f"SELECT {ANNOTATION} FROM annotated", "fx_odd_files", annotated=ANNOTATED))
 def c8(spark, sf):
-    matched = M.annotate(X.conformed_deployments(spark, sf), pairs(spark, sf, X.odd_file_list(spark, sf)))
+    matched = M.annotate(X.conformed_deployments(spark, sf), odd_index(spark, sf))
     return matched.select(*ANNOTATION.split(", "))
 
 
@@ -105,8 +109,7 @@ FROM train_files WHERE lower(name_ext) NOT IN (SELECT lower(name_ext) FROM pairs
 
 @query("j2_unmatched_files", views(f"SELECT RowType, FileName, MatchCount, PodType FROM ({FILE_ONLY}) f ORDER BY lower(FileName)", "fx_odd_files"))
 def j2(spark, sf):
-    files = X.odd_file_list(spark, sf)
-    return M.file_only_rows(files, pairs(spark, sf, files)).orderBy("lower_name").drop("lower_name")
+    return M.file_only_rows(X.odd_file_list(spark, sf), odd_index(spark, sf)).orderBy("lower_name").drop("lower_name")
 
 
 @query(
@@ -119,13 +122,13 @@ UNION ALL SELECT NULL, NULL, MatchCount, PodType, RowType, NULL, FileName FROM (
     ),
 )
 def c8_all(spark, sf):
-    rows, _ = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf))
+    rows = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf), odd_index(spark, sf))
     return rows.select(*ANNOTATION.split(", "), "FileName")
 
 
 @query("j3_first_deployment", views("SELECT lower(name_ext) AS lower_name, min(row_no) AS row_no FROM pairs GROUP BY lower(name_ext)"))
 def j3(spark, sf):
-    return M.first_deployment(pairs(spark, sf))
+    return M.first_deployment(index(spark, sf))
 
 
 @query(
@@ -140,7 +143,7 @@ def j4(spark, sf):
     """Names in another case still find their path."""
     files = X.file_list(spark, sf)
     chosen = M.train_files(files).withColumn("name_ext", F.upper("name_ext"))
-    matched = pairs(spark, sf, files)
+    matched = index(spark, sf, files)
     listed = M.process_list(chosen, files, matched, M.annotate(X.conformed_deployments(spark, sf), matched))
     return listed.select("name_ext", "sel_no", "path")
 
@@ -154,7 +157,7 @@ FROM train_files f JOIN (SELECT lower(name_ext) AS l, min(row_no) AS row_no FROM
 )
 def o2(spark, sf):
     files = X.file_list(spark, sf)
-    matched = pairs(spark, sf, files)
+    matched = index(spark, sf, files)
     listed = M.process_list(M.train_files(files), files, matched, M.annotate(X.conformed_deployments(spark, sf), matched))
     return listed.drop("path").orderBy("sel_no")
 
@@ -166,8 +169,7 @@ FROM annotated WHERE MatchCount > 0 GROUP BY RECEIVER"""
 
 @query("r1_receivers", views(RECEIVERS, "fx_odd_files", annotated=ANNOTATED))
 def r1(spark, sf):
-    deployments = X.conformed_deployments(spark, sf)
-    return M.receivers(M.annotate(deployments, pairs(spark, sf, X.odd_file_list(spark, sf))))
+    return M.receivers(M.annotate(X.conformed_deployments(spark, sf), odd_index(spark, sf)))
 
 
 @query(
@@ -279,15 +281,14 @@ LEFT JOIN (SELECT core, CASE WHEN min(sel_no) % 2 = 0 THEN 'FAILED' ELSE 'OK' EN
 
 
 def overview(spark, sf):
-    files = X.odd_file_list(spark, sf)
-    train = M.train_files(files)
+    train = M.train_files(X.odd_file_list(spark, sf))
     status = (
         train.filter(F.col("sel_no") % 5 != 0)
         .groupBy(N.stem(F.col("name_ext")).alias("pod_file"))
         .agg(F.when(F.min("sel_no") % 2 == 0, "FAILED").otherwise("OK").alias("status"))
     )
     return M.file_overview(
-        train, pairs(spark, sf, files), X.conformed_deployments(spark, sf), M.detection_spans(file_spans(spark, sf)), status
+        train, odd_index(spark, sf), X.conformed_deployments(spark, sf), M.detection_spans(file_spans(spark, sf)), status
     )
 
 

@@ -118,6 +118,18 @@ def v2(spark, sf):
     return P.empty_counts(X.deployments_text(spark, sf))
 
 
+@query(
+    "v1_missing_mandatory_columns",
+    with_views(
+        """SELECT unnest(['ACTIVATION_DATE_TIME', 'DEPLOY_DATE_TIME', 'VALID_DATA_UNTIL_DATE_TIME']) AS column_name, n AS n_rows
+FROM (SELECT count(*) AS n FROM fx_deployments_text) c""",
+        "fx_deployments_text",
+    ),
+)
+def v1(spark, sf):
+    return P.missing_column_rows(X.deployments_text(spark, sf))
+
+
 MIN_DATE = "2022-03-01 00:00:00"
 
 
