@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import filenames as N
 from clickloom.operators.ordering import first_row
+from clickloom.session import write_and_read
 
 STEM = ["stem", "family"]
 
@@ -190,7 +191,10 @@ def kept_order() -> list[Column]:
 
 def best_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split paired files into the best variant of each recording and the rejected rest with reasons."""
-    judged = _judged(with_name_fields(files))
+    return _split(_judged(with_name_fields(files)))
+
+
+def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     code, text = reject_reason()
     kept = judged.filter("keep").drop(
         "keep", *METRICS, "best_variant_key", "best_variant_name", *[f"best_{m}" for m in METRICS]
@@ -210,5 +214,8 @@ def best_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact copies dropped, unpaired files dropped, best variant kept: (kept, rejected)."""
-    return best_files(paired(drop_copies(files)))
+    """Exact copies dropped, unpaired files dropped, best variant kept: (kept, rejected).
+
+    The parsed list feeds the metrics, the choice and both results, so it is written once.
+    """
+    return _split(_judged(write_and_read(with_name_fields(paired(drop_copies(files))), "paired-files")))

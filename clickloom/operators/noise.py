@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom import layout as L
 from clickloom.functions import amplitude as A
+from clickloom.operators.ordering import earlier_runs
 from clickloom.operators.segment import MINUTE, boundaries, markers, segment
 
 # Limits of the filter (fixed values).
@@ -32,23 +33,40 @@ def keep_passing(
     return (
         A.with_real_amplitude(values, "click_raw", "click_ipi")
         .filter((F.col("rec_type") == L.MARKER) | (is_click & passes))
-        .select("pod_file", "rec_no", "rec_type")
+        .drop("click_ipi", "click_raw", "real_peak")
     )
 
 
-def filtered_click_counts(
-    records: DataFrame,
-    by_duration: bool = False,
-    offsets: DataFrame | None = None,
-    bounds: DataFrame | None = None,
-) -> DataFrame:
-    """Passing clicks of every FP1 minute, empty minutes included.
-
-    With ``offsets`` and the marker records as ``bounds`` the click records are read once.
-    """
-    marks = markers(segment(boundaries(records) if bounds is None else bounds))
-    minutes = marks.select("pod_file", F.col("marker_no").alias("minute_no"))
-    cut = segment(keep_passing(records, by_duration), offsets=offsets)
+def filtered_click_counts(records: DataFrame, by_duration: bool = False) -> DataFrame:
+    """Passing clicks of every minute of a record table, empty minutes included."""
+    minutes = markers(segment(boundaries(records))).select("pod_file", F.col("marker_no").alias("minute_no"))
+    cut = segment(keep_passing(records, by_duration).select("pod_file", "rec_no", "rec_type"))
     inside = cut.filter((F.col("seg_no") >= 1) & (F.col("rec_type") != L.MARKER))
     counts = inside.groupBy("pod_file", F.col("seg_no").alias("minute_no")).agg(F.count("*").alias("nall"))
     return minutes.join(counts, MINUTE, "left").na.fill(0, ["nall"])
+
+
+def counts_by_split(records: DataFrame, by_duration: bool = False) -> DataFrame:
+    """Passing clicks per file split and marker of the split: one pass, reduced before any shuffle."""
+    return (
+        keep_passing(records, by_duration)
+        .groupBy("pod_file", "split", "markers")
+        .agg(F.count_if(F.col("rec_type") != L.MARKER).alias("nall"))
+    )
+
+
+def counts_by_minute(split_counts: DataFrame) -> DataFrame:
+    """Minutes from the counts of all splits; what lies before the first marker of a file goes."""
+    totals = split_counts.groupBy("pod_file", F.col("split").alias("run")).agg(F.max("markers").alias("_m"))
+    before = totals.select(
+        "pod_file",
+        F.col("run").alias("split"),
+        F.coalesce(F.sum("_m").over(earlier_runs(["pod_file"])), F.lit(0)).alias("_before"),
+    )
+    minute = F.col("_before") + F.col("markers")
+    return (
+        split_counts.join(before, ["pod_file", "split"])
+        .groupBy("pod_file", minute.alias("minute_no"))
+        .agg(F.sum("nall").alias("nall"))
+        .filter("minute_no >= 1")
+    )

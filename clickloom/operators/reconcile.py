@@ -1,7 +1,7 @@
-"""Our detections against a vendor export of the same recording.
+"""Our detections against vendor exports of the same recordings.
 
-``ours`` has DETECTION_DATE_TIME and NUMBER_CLICKS_TOTAL, three rows per minute;
-``vendor`` has dt and nall_m.
+``ours`` has DETECTION_DATE_TIME and NUMBER_CLICKS_TOTAL, three rows per minute; ``vendor`` has dt and
+nall_m. ``keys`` name further columns of both sides, such as the recording, where several are compared.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 QUALITIES = 3
 
 
-def click_totals(ours: DataFrame) -> DataFrame:
+def click_totals(ours: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Click total of each minute: the sum over the three quality rows divided by three."""
-    return ours.groupBy(F.col("DETECTION_DATE_TIME").alias("dt")).agg(
+    return ours.groupBy(*keys, F.col("DETECTION_DATE_TIME").alias("dt")).agg(
         (F.sum("NUMBER_CLICKS_TOTAL") / QUALITIES).alias("our_nall")
     )
 
@@ -25,42 +25,41 @@ def row_count_difference(ours: DataFrame, vendor: DataFrame) -> DataFrame:
     return counts.select((F.col("n_vendor") - F.col("n_ours") / QUALITIES).alias("row_difference"))
 
 
-def by_minute(ours: DataFrame, vendor: DataFrame) -> DataFrame:
+def by_minute(ours: DataFrame, vendor: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Both sides on one row per minute. An empty vendor count is 0, a missing minute stays NULL."""
-    theirs = vendor.select("dt", F.coalesce("nall_m", F.lit(0)).alias("vendor_nall"))
-    return theirs.join(click_totals(ours), "dt", "full_outer").withColumn(
+    theirs = vendor.select(*keys, "dt", F.coalesce("nall_m", F.lit(0)).alias("vendor_nall"))
+    return theirs.join(click_totals(ours, keys), [*keys, "dt"], "full_outer").withColumn(
         "nall_diff", F.col("vendor_nall") - F.col("our_nall")
     )
 
 
-def missing_minutes(ours: DataFrame, vendor: DataFrame) -> DataFrame:
-    """Minutes that one side lacks."""
-    both = by_minute(ours, vendor)
-    return both.agg(
+def missing_minutes(ours: DataFrame, vendor: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Number of minutes that each side lacks."""
+    return by_minute(ours, vendor, keys).agg(
         F.count_if(F.col("our_nall").isNull()).alias("missing_in_ours"),
         F.count_if(F.col("vendor_nall").isNull()).alias("missing_in_vendor"),
     )
 
 
-def mismatches(ours: DataFrame, vendor: DataFrame) -> DataFrame:
-    return by_minute(ours, vendor).filter(F.col("nall_diff") != 0)
+def mismatches(ours: DataFrame, vendor: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return by_minute(ours, vendor, keys).filter(F.col("nall_diff") != 0)
 
 
-def first_mismatches(ours: DataFrame, vendor: DataFrame, n: int = 10) -> DataFrame:
+def first_mismatches(ours: DataFrame, vendor: DataFrame, keys: tuple[str, ...] = (), n: int = 10) -> DataFrame:
     """The report's list of the first ``n`` minutes that differ."""
-    return mismatches(ours, vendor).orderBy("dt").limit(n)
+    return mismatches(ours, vendor, keys).orderBy("dt", *keys).limit(n)
 
 
-def reconcile(ours: DataFrame, vendor: DataFrame) -> DataFrame:
+def reconcile(ours: DataFrame, vendor: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """One report row: row difference, missing minutes, mismatches and verdict, in one pass over the join."""
-    theirs = vendor.groupBy("dt").agg(
+    theirs = vendor.groupBy(*keys, "dt").agg(
         F.count("*").alias("_v"), F.sum(F.coalesce("nall_m", F.lit(0))).alias("vendor_nall")
     )
-    mine = ours.groupBy(F.col("DETECTION_DATE_TIME").alias("dt")).agg(
+    mine = ours.groupBy(*keys, F.col("DETECTION_DATE_TIME").alias("dt")).agg(
         F.count("*").alias("_o"), (F.sum("NUMBER_CLICKS_TOTAL") / QUALITIES).alias("our_nall")
     )
     differ = F.col("vendor_nall") != F.col("our_nall")
-    report = theirs.join(mine, "dt", "full_outer").agg(
+    report = theirs.join(mine, [*keys, "dt"], "full_outer").agg(
         (F.coalesce(F.sum("_v"), F.lit(0)) - F.coalesce(F.sum("_o"), F.lit(0)) / QUALITIES).alias("row_difference"),
         F.count_if(F.col("_o").isNull()).alias("missing_in_ours"),
         F.count_if(F.col("_v").isNull()).alias("missing_in_vendor"),

@@ -14,14 +14,16 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from clickloom.functions import records as R
-from clickloom.layout import LAYOUTS, Layout
+from clickloom.layout import LAYOUTS, MARKER, Layout
 
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 4 << 20
 # Tasks for one read; beyond it a task takes several ranges.
 MAX_TASKS = 50_000
+HEADERS_PER_TASK = 64
 
 
 def record_count(length: Column, layout: Layout) -> Column:
@@ -57,20 +59,25 @@ def _blocks(path: str, layout: Layout, first: int, n: int) -> Iterator[tuple[int
             yield at + 1, np.frombuffer(data, np.uint8).reshape(want, layout.record_bytes)
 
 
-def _arrow_reader(kind: str, bytes_wanted: tuple[int, ...], types: tuple[int, ...] | None):
+def _arrow_reader(kind: str, bytes_wanted: tuple[int, ...], types: tuple[int, ...] | None, carried: pa.Schema, markers: bool):
     layout = LAYOUTS[kind]
-    fields = [("pod_file", pa.string()), ("rec_no", pa.int64()), ("rec_type", pa.int32())]
-    fields += [(f"b{i}", pa.int32()) for i in bytes_wanted] + [("error", pa.string())]
-    schema = pa.schema(fields)
+    fields = [pa.field("pod_file", pa.string()), *carried, pa.field("rec_no", pa.int64()), pa.field("rec_type", pa.int32())]
+    fields += [pa.field(f"b{i}", pa.int32()) for i in bytes_wanted]
+    if markers:
+        fields += [pa.field("split", pa.int64()), pa.field("markers", pa.int64())]
+    schema = pa.schema([*fields, pa.field("error", pa.string())])
     keep = np.zeros(256, bool)
     keep[list(types) if types is not None else slice(None)] = True
     keep[list(layout.dropped_types if types is None else [])] = False
 
-    def rows(name: str, start: int, block: np.ndarray) -> pa.RecordBatch:
+    def rows(split: dict, start: int, block: np.ndarray, marked: np.ndarray) -> pa.RecordBatch:
         kinds = block[:, layout.type_byte - 1]
         at = np.flatnonzero(keep[kinds])
-        columns = [pa.repeat(pa.scalar(name), len(at)), pa.array(start + at, pa.int64()), pa.array(kinds[at].astype(np.int32))]
+        columns = [pa.repeat(pa.scalar(split[f.name], f.type), len(at)) for f in [schema[0], *carried]]
+        columns += [pa.array(start + at, pa.int64()), pa.array(kinds[at].astype(np.int32))]
         columns += [pa.array(block[at, i - 1].astype(np.int32)) for i in bytes_wanted]
+        if markers:
+            columns += [pa.repeat(pa.scalar(split["no"], pa.int64()), len(at)), pa.array(marked[at])]
         return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(at), pa.string())], schema=schema)
 
     def failed(name: str, error: Exception) -> pa.RecordBatch:
@@ -80,9 +87,12 @@ def _arrow_reader(kind: str, bytes_wanted: tuple[int, ...], types: tuple[int, ..
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for split in batch.to_pylist():
+                seen = 0
                 try:
                     for start, block in _blocks(split["path"], layout, split["first"], split["n"]):
-                        yield rows(split["pod_file"], start, block)
+                        marked = seen + np.cumsum(block[:, layout.type_byte - 1] == MARKER, dtype=np.int64)
+                        seen = int(marked[-1])
+                        yield rows(split, start, block, marked)
                 except (OSError, ValueError) as error:
                     yield failed(split["pod_file"], error)
 
@@ -95,31 +105,37 @@ def read_records(
     bytes_wanted: tuple[int, ...] = (),
     types: tuple[int, ...] | None = None,
     split_bytes: int = SPLIT_BYTES,
+    carry: tuple[str, ...] = (),
+    markers: bool = False,
 ) -> DataFrame:
     """Rows (pod_file, rec_no, rec_type, b<i> ..., error) of the given files of one kind.
 
     ``files`` has pod_file, path and bytes. ``bytes_wanted`` names the 1-based bytes to return and
     ``types`` the record types; both are applied in the reader, before any row reaches Spark.
+    ``carry`` names columns of ``files`` to repeat on every record, which saves a join of all records
+    by file. ``markers`` adds the number of the ``split`` and the ``markers`` in it up to the record.
     """
     layout = LAYOUTS[kind]
     per_split = max(1, split_bytes // layout.record_bytes)
     total = record_count(F.col("bytes"), layout)
-    cut = files.select("pod_file", "path", total.alias("total"))
+    cut = files.select("pod_file", *carry, "path", total.alias("total"))
     # A file without records keeps one empty range, so that a broken one still reports.
     last = F.greatest(F.floor((F.col("total") - 1) / per_split), F.lit(0).cast("long"))
-    splits = cut.select(
-        "pod_file", "path", "total", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("no")
-    ).select(
+    splits = cut.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
         "pod_file",
+        *carry,
         "path",
+        "no",
         (F.col("no") * per_split).alias("first"),
         F.least(F.lit(per_split), F.col("total") - F.col("no") * per_split).cast("long").alias("n"),
     )
     n = splits.count()
-    columns = ["pod_file string", "rec_no long", "rec_type int", *[f"b{i} int" for i in bytes_wanted], "error string"]
-    return splits.repartition(max(1, min(n, MAX_TASKS))).mapInArrow(
-        _arrow_reader(kind, bytes_wanted, types), ", ".join(columns)
-    )
+    kept = files.select(*carry)
+    columns = ["pod_file string", *[f"{c} {t}" for c, t in kept.dtypes], "rec_no long", "rec_type int"]
+    columns += [f"b{i} int" for i in bytes_wanted]
+    columns += ["split long", "markers long"] if markers else []
+    reader = _arrow_reader(kind, bytes_wanted, types, to_arrow_schema(kept.schema), markers)
+    return splits.repartition(max(1, min(n, MAX_TASKS))).mapInArrow(reader, ", ".join([*columns, "error string"]))
 
 
 def read_headers(files: DataFrame, kind: str) -> DataFrame:
@@ -140,7 +156,8 @@ def read_headers(files: DataFrame, kind: str) -> DataFrame:
                     out.append((row["pod_file"], None, f"{type(error).__name__}: {error}"))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    raw = files.select("pod_file", "path").mapInArrow(read, "pod_file string, header binary, error string")
+    tasks = max(1, min(files.count() // HEADERS_PER_TASK, MAX_TASKS))
+    raw = files.select("pod_file", "path").repartition(tasks).mapInArrow(read, "pod_file string, header binary, error string")
     return raw.select("pod_file", *[v.alias(k) for k, v in R.header_facts(F.col("header")).items()], "error")
 
 

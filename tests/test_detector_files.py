@@ -142,7 +142,7 @@ def random_cpod(seed):
 
 @pytest.mark.parametrize("split", [120, 1 << 20])
 def test_cpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
-    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split))
+    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split, (), False))
     pairs = {}
     for seed in range(4):
         pairs[f"R{seed} 2024 05 01 POD{seed} file01"] = random_cpod(seed)
@@ -173,7 +173,7 @@ def test_cpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
 
 @pytest.mark.parametrize("split", [48, 1 << 20])
 def test_fpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
-    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split))
+    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split, (), False))
     want = []
     for seed in range(4):
         random.seed(seed)
@@ -242,7 +242,10 @@ def test_trains_from_files(spark, tmp_path):
     ]
 
 
-def test_filtered_click_counts(spark, tmp_path):
+@pytest.mark.parametrize("split", [16, 48, 1 << 20])
+def test_filtered_click_counts(spark, tmp_path, monkeypatch, split):
+    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split, (), False))
+
     def click(raw, ipi):
         return record(16, b1=1, b7=ipi - 1, b11=raw)
 

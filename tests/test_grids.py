@@ -93,7 +93,7 @@ def test_reconcile_report(spark):
 
 def test_first_mismatches_are_in_time_order_without_nulls(spark):
     ours, vendor, minutes = reconciled(spark)
-    got = [tuple(r) for r in C.first_mismatches(ours, vendor, 3).collect()]
+    got = [tuple(r) for r in C.first_mismatches(ours, vendor, n=3).collect()]
     assert got == [(minutes[1], 11, 10.0, 1.0), (minutes[3], 0, 12.0, -12.0), (minutes[5], 15, 14.0, 1.0)]
 
 

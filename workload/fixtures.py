@@ -255,21 +255,21 @@ def _odd_file_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vendor(spark: SparkSession, sf: str) -> DataFrame:
-    """Vendor counts of one recorder: some empty, one day missing, some off by one."""
+    """Vendor counts of all recorders: some empty, one day missing, some off by one."""
     start = F.col("minute_start")
-    ours = clicks(spark, sf).filter(F.col("pod_file").startswith("FX0") & (F.dayofmonth(start) != 9))
     n = F.col("n") + F.when(F.hour(start) == 7, 1).otherwise(0)
     return (
-        ours.groupBy("minute_start")
+        clicks(spark, sf)
+        .filter(F.dayofmonth(start) != 9)
+        .groupBy("pod_file", "minute_start")
         .agg(F.count("*").alias("n"))
-        .select(start.alias("dt"), F.when(F.hour(start) != 5, n).alias("nall_m"))
+        .select("pod_file", start.alias("dt"), F.when(F.hour(start) != 5, n).alias("nall_m"))
     )
 
 
 def our_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    """Our detections of the same recorder: three rows per minute with the click total."""
-    ours = clicks(spark, sf).filter(F.col("pod_file").startswith("FX0"))
-    totals = ours.groupBy(F.col("minute_start").alias("DETECTION_DATE_TIME")).agg(
+    """Our detections of the same recorders: three rows per minute with the click total."""
+    totals = clicks(spark, sf).groupBy("pod_file", F.col("minute_start").alias("DETECTION_DATE_TIME")).agg(
         F.count("*").alias("NUMBER_CLICKS_TOTAL")
     )
     return totals.withColumn("QUALITY", F.explode(F.array(F.lit("Hi"), F.lit("Mod"), F.lit("Lo"))))
@@ -355,13 +355,13 @@ FROM (SELECT sel_no, bytes,
                   ELSE name_ext END AS name_ext
       FROM fx_file_list) o""",
     "fx_vendor": """
-SELECT minute_start AS dt, CASE WHEN extract(hour FROM minute_start) = 5 THEN NULL
+SELECT pod_file, minute_start AS dt, CASE WHEN extract(hour FROM minute_start) = 5 THEN NULL
        ELSE count(*) + (CASE WHEN extract(hour FROM minute_start) = 7 THEN 1 ELSE 0 END) END AS nall_m
-FROM fx_clicks WHERE pod_file LIKE 'FX0%' AND extract(day FROM minute_start) <> 9 GROUP BY minute_start""",
+FROM fx_clicks WHERE extract(day FROM minute_start) <> 9 GROUP BY pod_file, minute_start""",
     "fx_ours": """
-SELECT minute_start AS DETECTION_DATE_TIME, q.QUALITY, count(*) AS NUMBER_CLICKS_TOTAL
+SELECT pod_file, minute_start AS DETECTION_DATE_TIME, q.QUALITY, count(*) AS NUMBER_CLICKS_TOTAL
 FROM fx_clicks, (SELECT 'Hi' AS QUALITY UNION ALL SELECT 'Mod' UNION ALL SELECT 'Lo') q
-WHERE pod_file LIKE 'FX0%' GROUP BY ALL""",
+GROUP BY ALL""",
 }
 
 NEEDS = {

@@ -143,9 +143,10 @@ def j14(spark, sf):
 # ---- comparison with a vendor export
 
 BOTH = """
-SELECT coalesce(v.dt, o.dt) AS dt, v.n AS vendor_nall, o.n AS our_nall, v.n - o.n AS nall_diff
-FROM (SELECT dt, coalesce(nall_m, 0) AS n FROM fx_vendor) v
-FULL JOIN (SELECT DETECTION_DATE_TIME AS dt, CAST(sum(NUMBER_CLICKS_TOTAL) AS DOUBLE) / 3 AS n FROM fx_ours GROUP BY 1) o ON o.dt = v.dt"""
+SELECT coalesce(v.pod_file, o.pod_file) AS pod_file, coalesce(v.dt, o.dt) AS dt, v.n AS vendor_nall, o.n AS our_nall, v.n - o.n AS nall_diff
+FROM (SELECT pod_file, dt, coalesce(nall_m, 0) AS n FROM fx_vendor) v
+FULL JOIN (SELECT pod_file, DETECTION_DATE_TIME AS dt, CAST(sum(NUMBER_CLICKS_TOTAL) AS DOUBLE) / 3 AS n FROM fx_ours GROUP BY 1, 2) o
+  ON o.dt = v.dt AND o.pod_file = v.pod_file"""
 
 
 def compared(body: str) -> str:
@@ -161,22 +162,22 @@ def sides(spark, sf):
     compared("SELECT count(*) FILTER (our_nall IS NULL) AS missing_in_ours, count(*) FILTER (vendor_nall IS NULL) AS missing_in_vendor FROM compared"),
 )
 def j9(spark, sf):
-    return C.missing_minutes(*sides(spark, sf))
+    return C.missing_minutes(*sides(spark, sf), KEYS)
 
 
 @query("j10_count_mismatches", compared("SELECT * FROM compared WHERE nall_diff <> 0"))
 def j10(spark, sf):
-    return C.mismatches(*sides(spark, sf))
+    return C.mismatches(*sides(spark, sf), KEYS)
 
 
-@query("o3_first_mismatches", compared("SELECT * FROM compared WHERE nall_diff <> 0 ORDER BY dt LIMIT 10"))
+@query("o3_first_mismatches", compared("SELECT * FROM compared WHERE nall_diff <> 0 ORDER BY dt, pod_file LIMIT 10"))
 def o3(spark, sf):
-    return C.first_mismatches(*sides(spark, sf))
+    return C.first_mismatches(*sides(spark, sf), KEYS)
 
 
-@query("g11_click_totals", compared("SELECT dt, our_nall FROM compared WHERE our_nall IS NOT NULL"))
+@query("g11_click_totals", compared("SELECT pod_file, dt, our_nall FROM compared WHERE our_nall IS NOT NULL"))
 def g11(spark, sf):
-    return C.click_totals(X.our_minutes(spark, sf))
+    return C.click_totals(X.our_minutes(spark, sf), KEYS)
 
 
 @query(
@@ -196,4 +197,4 @@ def g16(spark, sf):
     ),
 )
 def r2(spark, sf):
-    return C.reconcile(*sides(spark, sf))
+    return C.reconcile(*sides(spark, sf), KEYS)

@@ -11,7 +11,7 @@ from workload.fixtures import with_views
 from workload.registry import query
 
 TRAIN_FILES = """
-SELECT sel_no, path, name_ext, core, CASE WHEN y <> '' THEN TRY_CAST(y || '-' || m || '-' || d AS DATE) END AS day, s AS serial
+SELECT sel_no, path, name_ext, bytes, core, CASE WHEN y <> '' THEN TRY_CAST(y || '-' || m || '-' || d AS DATE) END AS day, s AS serial
 FROM (SELECT *, regexp_extract(core, '(?:^|[^A-Za-z0-9_])([0-9]{4})\\s+([0-9]{2})\\s+([0-9]{2})(?:[^A-Za-z0-9_]|$)', 1) AS y,
              regexp_extract(core, '(?:^|[^A-Za-z0-9_])([0-9]{4})\\s+([0-9]{2})\\s+([0-9]{2})(?:[^A-Za-z0-9_]|$)', 2) AS m,
              regexp_extract(core, '(?:^|[^A-Za-z0-9_])([0-9]{4})\\s+([0-9]{2})\\s+([0-9]{2})(?:[^A-Za-z0-9_]|$)', 3) AS d,
@@ -259,10 +259,9 @@ def g10(spark, sf):
 
 
 def file_spans(spark, sf):
-    """Detection times per file name: part keys as seconds after an epoch, so spans differ."""
-    train = M.train_files(X.odd_file_list(spark, sf)).filter(F.col("sel_no") % 3 != 0)
+    """Detection times of the regularly named files, two per file; odd names have none."""
     epoch = F.lit("2022-01-01 00:00:00").cast("timestamp_ntz")
-    two = train.withColumn("step", F.explode(F.array(F.lit(0), F.lit(977))))
+    two = M.train_files(X.file_list(spark, sf)).withColumn("step", F.explode(F.array(F.lit(0), F.lit(977))))
     return two.select(
         N.stem(F.col("name_ext")).alias("PODfile"),
         F.timestamp_add("SECOND", F.col("sel_no") * (F.col("step") + 1), epoch).alias("DETECTION_DATE_TIME"),
@@ -276,16 +275,15 @@ FROM train_files f
 LEFT JOIN (SELECT core, printf('%d days, 0 hours, 0 minutes', CAST(v - d AS BIGINT)) AS text
            FROM (SELECT regexp_replace(name_ext, '\\.[^.]+$', '') AS core, min(row_no) AS row_no FROM pairs GROUP BY 1) p JOIN spans USING (row_no)) o ON o.core = f.core
 LEFT JOIN (SELECT core, printf('%d days, %d hours, %d minutes', s // 86400, (s % 86400) // 3600, (s % 3600) // 60) AS text
-           FROM (SELECT core, max(sel_no * 978) - min(sel_no) AS s FROM train_files WHERE sel_no % 3 <> 0 GROUP BY core) g) s ON s.core = f.core
-LEFT JOIN (SELECT core, CASE WHEN min(sel_no) % 2 = 0 THEN 'FAILED' ELSE 'OK' END AS status FROM train_files WHERE sel_no % 5 <> 0 GROUP BY core) st ON st.core = f.core"""
+           FROM (SELECT regexp_replace(name_ext, '\\.[^.]+$', '') AS core, max(sel_no * 978) - min(sel_no) AS s
+                 FROM fx_file_list WHERE name_ext LIKE '%.CP3' GROUP BY 1) g) s ON s.core = f.core
+LEFT JOIN (SELECT core, CASE WHEN min(bytes) < 40000 THEN 'FAILED' ELSE 'OK' END AS status FROM train_files GROUP BY core) st ON st.core = f.core"""
 
 
 def overview(spark, sf):
     train = M.train_files(X.odd_file_list(spark, sf))
-    status = (
-        train.filter(F.col("sel_no") % 5 != 0)
-        .groupBy(N.stem(F.col("name_ext")).alias("pod_file"))
-        .agg(F.when(F.min("sel_no") % 2 == 0, "FAILED").otherwise("OK").alias("status"))
+    status = train.groupBy(N.stem(F.col("name_ext")).alias("pod_file")).agg(
+        F.when(F.min("bytes") < 40_000, "FAILED").otherwise("OK").alias("status")
     )
     return M.file_overview(
         train, odd_index(spark, sf), X.conformed_deployments(spark, sf), M.detection_spans(file_spans(spark, sf)), status
