@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom import layout as L
-from clickloom.functions.filenames import stem
 from clickloom.operators.trains import COUNT_COLUMNS, SPAN_COLUMNS
 
 SPECIES = "NBHF"
@@ -98,6 +97,3 @@ def clip(detections: DataFrame, time: str = "DETECTION_DATE_TIME") -> DataFrame:
     """Rows from deployment to end of valid data, both ends included."""
     return detections.filter(F.col(time).between(F.col("deploy"), F.col("valid_until")))
 
-
-def pod_file_name(name: Column) -> Column:
-    return stem(name)

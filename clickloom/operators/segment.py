@@ -225,22 +225,6 @@ def with_nall(rows: DataFrame, totals: DataFrame) -> DataFrame:
     return rows.join(totals, MINUTE, "left")
 
 
-def fpod_pairs(segmented: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Train records and click records of F-POD minutes, each with its position in the minute.
-
-    ``segmented`` needs the counters of :func:`fpod_counters`.
-    """
-    inside = segmented.filter(F.col("seg_no") >= 1).withColumnRenamed("seg_no", "minute_no")
-    trains = inside.filter(F.col("rec_type") == L.TRAIN_DETAIL).select(
-        "pod_file", "minute_no", F.col("pos_train").alias("pos"), "rec_no", F.col("b16").alias("train_id"),
-        F.col("b15").alias("class_byte"),
-    )
-    clicks = inside.filter(F.col("rec_type") <= L.LAST_FPOD_CLICK_TYPE).select(
-        "pod_file", "minute_no", F.col("pos_click").alias("pos"), "time_us"
-    )
-    return trains, clicks
-
-
 def fpod_counters() -> dict[str, Column]:
     return {
         "train": F.col("rec_type") == L.TRAIN_DETAIL,
@@ -248,6 +232,28 @@ def fpod_counters() -> dict[str, Column]:
     }
 
 
-def zip_by_position(trains: DataFrame, clicks: DataFrame, how: str = "left") -> DataFrame:
-    """The i-th train record of a minute describes its i-th click record."""
-    return trains.join(clicks, ["pod_file", "minute_no", "pos"], how)
+def zip_by_position(segmented: DataFrame, need_click: bool = False) -> DataFrame:
+    """The i-th train record of an F-POD minute describes its i-th click record.
+
+    Both records of a pair share file, minute and position, so the zip is an aggregate over groups of
+    two, in one pass instead of a self-join. ``segmented`` needs the counters of
+    :func:`fpod_counters`. A train record without click keeps a NULL time unless ``need_click``.
+    """
+    detail = F.col("rec_type") == L.TRAIN_DETAIL
+    click = F.col("rec_type") <= L.LAST_FPOD_CLICK_TYPE
+    pairs = (
+        segmented.filter((F.col("seg_no") >= 1) & (detail | click))
+        .groupBy(
+            "pod_file",
+            F.col("seg_no").alias("minute_no"),
+            F.when(detail, F.col("pos_train")).otherwise(F.col("pos_click")).alias("pos"),
+        )
+        .agg(
+            F.max(F.when(detail, F.col("rec_no"))).alias("rec_no"),
+            F.max(F.when(detail, F.col("b16"))).alias("train_id"),
+            F.max(F.when(detail, F.col("b15"))).alias("class_byte"),
+            F.max(F.when(click, F.col("time_us"))).alias("time_us"),
+        )
+        .filter(F.col("rec_no").isNotNull())
+    )
+    return pairs.filter(F.col("time_us").isNotNull()) if need_click else pairs

@@ -127,7 +127,7 @@ def fpod_trains(files: DataFrame) -> DataFrame:
     """Click trains of F-POD files with their click times as arrays."""
     three = of_kind(files, "FP3")
     rows, _ = _fpod_rows(three)
-    clicks = G.zip_by_position(*G.fpod_pairs(_fpod_segments(three)))
+    clicks = G.zip_by_position(_fpod_segments(three))
     return _trains(clicks, rows, ["time_us"], "FP")
 
 
@@ -135,7 +135,7 @@ def harmonise_fpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
     """Detection rows of F-POD files. FP1 files are not read."""
     three = of_kind(files, "FP3")
     rows, bad = _fpod_rows(three)
-    clicks = G.zip_by_position(*G.fpod_pairs(_fpod_segments(three)))
+    clicks = G.zip_by_position(_fpod_segments(three))
     counts = T.minute_counts(
         T.with_class(T.train_facts(clicks), "FP"), need_species_good=True, buzz_us=buzz_us
     )

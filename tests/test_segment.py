@@ -123,6 +123,7 @@ def test_zip_by_position_keeps_train_records_without_click(spark):
     df = table(spark, a=[254, 249, 249, 100, 254, 100, 249]).withColumns(
         {"b15": F.col("rec_no").cast("int"), "b16": F.lit(1), "time_us": F.col("rec_no") * 10}
     )
-    trains, clicks = G.fpod_pairs(G.segment(df, G.fpod_counters()))
-    got = rows(G.zip_by_position(trains, clicks), "minute_no", "pos", "class_byte", "time_us")
-    assert got == [(1, 1, 2, 40), (1, 2, 3, None), (2, 1, 7, 60)]
+    cut = G.segment(df, G.fpod_counters())
+    columns = ("minute_no", "pos", "class_byte", "time_us")
+    assert rows(G.zip_by_position(cut), *columns) == [(1, 1, 2, 40), (1, 2, 3, None), (2, 1, 7, 60)]
+    assert rows(G.zip_by_position(cut, need_click=True), *columns) == [(1, 1, 2, 40), (2, 1, 7, 60)]

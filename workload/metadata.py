@@ -26,13 +26,14 @@ def p1(spark, sf):
 @query(
     "p2_upper_names",
     with_views(
-        "SELECT row_no AS ROW_NO, rcv_project AS RCV_PROJECT, receiver AS RECEIVER, station_name AS STATION_NAME, activation_day AS ACTIVATION_DAY, "
-        "deploy_day AS DEPLOY_DAY, valid_until_day AS VALID_UNTIL_DAY, deploy_lat AS DEPLOY_LAT, deploy_long AS DEPLOY_LONG FROM fx_deployments",
+        "SELECT row_no AS ROW_NO, rcv_project AS RCV_PROJECT, receiver AS RECEIVER, station_name AS STATION_NAME, "
+        "CAST(activation_day AS VARCHAR) AS ACTIVATION_DAY, CAST(deploy_day AS VARCHAR) AS DEPLOY_DAY, CAST(valid_until_day AS VARCHAR) AS VALID_UNTIL_DAY, deploy_lat AS DEPLOY_LAT, deploy_long AS DEPLOY_LONG FROM fx_deployments",
         "fx_deployments",
     ),
 )
 def p2(spark, sf):
-    return P.upper_names(X.deployments(spark, sf))
+    days = {c: F.col(c).cast("string") for c in ("activation_day", "deploy_day", "valid_until_day")}
+    return P.upper_names(X.deployments(spark, sf).withColumns(days))
 
 
 def sheet(spark, sf):

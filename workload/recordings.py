@@ -478,7 +478,7 @@ def fp_minute_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fp_trains(spark: SparkSession, sf: str) -> DataFrame:
-    zipped = G.zip_by_position(*G.fpod_pairs(fp_seg(spark, sf)))
+    zipped = G.zip_by_position(fp_seg(spark, sf))
     return T.with_class(T.train_facts(zipped), "FP")
 
 
@@ -505,7 +505,7 @@ def p16(spark, sf):
 
 @query("j6_zip_by_position", views("SELECT pod_file, minute_no, pos, train_id, class_byte, time_us FROM fp_zip WHERE time_us IS NOT NULL", "fp_zip"))
 def j6(spark, sf):
-    zipped = G.zip_by_position(*G.fpod_pairs(fp_seg(spark, sf)), how="inner")
+    zipped = G.zip_by_position(fp_seg(spark, sf), need_click=True)
     return zipped.select(*G.MINUTE, "pos", "train_id", "class_byte", "time_us")
 
 
