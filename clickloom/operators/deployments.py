@@ -102,10 +102,7 @@ def of_project(df: DataFrame, project: str, strict: bool = False, column: str =
     return chosen
 
 
-CHECK_SCHEMA = "check_id string, row_no long, column_name string, message string"
-
-
-def _violations(df: DataFrame, cases: list[tuple[str, Column, str | None, Column]]) -> DataFrame:
+def violation_rows(df: DataFrame, cases: list[tuple[str, Column, str | None, Column]]) -> DataFrame:
     """Rows (check_id, row_no, column_name, message) for every case that holds, in one pass."""
     found = [
         F.when(
@@ -176,7 +173,7 @@ def option_cases(options: dict[str, tuple[str, ...]] = S.OPTIONS):
 
 def violations(df: DataFrame, with_options: bool = False) -> DataFrame:
     cases = date_cases() + order_cases() + coordinate_cases() + (option_cases() if with_options else [])
-    return _violations(df, cases)
+    return violation_rows(df, cases)
 
 
 def with_numeric_coordinates(df: DataFrame, roles: dict[str, str] = S.ROLES) -> DataFrame:

@@ -109,6 +109,12 @@ def pair_message(problems: DataFrame) -> DataFrame:
     return counts.select((F.col("n") == 0).alias("is_valid"), F.when(F.col("n") == 0, "").otherwise(text).alias("message"))
 
 
+def pair_check(files: DataFrame, both_ways: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(files with their partner, problem paths, one-row summary)."""
+    problems = pair_problems(files, both_ways)
+    return paired(files), problems, pair_message(problems)
+
+
 def variants(parsed: DataFrame) -> DataFrame:
     """Metrics per variant (files that share a stem and family)."""
     return parsed.groupBy("pair_variant_key", "pair_group_key").agg(

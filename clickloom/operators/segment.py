@@ -55,7 +55,9 @@ def run_offsets(bounds: DataFrame, file_ends: DataFrame, run_rows: int = RUN_ROW
     sparse = _run_totals(with_run(bounds, run_rows=run_rows), {}).drop("_last")
     last_run = F.expr(f"last_rec div {run_rows}")
     dense = file_ends.select(
-        "pod_file", F.col("last_rec").alias("_last"), F.explode(F.sequence(F.lit(0).cast("long"), last_run)).alias("run")
+        "pod_file",
+        F.col("last_rec").alias("_last"),
+        F.explode(F.sequence(F.lit(0).cast("long"), last_run)).alias("run"),
     )
     return _offsets(dense.join(sparse, ["pod_file", "run"], "left").na.fill(0, ["_m"]), {})
 
@@ -80,11 +82,13 @@ def segment(
     marker = F.col("rec_type") == L.MARKER
     inside = W.partitionBy("pod_file", "run").orderBy("rec_no").rowsBetween(W.unboundedPreceding, 0)
     runs = with_run(records, run_rows=run_rows)
-    local = runs.withColumn("_m", F.sum(marker.cast("long")).over(inside))
-    for name, flag in counters.items():
-        local = local.withColumn(f"_n_{name}", F.sum(flag.cast("long")).over(inside))
-    for name in counters:
-        local = local.withColumn(f"_at_{name}", F.max(F.when(marker, F.col(f"_n_{name}"))).over(inside))
+    # Flags first, then all running counts in one window step and what builds on them in a second.
+    flags = {"_m": marker, **{f"_n_{n}": flag for n, flag in counters.items()}}
+    flagged = runs.withColumns({c: flag.cast("long") for c, flag in flags.items()})
+    local = flagged.withColumns({c: F.sum(c).over(inside) for c in flags})
+    at_marker = {f"_at_{n}": F.when(marker, F.col(f"_n_{n}")) for n in counters}
+    if counters:
+        local = local.withColumns(at_marker).withColumns({c: F.max(c).over(inside) for c in at_marker})
     if offsets is None:
         offsets = _offsets(_run_totals(local if counters else runs, counters), counters)
 

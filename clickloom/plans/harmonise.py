@@ -95,7 +95,7 @@ def _trains(clicks: DataFrame, rows: DataFrame, values: list[str], family: str)
 
 
 def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
-    """Detection rows of C-POD files. ``files`` has pod_file, path, bytes; CP1 and CP3 share pod_file.
+    """Detection rows of C-POD files. ``files`` has pod_file, path, bytes; a CP1 and CP3 pair shares its own pod_file.
 
     Without a readable CP1 twin the click total is NULL and there is no tail minute; an unreadable
     file is left out and reported.
@@ -191,7 +191,7 @@ def run(
     matched = rows.filter(F.col("RowType") == "metadata")
     train = M.train_files(kept)
     todo = write_and_read(M.process_list(train, kept, index, matched), "process-list")
-    done = harmonise(files_to_read(todo, kept), buzz_us)
+    done = harmonise(write_and_read(files_to_read(todo, kept), "files-to-read"), buzz_us)
     status = write_and_read(done.status, "status")
     labels = todo.select(N.stem(F.col("name_ext")).alias("pod_file"), "deployment_id", "deploy", "valid_until").distinct()
     detections = D.clip(D.relabel(done.detections, labels)).select(*D.OUTPUT_COLUMNS, "PODfile")

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even where a later step then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Windows inside a run of records stay in memory; a run has at most this many rows.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
 }
 
 _local_folders: dict[str, str] = {}

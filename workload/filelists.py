@@ -140,7 +140,8 @@ FROM (SELECT count(*) AS n, count(*) FILTER (problem = 'DOUBLE_EXTENSION') AS nd
     ),
 )
 def c6(spark, sf):
-    return P.pair_message(P.pair_problems(X.odd_file_list(spark, sf)))
+    _, _, message = P.pair_check(X.odd_file_list(spark, sf))
+    return message
 
 
 @query("u2_paired_stems", with_views("SELECT stem, family FROM stems WHERE h1 AND h3", "fx_odd_files", extra=ODD))

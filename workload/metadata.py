@@ -165,7 +165,7 @@ SELECT row_no, activation_day AS a, deploy_day AS d, CASE WHEN row_no % 13 = 0 T
 )
 def v3(spark, sf):
     columns = ("ACTIVATION_DATE_TIME", "DEPLOY_DATE_TIME", "VALID_DATA_UNTIL_DATE_TIME", "RECOVER_DATE_TIME")
-    return P._violations(dated(spark, sf), P.date_cases(MIN_DATE, columns))
+    return P.violation_rows(dated(spark, sf), P.date_cases(MIN_DATE, columns))
 
 
 @query(
@@ -181,7 +181,7 @@ UNION ALL SELECT row_no, 'DEPLOY_DATE_TIME', 'Deployment date must be before val
     ),
 )
 def v4(spark, sf):
-    return P._violations(dated(spark, sf), P.order_cases())
+    return P.violation_rows(dated(spark, sf), P.order_cases())
 
 
 @query(
@@ -197,7 +197,7 @@ FROM (SELECT row_no, coalesce(TRY_CAST(DEPLOY_LAT AS DOUBLE) * 10 BETWEEN -90 AN
 def v5(spark, sf):
     """Latitudes times ten, so that the input has values out of range on both axes."""
     wide = F.coalesce((F.col("DEPLOY_LAT").try_cast("double") * 10).cast("string"), F.col("DEPLOY_LAT"))
-    return P._violations(X.deployments_text(spark, sf).withColumn("DEPLOY_LAT", wide), P.coordinate_cases())
+    return P.violation_rows(X.deployments_text(spark, sf).withColumn("DEPLOY_LAT", wide), P.coordinate_cases())
 
 
 @query(
@@ -229,7 +229,7 @@ FROM fx_deployments_text WHERE trim(RCV_PROJECT) NOT IN ('', 'nan') AND RCV_PROJ
     ),
 )
 def v10(spark, sf):
-    return P._violations(X.deployments_text(spark, sf), P.option_cases({"RCV_PROJECT": ("BUILDING", "MACHINERY")}))
+    return P.violation_rows(X.deployments_text(spark, sf), P.option_cases({"RCV_PROJECT": ("BUILDING", "MACHINERY")}))
 
 
 @query(
