@@ -18,7 +18,7 @@ from clickloom.operators import (
     trains as T,
 )
 from clickloom.plans import outputs as O
-from clickloom.session import write_and_read
+from clickloom.session import at_once, write_and_read
 from clickloom.sources import files as I, records as Q
 
 BOUNDARY_TYPES = (L.MARKER, L.END_OF_FILE)
@@ -66,9 +66,11 @@ def _cpod_clicks(three: DataFrame, bounds: DataFrame, ends: DataFrame, bytes_wan
 def _cpod_parts(files: DataFrame):
     """(CP3 files, minute rows with clock and switch flag, boundaries, ends, bad files)."""
     three, one = of_kind(files, "CP3"), of_kind(files, "CP1")
-    read3 = write_and_read(Q.read_records(three, "CP3", (4, 5, 9), BOUNDARY_TYPES), "cp3-bounds")
-    read1 = write_and_read(Q.read_records(one, "CP1", (), BOUNDARY_TYPES), "cp1-bounds")
-    headers = write_and_read(Q.read_headers(three, "CP3"), "headers")
+    read3, read1, headers = at_once(
+        lambda: write_and_read(Q.read_records(three, "CP3", (4, 5, 9), BOUNDARY_TYPES), "cp3-bounds"),
+        lambda: write_and_read(Q.read_records(one, "CP1", (), BOUNDARY_TYPES), "cp1-bounds"),
+        lambda: write_and_read(Q.read_headers(three, "CP3"), "headers"),
+    )
     bad = write_and_read(Q.failures(read3, read1, headers), "failures")
     bounds3, bounds1 = Q.without_errors(read3), Q.without_errors(read1)
     marks = G.markers(G.segment(bounds3, stop_at_end=True))
@@ -114,8 +116,10 @@ def _fpod_segments(files: DataFrame) -> DataFrame:
 
 def _fpod_rows(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(minute rows with clock, bad files)."""
-    read = write_and_read(Q.read_records(files, "FP3", (4, 8, 9, 10), (L.MARKER,)), "fp3-markers")
-    headers = write_and_read(Q.read_headers(files, "FP3"), "headers")
+    read, headers = at_once(
+        lambda: write_and_read(Q.read_records(files, "FP3", (4, 8, 9, 10), (L.MARKER,)), "fp3-markers"),
+        lambda: write_and_read(Q.read_headers(files, "FP3"), "headers"),
+    )
     bad = write_and_read(Q.failures(read, headers), "failures")
     marks = G.markers(G.segment(Q.without_errors(read)))
     known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time")
@@ -155,7 +159,7 @@ def filtered_click_counts(files: DataFrame, by_duration: bool = False) -> DataFr
 
 def harmonise(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
     """Detection rows of all files, both families."""
-    c, f = harmonise_cpod(files, buzz_us), harmonise_fpod(files, buzz_us)
+    c, f = at_once(lambda: harmonise_cpod(files, buzz_us), lambda: harmonise_fpod(files, buzz_us))
     return Harmonised(c.detections.unionByName(f.detections), c.status.unionByName(f.status))
 
 
@@ -206,6 +210,5 @@ def run(
         "rejected_files": rejected,
         "file_problems": C.pair_problems(files),
     }
-    for name, table in rest.items():
-        tables[name] = O.write_table(table, f"{out}/{name}", fmt)
-    return tables
+    written = at_once(*[lambda n=name, t=table: O.write_table(t, f"{out}/{n}", fmt) for name, table in rest.items()])
+    return {**tables, **dict(zip(rest, written))}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,10 @@ RUNTIME_CONF = {
     "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
 }
 
+T = TypeVar("T")
+# Small independent jobs submitted at the same time.
+PARALLEL_JOBS = 4
+
 _local_folders: dict[str, str] = {}
 
 
@@ -55,3 +62,9 @@ def write_and_read(df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def at_once(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs side by side; results in the given order."""
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        return list(pool.map(lambda job: job(), jobs))
