@@ -8,7 +8,7 @@ A range that cannot be read yields one row with ``error`` set and no record.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from urllib.parse import quote, unquote, urlsplit
+from urllib.parse import quote, urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +37,22 @@ def file_ends(files: DataFrame, kind: str) -> DataFrame:
     return files.select("pod_file", record_count(F.col("bytes"), LAYOUTS[kind]).alias("last_rec"))
 
 
-def _open(path: str):
-    """Input file for a local path or a URI as Spark lists it (spaces not encoded)."""
+# Hadoop names of file systems that Arrow knows under another one.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and inner path of a local path or a URI as Spark lists it (spaces not encoded)."""
     parts = urlsplit(path)
     if parts.scheme in ("", "file"):
-        return fs.LocalFileSystem().open_input_file(parts.path if parts.scheme else path)
-    system, inner = fs.FileSystem.from_uri(f"{parts.scheme}://{parts.netloc}{quote(unquote(parts.path))}")
+        return fs.LocalFileSystem(), path[path.index(":") + 1 :].replace("///", "/", 1) if parts.scheme else path
+    scheme = ARROW_SCHEMES.get(parts.scheme, parts.scheme)
+    rest = path[len(parts.scheme) + 3 + len(parts.netloc) :]
+    return fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}{quote(rest)}")
+
+
+def _open(path: str):
+    system, inner = filesystem(path)
     return system.open_input_file(inner)
 
 

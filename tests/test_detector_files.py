@@ -222,6 +222,22 @@ def test_header_facts(spark, tmp_path):
     assert (got.start_time, got.tilt_min, got.tilt_max, got.version, got.has_extended_amps) == (START, 8, 100, 900, True)
 
 
+@pytest.mark.parametrize(
+    "path,inner",
+    [("/a b/c#1 100%.CP3", "/a b/c#1 100%.CP3"), ("file:/a b/c#1.CP3", "/a b/c#1.CP3"), ("file:///a b/c?.CP3", "/a b/c?.CP3")],
+)
+def test_local_paths_keep_odd_characters(path, inner):
+    assert Q.filesystem(path)[1] == inner
+
+
+def test_odd_file_names_are_read(spark, tmp_path):
+    odd = tmp_path / "a b#1"
+    odd.mkdir()
+    write(odd, "x 100% +1.CP1", 360, [CP1_MINUTE, CP1_CLICK])
+    read = Q.read_records(listing(spark, tmp_path), "CP1")
+    assert rows(read, "pod_file", "rec_type", "error") == [("x 100% +1", 3, None), ("x 100% +1", 254, None)]
+
+
 def test_listing_finds_any_case_and_folder(spark, tmp_path):
     (tmp_path / "deep er").mkdir()
     for name in ("a.CP1", "deep er/b.cp3", "c.fP1", "d.FP3", "e.wav", "f.CP2"):

@@ -6,7 +6,6 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom import spec as S
@@ -64,7 +63,7 @@ def _write_files(rows: DataFrame, kind: str, folder: str) -> int:
     """
 
     def write(part: pd.DataFrame) -> pd.DataFrame:
-        system, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        system, base = Q.filesystem(folder)
         system.create_dir(base, recursive=True)
         path = f"{base}/{part['pod_file'].iloc[0]}.{kind}"
         draft = f"{path}.part-{uuid.uuid4().hex}"
