@@ -170,6 +170,7 @@ def time_us():
        CASE WHEN rec_type = 254 THEN b4 END AS b4, b37, time_us FROM cp3""",
         "cp3",
     ),
+    gaps=("b4", "b37", "time_us",),
 )
 def s2(spark, sf):
     """Records up to the end mark; the reader numbers what is in the file."""
@@ -200,6 +201,7 @@ def s3(spark, sf):
        CASE WHEN rec_type = 249 THEN b15 END AS b15, CASE WHEN rec_type = 249 THEN b16 END AS b16, time_us FROM fp_seg""",
         "fp_seg",
     ),
+    gaps=("b15", "b16", "time_us",),
 )
 def s4(spark, sf):
     rows = Q.without_errors(Q.read_records(to_read(spark, sf, "FP3"), "FP3", (1, 2, 3, 15, 16)))
@@ -217,6 +219,7 @@ def s4(spark, sf):
        time_us FROM cp1_seg""",
         "cp1_seg",
     ),
+    gaps=("time_us",),
 )
 def s5(spark, sf):
     rows = Q.without_errors(Q.read_records(to_read(spark, sf, "FP1"), "FP1", (1, 2, 3)))
@@ -315,7 +318,7 @@ def s7(spark, sf):
     return sheet.select("row_no", "RCV_PROJECT", "RECEIVER", "ACTIVATION_TIME", "DEPLOY_LAT")
 
 
-@query("s8_read_vendor_export", with_views("SELECT dt, nall_m FROM fx_vendor", "fx_vendor"))
+@query("s8_read_vendor_export", with_views("SELECT dt, nall_m FROM fx_vendor", "fx_vendor"), gaps=("nall_m",))
 def s8(spark, sf):
     def build():
         path = new_folder(spark, "vendor")

@@ -232,7 +232,7 @@ LEFT JOIN best b ON b.pair_group_key = p.pair_group_key
 WHERE NOT coalesce(b.pair_variant_key = p.pair_variant_key AND p.kind IN ('1', '3'), FALSE)"""
 
 
-@query("c5_dedup_rejected", with_views(REJECTED, "fx_odd_files", extra=DEDUP))
+@query("c5_dedup_rejected", with_views(REJECTED, "fx_odd_files", extra=DEDUP), gaps=("best_sum_score", "best_sum_bytes", "best_min_score",))
 def c5_rejected(spark, sf):
     _, rejected = P.dedup_files(X.odd_file_list(spark, sf))
     return rejected
@@ -251,6 +251,7 @@ def f5(spark, sf):
 @query(
     "j7_metrics_on_rejected",
     with_views(f"SELECT path, variant_n, variant_sum_bytes, best_variant_name, best_sum_bytes FROM ({REJECTED}) r", "fx_odd_files", extra=UNPAIRED),
+    gaps=("best_sum_bytes",),
 )
 def j7(spark, sf):
     _, rejected = P.best_files(X.odd_file_list(spark, sf))

@@ -120,6 +120,7 @@ UNION ALL SELECT NULL, NULL, MatchCount, PodType, RowType, NULL, FileName FROM (
         "fx_odd_files",
         annotated=ANNOTATED,
     ),
+    gaps=("row_no",),
 )
 def c8_all(spark, sf):
     rows = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf), odd_index(spark, sf))
@@ -192,6 +193,7 @@ UNION ALL SELECT NULL, name_ext, 'N' FROM fx_file_list WHERE name_ext NOT IN (SE
         FLAGS, "fx_file_list",
         extra={"metadata": "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN lower(name_ext) ELSE name_ext END AS POD_FILE FROM fx_files WHERE kind = 3"},
     ),
+    gaps=("row_no",),
 )
 def j11(spark, sf):
     name = F.when(F.col("p_partkey") % 5 == 0, F.lower("name_ext")).otherwise(F.col("name_ext"))

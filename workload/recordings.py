@@ -164,6 +164,7 @@ KEY = ["pod_file", "minute_start"]
         "no_of_clicks, first_us, last_us, min_ici_us FROM click_train",
         "click_train",
     ),
+    gaps=("min_ici_us",),
 )
 def g1(spark, sf):
     return click_trains(spark, sf).select(
@@ -242,6 +243,7 @@ def g7(spark, sf):
         "time_us - lag(time_us) OVER (PARTITION BY pod_file, minute_start, train_id ORDER BY rec_no) AS ici_us FROM fx_clicks",
         "fx_clicks",
     ),
+    gaps=("ici_us",),
 )
 def w9(spark, sf):
     return T.with_interval(fx_clicks(spark, sf), "minute_start").select(*KEY, "train_id", "rec_no", "ici_us")
@@ -515,6 +517,7 @@ def j6(spark, sf):
         "SELECT pod_file, minute_no, train_id, sp AS species_class, q AS quality_class, good AS species_good, rate AS rate_good, no_of_clicks, us AS span_us, ici AS min_ici_us FROM fp_train",
         "fp_train",
     ),
+    gaps=("min_ici_us",),
 )
 def g2(spark, sf):
     return fp_trains(spark, sf).select(
