@@ -15,7 +15,7 @@ import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
 
 SF = Path("/root/testdata/sf0.001")
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def con():
 
 
 def test_every_twin_has_a_query():
-    assert set(entry.oracle_sql()) <= set(NAMES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_names_carry_an_inventory_id():
