@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import mixing  # noqa: F401
+from clickloom.llm import block_naming, mixing, sharding  # noqa: F401
 from clickloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
