@@ -77,10 +77,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """Documents with ``text`` cut to the lines that stay, ``__line_n`` lines before and ``__line_dropped`` dropped."""
     spark = docs.sparkSession
     prepared = _prepared(docs)
-    lines = seen.slot_total(docs.select(F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")).alias("n")), "n")
-    slots = seen.slots_for(lines + 1, SLOTS_PER_LINE)
+    breaks = docs.agg(F.sum(F.regexp_count("text", F.lit("\n"))).alias("n"), F.count("*").alias("rows")).first()
+    slots = seen.slots_for((breaks["n"] or 0) + breaks["rows"], SLOTS_PER_LINE)
     own = prepared.select(F.array_distinct(F.filter("__line_hashes", lambda h: h.isNotNull())).alias("hashes"))
-    bitmap = seen.seen_twice(own, slots, HASHES)
+    bitmap = seen.bitmap(own, slots, HASHES)
     marked = prepared.withColumn("__line_suspects", _suspected(F.col("__line_hashes"), spark, bitmap, slots))
 
     free = marked.filter(F.size("__line_suspects") == 0)

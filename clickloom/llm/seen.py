@@ -8,17 +8,18 @@ merged as a stream: what is in memory is one segment and one row. The result is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 SEGMENT = 2**16
 MIN_SLOTS, MAX_SLOTS = 2**20, 2**31  # 128 KB and 256 MB of each bitmap
-FLUSH = 2**22  # hashes a task gathers before it sends their slots
+FLUSH = 2**21  # hashes a task gathers before it sends their slots
 
 Batches = Iterator[pa.RecordBatch]
+Arrays = Callable[[Batches], Iterator[np.ndarray]]
 
 
 def slots_for(expected: int, per_hash: int) -> int:
@@ -34,79 +35,87 @@ def slots_of(hashes: np.ndarray, slots: int, k: int) -> np.ndarray:
         return np.stack([((h ^ (h >> np.uint64(29))) + np.uint64(i) * step) & np.uint64(slots - 1) for i in range(k)])
 
 
-def hash_values(column: pa.Array) -> np.ndarray:
-    """All hashes of an array<long> column or its batch, nulls left out."""
-    return column.flatten().drop_null().to_numpy(zero_copy_only=False)
-
-
-def _sender(slots: int, k: int):
-    def send(found: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.sort(slots_of(np.concatenate(found), slots, k), axis=None)
-        first = np.concatenate([[True], every[1:] != every[:-1]])
-        unique, counts = every[first], np.diff(np.append(np.flatnonzero(first), len(every)))
-        segment = (unique // np.uint64(SEGMENT)).astype(np.int64)
-        places = (unique % np.uint64(SEGMENT)).astype(np.uint16)
-        again = counts > 1
-        ids, at = np.unique(segment, return_index=True)
-        ends = np.append(at[1:], len(segment))
-        return pa.RecordBatch.from_pydict(
-            {
-                "segment": ids.astype(np.int32),
-                "once": [places[a:b].tobytes() for a, b in zip(at, ends, strict=True)],
-                "twice": [places[a:b][again[a:b]].tobytes() for a, b in zip(at, ends, strict=True)],
-            },
-            schema=pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]),
-        )
-
+def hash_arrays(batches: Batches) -> Iterator[np.ndarray]:
+    """Hashes of an array<long> column, nulls left out, an array a batch."""
+    for batch in batches:
+        yield batch.column(0).flatten().drop_null().to_numpy(zero_copy_only=False)
+
+
+def _touched(found: list[np.ndarray], slots: int, k: int) -> pa.RecordBatch:
+    every = np.sort(slots_of(np.concatenate(found), slots, k), axis=None)
+    first = np.concatenate([[True], every[1:] != every[:-1]])
+    unique, counts = every[first], np.diff(np.append(np.flatnonzero(first), len(every)))
+    segment = (unique // np.uint64(SEGMENT)).astype(np.int32)
+    places = (unique % np.uint64(SEGMENT)).astype(np.uint16)
+    again = counts > 1
+    ids, at = np.unique(segment, return_index=True)
+    ends = np.append(at[1:], len(segment))
+    return pa.RecordBatch.from_pydict(
+        {
+            "segment": ids,
+            "once": [places[a:b].tobytes() for a, b in zip(at, ends, strict=True)],
+            "twice": [places[a:b][again[a:b]].tobytes() for a, b in zip(at, ends, strict=True)],
+        },
+        schema=pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]),
+    )
+
+
+def _sender(arrays: Arrays, slots: int, k: int):
     def run(batches: Batches) -> Batches:
         found, n = [], 0
-        for batch in batches:
-            values = hash_values(batch.column(0))
+        for values in arrays(batches):
             if len(values):
                 found.append(values)
                 n += len(values)
             if n >= FLUSH:
-                yield send(found)
+                yield _touched(found, slots, k)
                 found, n = [], 0
         if found:
-            yield send(found)
+            yield _touched(found, slots, k)
 
     return run
 
 
-def _merge(batches: Batches) -> Batches:
-    """Rows come sorted by segment."""
-    current, once, twice = None, None, None
+def _merger(times: int):
+    """Merge rows that come sorted by segment into the bitmap of the slots seen ``times`` times."""
 
-    def done() -> pa.RecordBatch:
-        bits = np.packbits(twice, bitorder="little").tobytes()
-        return pa.RecordBatch.from_pydict(
-            {"segment": [current], "bits": [bits]}, schema=pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
-        )
+    def run(batches: Batches) -> Batches:
+        current, once, twice = None, None, None
 
-    for batch in batches:
-        for segment, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if segment != current:
-                if current is not None and twice.any():
-                    yield done()
-                current, once, twice = segment, np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
-            a, b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
-            twice[b] = True
-            twice[a[once[a]]] = True
-            once[a] = True
-    if current is not None and twice.any():
-        yield done()
-
-
-def seen_twice(hashes: DataFrame, slots: int, k: int) -> bytes:
-    """Bitmap of the slots seen at least twice. ``hashes`` has one column array<long>, one row a document."""
-    sent = hashes.mapInArrow(_sender(slots, k), "segment int, once binary, twice binary")
-    merged = sent.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, "segment int, bits binary")
-    bitmap = bytearray(slots // 8)
+        def done() -> pa.RecordBatch:
+            bits = np.packbits(once if times == 1 else twice, bitorder="little").tobytes()
+            return pa.RecordBatch.from_pydict(
+                {"segment": [current], "bits": [bits]}, schema=pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
+            )
+
+        for batch in batches:
+            for segment, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != current:
+                    if current is not None:
+                        yield done()
+                    current, once, twice = segment, np.zeros(SEGMENT, bool), np.zeros(SEGMENT, bool)
+                a, b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+                twice[b] = True
+                twice[a[once[a]]] = True
+                once[a] = True
+        if current is not None:
+            yield done()
+
+    return run
+
+
+def bitmap(df: DataFrame, slots: int, k: int, times: int = 2, arrays: Arrays = hash_arrays) -> bytes:
+    """Bitmap of the slots seen at least ``times`` (1 or 2) times.
+
+    ``arrays`` makes hash arrays of the batches of ``df``; by default its first column is array<long>.
+    """
+    sent = df.mapInArrow(_sender(arrays, slots, k), "segment int, once binary, twice binary")
+    merged = sent.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merger(times), "segment int, bits binary")
+    bits = bytearray(slots // 8)
     for row in merged.toLocalIterator():
         at = row["segment"] * SEGMENT // 8
-        bitmap[at : at + SEGMENT // 8] = row["bits"]
-    return bytes(bitmap)
+        bits[at : at + SEGMENT // 8] = row["bits"]
+    return bytes(bits)
 
 
 def suspects(hashes: np.ndarray, bitmap: np.ndarray, slots: int, k: int) -> np.ndarray:
@@ -115,7 +124,3 @@ def suspects(hashes: np.ndarray, bitmap: np.ndarray, slots: int, k: int) -> np.n
     for row in slots_of(hashes, slots, k):
         hit &= (bitmap[(row >> np.uint64(3)).astype(np.int64)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 > 0
     return hit
-
-
-def slot_total(df: DataFrame, size: str) -> int:
-    return df.agg(F.sum(size).alias("n")).first()["n"] or 0
