@@ -49,6 +49,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         ).alias("at"),
         F.xxhash64(F.lit(1), text).alias("h1"),
         F.xxhash64(F.lit(2), F.col("doc_id")).alias("h2"),
+        F.lit(0).alias("node"),
     )
 
 
@@ -127,7 +128,7 @@ def shard(docs: DataFrame, target_bytes: int | None = None, shards: int | None =
         shards = max(1, math.ceil((total["b"] or 0) / target_bytes))
     if shards > MAX_SHARDS:
         raise ValueError(f"{shards} shards; this tree holds at most {MAX_SHARDS}, use larger targets")
-    nodes, held, spread = narrow.withColumn("node", F.lit(0)), {0: shards}, None
+    nodes, held, spread = narrow, {0: shards}, None
     while total["n"] and max(held.values()) > 1:
         cuts, spread = _level(nodes, held, spread)
         nodes = _children(nodes, cuts)
