@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickloom.llm import block_naming, bpe, jaccard, langid, licenses, line_dedup, mixing, sharding, vafile  # noqa: F401
+from clickloom.llm import block_naming, bpe, jaccard, langid, licenses, line_dedup, masked_lm, mixing, sharding, vafile  # noqa: F401
 from clickloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
