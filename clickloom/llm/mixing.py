@@ -78,11 +78,11 @@ def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, share=SHARE, cap=CA
 
 def _plan(target: Column, weighted_size: Column, cap: int) -> tuple[Column, Column]:
     """Certain copies of a document, and its rank for one copy more (null: no chance of one)."""
-    expected = F.coalesce(F.least(target * F.col("__mix.weight") / weighted_size, F.lit(float(cap))), F.lit(0.0))
+    expected = F.least(F.lit(float(cap)), F.coalesce(F.try_divide(target * F.col("__mix.weight"), weighted_size), F.lit(0.0)))
     whole = F.floor(expected)
     p = expected - whole
     u = F.col("__mix.u")
-    odds = (u / (F.lit(1.0) - u)) / (p / (F.lit(1.0) - p))
+    odds = F.try_divide(u / (F.lit(1.0) - u), p / (F.lit(1.0) - p))
     rank = F.struct(odds.alias("q"), F.col("__mix.id").alias("id"), F.col("__mix.tie").alias("tie"))
     return whole, F.when(p > 0, rank)
 
@@ -99,7 +99,7 @@ def cuts(docs: DataFrame, weights=SOURCE_WEIGHTS, share=SHARE, cap=CAP, weight:
     ranked = narrow.join(small(targets), F.col("__mix.source").eqNullSafe(F.col("source")))
     ranked = ranked.withColumn("__whole", whole).withColumn("__rank", rank)
     # With equal weights the key of a bucket is u itself, so buckets are even; it always grows with the rank.
-    mean = F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))
+    mean = F.least(F.coalesce(F.try_divide("target", F.col("source_size")), F.lit(0.0)), F.lit(float(cap)))
     frac = F.greatest(mean - F.floor(mean), F.lit(1e-9))
     scaled = F.col("__rank.q") * (frac / (F.lit(1.0) - frac))
     bucket = F.least(F.floor(scaled / (F.lit(1.0) + scaled) * BUCKETS), F.lit(BUCKETS - 1))
