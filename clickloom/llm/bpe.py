@@ -102,14 +102,14 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.withColumn(out, decoded(F.col(ids), path, pattern))
 
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode, decode, and return per document the number of ids and both digests."""
-    coded = decode(encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Encode, decode, and return per document the number of ids and both digests, after the columns to keep."""
+    coded = decode(encode(docs.select(*keep, "text"), path, pattern, "__ids"), path, pattern, "__ids", "__decoded")
     return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        *keep,
+        F.size("__ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("__ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("__decoded", 256).alias("decoded_sha256"),
     )
 
 

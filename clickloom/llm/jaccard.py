@@ -17,8 +17,9 @@ as a whole. Only members that both bounds leave open are compared, and only acro
 So a group of m near copies costs m comparisons, and no link between different texts is lost.
 
 Edge cases: null text or text without words has the empty set, links with nothing and is its own component; with
-fewer than ``WORDS`` words the whole sequence is one shingle; null ids count as an id after all others; repeated
-rows are copies of each other; an empty table gives an empty result. Only ``doc_id`` and ``text`` are read.
+fewer than ``WORDS`` words the whole sequence is one shingle; a component of null ids only has a null
+``component_id``; repeated rows are copies of each other; an empty table gives an empty result. Only ``doc_id`` and
+``text`` are read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.llm import seen
 from clickloom.llm.common import documents, register, write_and_read
@@ -314,6 +315,25 @@ def jaccard_components(docs: DataFrame, width: int = WORDS, percent: int = PERCE
     return Join(docs, width, percent).run()
 
 
+def representatives(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, the one with the smallest id, with its own columns.
+
+    Documents without words stay. Null ids come after all others; of rows with one id the one with the smaller hash of its
+    text is first; of rows equal in id and text one stays.
+    """
+    text = F.coalesce("text", F.lit(""))
+    keys = {"__none": F.col("doc_id").isNull(), "__key1": F.xxhash64(F.lit(1), text), "__key2": F.xxhash64(F.lit(2), text)}
+    keyed = docs.withColumns(keys)
+    row = F.struct("__none", "doc_id", "__key1", "__key2")
+    ids = jaccard_components(keyed.select(row.alias("doc_id"), "text"), width, percent)
+    stays = ids.filter(F.col("doc_id") == F.col("component_id")).select("doc_id.*").distinct()
+    stays = stays.select(F.col("doc_id").alias("__id"), F.col("__key1").alias("__k1"), F.col("__key2").alias("__k2"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key1") == F.col("__k1")) & (F.col("__key2") == F.col("__k2"))
+    kept = keyed.join(write_and_read(stays, "jaccard-stays"), same, "left_semi")
+    repeats = W.partitionBy("doc_id", "__key1", "__key2").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(repeats)).filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 @register("op3_set_relation_jaccard")
 def op3_set_relation_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))

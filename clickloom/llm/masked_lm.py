@@ -301,7 +301,7 @@ def score(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total)], ["doc_id", "n_tokens", "score"])
 
     scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_tokens long, score double")
-    return scored.withColumn("mean_score", F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens")))
+    return scored.withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:

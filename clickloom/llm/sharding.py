@@ -68,7 +68,7 @@ def _with_cuts(nodes: DataFrame, cuts: list[tuple]) -> DataFrame:
 
 
 def _bins() -> list[Column]:
-    scaled = (F.element_at("at", F.col("dim") + 1) - F.col("low")) / F.col("width") * BINS
+    scaled = F.try_divide(F.element_at("at", F.col("dim") + 1) - F.col("low"), F.col("width")) * BINS
     coordinate = F.when(F.col("width") > 0, F.least(F.floor(scaled), F.lit(BINS - 1))).otherwise(0).cast("int")
     return [coordinate, _top_bits(F.col("h1")), _top_bits(F.col("h2"))]
 
