@@ -30,9 +30,10 @@ def keep_passing(
         frequency = A.duration_khz(F.col("click_ipi"), F.col("b4").cast("int"), duration)
     passes = (F.col("real_peak") > above) & frequency.between(*khz)
     is_click = F.col("rec_type") <= L.LAST_FPOD_CLICK_TYPE
+    # Rows that report a range that cannot be read have no type and go on.
     return (
         A.with_real_amplitude(values, "click_raw", "click_ipi")
-        .filter((F.col("rec_type") == L.MARKER) | (is_click & passes))
+        .filter((F.col("rec_type") == L.MARKER) | (is_click & passes) | F.col("rec_type").isNull())
         .drop("click_ipi", "click_raw", "real_peak")
     )
 
@@ -47,10 +48,13 @@ def filtered_click_counts(records: DataFrame, by_duration: bool = False) -> Data
 
 
 def counts_by_split(records: DataFrame, by_duration: bool = False) -> DataFrame:
-    """Passing clicks per file split and marker of the split: one pass, reduced before any shuffle."""
+    """Passing clicks per file split and marker of the split: one pass, reduced before any shuffle.
+
+    Rows with ``error`` stay apart, so that rows and status come from the same table.
+    """
     return (
         keep_passing(records, by_duration)
-        .groupBy("pod_file", "split", "markers")
+        .groupBy("pod_file", "split", "markers", "error")
         .agg(F.count_if(F.col("rec_type") != L.MARKER).alias("nall"))
     )
 

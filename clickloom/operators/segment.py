@@ -135,20 +135,22 @@ def marker_counts(marks: DataFrame) -> DataFrame:
     return marks.groupBy(*FILE).agg(F.max("marker_no").alias("n_markers"))
 
 
-def tail_files(cp3_marks: DataFrame, cp1_marks: DataFrame) -> DataFrame:
-    """One row per CP3 or CP1 file with ``n_markers`` and ``has_tail``.
+def with_tail(cp3_marks: DataFrame, cp1_markers: DataFrame) -> DataFrame:
+    """One row per CP3 or CP1 file with ``n_markers`` and ``has_tail``; ``cp1_markers`` has pod_file and n_cp1.
 
     A CP3 file with fewer markers than its CP1 twin has one more minute, closed by its last record.
     Without a CP1 twin there is no tail.
     """
-    three = marker_counts(cp3_marks)
-    one = marker_counts(cp1_marks).withColumnRenamed("n_markers", "n_cp1")
     n = F.coalesce("n_markers", F.lit(0).cast("long"))
-    return three.join(one, FILE, "full_outer").select(
+    return marker_counts(cp3_marks).join(cp1_markers, FILE, "full_outer").select(
         "pod_file", n.alias("n_markers"), "n_cp1", F.coalesce(F.col("n_cp1") > n, F.lit(False)).alias("has_tail")
     )
 
 
+def tail_files(cp3_marks: DataFrame, cp1_marks: DataFrame) -> DataFrame:
+    return with_tail(cp3_marks, marker_counts(cp1_marks).withColumnRenamed("n_markers", "n_cp1"))
+
+
 def cpod_minute_rows(cp3_marks: DataFrame, files: DataFrame) -> DataFrame:
     """Minute rows of C-POD files: row k carries the attributes of marker k-1, row 1 none.
 

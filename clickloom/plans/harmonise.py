@@ -7,22 +7,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom import layout as L, spec as S
-from clickloom.functions import filenames as N, records as R
+from clickloom.functions import filenames as N
 from clickloom.operators import (
     deployments as P,
     detections as D,
     files as C,
     matching as M,
     noise as Z,
+    ranges as V,
     segment as G,
     trains as T,
 )
 from clickloom.plans import outputs as O
 from clickloom.session import at_once, write_and_read
-from clickloom.sources import files as I, records as Q
+from clickloom.sources import files as I, records as Q, trains as J
 
-BOUNDARY_TYPES = (L.MARKER, L.END_OF_FILE)
-CLICK_VALUES = {"cycles": "b4", "bandwidth": "b5", "frequency": "b6", "end_frequency": "b7", "nix": "b8"}
+# Bytes of a C-POD click in the array form.
+CLICK_BYTES = {"cycles": 4, "bandwidth": 5, "frequency": 6, "end_frequency": 7, "nix": 8}
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,14 @@ class Harmonised:
     status: DataFrame
 
 
+@dataclass(frozen=True)
+class Read:
+    """Rows of another kind (click trains, click counts) and the status of each file they come from."""
+
+    rows: DataFrame
+    status: DataFrame
+
+
 def of_kind(files: DataFrame, kind: str) -> DataFrame:
     return files.filter(N.extension(F.col("path")) == kind)
 
@@ -40,121 +49,118 @@ def of_kind(files: DataFrame, kind: str) -> DataFrame:
 NO_RAW_FILE = "no CP1 file: click totals and tail minute are missing"
 
 
-def _status(files: DataFrame, bad: DataFrame, raw: DataFrame | None = None) -> DataFrame:
-    """OK, PARTIAL (no raw file beside it) or FAILED for each train file."""
+def _status(files: DataFrame, bad: DataFrame, raw: DataFrame | None = None, bad_raw: DataFrame | None = None) -> DataFrame:
+    """OK, PARTIAL (no readable raw file beside it) or FAILED for each file."""
     rows = files.select("pod_file").join(bad, "pod_file", "left")
-    partial = F.lit(False)
+    missing = F.lit(None).cast("string")
     if raw is not None:
-        rows = rows.join(raw.select("pod_file", F.lit(True).alias("_raw")).distinct(), "pod_file", "left")
-        partial = F.col("_raw").isNull()
-    failed = F.col("error").isNotNull()
+        beside = raw.select("pod_file", F.lit(True).alias("_raw")).distinct()
+        rows = rows.join(beside, "pod_file", "left").join(bad_raw.withColumnRenamed("error", "_raw_error"), "pod_file", "left")
+        missing = F.when(F.col("_raw").isNull(), NO_RAW_FILE).otherwise(F.col("_raw_error"))
     return rows.select(
         "pod_file",
-        F.when(failed, "FAILED").when(partial, "PARTIAL").otherwise("OK").alias("status"),
-        F.when(failed, F.col("error")).when(partial, NO_RAW_FILE).alias("error"),
+        F.when(F.col("error").isNotNull(), "FAILED").when(missing.isNotNull(), "PARTIAL").otherwise("OK").alias("status"),
+        F.coalesce("error", missing).alias("error"),
     )
 
 
-def _cpod_clicks(three: DataFrame, bounds: DataFrame, ends: DataFrame, bytes_wanted: tuple[int, ...]) -> DataFrame:
-    """Clicks of CP3 files with minute, class byte and time: one pass over the records."""
-    rows = Q.without_errors(Q.read_records(three, "CP3", bytes_wanted))
-    cut = G.segment(rows, offsets=G.run_offsets(bounds, ends), stop_at_end=True)
-    time = R.click_time_us(F.col("b1"), F.col("b2"), F.col("b3"))
-    return G.cpod_clicks(cut).withColumn("time_us", time).withColumnRenamed("b37", "class_byte")
+@dataclass(frozen=True)
+class _Minutes:
+    """What one read of train files gives: parts by minute, minute rows, and the files that failed."""
+
+    parts: DataFrame
+    rows: DataFrame
+    bad: DataFrame
+    bad_raw: DataFrame | None = None
 
 
-def _cpod_parts(files: DataFrame):
-    """(CP3 files, minute rows with clock and switch flag, boundaries, ends, bad files)."""
+def _cpod_minutes(files: DataFrame, read) -> _Minutes:
+    """Minutes of C-POD files; ``read`` makes the written parts of the CP3 files."""
     three, one = of_kind(files, "CP3"), of_kind(files, "CP1")
-    read3, read1, headers = at_once(
-        lambda: write_and_read(Q.read_records(three, "CP3", (4, 5, 9), BOUNDARY_TYPES), "cp3-bounds"),
-        lambda: write_and_read(Q.read_records(one, "CP1", (), BOUNDARY_TYPES), "cp1-bounds"),
+    found, counts, headers = at_once(
+        lambda: write_and_read(read(three), "cp3-parts"),
+        lambda: write_and_read(J.read_click_counts(one), "cp1-counts"),
         lambda: write_and_read(Q.read_headers(three, "CP3"), "headers"),
     )
-    bad = write_and_read(Q.failures(read3, read1, headers), "failures")
-    bounds3, bounds1 = Q.without_errors(read3), Q.without_errors(read1)
-    marks = G.markers(G.segment(bounds3, stop_at_end=True))
-    tails = G.tail_files(marks, G.markers(G.segment(bounds1)))
+    bad = write_and_read(Q.failures(found, headers), "failures")
+    bad_raw = Q.failures(counts)
+    minutes = V.in_minutes(found, Q.file_ends(three, "CP3"))
+    marks = write_and_read(V.marks(minutes), "cp3-marks")
+    totals, raw_markers = V.click_totals(counts.join(bad_raw, "pod_file", "left_anti"))
     known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time", "tilt_min", "tilt_max")
-    per_file = tails.join(known, "pod_file").join(bad, "pod_file", "left_anti").drop("n_cp1")
+    per_file = G.with_tail(marks, raw_markers).join(known, "pod_file").join(bad, "pod_file", "left_anti").drop("n_cp1")
     rows = G.with_minute_on(G.with_clock(G.cpod_minute_rows(marks, per_file)))
-    rows = G.with_nall(rows, G.cp1_click_totals(bounds1, Q.file_ends(one, "CP1")))
-    return three, rows, bounds3, Q.file_ends(three, "CP3"), bad
+    return _Minutes(minutes, G.with_nall(rows, totals), bad, bad_raw)
 
 
-def cpod_trains(files: DataFrame) -> DataFrame:
-    """Click trains of C-POD files with their clicks as arrays."""
-    three, rows, bounds, ends, _ = _cpod_parts(files)
-    clicks = _cpod_clicks(three, bounds, ends, (1, 2, 3, 4, 5, 6, 7, 8, 37)).withColumnsRenamed(
-        {b: name for name, b in CLICK_VALUES.items()}
+def _fpod_minutes(three: DataFrame, read) -> _Minutes:
+    found, headers = at_once(
+        lambda: write_and_read(read(three), "fp3-parts"),
+        lambda: write_and_read(Q.read_headers(three, "FP3"), "headers"),
     )
-    return _trains(clicks, rows, ["time_us", *CLICK_VALUES], "CP")
+    bad = write_and_read(Q.failures(found, headers), "failures")
+    minutes = V.in_minutes(found)
+    known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time")
+    rows = G.fpod_minute_rows(V.marks(minutes)).join(known, "pod_file").join(bad, "pod_file", "left_anti")
+    return _Minutes(minutes, G.with_clock(rows), bad)
 
 
-def _trains(clicks: DataFrame, rows: DataFrame, values: list[str], family: str) -> DataFrame:
-    arrays = T.with_class(T.click_arrays(clicks, values), family)
-    return arrays.join(rows.select(*G.MINUTE, "minute_start"), G.MINUTE).drop("class_byte")
+def _trains(minutes: _Minutes, family: str, values: dict[str, str]) -> DataFrame:
+    whole, shared = V.click_rows(minutes.parts, family, values)
+    arrays = T.with_class(V.click_arrays(whole, shared, ["time_us", *values]), family)
+    return arrays.join(minutes.rows.select(*G.MINUTE, "minute_start"), G.MINUTE).drop("class_byte")
 
 
-def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
-    """Detection rows of C-POD files. ``files`` has pod_file, path, bytes; a CP1 and CP3 pair shares its own pod_file.
+def _single(rows: DataFrame) -> DataFrame:
+    """Read rows as they are, in the form of parts."""
+    return rows.withColumn("single", F.when(F.col("what") != J.CLICK, F.col("rec_no")))
 
-    Without a readable CP1 twin the click total is NULL and there is no tail minute; an unreadable
-    file is left out and reported.
-    """
-    three, rows, bounds, ends, bad = _cpod_parts(files)
-    clicks = _cpod_clicks(three, bounds, ends, (1, 2, 3, 37))
-    counts = T.minute_counts(T.with_class(T.train_facts(clicks), "CP"), buzz_us=buzz_us)
-    return Harmonised(D.output_rows(D.fill_empty_minutes(rows, counts)), _status(three, bad, of_kind(files, "CP1")))
 
+def cpod_trains(files: DataFrame) -> Read:
+    """Click trains of C-POD files with their clicks as arrays, and the status of the files."""
+    minutes = _cpod_minutes(files, lambda three: _single(J.read_trains(three, "CP3", tuple(CLICK_BYTES.values()))))
+    trains = _trains(minutes, "CP", {name: f"v{b}" for name, b in CLICK_BYTES.items()})
+    return Read(trains, _status(of_kind(files, "CP3"), minutes.bad, of_kind(files, "CP1"), minutes.bad_raw))
 
-def _fpod_segments(files: DataFrame) -> DataFrame:
-    rows = Q.read_records(files, "FP3", (1, 2, 3, 4, 8, 9, 10, 15, 16))
-    time = R.click_time_us(F.col("b1"), F.col("b2"), F.col("b3"))
-    return G.segment(Q.without_errors(rows).withColumn("time_us", time), G.fpod_counters())
 
+def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
+    """Detection rows of C-POD files. ``files`` has pod_file, path, bytes; a CP1 and CP3 pair shares its own pod_file.
 
-def _fpod_rows(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(minute rows with clock, bad files)."""
-    read, headers = at_once(
-        lambda: write_and_read(Q.read_records(files, "FP3", (4, 8, 9, 10), (L.MARKER,)), "fp3-markers"),
-        lambda: write_and_read(Q.read_headers(files, "FP3"), "headers"),
-    )
-    bad = write_and_read(Q.failures(read, headers), "failures")
-    marks = G.markers(G.segment(Q.without_errors(read)))
-    known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time")
-    rows = G.fpod_minute_rows(marks).join(known, "pod_file").join(bad, "pod_file", "left_anti")
-    return G.with_clock(rows), bad
+    Without a readable CP1 twin the click total is NULL and there is no tail minute; a CP3 file that cannot be
+    read is left out. Both are reported. Rows and status come from the same written read.
+    """
+    minutes = _cpod_minutes(files, lambda three: V.parts(J.read_trains(three, "CP3")))
+    counts = T.minute_counts(T.with_class(V.train_facts(minutes.parts, "CP"), "CP"), buzz_us=buzz_us)
+    status = _status(of_kind(files, "CP3"), minutes.bad, of_kind(files, "CP1"), minutes.bad_raw)
+    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), status)
 
 
-def fpod_trains(files: DataFrame) -> DataFrame:
-    """Click trains of F-POD files with their click times as arrays."""
+def fpod_trains(files: DataFrame) -> Read:
+    """Click trains of F-POD files with their click times as arrays, and the status of the files."""
     three = of_kind(files, "FP3")
-    rows, _ = _fpod_rows(three)
-    clicks = G.zip_by_position(_fpod_segments(three))
-    return _trains(clicks, rows, ["time_us"], "FP")
+    minutes = _fpod_minutes(three, lambda found: _single(J.read_trains(found, "FP3")))
+    return Read(_trains(minutes, "FP", {}), _status(three, minutes.bad))
 
 
 def harmonise_fpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
     """Detection rows of F-POD files. FP1 files are not read."""
     three = of_kind(files, "FP3")
-    rows, bad = _fpod_rows(three)
-    clicks = G.zip_by_position(_fpod_segments(three))
-    counts = T.minute_counts(
-        T.with_class(T.train_facts(clicks), "FP"), need_species_good=True, buzz_us=buzz_us
-    )
-    return Harmonised(D.output_rows(D.fill_empty_minutes(rows, counts)), _status(three, bad))
+    minutes = _fpod_minutes(three, lambda found: V.parts(J.read_trains(found, "FP3")))
+    facts = T.with_class(V.train_facts(minutes.parts, "FP"), "FP")
+    counts = T.minute_counts(facts, need_species_good=True, buzz_us=buzz_us)
+    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), _status(three, minutes.bad))
 
 
-def filtered_click_counts(files: DataFrame, by_duration: bool = False) -> DataFrame:
+def filtered_click_counts(files: DataFrame, by_duration: bool = False) -> Read:
     """Clicks per minute of FP1 files within the amplitude and frequency limits: one pass, no shuffle of records."""
     one = of_kind(files, "FP1")
-    known = Q.read_headers(one, "FP1").filter(F.col("error").isNull()).select("pod_file", "has_extended_amps")
-    rows = Q.read_records(
-        one.join(known, "pod_file"), "FP1", (4, 7, 11, 14, 15), carry=("has_extended_amps",), markers=True
-    )
-    counts = write_and_read(Z.counts_by_split(Q.without_errors(rows), by_duration), "fp1-counts")
-    return Z.counts_by_minute(counts)
+    headers = write_and_read(Q.read_headers(one, "FP1"), "headers")
+    known = headers.filter(F.col("error").isNull()).select("pod_file", "has_extended_amps")
+    rows = Q.read_records(one.join(known, "pod_file"), "FP1", (4, 7, 11, 14, 15), carry=("has_extended_amps",), markers=True)
+    counts = write_and_read(Z.counts_by_split(rows, by_duration), "fp1-counts")
+    bad = write_and_read(Q.failures(counts, headers), "failures")
+    whole = counts.filter(F.col("error").isNull()).drop("error").join(bad, "pod_file", "left_anti")
+    return Read(Z.counts_by_minute(whole), _status(one, bad))
 
 
 def harmonise(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:

@@ -1,8 +1,12 @@
 """Fixed-width detector files as Spark rows.
 
-Files are cut into ranges of whole records; each range is one input row of a distributed read, so a
-file of any length is read by many tasks and the file list never passes through the driver.
-A range that cannot be read yields one row with ``error`` set and no record.
+Files are cut into ranges of whole records; each range is one input row of a distributed read, so a file of any length
+is read by many tasks. (Listing the files, in ``sources.files``, goes through the driver as Spark's file index does.)
+
+A file that is gone, or shorter than listed or than its header, stays so however often it is read: its range yields a
+row with ``error`` set. Every other failure (time-outs, permissions, broken connections) rises, so that Spark
+tries the task again and a passing fault never becomes a lost file. File systems that are not known stop a read
+before it starts.
 """
 
 from __future__ import annotations
@@ -21,8 +25,12 @@ from clickloom.layout import LAYOUTS, MARKER, Layout
 
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 4 << 20
-# Tasks for one read; beyond it a task takes several ranges.
+# Tasks for one read; beyond it a task takes several ranges. 50,000 ranges are 6 TB.
 MAX_TASKS = 50_000
+
+
+class Quarantine(Exception):
+    """A file that can never be read whole."""
 HEADERS_PER_TASK = 64
 
 
@@ -53,10 +61,23 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
 
 def _open(path: str):
     system, inner = filesystem(path)
-    return system.open_input_file(inner)
+    try:
+        return system.open_input_file(inner)
+    except FileNotFoundError as error:
+        raise Quarantine(f"FileNotFoundError: {error}") from error
+
+
+# Schemes that Arrow reads, with the names Hadoop has for them.
+KNOWN_SCHEMES = {"", "file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss", "mock", *ARROW_SCHEMES}
 
 
-def _blocks(path: str, layout: Layout, first: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
+def check_schemes(schemes: list[str]) -> None:
+    unknown = sorted(set(schemes) - KNOWN_SCHEMES)
+    if unknown:
+        raise ValueError(f"files of these file systems cannot be read: {', '.join(unknown)}")
+
+
+def record_blocks(path: str, layout: Layout, first: int, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """Records ``first`` (0-based) to ``first + n`` in blocks, with the 1-based number of the first one."""
     step = max(1, BLOCK_BYTES // layout.record_bytes)
     with _open(path) as source:
@@ -65,10 +86,42 @@ def _blocks(path: str, layout: Layout, first: int, n: int) -> Iterator[tuple[int
             source.seek(layout.header_bytes + at * layout.record_bytes)
             data = source.read(want * layout.record_bytes)
             if len(data) < want * layout.record_bytes:
-                raise OSError(f"file ends inside record {at + len(data) // layout.record_bytes + 1}")
+                raise Quarantine(f"OSError: file ends inside record {at + len(data) // layout.record_bytes + 1}")
             yield at + 1, np.frombuffer(data, np.uint8).reshape(want, layout.record_bytes)
 
 
+def failure(schema: pa.Schema, name: str, error: Exception) -> pa.RecordBatch:
+    """The row of a quarantined range."""
+    values = {"pod_file": name, "error": str(error)}
+    return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+
+
+def ranges(files: DataFrame, layout: Layout, split_bytes: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Ranges of whole records: pod_file, path, no, first, n. A file without records keeps one empty range."""
+    per_split = max(1, split_bytes // layout.record_bytes)
+    total = record_count(F.col("bytes"), layout)
+    cut = files.select("pod_file", *carry, "path", total.alias("total"))
+    last = F.greatest(F.floor((F.col("total") - 1) / per_split), F.lit(0).cast("long"))
+    return cut.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "pod_file",
+        *carry,
+        "path",
+        "no",
+        (F.col("no") * per_split).alias("first"),
+        F.least(F.lit(per_split), F.col("total") - F.col("no") * per_split).cast("long").alias("n"),
+    )
+
+
+def spread(splits: DataFrame, max_tasks: int | None = None) -> DataFrame:
+    """One range a task, as far as ``max_tasks`` goes; file systems that cannot be read stop here."""
+    scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    found = splits.agg(F.count("*").alias("n"), F.collect_set(F.lower(scheme)).alias("schemes")).first()
+    check_schemes(found["schemes"])
+    tasks = max(1, min(found["n"], max_tasks or MAX_TASKS))
+    # Ranges sort evenly; dealing them round and round from several partitions would give some tasks two.
+    return splits.repartitionByRange(tasks, "pod_file", "path", "no") if tasks > 1 else splits.coalesce(1)
+
+
 def _arrow_reader(kind: str, bytes_wanted: tuple[int, ...], types: tuple[int, ...] | None, carried: pa.Schema, markers: bool):
     layout = LAYOUTS[kind]
     fields = [pa.field("pod_file", pa.string()), *carried, pa.field("rec_no", pa.int64()), pa.field("rec_type", pa.int32())]
@@ -90,21 +143,17 @@ def _arrow_reader(kind: str, bytes_wanted: tuple[int, ...], types: tuple[int, ..
             columns += [pa.repeat(pa.scalar(split["no"], pa.int64()), len(at)), pa.array(marked[at])]
         return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(at), pa.string())], schema=schema)
 
-    def failed(name: str, error: Exception) -> pa.RecordBatch:
-        values = [[name]] + [[None]] * (len(schema) - 2) + [[f"{type(error).__name__}: {error}"]]
-        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for split in batch.to_pylist():
                 seen = 0
                 try:
-                    for start, block in _blocks(split["path"], layout, split["first"], split["n"]):
+                    for start, block in record_blocks(split["path"], layout, split["first"], split["n"]):
                         marked = seen + np.cumsum(block[:, layout.type_byte - 1] == MARKER, dtype=np.int64)
                         seen = int(marked[-1])
                         yield rows(split, start, block, marked)
-                except (OSError, ValueError) as error:
-                    yield failed(split["pod_file"], error)
+                except Quarantine as error:
+                    yield failure(schema, split["pod_file"], error)
 
     return read
 
@@ -125,27 +174,13 @@ def read_records(
     ``carry`` names columns of ``files`` to repeat on every record, which saves a join of all records
     by file. ``markers`` adds the number of the ``split`` and the ``markers`` in it up to the record.
     """
-    layout = LAYOUTS[kind]
-    per_split = max(1, split_bytes // layout.record_bytes)
-    total = record_count(F.col("bytes"), layout)
-    cut = files.select("pod_file", *carry, "path", total.alias("total"))
-    # A file without records keeps one empty range, so that a broken one still reports.
-    last = F.greatest(F.floor((F.col("total") - 1) / per_split), F.lit(0).cast("long"))
-    splits = cut.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
-        "pod_file",
-        *carry,
-        "path",
-        "no",
-        (F.col("no") * per_split).alias("first"),
-        F.least(F.lit(per_split), F.col("total") - F.col("no") * per_split).cast("long").alias("n"),
-    )
-    n = splits.count()
     kept = files.select(*carry)
     columns = ["pod_file string", *[f"{c} {t}" for c, t in kept.dtypes], "rec_no long", "rec_type int"]
     columns += [f"b{i} int" for i in bytes_wanted]
     columns += ["split long", "markers long"] if markers else []
     reader = _arrow_reader(kind, bytes_wanted, types, to_arrow_schema(kept.schema), markers)
-    return splits.repartition(max(1, min(n, MAX_TASKS))).mapInArrow(reader, ", ".join([*columns, "error string"]))
+    splits = ranges(files, LAYOUTS[kind], split_bytes, carry)
+    return spread(splits).mapInArrow(reader, ", ".join([*columns, "error string"]))
 
 
 def read_headers(files: DataFrame, kind: str) -> DataFrame:
@@ -162,11 +197,14 @@ def read_headers(files: DataFrame, kind: str) -> DataFrame:
                         header = source.read(size)
                     short = None if len(header) == size else "OSError: file is shorter than its header"
                     out.append((row["pod_file"], None if short else header, short))
-                except (OSError, ValueError) as error:
-                    out.append((row["pod_file"], None, f"{type(error).__name__}: {error}"))
+                except Quarantine as error:
+                    out.append((row["pod_file"], None, str(error)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    tasks = max(1, min(files.count() // HEADERS_PER_TASK, MAX_TASKS))
+    scheme = F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    found = files.agg(F.count("*").alias("n"), F.collect_set(F.lower(scheme)).alias("schemes")).first()
+    check_schemes(found["schemes"])
+    tasks = max(1, min(found["n"] // HEADERS_PER_TASK, MAX_TASKS))
     raw = files.select("pod_file", "path").repartition(tasks).mapInArrow(read, "pod_file string, header binary, error string")
     return raw.select("pod_file", *[v.alias(k) for k, v in R.header_facts(F.col("header")).items()], "error")
 

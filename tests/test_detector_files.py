@@ -12,7 +12,7 @@ from conftest import rows
 
 from clickloom.operators import detections as D
 from clickloom.plans import harmonise as H
-from clickloom.sources import files as I, records as Q
+from clickloom.sources import files as I, records as Q, trains as J
 
 START = dt.datetime(2024, 5, 1, 10, 0)
 START_MINUTE = int((START - dt.datetime(1899, 12, 30)).total_seconds() // 60)
@@ -142,7 +142,7 @@ def random_cpod(seed):
 
 @pytest.mark.parametrize("split", [120, 1 << 20])
 def test_cpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
-    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split, (), False))
+    monkeypatch.setattr(J, "SPLIT_BYTES", split)
     pairs = {}
     for seed in range(4):
         pairs[f"R{seed} 2024 05 01 POD{seed} file01"] = random_cpod(seed)
@@ -173,7 +173,7 @@ def test_cpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
 
 @pytest.mark.parametrize("split", [48, 1 << 20])
 def test_fpod_files_match_a_plain_walk(spark, tmp_path, monkeypatch, split):
-    monkeypatch.setattr(Q.read_records, "__defaults__", ((), None, split, (), False))
+    monkeypatch.setattr(J, "SPLIT_BYTES", split)
     want = []
     for seed in range(4):
         random.seed(seed)
@@ -251,7 +251,7 @@ def test_trains_from_files(spark, tmp_path):
     clicks = [cp_click(100, 2, 3), cp_click(40, 2, 1), cp_click(7, 1, 2)]
     write(tmp_path, "x.CP3", 760, [cp_minute(), *clicks, cp_minute()])
     write(tmp_path, "x.CP1", 360, [CP1_MINUTE, CP1_MINUTE])
-    got = H.cpod_trains(listing(spark, tmp_path))
+    got = H.cpod_trains(listing(spark, tmp_path)).rows
     assert rows(got, "train_id", "no_of_clicks", "quality", "time_us", "ici_us", "nix", "minute_start") == [
         (1, 1, "Medium", [35], [], [77], START + dt.timedelta(minutes=1)),
         (2, 2, "High", [500, 200], [-300], [77, 77], START + dt.timedelta(minutes=1)),
@@ -269,5 +269,5 @@ def test_filtered_click_counts(spark, tmp_path, monkeypatch, split):
     # Real amplitudes with version 900: 5 -> 10 (too low), 6 -> 12; 4000/10 = 400 kHz and 4000/210 = 19 kHz are out.
     parts = [click(90, 40), minute, click(5, 40), click(6, 40), click(90, 10), click(90, 210), minute, minute, click(250, 100)]
     write(tmp_path, "x.FP1", 1024, parts)
-    got = H.filtered_click_counts(listing(spark, tmp_path))
+    got = H.filtered_click_counts(listing(spark, tmp_path)).rows
     assert rows(got, "minute_no", "nall") == [(1, 1), (2, 0), (3, 1)]

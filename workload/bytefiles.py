@@ -271,12 +271,12 @@ def train_rows(trains: DataFrame) -> DataFrame:
 
 @query("r4_cpod_trains_from_files", views(TRAINS_SQL.format(train="cp_train", clicks="cp_clicks"), "cp_train"))
 def r4_cpod(spark, sf):
-    return train_rows(H.cpod_trains(to_read(spark, sf)))
+    return train_rows(H.cpod_trains(to_read(spark, sf)).rows)
 
 
 @query("r4_fpod_trains_from_files", views(TRAINS_SQL.format(train="fp_train", clicks="fp_zip"), "fp_train"))
 def r4_fpod(spark, sf):
-    return train_rows(H.fpod_trains(to_read(spark, sf)))
+    return train_rows(H.fpod_trains(to_read(spark, sf)).rows)
 
 
 @query(
@@ -290,7 +290,7 @@ def r4_fpod(spark, sf):
     ),
 )
 def c10_files(spark, sf):
-    return H.filtered_click_counts(to_read(spark, sf))
+    return H.filtered_click_counts(to_read(spark, sf)).rows
 
 
 # ---- text sources
