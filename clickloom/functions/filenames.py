@@ -44,6 +44,12 @@ def is_train_file(name: Column) -> Column:
     return F.lower(name).rlike(r"\.[cf]p3$")
 
 
+def family(name: Column) -> Column:
+    """CP or FP by the extension, else empty."""
+    ext = extension(name)
+    return F.when(ext.startswith("CP"), "CP").when(ext.startswith("FP"), "FP").otherwise("")
+
+
 def pod_type(name: Column) -> Column:
     return F.when(extension(name) == "CP3", "C-POD").when(extension(name) == "FP3", "F-POD")
 

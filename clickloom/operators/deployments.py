@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom import spec as S
 from clickloom.functions import text as T
+from clickloom.session import new_folder
 
 
 class MetadataError(ValueError):
@@ -181,13 +182,33 @@ def with_numeric_coordinates(df: DataFrame, roles: dict[str, str] = S.ROLES) ->
     return df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in pair})
 
 
-def _raise_on(found: DataFrame, shown: int = 1000) -> None:
-    """Raise with the first messages; a report of any length stays readable and bounded."""
-    lines = [r.message for r in found.orderBy("row_no", "check_id", "column_name").limit(shown + 1).collect()]
-    if len(lines) > shown:
-        lines[shown:] = ["... more in the violations table"]
-    if lines:
-        raise MetadataError("\n".join(dict.fromkeys(lines)))
+# Messages of one check and column that the exception repeats; the written table has them all.
+SHOWN = 1000
+
+
+def raise_on(found: DataFrame) -> None:
+    """Write the violations and raise with their messages, equal ones once.
+
+    Every check and column that fails is named. Where one has more than ``SHOWN`` messages the rest is counted, and
+    the exception names the written table (also as ``path``).
+    """
+    folder = new_folder(found.sparkSession, "violations", kept=True)
+    found.write.parquet(folder)
+    table = found.sparkSession.read.schema(found.schema).parquet(folder)
+    messages = table.groupBy("check_id", "column_name", "message").agg(F.min("row_no").alias("row_no"))
+    order = W.partitionBy("check_id", "column_name").orderBy("row_no", "message")
+    ranked = messages.withColumn("_n", F.row_number().over(order))
+    shown = ranked.filter(F.col("_n") <= SHOWN).orderBy("row_no", "check_id", "column_name").collect()
+    if not shown:
+        return
+    totals = messages.groupBy("check_id", "column_name").count().filter(F.col("count") > SHOWN)
+    lines = list(dict.fromkeys(r.message for r in shown))
+    more = [f"{r['count'] - SHOWN} more of {r.check_id} {r.column_name}" for r in totals.orderBy("check_id", "column_name").collect()]
+    if more:
+        lines.append(f"... {', '.join(more)}; all in {folder}")
+    error = MetadataError("\n".join(lines))
+    error.path = folder
+    raise error
 
 
 def check_columns(df: DataFrame) -> list[str]:
@@ -219,5 +240,5 @@ def prepare_deployments(sheet: DataFrame, project: str | None = None, strict: bo
     if project is not None:
         ordered = of_project(ordered, project, strict)
     if strict:
-        _raise_on(violations(ordered))
+        raise_on(violations(ordered))
     return with_numeric_coordinates(ordered)

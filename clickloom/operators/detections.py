@@ -84,11 +84,13 @@ def output_rows(minutes: DataFrame) -> DataFrame:
 def relabel(detections: DataFrame, files: DataFrame) -> DataFrame:
     """Keep the file name as ``PODfile``, put the deployment id into ``filename``.
 
-    ``files`` has one row per file name (without extension): pod_file, deployment_id, deploy, valid_until.
+    ``files`` has one row per file name (without extension): pod_file, deployment_id, deploy, valid_until. A
+    ``family`` on both sides tells files of equal name apart.
     """
+    keys = ["PODfile", *(["family"] if "family" in detections.columns and "family" in files.columns else [])]
     return (
         detections.withColumnRenamed("filename", "PODfile")
-        .join(files.withColumnRenamed("pod_file", "PODfile"), "PODfile")
+        .join(files.withColumnRenamed("pod_file", "PODfile"), keys)
         .withColumnRenamed("deployment_id", "filename")
     )
 

@@ -15,6 +15,8 @@ from clickloom.functions import filenames as N, text as T
 from clickloom.operators.ordering import first_row, number_in_groups
 
 LIST_FILES = 10_000
+# Receiver numbers that may be sent to every task: a few MB.
+MAX_BROADCAST = 100_000
 
 MANUFACTURER = "CHELONIA"
 STATUS = "Active"
@@ -91,6 +93,12 @@ def match_index(
         F.to_date("DEPLOY_DATE_TIME").alias("deploy"),
         F.to_date("VALID_DATA_UNTIL_DATE_TIME").alias("end"),
     ).filter("serial IS NOT NULL AND activation IS NOT NULL AND deploy IS NOT NULL AND end IS NOT NULL")
+    if mode == "contains":
+        # Most starts of a serial belong to no receiver: they go before anything is shuffled.
+        serials = spans.select("serial").distinct()
+        if serials.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+            serials = F.broadcast(serials)
+        named = named.join(serials, "serial", "left_semi")
     # Days beyond the files of a serial cannot match; an end date far off adds no rows.
     known = named.groupBy("serial").agg(F.min("day").alias("_from"), F.max("day").alias("_to"))
     first = F.greatest(F.least("activation", "deploy"), F.col("_from"))
@@ -110,6 +118,12 @@ def match_pairs(index: MatchIndex) -> DataFrame:
     return index.files.join(index.covered, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
 
 
+def matched_files(index: MatchIndex, deployments: DataFrame) -> DataFrame:
+    """Which file belongs to which deployment: DeploymentID, FileName, and ``row_no`` and ``sel_no`` for their order."""
+    ids = deployments.select("row_no", "DeploymentID")
+    return match_pairs(index).join(ids, "row_no").select("DeploymentID", F.col("name_ext").alias("FileName"), "row_no", "sel_no")
+
+
 def annotate(deployments: DataFrame, index: MatchIndex) -> DataFrame:
     """Deployments with MatchCount, PodType (of the last file), RowType and DeploymentID."""
     per_day = index.files.groupBy("serial", "day").agg(
@@ -219,9 +233,9 @@ def receivers(matched: DataFrame) -> DataFrame:
     )
 
 
-def detection_spans(detections: DataFrame) -> DataFrame:
+def detection_spans(detections: DataFrame, keys: tuple[str, ...] = ("PODfile",)) -> DataFrame:
     """First and last detection time of each file and the seconds between."""
-    spans = detections.groupBy("PODfile").agg(
+    spans = detections.groupBy(*keys).agg(
         F.min("DETECTION_DATE_TIME").alias("first_time"), F.max("DETECTION_DATE_TIME").alias("last_time")
     )
     return spans.withColumn("span_seconds", T.seconds_between(F.col("first_time"), F.col("last_time")))
@@ -232,18 +246,20 @@ def file_overview(
 ) -> DataFrame:
     """Match, deployment length, detection span and status of each selected file.
 
-    ``spans`` has PODfile and span_seconds, ``status`` has pod_file and status.
+    ``spans`` has PODfile and span_seconds, ``status`` has pod_file and status. Where both have ``family`` too, files
+    of equal name and different family are told apart.
     """
+    family = ["family"] if "family" in spans.columns and "family" in status.columns else []
     days = T.seconds_between(F.col("DEPLOY_DATE_TIME"), F.col("VALID_DATA_UNTIL_DATE_TIME"))
     lengths = deployments.select("row_no", T.format_duration(days).alias("_length"))
     owners = first_deployment(index).join(lengths, "row_no").select("lower_name", "_length")
-    span = spans.select(F.col("PODfile").alias("Filename"), T.format_duration(F.col("span_seconds")).alias("_span"))
-    state = status.select(F.col("pod_file").alias("Filename"), F.col("status").alias("_status"))
+    span = spans.select(*family, F.col("PODfile").alias("Filename"), T.format_duration(F.col("span_seconds")).alias("_span"))
+    state = status.select(*family, F.col("pod_file").alias("Filename"), F.col("status").alias("_status"))
     return (
-        selected.select("sel_no", N.stem(F.col("name_ext")).alias("Filename"), lower_name())
+        selected.select("sel_no", N.stem(F.col("name_ext")).alias("Filename"), N.family(F.col("name_ext")).alias("family"), lower_name())
         .join(owners, "lower_name", "left")
-        .join(span, "Filename", "left")
-        .join(state, "Filename", "left")
+        .join(span, ["Filename", *family], "left")
+        .join(state, ["Filename", *family], "left")
         .select(
             "sel_no",
             "Filename",

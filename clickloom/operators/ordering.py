@@ -51,10 +51,29 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str = "re
     return _from_placed(placed, keys, out)
 
 
-def number_as_read(df: DataFrame, out: str = "row_no") -> DataFrame:
-    """Number rows from 1 in the order of the files they are read from."""
-    placed = write_and_read(df.withColumn("_at", F.monotonically_increasing_id()), "read")
-    return _from_placed(placed, [], out)
+def number_as_read(df: DataFrame, columns: list[str], out: str = "row_no") -> DataFrame:
+    """Number rows from 1 by path, place in the file, and order of reading.
+
+    Spark deals parts of files to partitions by their size, so partitions do not follow the order of files. Rows of one
+    part are read in order; the parts are ordered by path and start. ``df`` is a file source; the table of parts has
+    one row for each.
+    """
+    part = ["_path", "_start"]
+    placed = df.select(
+        *[F.col(f"`{c}`") for c in columns],
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    placed = write_and_read(placed, "read")
+    starts = placed.groupBy(*part).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(W.orderBy(*part).rowsBetween(W.unboundedPreceding, -1))
+    starts = starts.select(*part, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return (
+        placed.join(starts, part)
+        .withColumn(out, F.col("_at") - F.col("_first") + F.col("_before") + 1)
+        .drop("_at", "_first", "_before", *part)
+    )
 
 
 def number_in_groups(

@@ -19,7 +19,7 @@ from clickloom.operators import (
     trains as T,
 )
 from clickloom.plans import outputs as O
-from clickloom.session import at_once, write_and_read
+from clickloom.session import at_once, scratch, write_and_read
 from clickloom.sources import files as I, records as Q, trains as J
 
 # Bytes of a C-POD click in the array form.
@@ -164,17 +164,20 @@ def filtered_click_counts(files: DataFrame, by_duration: bool = False) -> Read:
 
 
 def harmonise(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
-    """Detection rows of all files, both families."""
+    """Detection rows of all files, both families; rows and status have ``family`` (CP or FP)."""
     c, f = at_once(lambda: harmonise_cpod(files, buzz_us), lambda: harmonise_fpod(files, buzz_us))
-    return Harmonised(c.detections.unionByName(f.detections), c.status.unionByName(f.status))
+    tagged = [[t.withColumn("family", F.lit(k)) for t in (h.detections, h.status)] for h, k in ((c, "CP"), (f, "FP"))]
+    return Harmonised(*[one.unionByName(two) for one, two in zip(*tagged)])
 
 
 def files_to_read(selected: DataFrame, files: DataFrame) -> DataFrame:
     """Train files of a process list and the raw files beside them: pod_file, path, bytes."""
-    beside = F.lower(N.variant_stem(F.col("path")))
-    wanted = selected.select(N.stem(F.col("name_ext")).alias("pod_file"), beside.alias("_beside")).distinct()
-    found = files.select("path", "bytes", beside.alias("_beside"))
-    return found.join(wanted, "_beside").drop("_beside")
+    beside, family = F.lower(N.variant_stem(F.col("path"))), N.family(F.col("path"))
+    wanted = selected.select(
+        N.stem(F.col("name_ext")).alias("pod_file"), beside.alias("_beside"), family.alias("_family")
+    ).distinct()
+    found = files.select("path", "bytes", beside.alias("_beside"), family.alias("_family"))
+    return found.join(wanted, ["_beside", "_family"]).drop("_beside", "_family")
 
 
 def run(
@@ -189,32 +192,41 @@ def run(
 ) -> dict[str, DataFrame]:
     """Read everything under ``root``, match it to the sheet and write all output tables under ``out``.
 
-    Returns the tables as written.
+    Returns the tables as written. Intermediate tables of the run lie in one folder, which is removed at the end.
     """
+    with scratch(spark, "run"):
+        return _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt)
+
+
+def _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt) -> dict[str, DataFrame]:
     files = I.list_pod_files(spark, root)
     kept, rejected = C.dedup_files(files)
     kept = write_and_read(kept, "kept-files")
     sheet = P.prepare_deployments(I.read_sheet(spark, sheet_path), project)
     sheet = write_and_read(sheet, "deployments")
     index = M.match_index(kept, sheet, mode)
+    index = M.MatchIndex(*at_once(lambda: write_and_read(index.files, "index"), lambda: write_and_read(index.covered, "covered")))
     rows = write_and_read(M.match_deployments(kept, sheet, index), "matched")
     matched = rows.filter(F.col("RowType") == "metadata")
     train = M.train_files(kept)
     todo = write_and_read(M.process_list(train, kept, index, matched), "process-list")
     done = harmonise(write_and_read(files_to_read(todo, kept), "files-to-read"), buzz_us)
+    name = F.col("name_ext")
+    labels = todo.select(
+        N.stem(name).alias("pod_file"), N.family(name).alias("family"), "deployment_id", "deploy", "valid_until"
+    ).distinct()
+    detections = write_and_read(D.clip(D.relabel(done.detections, labels)), "detections")
+    spans = M.detection_spans(detections, ("PODfile", "family"))
     status = write_and_read(done.status, "status")
-    labels = todo.select(N.stem(F.col("name_ext")).alias("pod_file"), "deployment_id", "deploy", "valid_until").distinct()
-    detections = D.clip(D.relabel(done.detections, labels)).select(*D.OUTPUT_COLUMNS, "PODfile")
-
-    tables = {"detections": O.write_detections(detections, f"{out}/detections", fmt)}
-    spans = M.detection_spans(tables["detections"])
     rest = {
         "deployments": O.deployment_rows(rows, S.OUTPUT_ORDER),
+        "matched_files": M.matched_files(index, matched),
         "receivers": M.receivers(matched),
         "overview": M.file_overview(train, index, matched, spans, status),
         "bad_files": status.filter("status <> 'OK'"),
         "rejected_files": rejected,
         "file_problems": C.pair_problems(files),
     }
-    written = at_once(*[lambda n=name, t=table: O.write_table(t, f"{out}/{n}", fmt) for name, table in rest.items()])
-    return {**tables, **dict(zip(rest, written))}
+    jobs = {n: lambda n=n, t=t: O.write_table(t, f"{out}/{n}", fmt) for n, t in rest.items()}
+    jobs["detections"] = lambda: O.write_detections(detections.select(*D.OUTPUT_COLUMNS, "PODfile"), f"{out}/detections", fmt)
+    return dict(zip(jobs, at_once(*jobs.values())))

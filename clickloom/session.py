@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ T = TypeVar("T")
 # Small independent jobs submitted at the same time.
 PARALLEL_JOBS = 4
 
-_local_folders: dict[str, str] = {}
+# Folder of the run that is going on, below the shared folder.
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -36,24 +38,30 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it then gets a folder of its own.
-    """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not sc.master.startswith("local"):
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir`` or ``setCheckpointDir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = sc.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="clickloom-")
-    return _local_folders[app]
+    return folder.rstrip("/")
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/clickloom/{label}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, label: str, kept: bool = False) -> str:
+    """A folder below the shared one. It goes with the run that is going on, unless it is to be ``kept``."""
+    base = None if kept else _run_folder.get()
+    return f"{base or shared_folder(spark) + '/clickloom'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for the intermediate tables of a run, removed at its end."""
+    folder = new_folder(spark, label)
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_and_read(df: DataFrame, label: str) -> DataFrame:
@@ -67,4 +75,4 @@ def write_and_read(df: DataFrame, label: str) -> DataFrame:
 def at_once(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs side by side; results in the given order."""
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        return list(pool.map(lambda job: job(), jobs))
+        return [f.result() for f in [pool.submit(copy_context().run, job) for job in jobs]]

@@ -24,11 +24,15 @@ def list_pod_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, path: str, columns: int = S.SHEET_COLUMNS) -> DataFrame:
-    """First ``columns`` columns of a deployment sheet, all text, with ``row_no`` in file order."""
-    names = spark.read.option("header", True).csv(path).columns
+    """First ``columns`` columns of a deployment sheet, all text, with ``row_no`` in file order.
+
+    ``path`` is a file or a folder of parts, which follow each other by name. Quoted cells may hold line breaks;
+    for that a part is read by one task.
+    """
+    options = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
+    names = spark.read.options(**options).csv(path).columns
     schema = ", ".join(f"`{n}` string" for n in names)
-    table = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    return number_as_read(table.select(*[f"`{n}`" for n in names[:columns]]))
+    return number_as_read(spark.read.options(**options).schema(schema).csv(path), names[:columns])
 
 
 def read_vendor_export(spark: SparkSession, path: str) -> DataFrame:

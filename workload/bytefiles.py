@@ -255,16 +255,17 @@ def c2(spark, sf):
 
 
 TRAINS_SQL = """
-SELECT c.pod_file, c.minute_no, c.train_id, t.q AS quality_class, t.no_of_clicks, c.times, c.icis FROM {train} t JOIN
-  (SELECT pod_file, minute_no, train_id, string_agg(CAST(time_us AS VARCHAR), ',' ORDER BY rec_no) AS times,
+SELECT c.pod_file, c.minute_no, c.train_id, c.segment_no, t.q AS quality_class, t.no_of_clicks, c.times, c.icis FROM {train} t JOIN
+  (SELECT pod_file, minute_no, train_id, segment_no, string_agg(CAST(time_us AS VARCHAR), ',' ORDER BY rec_no) AS times,
           coalesce(string_agg(CAST(ici AS VARCHAR), ',' ORDER BY rec_no), '') AS icis
-   FROM (SELECT *, time_us - lag(time_us) OVER (PARTITION BY pod_file, minute_no, train_id ORDER BY rec_no) AS ici FROM {clicks}) a
-   GROUP BY pod_file, minute_no, train_id) c USING (pod_file, minute_no, train_id)"""
+   FROM (SELECT *, time_us - lag(time_us) OVER train AS ici, (row_number() OVER train - 1) // 65536 AS segment_no FROM {clicks}
+         WINDOW train AS (PARTITION BY pod_file, minute_no, train_id ORDER BY rec_no)) a
+   GROUP BY pod_file, minute_no, train_id, segment_no) c USING (pod_file, minute_no, train_id)"""
 
 
 def train_rows(trains: DataFrame) -> DataFrame:
     return trains.select(
-        *G.MINUTE, "train_id", "quality_class", "no_of_clicks",
+        *G.MINUTE, "train_id", "segment_no", "quality_class", "no_of_clicks",
         F.array_join("time_us", ",").alias("times"), F.array_join("ici_us", ",").alias("icis"),
     )
 
@@ -306,8 +307,10 @@ def c10_files(spark, sf):
 def s7(spark, sf):
     def build():
         path = new_folder(spark, "sheet")
-        ordered = X.deployments_text(spark, sf).repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
+        rows = X.deployments_text(spark, sf).withColumn("part", F.expr("CASE WHEN row_no < 7 THEN 0 WHEN row_no < 40 THEN 1 ELSE 2 END"))
         spare = [F.lit("x").alias(f"SPARE_{i}") for i in range(40)]
+        # Parts of unequal size: what is read first is not what comes first.
+        ordered = rows.repartitionByRange(3, "part").sortWithinPartitions("part", "row_no").drop("row_no", "part")
         ordered.select("*", *spare).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(path)
@@ -370,24 +373,15 @@ def k3(spark, sf):
     return X.once(spark, sf, "k3", build)
 
 
-@query(
-    "k4_quarantine",
-    views(
-        """SELECT pod_file, 'OK' AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT DISTINCT pod_file FROM cp3) a
-UNION ALL SELECT pod_file || ' lost', 'FAILED', 'not found' FROM (SELECT DISTINCT pod_file FROM cp3) b
-UNION ALL SELECT pod_file || ' cut', 'FAILED', 'ends early' FROM (SELECT DISTINCT pod_file FROM cp3) c
-UNION ALL SELECT pod_file || ' alone', 'PARTIAL', 'no raw file' FROM (SELECT DISTINCT pod_file FROM cp3) d""",
-        "cp3",
-    ),
-)
-def k4(spark, sf):
-    """Each file once as it is, once missing, once listed longer than it is, once without its raw twin."""
-    files = to_read(spark, sf).filter(F.col("name_ext").rlike("CP[13]$")).select("pod_file", "path", "bytes")
-    train = H.of_kind(files, "CP3")
-    lost = train.withColumns({"pod_file": F.concat("pod_file", F.lit(" lost")), "path": F.regexp_replace("path", "[.]CP3$", " x.CP3")})
-    cut = train.withColumns({"pod_file": F.concat("pod_file", F.lit(" cut")), "bytes": F.col("bytes") + 4000})
-    alone = train.withColumn("pod_file", F.concat("pod_file", F.lit(" alone")))
-    status = H.harmonise_cpod(files.unionByName(lost).unionByName(cut).unionByName(alone)).status
+def broken(files: DataFrame, label: str, missing: bool = False, longer: int = 0) -> DataFrame:
+    """The same files under another name, gone or listed longer than they are."""
+    named = files.withColumn("pod_file", F.concat("pod_file", F.lit(f" {label}")))
+    if missing:
+        named = named.withColumn("path", F.regexp_replace("path", "([.][CF]P[13])$", " x$1"))
+    return named.withColumn("bytes", F.col("bytes") + longer)
+
+
+def status_kinds(status: DataFrame) -> DataFrame:
     kind = (
         F.when(F.col("error").startswith("FileNotFound"), "not found")
         .when(F.col("error").contains("file ends inside"), "ends early")
@@ -396,6 +390,61 @@ def k4(spark, sf):
     return status.withColumn("error", kind)
 
 
+def status_sql(view: str, cases: dict[str, tuple[str, str]], name: str = "pod_file") -> str:
+    parts = [f"SELECT {name} AS pod_file, 'OK' AS status, CAST(NULL AS VARCHAR) AS error FROM (SELECT DISTINCT pod_file FROM {view}) a"]
+    for label, (status, error) in cases.items():
+        parts.append(f"SELECT {name} || ' {label}', '{status}', '{error}' FROM (SELECT DISTINCT pod_file FROM {view}) a")
+    return " UNION ALL ".join(parts)
+
+
+CPOD_FAULTS = {
+    "lost": ("FAILED", "not found"), "cut": ("FAILED", "ends early"), "alone": ("PARTIAL", "no raw file"),
+    "raw cut": ("PARTIAL", "ends early"), "raw lost": ("PARTIAL", "not found"),
+}
+
+
+@query("k4_quarantine", views(status_sql("cp3", CPOD_FAULTS), "cp3"))
+def k4(spark, sf):
+    """Each file as it is, missing, listed longer than it is, without its raw twin, and with a bad one."""
+    files = to_read(spark, sf).filter(F.col("name_ext").rlike("CP[13]$")).select("pod_file", "path", "bytes")
+    train, raw = H.of_kind(files, "CP3"), H.of_kind(files, "CP1")
+    cases = [
+        broken(train, "lost", missing=True), broken(train, "cut", longer=4000), broken(train, "alone"),
+        broken(train, "raw cut"), broken(raw, "raw cut", longer=4000), broken(train, "raw lost"), broken(raw, "raw lost", missing=True),
+    ]
+    for more in cases:
+        files = files.unionByName(more)
+    return status_kinds(H.harmonise_cpod(files).status)
+
+
+FPOD_FAULTS = {"lost": ("FAILED", "not found"), "cut": ("FAILED", "ends early")}
+
+
+@query("k4_quarantine_fpod", views(status_sql("fp_seg", FPOD_FAULTS), "fp_seg"))
+def k4_fpod(spark, sf):
+    files = to_read(spark, sf, "FP3").select("pod_file", "path", "bytes")
+    some = files.unionByName(broken(files, "lost", missing=True)).unionByName(broken(files, "cut", longer=4000))
+    return status_kinds(H.harmonise_fpod(some).status)
+
+
+@query("k4_quarantine_fp1", views(status_sql("cp1_seg", FPOD_FAULTS, "regexp_replace(pod_file, ' POD1', ' FPOD_2')"), "cp1_seg"))
+def k4_fp1(spark, sf):
+    files = to_read(spark, sf, "FP1").select("pod_file", "path", "bytes")
+    some = files.unionByName(broken(files, "lost", missing=True)).unionByName(broken(files, "cut", longer=4000))
+    return status_kinds(H.filtered_click_counts(some).status)
+
+
+@query(
+    "k4_rows_of_good_files",
+    views(f"SELECT filename, count(*) AS n FROM ({W.CP_ROWS_SQL}) r GROUP BY filename", "cp_minutes", "cp_nall", "cp_train"),
+)
+def k4_rows(spark, sf):
+    """A file that fails in one of its ranges has no rows; the others have all of theirs."""
+    files = to_read(spark, sf).filter(F.col("name_ext").rlike("CP[13]$")).select("pod_file", "path", "bytes")
+    files = files.unionByName(broken(files, "cut", longer=4000))
+    return H.harmonise_cpod(files, W.BUZZ_US).detections.groupBy("filename").agg(F.count("*").alias("n"))
+
+
 # ---- sheet to checked deployments, and the whole run
 
 
