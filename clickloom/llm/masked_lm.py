@@ -8,9 +8,9 @@ ids. Network: one embedding table per place of the window, their sum through tan
 32 words, word of the class), so a prediction costs 64 outputs and not 1,024. The biases start at the counts, so
 training starts from the unigram model.
 
-Training: in each round every task starts from the shared weights and runs gradient steps over every
-``STRIDE``-th word of all its documents; the weight changes, times the words trained on, are summed slice by slice
-across tasks and averaged. What is gathered grows with the number of tasks; what reaches the driver is one set of weights.
+Training: in each round every task starts from the shared weights and runs Adagrad steps over every ``STRIDE``-th
+word of all its documents; what changed, times the words trained on, is summed slice by slice across tasks and averaged.
+What is gathered grows with the number of tasks; what reaches the driver is one set of weights.
 
 Edge cases: null or empty text has no words and score 0 (mean null); long texts are predicted in slices with their
 whole context; repeated rows get equal scores; an empty table gives an empty result. Only ``doc_id`` and ``text`` are
@@ -39,7 +39,7 @@ SIZE = CLASSES * CLASS_WORDS
 HASHED = 64  # ids shared by the words outside the vocabulary
 PAD = SIZE
 ROUNDS, STRIDE = 2, 8
-BATCH, RATE = 1024, 0.5
+BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-6
 SLICE_WORDS = 65_536  # words predicted at once
 MAX_COUNTED = 200_000  # distinct words a task counts before it sends them on
 SLICE_WEIGHTS = 16_384
@@ -143,31 +143,39 @@ class Network:
             out[group] += logs[np.arange(len(group)), within[group]]
         return out
 
-    def step(self, context: np.ndarray, words: np.ndarray, rate: float) -> None:
-        """One gradient step on a batch."""
+    def gradient(self, context: np.ndarray, words: np.ndarray) -> Network:
+        """Gradient of the mean loss of a batch, laid out like the weights."""
         n = len(words)
         h = self._hidden(context)
         of, within = words // CLASS_WORDS, words % CLASS_WORDS
+        out = Network(np.zeros(self.LENGTH, self.flat.dtype))
         error = np.exp(_log_softmax(h @ self.to_class + self.class_bias))
         error[np.arange(n), of] -= 1
         back = error @ self.to_class.T
-        scale = np.float32(rate / n)
-        changes = [(self.to_class, h.T @ error), (self.class_bias, error.sum(axis=0))]
+        out.to_class[:], out.class_bias[:] = h.T @ error, error.sum(axis=0)
         for group, c in _groups(of):
             hc = h[group]
             e = np.exp(_log_softmax(hc @ self.to_word[c] + self.word_bias[c]))
             e[np.arange(len(group)), within[group]] -= 1
             back[group] += e @ self.to_word[c].T
-            changes += [(self.to_word[c], hc.T @ e), (self.word_bias[c], e.sum(axis=0))]
+            out.to_word[c], out.word_bias[c] = hc.T @ e, e.sum(axis=0)
         back *= 1 - h * h
         for place in range(2 * SIDE):
             order = np.argsort(context[place], kind="stable")
             sorted_ids = context[place][order]
             first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-            self.embed[place][sorted_ids[first]] -= scale * np.add.reduceat(back[order], first, axis=0)
-        changes.append((self.hidden, back.sum(axis=0)))
-        for part, change in changes:
-            part -= scale * change
+            out.embed[place][sorted_ids[first]] = np.add.reduceat(back[order], first, axis=0)
+        out.hidden[:] = back.sum(axis=0)
+        out.flat /= n
+        return out
+
+    def step(self, context: np.ndarray, words: np.ndarray, squares: np.ndarray) -> None:
+        """One step of Adagrad; ``squares`` are the sums of squared gradients so far."""
+        change = self.gradient(context, words).flat
+        squares += change * change
+        change /= np.sqrt(squares)
+        change *= RATE
+        self.flat -= change
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -201,17 +209,18 @@ def _contexts(laid: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _trainer(shared):
-    """Run gradient steps over a task's documents and send the changes of the weights, slice by slice."""
+    """Run gradient steps over a task's documents and send what changed (weights and squares), slice by slice."""
 
     def run(batches: Batches) -> Batches:
-        known, flat, rate = shared.value
-        network, trained = Network(flat.copy()), 0
+        known, state = shared.value
+        mine, trained = state.copy(), 0
+        network, squares = Network(mine[: Network.LENGTH]), mine[Network.LENGTH :]
         waiting: list[np.ndarray] = []
 
         def train(rows: np.ndarray) -> None:
             for i in range(0, rows.shape[1], BATCH):
                 part = rows[:, i : i + BATCH]
-                network.step(part[:-1], part[-1], rate)
+                network.step(part[:-1], part[-1], squares)
 
         for batch in batches:
             laid, _, _ = _laid_out(batch.column("text"), known)
@@ -226,8 +235,8 @@ def _trainer(shared):
         if waiting:
             train(np.hstack(waiting))
         if trained:
-            change = (network.flat - flat).astype(np.float64) * trained
-            slices = range(0, Network.LENGTH, SLICE_WEIGHTS)
+            change = (mine - state).astype(np.float64) * trained
+            slices = range(0, len(state), SLICE_WEIGHTS)
             yield pa.RecordBatch.from_pydict(
                 {
                     "slice": pa.array(range(len(slices)), pa.int32()),
@@ -263,16 +272,16 @@ def _sum_changes(batches: Batches) -> Batches:
 
 def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
     spark, texts = docs.sparkSession, docs.select("text")
-    flat = Network.start(known.counts).flat
-    for i in range(rounds):
-        shared = spark.sparkContext.broadcast((known, flat, RATE / (i + 1)))
+    state = np.concatenate([Network.start(known.counts).flat, np.full(Network.LENGTH, FIRST_SQUARE, np.float32)])
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast((known, state))
         sent = texts.mapInArrow(_trainer(shared), "slice int, task int, n long, change binary")
         summed = sent.repartition("slice").sortWithinPartitions("slice", "task").mapInArrow(_sum_changes, "slice int, n long, change binary")
-        flat = flat.copy()
-        for row in summed.collect():  # the weights once
+        state = state.copy()
+        for row in summed.collect():  # weights and squares once
             start = row["slice"] * SLICE_WEIGHTS
-            flat[start : start + SLICE_WEIGHTS] += (np.frombuffer(row["change"], np.float64) / row["n"]).astype(np.float32)
-    return Network(flat)
+            state[start : start + SLICE_WEIGHTS] += (np.frombuffer(row["change"], np.float64) / row["n"]).astype(np.float32)
+    return Network(state[: Network.LENGTH])
 
 
 def scores_of(texts: pa.Array, known: Vocabulary, network: Network) -> tuple[np.ndarray, np.ndarray]:
