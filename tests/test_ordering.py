@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -24,7 +25,19 @@ def test_number_as_read_keeps_file_order(spark, tmp_path):
     lines = [f"v{i}" for i in range(200)]
     (tmp_path / "a.csv").write_text("c\n" + "\n".join(lines) + "\n")
     read = spark.read.option("header", True).csv(str(tmp_path / "a.csv"))
-    assert rows(O.number_as_read(read), "row_no", "c") == [(i + 1, v) for i, v in enumerate(lines)]
+    assert rows(O.number_as_read(read, ["c"]), "row_no", "c") == [(i + 1, v) for i, v in enumerate(lines)]
+
+
+@pytest.mark.parametrize("sizes", [(2, 5, 3), (1, 300, 40, 7), (50, 1, 1, 400)])
+def test_number_as_read_follows_parts_of_unequal_size(spark, tmp_path, sizes):
+    values, at = [], 0
+    for i, n in enumerate(sizes):
+        part = [f"v{at + j}" for j in range(n)]
+        (tmp_path / f"part-{i}.csv").write_text("c\n" + "\n".join(part) + "\n")
+        values += part
+        at += n
+    read = spark.read.option("header", True).csv(str(tmp_path))
+    assert rows(O.number_as_read(read, ["c"]), "row_no", "c") == [(i + 1, v) for i, v in enumerate(values)]
 
 
 def test_number_in_groups_across_runs(spark):

@@ -19,9 +19,6 @@ from workload import fixtures as X, matches, recordings as W
 from workload.fixtures import with_views
 from workload.registry import query
 
-# Records per file; a longer recording continues in the next file. A multiple of 3 and 256, because
-# the marker bytes of the input views are record numbers modulo these.
-FILE_RECORDS = 3 * 2**18
 CLOCK_START = 45_292 * 1_440 + 1_200  # minutes from the clock base to 2024-01-01 20:00
 FILES_START = "2024-01-01 20:00:00"
 FPGA_VERSION = 900
@@ -57,7 +54,7 @@ def _encode(kind: str, rows: pd.DataFrame) -> bytes:
 
 
 def _write_files(rows: DataFrame, kind: str, folder: str) -> int:
-    """Write one file per pod_file, each of a fixed number of records at most; returns the file count.
+    """Write one file per pod_file; returns the file count. A recorder has about 200,000 events at any scale.
 
     A file appears under its name only when complete, so a repeated task does no harm.
     """
@@ -76,14 +73,9 @@ def _write_files(rows: DataFrame, kind: str, folder: str) -> int:
     return rows.groupBy("pod_file").applyInPandas(write, "bytes long").count()
 
 
-def blocks(records: DataFrame, family: str) -> DataFrame:
-    """File name and record number inside the file."""
-    block = F.expr(f"(rec_no - 1) div {FILE_RECORDS}")
-    stem = F.regexp_replace("pod_file", r" file01$", "")
-    if family == "FP":
-        stem = F.regexp_replace(stem, r" POD1", " FPOD_2")
-    name = F.concat(stem, F.lit(" file"), F.lpad((block + 1).cast("string"), 2, "0"))
-    return records.withColumns({"pod_file": name, "rec_no": F.col("rec_no") - block * FILE_RECORDS})
+def named(records: DataFrame, family: str) -> DataFrame:
+    """Records under the name their file gets."""
+    return records.withColumn("pod_file", F.regexp_replace("pod_file", r" POD1", " FPOD_2")) if family == "FP" else records
 
 
 def fp1_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,10 +97,10 @@ def folder(spark: SparkSession, sf: str) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _folders:
         made = new_folder(spark, "files")
-        _write_files(blocks(X.records(spark, sf).select("pod_file", "rec_no", "rec_type", "time_us"), "CP"), "CP1", made)
-        _write_files(blocks(X.cp3(spark, sf), "CP"), "CP3", made)
-        _write_files(blocks(fp1_records(spark, sf), "FP"), "FP1", made)
-        _write_files(blocks(X.fp_records(spark, sf), "FP"), "FP3", made)
+        _write_files(named(X.records(spark, sf).select("pod_file", "rec_no", "rec_type", "time_us"), "CP"), "CP1", made)
+        _write_files(named(X.cp3(spark, sf), "CP"), "CP3", made)
+        _write_files(named(fp1_records(spark, sf), "FP"), "FP1", made)
+        _write_files(named(X.fp_records(spark, sf), "FP"), "FP3", made)
         _folders[key] = made
     return _folders[key]
 
@@ -122,24 +114,18 @@ def to_read(spark: SparkSession, sf: str, kind: str | None = None) -> DataFrame:
     return files if kind is None else H.of_kind(files, kind)
 
 
-NAMES = """concat(regexp_replace({pod}, ' file01$', ''), ' file', lpad(CAST((rec_no - 1) // {n} + 1 AS VARCHAR), 2, '0')) AS pod_file,
-       rec_no - (rec_no - 1) // {n} * {n} AS rec_no"""
-FX_BLOCKS = "SELECT * REPLACE (" + NAMES.format(pod="pod_file", n=FILE_RECORDS) + ") FROM fx_records"
-FX_FP_BLOCKS = (
-    "SELECT * REPLACE (" + NAMES.format(pod="regexp_replace(pod_file, ' POD1', ' FPOD_2')", n=FILE_RECORDS) + ") FROM fx_fp_records"
-)
+FX_FP_NAMED = "SELECT * REPLACE (regexp_replace(pod_file, ' POD1', ' FPOD_2') AS pod_file) FROM fx_fp_records"
 
 
 def views(body: str, *names: str) -> str:
-    """SQL over the file-sized blocks instead of the whole streams, with the clock of the files."""
-    extra = {"fx_blocks": FX_BLOCKS, "fx_fp_blocks": FX_FP_BLOCKS}
+    """SQL over the streams as files have them: F-POD files under their own names, with the clock of the files."""
+    extra = {"fx_fp_named": FX_FP_NAMED}
     own = set(names)
     for name in names:
         own |= set(W._NEEDS[name][1])
     for name, text in W.VIEWS.items():
         if name in own:
-            text = text.replace("fx_fp_records", "fx_fp_blocks").replace("fx_records", "fx_blocks")
-            extra[name] = text.replace(W.START, FILES_START)
+            extra[name] = text.replace("fx_fp_records", "fx_fp_named").replace(W.START, FILES_START)
     return with_views(body, "fx_records", "fx_fp_records", extra=extra)
 
 
@@ -280,20 +266,24 @@ def r4_fpod(spark, sf):
     return train_rows(H.fpod_trains(to_read(spark, sf)).rows)
 
 
-@query(
-    "c10_filtered_counts_from_files",
-    with_views(
-        "SELECT * REPLACE (regexp_replace(pod_file, ' POD1', ' FPOD_2') AS pod_file) FROM ("
-        + W.c10_sql(ipi="rec_no % 300 % 256", extended="TRUE")
-        + ") f",
-        "fx_records",
-        extra={"cp1_seg": W.VIEWS["cp1_seg"]},
-    ),
-)
+def c10_files_sql(**how: str) -> str:
+    body = W.c10_sql(ipi="rec_no % 300 % 256", extended="TRUE", **how)
+    return with_views(
+        f"SELECT * REPLACE (regexp_replace(pod_file, ' POD1', ' FPOD_2') AS pod_file) FROM ({body}) f",
+        "fx_records", extra={"cp1_seg": W.VIEWS["cp1_seg"]},
+    )
+
+
+@query("c10_filtered_counts_from_files", c10_files_sql())
 def c10_files(spark, sf):
     return H.filtered_click_counts(to_read(spark, sf)).rows
 
 
+@query("c10_filtered_counts_by_duration", c10_files_sql(khz=W.KHZ_BY_DURATION))
+def c10_by_duration(spark, sf):
+    return H.filtered_click_counts(to_read(spark, sf), by_duration=True).rows
+
+
 # ---- text sources
 
 
@@ -316,7 +306,7 @@ def s7(spark, sf):
         ).csv(path)
         return I.read_sheet(spark, path)
 
-    sheet = X.once(spark, sf, "sheet", build)
+    sheet = build()
     assert len(sheet.columns) == S.SHEET_COLUMNS + 1
     return sheet.select("row_no", "RCV_PROJECT", "RECEIVER", "ACTIVATION_TIME", "DEPLOY_LAT")
 
@@ -329,7 +319,7 @@ def s8(spark, sf):
         X.vendor(spark, sf).select("nall_m", text).withColumnsRenamed({"nall_m": "Nall_m"}).write.option("header", True).csv(path)
         return I.read_vendor_export(spark, path)
 
-    return X.once(spark, sf, "vendor", build)
+    return build()
 
 
 # ---- sinks
@@ -351,7 +341,7 @@ def k1(spark, sf):
         out = O.deployment_rows(rows, S.OUTPUT_ORDER)
         return O.write_table(out, new_folder(spark, "k1"), "csv")
 
-    return X.once(spark, sf, "k1", build)
+    return build()
 
 
 @query("k2_write_detections", views(W.CP_ROWS_SQL, "cp_minutes", "cp_nall", "cp_train"))
@@ -361,7 +351,7 @@ def k2(spark, sf):
         out = H.harmonise_cpod(to_read(spark, sf), W.BUZZ_US).detections
         return O.write_detections(out, new_folder(spark, "k2"))
 
-    return X.once(spark, sf, "k2", build)
+    return build()
 
 
 @query("k3_write_receivers", matches.views(matches.RECEIVERS, "fx_odd_files", annotated=matches.ANNOTATED))
@@ -370,7 +360,7 @@ def k3(spark, sf):
         out = matches.r1(spark, sf)
         return O.write_table(out, new_folder(spark, "k3"), "csv")
 
-    return X.once(spark, sf, "k3", build)
+    return build()
 
 
 def broken(files: DataFrame, label: str, missing: bool = False, longer: int = 0) -> DataFrame:
@@ -508,4 +498,4 @@ def r3(spark, sf):
         written = H.run(spark, folder(spark, sf), sheet_path(spark, sf), new_folder(spark, "run"), project="harbour", buzz_us=W.BUZZ_US)
         return written["detections"]
 
-    return X.once(spark, sf, "run", build)
+    return build()

@@ -26,12 +26,30 @@ def text(c: Column) -> Column:
     return c.cast("string")
 
 
+# Recorders and receiver numbers grow with the tables, so that no recording and no list of files grows without end.
+EVENTS_PER_RECORDER = 200_000
+CUSTOMERS_PER_SERIAL = 20
+
+
+def _at_least(spark: SparkSession, sf: str, name: str, least: int, rows_each: int) -> int:
+    return max(least, table(spark, sf, name).count() // rows_each)
+
+
+def recorders(spark: SparkSession, sf: str) -> int:
+    return _at_least(spark, sf, "events", 3, EVENTS_PER_RECORDER)
+
+
+def serials(spark: SparkSession, sf: str) -> int:
+    return _at_least(spark, sf, "customer", 97, CUSTOMERS_PER_SERIAL)
+
+
 def _numbered_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    n = recorders(spark, sf)
     user, value, ts = F.col("user_id"), F.floor("value").cast("int"), F.col("ts")
     code = F.when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "error", 3).otherwise(0)
     rows = table(spark, sf, "events").select(
         F.concat(
-            F.lit("FX"), text(user % 3), F.lit(" 2024 01 01 POD"), text(100 + user % 3), F.lit(" file01")
+            F.lit("FX"), text(user % n), F.lit(" 2024 01 01 POD"), text(100 + user % n), F.lit(" file01")
         ).alias("pod_file"),
         F.date_trunc("hour", ts).cast("timestamp_ntz").alias("minute_start"),
         (F.col("event_id") % 2).cast("int").alias("train_id"),
@@ -160,7 +178,7 @@ def deployments(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         key.alias("row_no"),
         F.col("c_mktsegment").alias("rcv_project"),
-        F.concat(F.lit("C-POD-"), text(1000 + key % 97)).alias("receiver"),
+        F.concat(F.lit("C-POD-"), text(1000 + key % serials(spark, sf))).alias("receiver"),
         F.concat(F.lit("ST"), text(F.col("c_nationkey"))).alias("station_name"),
         F.date_add(start, offset).alias("activation_day"),
         F.date_add(start, later).alias("deploy_day"),
@@ -208,7 +226,7 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     two = table(spark, sf, "part").withColumn("kind", F.explode(F.array(F.lit(1), F.lit(3))))
     name = F.concat(
         F.lit("ST"), text(F.col("p_size") % 25), F.lit(" 2022 "), F.lpad(text(key % 12 + 1), 2, "0"), F.lit(" "),
-        F.lpad(text(key % 28 + 1), 2, "0"), F.lit(" POD"), text(1000 + key % 97), F.lit(" file0"), text(key % 2),
+        F.lpad(text(key % 28 + 1), 2, "0"), F.lit(" POD"), text(1000 + key % serials(spark, sf)), F.lit(" file0"), text(key % 2),
         F.when(key % 13 == 0, " PART 1").otherwise(""), F.lit(".CP"), text(F.col("kind")),
     )
     return two.filter(~((key % 11 == 0) & (F.col("kind") == 1))).select(
@@ -275,11 +293,14 @@ def our_minutes(spark: SparkSession, sf: str) -> DataFrame:
     return totals.withColumn("QUALITY", F.explode(F.array(F.lit("Hi"), F.lit("Mod"), F.lit("Lo"))))
 
 
+RECORDERS = f"greatest(3, (SELECT count(*) FROM events) // {EVENTS_PER_RECORDER})"
+SERIALS = f"greatest(97, (SELECT count(*) FROM customer) // {CUSTOMERS_PER_SERIAL})"
+
 SQL = {
-    "fx_clicks": """
+    "fx_clicks": f"""
 SELECT pod_file, minute_start, train_id, b37, time_us, nix, ts, event_id,
        row_number() OVER (PARTITION BY pod_file ORDER BY ts, event_id) AS rec_no
-FROM (SELECT concat('FX', CAST(user_id % 3 AS VARCHAR(9)), ' 2024 01 01 POD', CAST(100 + user_id % 3 AS VARCHAR(9)), ' file01') AS pod_file,
+FROM (SELECT concat('FX', CAST(user_id % {RECORDERS} AS VARCHAR(9)), ' 2024 01 01 POD', CAST(100 + user_id % {RECORDERS} AS VARCHAR(9)), ' file01') AS pod_file,
              date_trunc('hour', ts) AS minute_start, ts, event_id,
              CAST(event_id % 2 AS INT) AS train_id,
              CAST((CASE event_type WHEN 'signup' THEN 1 WHEN 'error' THEN 3 ELSE 0 END) * 16 + CAST(floor(value) AS INT) % 4 AS INT) AS b37,
@@ -309,9 +330,9 @@ FROM (SELECT pod_file, rec_no, 0 AS part, 254 AS rec_type, b5 AS b4, b4 AS b8, C
       UNION ALL
       SELECT pod_file, rec_no, 1, 100, NULL, NULL, NULL, NULL, NULL, NULL, time_us
       FROM fx_records WHERE rec_type < 254) u""",
-    "fx_deployments": """
+    "fx_deployments": f"""
 SELECT c_custkey AS row_no, c_mktsegment AS rcv_project,
-       concat('C-POD-', CAST(1000 + c_custkey % 97 AS VARCHAR(9))) AS receiver,
+       concat('C-POD-', CAST(1000 + c_custkey % {SERIALS} AS VARCHAR(9))) AS receiver,
        concat('ST', CAST(c_nationkey AS VARCHAR(9))) AS station_name,
        DATE '2022-01-01' + CAST(c_custkey % 300 AS INT) AS activation_day,
        DATE '2022-01-01' + CAST(c_custkey % 300 + c_custkey % 7 AS INT) AS deploy_day,
@@ -329,10 +350,10 @@ SELECT row_no,
        CASE WHEN row_no % 31 = 0 THEN 'x' ELSE CAST(deploy_lat AS VARCHAR(30)) END AS DEPLOY_LAT,
        CAST(deploy_long AS VARCHAR(30)) AS DEPLOY_LONG
 FROM fx_deployments""",
-    "fx_files": """
+    "fx_files": f"""
 SELECT p_partkey, k.kind,
        concat('ST', CAST(p_size % 25 AS VARCHAR(9)), ' 2022 ', lpad(CAST(p_partkey % 12 + 1 AS VARCHAR(9)), 2, '0'), ' ',
-              lpad(CAST(p_partkey % 28 + 1 AS VARCHAR(9)), 2, '0'), ' POD', CAST(1000 + p_partkey % 97 AS VARCHAR(9)),
+              lpad(CAST(p_partkey % 28 + 1 AS VARCHAR(9)), 2, '0'), ' POD', CAST(1000 + p_partkey % {SERIALS} AS VARCHAR(9)),
               ' file0', CAST(p_partkey % 2 AS VARCHAR(9)),
               CASE WHEN p_partkey % 13 = 0 THEN ' PART 1' ELSE '' END, '.CP', CAST(k.kind AS VARCHAR(9))) AS name_ext,
        CAST(floor(p_retailprice * 10) AS BIGINT) * k.kind AS bytes

@@ -89,6 +89,71 @@ def j12(spark, sf):
     return G.fill_gaps(grid, counts, [*KEYS, "time", "species"], ["nclicks", "duration"])
 
 
+# The second grid, as sums over its hours.
+SECONDS = """
+SELECT s.pod_file, unnest(generate_series(date_trunc('second', s.start_at), s.end_at, INTERVAL 1 SECOND)) AS time FROM spans s"""
+SECOND_COUNTS = """
+SELECT pod_file, date_trunc('second', time) AS time, species, count(*) AS nclicks, CAST(sum(duration) AS BIGINT) AS duration
+FROM k WHERE quality IN (2, 3) GROUP BY ALL"""
+
+
+@query(
+    "u7_species_grid_seconds",
+    views(
+        f"""SELECT pod_file, date_trunc('hour', time) AS hour, species, count(*) AS n
+FROM ({SECONDS}) g JOIN (SELECT DISTINCT pod_file, species FROM k) p USING (pod_file) GROUP BY ALL"""
+    ),
+)
+def u7_seconds(spark, sf):
+    grid = G.species_grid(spans(spark, sf), events(spark, sf), "second", KEYS)
+    return grid.groupBy("pod_file", G.truncate("hour", F.col("time")).alias("hour"), "species").agg(F.count("*").alias("n"))
+
+
+@query(
+    "c3_detection_positive_seconds",
+    views(
+        f"""SELECT g.pod_file, date_trunc('hour', g.time) AS hour, CAST(sum(coalesce(c.nclicks, 0)) AS BIGINT) AS nclicks,
+       CAST(sum(coalesce(c.duration, 0) * 1000) AS BIGINT) AS milliseconds, count(c.nclicks) AS dps, count(*) AS n, 3 AS quality
+FROM ({SECONDS}) g JOIN (SELECT DISTINCT pod_file FROM k WHERE species = 'NBHF') p USING (pod_file)
+LEFT JOIN (SELECT * FROM ({SECOND_COUNTS}) s WHERE species = 'NBHF') c ON c.pod_file = g.pod_file AND c.time = g.time GROUP BY ALL"""
+    ),
+)
+def c3_seconds(spark, sf):
+    """Detection-positive seconds, summed by hour; the grid itself has a row for every second."""
+    rows = G.detection_positive(events(spark, sf), spans(spark, sf), "second", KEYS)
+    return rows.groupBy("pod_file", G.truncate("hour", F.col("time")).alias("hour"), "quality").agg(
+        F.sum("nclicks").alias("nclicks"), F.sum("milliseconds").alias("milliseconds"),
+        F.sum("dps").cast("long").alias("dps"), F.count("*").alias("n"),
+    )
+
+
+@query(
+    "c4_click_counts_second",
+    views(
+        f"""SELECT g.pod_file, date_trunc('hour', g.time) AS hour, CAST(sum(coalesce(c.n, 0)) AS BIGINT) AS nclicks, count(*) AS n
+FROM ({SECONDS}) g LEFT JOIN (SELECT pod_file, date_trunc('second', time) AS time, count(*) AS n FROM k GROUP BY ALL) c
+ON c.pod_file = g.pod_file AND c.time = g.time GROUP BY ALL"""
+    ),
+)
+def c4_second(spark, sf):
+    rows = G.click_counts(events(spark, sf), spans(spark, sf), "second", KEYS)
+    return rows.groupBy("pod_file", G.truncate("hour", F.col("time")).alias("hour")).agg(
+        F.sum("nclicks").alias("nclicks"), F.count("*").alias("n")
+    )
+
+
+@query(
+    "c4_click_counts_hour",
+    views(
+        """SELECT g.pod_file, g.time, coalesce(c.n, 0) AS nclicks
+FROM (SELECT s.pod_file, unnest(generate_series(date_trunc('hour', s.start_at), s.end_at, INTERVAL 1 HOUR)) AS time FROM spans s) g
+LEFT JOIN (SELECT pod_file, date_trunc('hour', time) AS time, count(*) AS n FROM k GROUP BY ALL) c ON c.pod_file = g.pod_file AND c.time = g.time"""
+    ),
+)
+def c4_hour(spark, sf):
+    return G.click_counts(events(spark, sf), spans(spark, sf), "hour", KEYS)
+
+
 HOURS = """
 SELECT pod_file, date_trunc('hour', time) AS time, species, CAST(sum(duration) AS BIGINT) AS milliseconds,
        CAST(sum(CAST(nclicks > 0 AS INT)) AS BIGINT) AS dpm, CAST(sum(CAST(nclicks > 0 AS INT)) > 0 AS INT) AS dph FROM filled GROUP BY 1, 2, 3"""

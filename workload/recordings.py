@@ -360,12 +360,12 @@ def p14(spark, sf):
 
 
 def cp3_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    """Markers of the CP3 stream, written once: about one row per minute."""
-    return X.once(spark, sf, "cp3-bounds", lambda: G.boundaries(X.cp3(spark, sf)).drop("b37", "time_us"))
+    """Markers of the CP3 stream: about one row per minute."""
+    return G.boundaries(X.cp3(spark, sf)).drop("b37", "time_us")
 
 
 def cp1_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return X.once(spark, sf, "cp1-bounds", lambda: G.boundaries(X.records(spark, sf)).drop("b37", "time_us"))
+    return G.boundaries(X.records(spark, sf)).drop("b37", "time_us")
 
 
 def ends(records: DataFrame) -> DataFrame:
@@ -599,7 +599,15 @@ def f13(spark, sf):
     )
 
 
-def c10_sql(**columns: str) -> str:
+# Frequency by interval, and by duration where that is near it.
+KHZ = "round(4000.0::DOUBLE / c.ipi)"
+KHZ_BY_DURATION = """(SELECT CASE WHEN abs(dur - pk) > 30 THEN pk ELSE dur END FROM (SELECT pk,
+    CASE WHEN c.cycles >= 5 AND c.cycles < 16 AND d >= 100 THEN round(4000.0::DOUBLE * (c.cycles - 3) / d)
+         WHEN c.cycles >= 16 AND d >= 100 THEN round(60000.0::DOUBLE / d) ELSE pk END AS dur
+    FROM (SELECT round(4000.0::DOUBLE / c.ipi) AS pk, ((c.b14 & 240) << 4) | c.b15 AS d) p) q)"""
+
+
+def c10_sql(khz: str = KHZ, **columns: str) -> str:
     clicks = fp_clicks_sql(**columns)
     return f"""SELECT m.pod_file, m.minute_no, count(k.rec_no) AS nall
 FROM (SELECT pod_file, seg_no AS minute_no FROM cp1_seg WHERE rec_type = 254) m
@@ -608,7 +616,7 @@ LEFT JOIN (SELECT s.pod_file, s.seg_no, s.rec_no FROM cp1_seg s
              ON n.pod_file = s.pod_file AND n.rec_no = s.rec_no
            JOIN ({real_peak_sql(clicks)}) a ON a.pod_file = n.pod_file AND a.rec_no = n.click_no
            JOIN ({clicks}) c ON c.pod_file = n.pod_file AND c.rec_no = n.click_no
-           WHERE a.real_peak > 11 AND round(4000.0::DOUBLE / c.ipi) BETWEEN 21 AND 221) k
+           WHERE a.real_peak > 11 AND {khz} BETWEEN 21 AND 221) k
   ON k.pod_file = m.pod_file AND k.seg_no = m.minute_no
 GROUP BY m.pod_file, m.minute_no"""
 
