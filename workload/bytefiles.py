@@ -92,19 +92,39 @@ def fp1_records(spark: SparkSession, sf: str) -> DataFrame:
     return marks.unionByName(inner, allowMissingColumns=True)
 
 
-def folder(spark: SparkSession, sf: str) -> str:
-    """Folder with CP1, CP3, FP1 and FP3 files of the record views, written on first use."""
+def root(spark: SparkSession, sf: str) -> str:
+    """Folder with ``files`` (CP1, CP3, FP1 and FP3 files of the record views) and ``extra`` (files with faults)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _folders:
-        made = new_folder(spark, "files")
-        _write_files(named(X.records(spark, sf).select("pod_file", "rec_no", "rec_type", "time_us"), "CP"), "CP1", made)
-        _write_files(named(X.cp3(spark, sf), "CP"), "CP3", made)
-        _write_files(named(fp1_records(spark, sf), "FP"), "FP1", made)
-        _write_files(named(X.fp_records(spark, sf), "FP"), "FP3", made)
+        made = new_folder(spark, "files", kept=True)
+        files = f"{made}/files"
+        _write_files(named(X.records(spark, sf).select("pod_file", "rec_no", "rec_type", "time_us"), "CP"), "CP1", files)
+        _write_files(named(X.cp3(spark, sf), "CP"), "CP3", files)
+        _write_files(named(fp1_records(spark, sf), "FP"), "FP1", files)
+        _write_files(named(X.fp_records(spark, sf), "FP"), "FP3", files)
+        _write_extra(f"{made}/extra")
         _folders[key] = made
     return _folders[key]
 
 
+def folder(spark: SparkSession, sf: str) -> str:
+    return f"{root(spark, sf)}/files"
+
+
+# A pair that is shorter than its header, a train file without raw file, and a cropped pair of a whole one.
+SHORT, LONE, CROPPED = "FX8 2024 01 01 POD108 file01", "FX7 2024 01 01 POD107 file01", "FX0 2024 01 01 POD100 file01 PART 1"
+
+
+def _write_extra(folder: str) -> None:
+    system, base = Q.filesystem(folder)
+    system.create_dir(base, recursive=True)
+    one_record = pd.DataFrame({"rec_type": [254], "time_us": [None], "b4": [0], "b5": [0]})
+    for name, kinds in ((SHORT, ("CP1", "CP3")), (LONE, ("CP3",)), (CROPPED, ("CP1", "CP3"))):
+        for kind in kinds:
+            with system.open_output_stream(f"{base}/{name}.{kind}") as sink:
+                sink.write(b"x" * 100 if name == SHORT and kind == "CP3" else _encode(kind, one_record))
+
+
 def listed(spark: SparkSession, sf: str) -> DataFrame:
     return X.once(spark, sf, "listed", lambda: I.list_pod_files(spark, folder(spark, sf)))
 
@@ -444,8 +464,12 @@ def sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.substring("pod_file", 1, 3).alias("station"), M.receiver_serial(F.regexp_extract("pod_file", "POD_?([0-9]+)", 1)).alias("serial"),
         F.when(F.col("name_ext").endswith("CP3"), "C").otherwise("F").alias("f"),
     ).distinct()
-    dates = {"ACTIVATION": ("2023", "12", "31", "8:43"), "DEPLOY": ("2024", "1", "2", "0:30:00"), "VALID_DATA_UNTIL": ("2024", "1", "2", "7:05:00"),
-             "RECOVER": ("2024", "1", "12", "9:05:00")}
+    return _sheet(base)
+
+
+def _sheet(base: DataFrame, year: str = "2024", until: str = "2") -> DataFrame:
+    dates = {"ACTIVATION": (str(int(year) - 1), "12", "31", "8:43"), "DEPLOY": (year, "1", "2", "0:30:00"), "VALID_DATA_UNTIL": (year, "1", until, "7:05:00"),
+             "RECOVER": (year, "1", "12", "9:05:00")}
     parts = [F.lit(v).alias(f"{p}_{n}") for p, vs in dates.items() for n, v in zip(("YEAR", "MONTH", "DAY", "TIME"), vs)]
     return base.select(
         F.when(F.col("station") == "FX2", "other").otherwise("harbour").alias("RCV_PROJECT"),
@@ -455,11 +479,21 @@ def sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sheet_path(spark: SparkSession, sf: str) -> str:
-    key = (spark.sparkContext.applicationId, sf + "#sheet")
+def run_sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The sheet and more: the same receivers a year later, receivers without files, and one of a broken file."""
+    base = to_read(spark, sf).filter(F.col("name_ext").rlike("CP3$")).select(
+        F.substring("pod_file", 1, 3).alias("station"), F.regexp_extract("pod_file", "POD([0-9]+)", 1).alias("serial"), F.lit("C").alias("f")
+    )
+    broken_one = spark.createDataFrame([("FX8", "108", "C")], base.schema)
+    later = _sheet(base, "2025", "9").unionByName(_sheet(base.withColumn("serial", F.concat(F.lit("9"), "serial")), "2024", "6"))
+    return sheet_rows(spark, sf).unionByName(later).unionByName(_sheet(broken_one))
+
+
+def sheet_path(spark: SparkSession, sf: str, rows=sheet_rows) -> str:
+    key = (spark.sparkContext.applicationId, f"{sf}#{rows.__name__}")
     if key not in _folders:
-        made = new_folder(spark, "sheet")
-        sheet_rows(spark, sf).write.option("header", True).csv(made)
+        made = new_folder(spark, "sheet", kept=True)
+        rows(spark, sf).write.option("header", True).csv(made)
         _folders[key] = made
     return _folders[key]
 
@@ -491,11 +525,96 @@ FROM (SELECT * FROM ({W.CP_ROWS_SQL}) a UNION ALL BY NAME SELECT * FROM ({FP_ROW
 WHERE filename NOT LIKE 'FX2%' AND DETECTION_DATE_TIME BETWEEN TIMESTAMP '2024-01-02 00:30:00' AND TIMESTAMP '2024-01-02 07:05:00'"""
 
 
+def whole_run(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Files and sheet in, all output tables written and read again."""
+    sheet = sheet_path(spark, sf, run_sheet_rows)
+    return H.run(spark, root(spark, sf), sheet, new_folder(spark, "run", kept=True), project="harbour", buzz_us=W.BUZZ_US)
+
+
 @query("r3_harmonise_run", views(RUN_SQL, "cp_minutes", "cp_nall", "cp_train", "fp_minutes", "fp_train"))
 def r3(spark, sf):
-    """Files and sheet in, all output tables written; the detections read again."""
-    def build():
-        written = H.run(spark, folder(spark, sf), sheet_path(spark, sf), new_folder(spark, "run"), project="harbour", buzz_us=W.BUZZ_US)
-        return written["detections"]
+    return whole_run(spark, sf)["detections"]
 
-    return build()
+
+# Files of the run that belong to a deployment of the sheet.
+RUN_FILES = """
+SELECT pod_file, concat('S', substr(pod_file, 1, 3)) AS station, regexp_extract(pod_file, 'POD_?([0-9]+)', 1) AS serial, f
+FROM (SELECT DISTINCT pod_file, FALSE AS f FROM cp3 UNION ALL SELECT DISTINCT pod_file, TRUE FROM fp_seg) p WHERE pod_file NOT LIKE 'FX2%'"""
+RUN_NAMES = f"""
+SELECT *, concat(station, ' 2024 01 02 POD', serial) AS id FROM ({RUN_FILES}
+UNION ALL SELECT '{SHORT}', 'SFX8', '108', FALSE) u"""
+
+
+@query(
+    "r3_run_deployments",
+    views(
+        f"""SELECT serial AS RECEIVER, station AS STATION_NAME, 'harbour' AS RCV_PROJECT, TIMESTAMP '2024-01-02 00:30:00' AS DEPLOY_DATE_TIME,
+       TIMESTAMP '2024-01-02 07:05:00' AS VALID_DATA_UNTIL_DATE_TIME FROM ({RUN_NAMES}) n""",
+        "cp3", "fp_seg",
+    ),
+)
+def r3_deployments(spark, sf):
+    """Of the sheet only the rows that a file belongs to."""
+    done = whole_run(spark, sf)["deployments"]
+    return done.select("RECEIVER", "STATION_NAME", "RCV_PROJECT", "DEPLOY_DATE_TIME", "VALID_DATA_UNTIL_DATE_TIME")
+
+
+@query(
+    "r3_run_matched_files",
+    views(
+        f"SELECT id AS DeploymentID, concat(pod_file, CASE WHEN f THEN '.FP3' ELSE '.CP3' END) AS FileName FROM ({RUN_NAMES}) n", "cp3", "fp_seg"
+    ),
+)
+def r3_matched(spark, sf):
+    return whole_run(spark, sf)["matched_files"].select("DeploymentID", "FileName")
+
+
+@query(
+    "r3_run_receivers",
+    views(
+        f"""SELECT 'CHELONIA' AS RCV_MANUFACTURER, serial AS RECEIVER_ID_SERIAL_NUMBER, CASE WHEN f THEN 'F-POD' ELSE 'C-POD' END AS RECEIVER_MODEL,
+       'Active' AS RCV_STATUS FROM ({RUN_NAMES}) n""",
+        "cp3", "fp_seg",
+    ),
+)
+def r3_receivers(spark, sf):
+    return whole_run(spark, sf)["receivers"]
+
+
+OVERVIEW_NAMES = f"""SELECT pod_file AS Filename, TRUE AS known, CAST(NULL AS TIMESTAMP) AS dt FROM ({RUN_NAMES}) a
+UNION ALL SELECT DISTINCT pod_file, FALSE, CAST(NULL AS TIMESTAMP) FROM cp3 WHERE pod_file LIKE 'FX2%'
+UNION ALL SELECT DISTINCT pod_file, FALSE, CAST(NULL AS TIMESTAMP) FROM fp_seg WHERE pod_file LIKE 'FX2%'
+UNION ALL SELECT PODfile, NULL, DETECTION_DATE_TIME FROM ({RUN_SQL}) r"""
+
+
+@query(
+    "r3_run_overview",
+    views(
+        f"""SELECT Filename, CASE WHEN known THEN 'Yes' ELSE 'No' END AS MetadataMatch,
+       CASE WHEN known THEN '0 days, 6 hours, 35 minutes' ELSE 'N/A' END AS MetadataDeployment,
+       CASE WHEN t IS NULL THEN 'N/A' ELSE printf('%d days, %d hours, %d minutes', t // 86400, (t % 86400) // 3600, (t % 3600) // 60) END AS DetectionSpan,
+       CASE WHEN NOT known THEN 'NOT ATTEMPTED' WHEN Filename = '{SHORT}' THEN 'FAILED' ELSE 'OK' END AS Status
+FROM (SELECT Filename, bool_or(known) AS known, date_diff('second', min(dt), max(dt)) AS t FROM ({OVERVIEW_NAMES}) u GROUP BY Filename) g""",
+        "cp_minutes", "cp_nall", "cp_train", "fp_minutes", "fp_train", "cp3", "fp_seg",
+    ),
+)
+def r3_overview(spark, sf):
+    return whole_run(spark, sf)["overview"].drop("sel_no")
+
+
+@query("r3_run_bad_files", f"SELECT '{SHORT}' AS pod_file, 'FAILED' AS status, 'CP' AS family FROM region WHERE r_regionkey = 0")
+def r3_bad(spark, sf):
+    return whole_run(spark, sf)["bad_files"].select("pod_file", "status", "family")
+
+
+@query(
+    "r3_run_rejected_files",
+    f"SELECT '{CROPPED}' || kind AS name_ext, 'WORSE_VARIANT' AS reason FROM (SELECT unnest(['.CP1', '.CP3']) AS kind FROM region WHERE r_regionkey = 0) k",
+)
+def r3_rejected(spark, sf):
+    return whole_run(spark, sf)["rejected_files"].select("name_ext", "reason")
+
+
+@query("r3_run_file_problems", f"SELECT '{LONE}.CP3' AS name_ext FROM region WHERE r_regionkey = 0")
+def r3_problems(spark, sf):
+    return whole_run(spark, sf)["file_problems"].select(N.base_name(F.col("path")).alias("name_ext"))
