@@ -136,3 +136,37 @@ def test_coordinates(spark, text, want, ok):
     df = spark.createDataFrame([(text,)], "c string")
     r = df.select(T.normalise_coordinate(F.col("c")).alias("n"), T.coordinate_ok(F.col("c")).alias("ok")).collect()[0]
     assert (r.n, r.ok) == (want, ok)
+
+
+def test_every_violation_is_found(spark):
+    """1,200 rows with a wrong order and one bad coordinate: the report names both, the table has every row."""
+    early, late = dt.datetime(2022, 1, 1), dt.datetime(2022, 6, 1)
+    columns = [S.ROLES[k] for k in ("ActivationDate", "DeployDate", "RecoverDate", "ValidUntilDate")]
+    data = [(i, early, late, early, dt.datetime(2022, 12, 1), "55.68079", "10.98065") for i in range(1, 1201)]
+    data.append((1201, early, early, late, late, "999", "10.98065"))
+    schema = ", ".join(["row_no long", *[f"{c} timestamp_ntz" for c in columns], f"{S.ROLES['Latitude']} string", f"{S.ROLES['Longitude']} string"])
+    df = spark.createDataFrame(data, schema)
+    missing = [c for c in S.DATETIMES if c not in df.columns]
+    found = P.violations(df.withColumns({c: F.lit(None).cast("timestamp_ntz") for c in missing}))
+    with pytest.raises(P.MetadataError) as error:
+        P.raise_on(found)
+    lines = str(error.value).split("\n")
+    assert lines.count("Deployment date must be before recovery date.") == 1
+    assert any(line.startswith("Row 1201: ") for line in lines)
+    table = spark.read.parquet(error.value.path)
+    assert table.count() == found.count() >= 1201
+
+
+def test_more_messages_than_are_shown(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHOWN", 3)
+    rows_ = [("V3", i, "A", f"Row {i}: A") for i in range(1, 11)] + [("V5", 99, "B", "Row 99: B")]
+    with pytest.raises(P.MetadataError, match="7 more of V3 A") as error:
+        P.raise_on(spark.createDataFrame(rows_, "check_id string, row_no long, column_name string, message string"))
+    assert "Row 99: B" in str(error.value) and error.value.path in str(error.value)
+    P.raise_on(spark.createDataFrame([], "check_id string, row_no long, column_name string, message string"))
+
+
+def test_sheet_cells_may_hold_line_breaks_and_quotes(spark, tmp_path):
+    (tmp_path / "sheet.csv").write_text('A,COMMENTS\n1,"two\nlines"\n2,"a ""quoted"" word"\n3,plain\n')
+    got = I.read_sheet(spark, str(tmp_path / "sheet.csv"))
+    assert rows(got, "row_no", "A", "COMMENTS") == [(1, "1", "two\nlines"), (2, "2", 'a "quoted" word'), (3, "3", "plain")]

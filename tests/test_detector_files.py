@@ -271,3 +271,114 @@ def test_filtered_click_counts(spark, tmp_path, monkeypatch, split):
     write(tmp_path, "x.FP1", 1024, parts)
     got = H.filtered_click_counts(listing(spark, tmp_path)).rows
     assert rows(got, "minute_no", "nall") == [(1, 1), (2, 0), (3, 1)]
+
+
+def listed(spark, *rows):
+    return spark.createDataFrame(rows, "pod_file string, path string, bytes long")
+
+
+def test_a_file_that_cannot_be_opened_for_another_reason_stops_the_job(spark, tmp_path):
+    """Only what stays so for ever is quarantined; the rest rises, so that Spark tries again."""
+    (tmp_path / "x.CP3").mkdir()
+    files = listed(spark, ("x", str(tmp_path / "x.CP3"), 800))
+    for read in (J.read_trains(files, "CP3"), J.read_click_counts(files), Q.read_records(files, "CP3"), Q.read_headers(files, "CP3")):
+        with pytest.raises(Exception, match="x.CP3"):
+            read.collect()
+
+
+def test_a_fault_on_the_first_try_is_gone_on_the_second(spark, tmp_path):
+    """A reader that fails with a time-out raises; read again, the range gives all of its records."""
+    from clickloom.layout import LAYOUTS
+
+    write(tmp_path, "x.CP1", 360, [CP1_MINUTE, CP1_CLICK])
+    opened, tries = Q._open, []
+
+    def flaky(path):
+        tries.append(path)
+        if len(tries) == 1:
+            raise TimeoutError("store did not answer")
+        return opened(path)
+
+    Q._open = flaky
+    try:
+        with pytest.raises(TimeoutError):
+            list(Q.record_blocks(str(tmp_path / "x.CP1"), LAYOUTS["CP1"], 0, 2))
+        assert [len(b) for _, b in Q.record_blocks(str(tmp_path / "x.CP1"), LAYOUTS["CP1"], 0, 2)] == [2]
+    finally:
+        Q._open = opened
+
+
+@pytest.mark.parametrize("path", ["wasbs://box@account/x.CP3", "oss://bucket/x.CP3"])
+def test_unknown_file_systems_stop_before_reading(spark, path):
+    files = listed(spark, ("x", path, 800))
+    for read in (lambda: J.read_trains(files, "CP3"), lambda: Q.read_records(files, "CP3"), lambda: Q.read_headers(files, "CP3")):
+        with pytest.raises(ValueError, match="cannot be read"):
+            read()
+
+
+@pytest.mark.parametrize("split", [120, 400, 1 << 20])
+def test_a_range_that_fails_takes_its_file_out_of_rows_and_status(spark, tmp_path, monkeypatch, split):
+    monkeypatch.setattr(J, "SPLIT_BYTES", split)
+    three, one = random_cpod(3)
+    for name in ("good", "cut"):
+        write(tmp_path, f"{name} 2024 05 01 POD1 file01.CP3", 760, three)
+        write(tmp_path, f"{name} 2024 05 01 POD1 file01.CP1", 360, one)
+    files = listing(spark, tmp_path)
+    grown = H.F.when(H.F.col("path").rlike("cut.*CP3$"), H.F.col("bytes") + 4000).otherwise(H.F.col("bytes"))
+    done = H.harmonise_cpod(files.withColumn("bytes", grown))
+    assert {r.pod_file[:4].strip(): r.status for r in done.status.collect()} == {"good": "OK", "cut": "FAILED"}
+    want = walk_cpod("good 2024 05 01 POD1 file01", three, one)
+    key = lambda r: (r[4], r[0], r[5])
+    assert sorted((tuple(r) for r in done.detections.collect()), key=key) == sorted(want, key=key)
+    trains = H.cpod_trains(files.withColumn("bytes", grown))
+    assert {r.pod_file[:4].strip(): r.status for r in trains.status.collect()} == {"good": "OK", "cut": "FAILED"}
+    assert {r.pod_file[:4] for r in trains.rows.collect()} <= {"good"}
+
+
+def test_a_bad_raw_file_leaves_the_train_file_in(spark, tmp_path):
+    three, one = random_cpod(5)
+    name = "R 2024 05 01 POD1 file01"
+    write(tmp_path, f"{name}.CP3", 760, three)
+    write(tmp_path, f"{name}.CP1", 360, one)
+    grown = H.F.when(H.F.col("path").endswith("CP1"), H.F.col("bytes") + 50).otherwise(H.F.col("bytes"))
+    done = H.harmonise_cpod(listing(spark, tmp_path).withColumn("bytes", grown))
+    status = done.status.collect()[0]
+    assert status.status == "PARTIAL" and "file ends inside" in status.error
+    want = walk_cpod(name, three, None)
+    key = lambda r: (r[4], r[0], r[5])
+    assert sorted((tuple(r) for r in done.detections.collect()), key=key) == sorted(want, key=key)
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_ranges_of_any_size_give_the_same_trains(spark, tmp_path, monkeypatch, held):
+    """Arrays and facts of trains do not depend on where ranges and minutes are cut."""
+    monkeypatch.setattr(J, "MAX_HELD", held)
+    random.seed(21)
+    parts = [timed(16, 5)]
+    for _ in range(5):
+        parts.append(record(16, b1=254, b4=50, b8=9, b9=1, b10=2))
+        for _ in range(random.choice([1, 6, 30])):
+            parts.append(record(16, b1=249, b15=random.randrange(256), b16=random.choice([1, 2])))
+            if random.random() < 0.8:
+                parts.append(timed(16, random.randrange(12_000_000)))
+    write(tmp_path, "F 2024 05 01 FPOD_1 file0.FP3", 1024, parts)
+    three, one = random_cpod(22)
+    write(tmp_path, "C 2024 05 01 POD1 file01.CP3", 760, three)
+    write(tmp_path, "C 2024 05 01 POD1 file01.CP1", 360, one)
+    got = []
+    for split in (48, 160, 1 << 20):
+        monkeypatch.setattr(J, "SPLIT_BYTES", split)
+        files = listing(spark, tmp_path)
+        both = [H.cpod_trains(files).rows, H.fpod_trains(files).rows]
+        got.append([sorted(map(str, (t.drop("minute_start").collect()))) for t in both])
+    assert got[0] == got[1] == got[2] and all(got[0])
+
+
+def test_fpod_plan_reads_once_and_shuffles_no_whole_minutes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "SPLIT_BYTES", 16)
+    write(tmp_path, "F 2024 05 01 FPOD_1 file0.FP3", 1024, [record(16, b1=254, b4=20), record(16, b1=249, b16=1), timed(16, 300)])
+    plan = H.V.parts(J.read_trains(listing(spark, tmp_path), "FP3"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    # The one shuffle after the read takes what a partial aggregate has left.
+    after = plan[: plan.index("MapInArrow")]
+    assert after.count("Exchange hashpartitioning") == 1 and "partial_count" in after

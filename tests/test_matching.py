@@ -143,3 +143,16 @@ def test_exact_name_flags(spark):
     meta = spark.createDataFrame([("a.CP3", 1), ("b.CP3", 2)], "POD_FILE string, n int")
     got = M.exact_name_flags(meta, files(spark, "a.CP3", "c.CP3"))
     assert rows(got, "POD_FILE", "n", "MATCH") == [("a.CP3", 1, "Y"), ("b.CP3", 2, "N"), ("c.CP3", None, "N")]
+
+
+def test_contains_drops_starts_of_serials_before_the_shuffle(spark):
+    files = spark.createDataFrame([(1, "X 2022 05 01 POD10234 file01.CP3"), (2, "X 2022 05 01 POD999 file01.CP3")], "sel_no long, name_ext string")
+    days = ["ACTIVATION_DATE_TIME", "DEPLOY_DATE_TIME", "VALID_DATA_UNTIL_DATE_TIME"]
+    sheet = spark.createDataFrame([(1, "C-POD-102")], "row_no long, RECEIVER string")
+    for c, day in zip(days, ("2022-04-01", "2022-04-02", "2022-06-01"), strict=True):
+        sheet = sheet.withColumn(c, F.lit(day).cast("timestamp_ntz"))
+    index = M.match_index(files, sheet, mode="contains")
+    assert rows(M.match_pairs(index), "row_no", "sel_no") == [(1, 1)]
+    plan = index.files._jdf.queryExecution().executedPlan().toString()
+    # Reading from the top: the semi-join comes before any exchange of the exploded starts.
+    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan[: plan.index("LeftSemi")]
