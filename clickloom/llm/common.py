@@ -13,8 +13,8 @@ __all__ = ["ORACLES", "QUERIES", "ascii_lower", "documents", "read", "register",
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Rows of one Arrow batch: a few MB of ordinary texts.
-BATCH_ROWS = 500
+# One Arrow batch: so many rows of ordinary texts, fewer of very long ones.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 # A side with more rows than this is never hinted for broadcast.
 BROADCAST_ROWS = 50_000
 
@@ -37,6 +37,7 @@ def register(name: str, sql: str | None = None):
 def tuned(spark: SparkSession) -> SparkSession:
     """Small Arrow batches, so that a task's memory follows a few documents and not thousands."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 SEGMENT = 2**16
 MIN_SLOTS, MAX_SLOTS = 2**20, 2**31  # 128 KB and 256 MB of each bitmap
-FLUSH = 2**21  # hashes a task gathers before it sends their slots
+FLUSH = 2**20  # slots a task gathers before it sends them: a few MB
 
 Batches = Iterator[pa.RecordBatch]
 Arrays = Callable[[Batches], Iterator[np.ndarray]]
@@ -41,20 +41,22 @@ def hash_arrays(batches: Batches) -> Iterator[np.ndarray]:
         yield batch.column(0).flatten().drop_null().to_numpy(zero_copy_only=False)
 
 
-def _touched(found: list[np.ndarray], slots: int, k: int) -> pa.RecordBatch:
-    every = np.sort(slots_of(np.concatenate(found), slots, k), axis=None)
-    first = np.concatenate([[True], every[1:] != every[:-1]])
-    unique, counts = every[first], np.diff(np.append(np.flatnonzero(first), len(every)))
-    segment = (unique // np.uint64(SEGMENT)).astype(np.int32)
-    places = (unique % np.uint64(SEGMENT)).astype(np.uint16)
-    again = counts > 1
-    ids, at = np.unique(segment, return_index=True)
-    ends = np.append(at[1:], len(segment))
+def _touched(found: list[np.ndarray]) -> pa.RecordBatch:
+    every = np.concatenate(found)
+    every.sort()
+    first = np.ones(len(every), bool)
+    np.not_equal(every[1:], every[:-1], out=first[1:])
+    at = np.flatnonzero(first).astype(np.int32)
+    unique = every[at]
+    again = np.diff(at, append=np.int32(len(every))) > 1
+    places = (unique % np.uint32(SEGMENT)).astype(np.uint16)
+    ids, start = np.unique(unique // np.uint32(SEGMENT), return_index=True)
+    ends = np.append(start[1:], len(unique))
     return pa.RecordBatch.from_pydict(
         {
-            "segment": ids,
-            "once": [places[a:b].tobytes() for a, b in zip(at, ends, strict=True)],
-            "twice": [places[a:b][again[a:b]].tobytes() for a, b in zip(at, ends, strict=True)],
+            "segment": ids.astype(np.int32),
+            "once": [places[a:b].tobytes() for a, b in zip(start, ends, strict=True)],
+            "twice": [places[a:b][again[a:b]].tobytes() for a, b in zip(start, ends, strict=True)],
         },
         schema=pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]),
     )
@@ -65,13 +67,13 @@ def _sender(arrays: Arrays, slots: int, k: int):
         found, n = [], 0
         for values in arrays(batches):
             if len(values):
-                found.append(values)
-                n += len(values)
+                found.append(slots_of(values, slots, k).astype(np.uint32).ravel())  # at most MAX_SLOTS
+                n += len(found[-1])
             if n >= FLUSH:
-                yield _touched(found, slots, k)
+                yield _touched(found)
                 found, n = [], 0
         if found:
-            yield _touched(found, slots, k)
+            yield _touched(found)
 
     return run
 
