@@ -27,16 +27,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that has an edge (a, b); the component is its smallest node."""
-    current = write_and_read(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), "components")
-    state = None
+    pairs = edges.select("a", "b").filter(F.col("a") != F.col("b"))
     while True:
-        large = _large_star(current)
-        small = _small_star(large).filter(F.col("a") != F.col("b")).distinct()
-        current = write_and_read(small, "components")
-        # Stars everywhere: each node once, and no centre is itself joined to another.
-        mark = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == mark:
+        small = _small_star(_large_star(pairs)).filter(F.col("a") != F.col("b")).distinct()
+        pairs = write_and_read(small, "components")
+        if _all_stars(pairs):
             break
-        state = mark
-    centres = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)
+    centres = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)
+
+
+def _all_stars(pairs: DataFrame) -> bool:
+    """Whether every node is either a centre or joined to exactly one centre."""
+    ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return ends.filter("out > 1 OR (out > 0 AND into > 0)").isEmpty()

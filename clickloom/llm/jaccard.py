@@ -5,16 +5,17 @@ Two nodes link at ``100 * intersection >= PERCENT * union``.
 
 Index. Shingles are ordered: those that only one document has come first (a bitmap over all documents tells which
 may occur twice), then by hash. Linked sets share a shingle in the first ``n - ceil(PERCENT n / 100) + 1`` places, so
-only those of these places that may occur twice are listed; most documents list nothing. A list is cut into blocks
-by size; a block is skipped when sizes, or the positions of the shingle, leave too few shingles for a link.
-
-Set relations. In each list block the smallest node is the leader. Every node is compared with the leader it shares
-most lists with; if they link it joins that leader's star and ``overlap`` is kept. After that nodes are no longer
-compared with nodes. Stars are: leaders that share a list and are not yet connected are compared once, and
-the answers of their members follow from ``|x & y| <= |Lx & Ly| + |x - Lx| + |y - Ly|`` and
-``|x & y| >= |Lx & Ly| - |Lx - x| - |Ly - y|``. A pair of stars that cannot hold a link by the first bound is skipped
-as a whole. Only members that both bounds leave open are compared, and only across components.
-So a group of m near copies costs m comparisons, and no link between different texts is lost.
+only those of these places that may occur twice are listed; most documents list nothing. Entries of a list are
+skipped against each other when their sizes, the places of the shingle, or a parity sketch of 512 bits (which differs in
+at most ``|x - y| + |y - x|`` bits) rule a link out.
+
+Set relations. In each list and size class the node with the smallest share of shingles of its own is the leader.
+Every node is compared with the leader it shares most lists with; if they link it joins that leader's star. Connected
+nodes are not compared again. For what is left open across components the leaders' overlap is counted once a
+pair of stars, and the answers of the members follow from ``|x & y| <= |Lx & Ly| + |x - Lx| + |y - Ly|`` and
+``|x & y| >= |Lx & Ly| - |Lx - x| - |Ly - y|``. Only members that both bounds leave open are counted themselves.
+Entries are first held against the few that follow them in a list, and what that connects is left out when
+all others follow. So a group of near copies costs a few comparisons a copy, and no link between different texts is lost.
 
 Edge cases: null text or text without words has the empty set, links with nothing and is its own component; with
 fewer than ``WORDS`` words the whole sequence is one shingle; a component of null ids only has a null
@@ -39,7 +40,10 @@ from clickloom.llm.components import components
 
 WORDS, PERCENT = 4, 85
 CHARS_PER_SLOT = 4  # of the bitmap: a shingle or two in each used slot at most
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
+SKETCH = 8  # words of 64 bits
+# Entries after it in a list that a node is compared with before it is compared with all that are left.
+NEIGHBOURS = 6
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -101,13 +105,19 @@ def _text_arrays(width: int):
     return run
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall on each of 512 bits. Two sketches differ in at most ``|x ^ y|`` bits."""
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _lister(width: int, percent: int, shared, slots: int):
-    """(doc_id, node, n, tokens, places): places of a document's prefix that may occur in another one."""
+    """(doc_id, node, n, once, tokens, sketch): a document's listed shingles, and how many come before them."""
 
     def run(batches: Batches) -> Batches:
         shingle, bits = Shingler(width), np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            nodes, sizes, tokens, places = [], [], [], []
+            nodes, sizes, first, tokens, sketches = [], [], [], [], []
             for text in batch.column("text"):
                 s = shingle(text.as_py())
                 again = seen.suspects(s.view(np.int64), bits, slots, 1)
@@ -115,17 +125,21 @@ def _lister(width: int, percent: int, shared, slots: int):
                 listed = s[again][: max(0, prefix_length(len(s), percent) - once)] if len(s) else s
                 nodes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sizes.append(len(s))
+                first.append(once)
                 tokens.append(listed.view(np.int64))
-                places.append(np.arange(once, once + len(listed), dtype=np.int32))
-            ends = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
-            flat = [np.concatenate([np.empty(0, kind), *parts]) for kind, parts in ((np.int64, tokens), (np.int32, places))]
-            columns = [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32())]
-            columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in flat]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "tokens", "places"])
+                sketches.append(sketch(s) if len(listed) else np.empty(0, np.int64))
+            columns = [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(first, pa.int32())]
+            columns += [_lists(tokens), _lists(sketches)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "once", "tokens", "sketch"])
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+
+
 def _set_maker(width: int, shared, slots: int):
     """(node, shingles) of the documents whose key is in the bitmap."""
 
@@ -172,17 +186,20 @@ class Join:
         again = seen.bitmap(self.docs.select("text"), slots, 1, arrays=_text_arrays(self.width))
         shared = self.spark.sparkContext.broadcast(again)  # at most MAX_SLOTS bits
         id_type = self.docs.schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {id_type}, node binary, n int, tokens array<long>, places array<int>"
+        schema = f"doc_id {id_type}, node binary, n int, once int, tokens array<long>, sketch array<long>"
         return write_and_read(self.docs.mapInArrow(_lister(self.width, self.percent, shared, slots), schema), "jaccard-members")
 
     def postings(self, members: DataFrame) -> DataFrame:
-        """(token, node, n, place) of the shingles that several nodes list."""
-        entries = members.filter(F.size("tokens") > 0).select("node", "n", F.explode(F.arrays_zip("tokens", "places")).alias("e"))
-        entries = entries.select(F.col("e.tokens").alias("token"), "node", "n", F.col("e.places").alias("place"))
-        entries = write_and_read(entries.dropDuplicates(["token", "node"]), "jaccard-entries")
+        """(token, node, n, place, once, sketch) of the shingles that several nodes list."""
+        nodes = members.filter(F.size("tokens") > 0).groupBy("node").agg(F.first(F.struct("n", "once", "tokens", "sketch")).alias("of"))
+        nodes = write_and_read(nodes.select("node", "of.*"), "jaccard-nodes")
+        entries = nodes.select("node", "n", "once", F.posexplode("tokens").alias("at", "token"))
         lists = entries.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         shared = lists.filter(F.col("lo") != F.col("hi")).select("token")
-        return write_and_read(entries.join(shared, "token", "left_semi"), "jaccard-postings")
+        shared = entries.join(shared, "token", "left_semi")
+        sketches = nodes.select("node", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)])
+        placed = shared.select("token", "node", "n", "once", (F.col("once") + F.col("at")).alias("place"))
+        return write_and_read(placed.join(sketches, "node"), "jaccard-postings")
 
     def sets(self, members: DataFrame, postings: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes that share a list, each once."""
@@ -208,24 +225,32 @@ class Join:
     def _links(self, overlap: Column, a: Column, b: Column) -> Column:
         return overlap >= least_overlap(a, b, self.percent)
 
-    def _near(self, n1: str, p1: str, n2: str, p2: str) -> Column:
-        """Whether two entries of a list may belong to a link that has its first shingle in common there."""
-        left = F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2))
-        return self._links(left, F.col(n1), F.col(n2)) & self._links(F.least(n1, n2), F.col(n1), F.col(n2))
+    def _near(self, a: str, b: str, of: dict[str, Column] | None = None) -> Column:
+        """Whether two entries of a list may belong to a link that has its first shingle in common there.
+
+        Sizes, places and sketches can only rule a link out. Columns are named by side, or taken from ``of``.
+        """
+        get = of.__getitem__ if of else F.col
+        na, nb = get(f"n{a}"), get(f"n{b}")
+        left = F.least(na - get(f"place{a}"), nb - get(f"place{b}"))
+        apart = sum((F.bit_count(get(f"s{i}{a}").bitwiseXOR(get(f"s{i}{b}"))) for i in range(SKETCH)), F.lit(0))
+        return self._links(F.least(na, nb), na, nb) & self._links(left, na, nb) & (apart <= na + nb - least_overlap(na, nb, self.percent) * 2)
 
     def stars(self, postings: DataFrame, sets: DataFrame) -> DataFrame:
         """(node, n, leader, ln, overlap): every node of the lists with the leader it links with, or itself."""
         size = F.floor(F.log(F.col("n").cast("double")) / -math.log(self.percent / 100)).cast("int")
         entries = postings.withColumn("size", size)
-        lead = entries.groupBy("token", "size").agg(F.min(F.struct("node", "n", "place")).alias("lead"))
-        votes = entries.join(lead, ["token", "size"]).select(
-            "node", "n", "place", F.col("lead.node").alias("leader"), F.col("lead.n").alias("ln"), F.col("lead.place").alias("lp")
-        )
-        votes = votes.filter((F.col("node") != F.col("leader")) & self._near("n", "place", "ln", "lp"))
-        votes = votes.groupBy("node", "leader").agg(F.count("*").alias("votes"), F.first("n").alias("n"), F.first("ln").alias("ln"))
-        choice = F.max(F.struct("votes", F.struct("leader", "ln"))).alias("best")
-        chosen = votes.groupBy("node", "n").agg(choice)
-        chosen = chosen.select("node", "n", F.col("best.col2.leader").alias("leader"), F.col("best.col2.ln").alias("ln"))
+        # The leader is the node with the smallest share of shingles of its own: the likely centre of a family.
+        own = [c for c in postings.columns if c not in ("token", "once")]
+        centre = F.struct((F.col("once") / F.col("n")).alias("share"), *own)
+        lead = entries.groupBy("token", "size").agg(F.min(centre).alias("lead"))
+        lead = lead.select("token", "size", *[F.col(f"lead.{c}").alias(f"{c}_l") for c in own])
+        votes = entries.join(lead, ["token", "size"]).withColumnsRenamed({c: f"{c}_x" for c in own})
+        votes = votes.filter((F.col("node_x") != F.col("node_l")) & self._near("_x", "_l"))
+        votes = votes.groupBy(F.col("node_x").alias("node"), F.col("n_x").alias("n"), F.col("node_l").alias("leader"), F.col("n_l").alias("ln"))
+        votes = votes.agg(F.count("*").alias("votes"))
+        best = F.max(F.struct("votes", "leader", "ln")).alias("best")
+        chosen = votes.groupBy("node", "n").agg(best).select("node", "n", "best.leader", "best.ln")
         chosen = write_and_read(chosen, "jaccard-choices")
         done = self.compared(chosen.select(F.col("node").alias("a"), F.col("leader").alias("b")), sets)
         joined = chosen.join(done.withColumnsRenamed({"a": "node", "b": "leader"}), ["node", "leader"])
@@ -234,51 +259,67 @@ class Join:
         rest = rest.select("node", "n", F.col("node").alias("leader"), F.col("n").alias("ln"), F.col("n").alias("overlap"))
         return write_and_read(linked.select(rest.columns).unionByName(rest), "jaccard-stars")
 
-    def leader_pairs(self, postings: DataFrame, stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of stars that may hold a link between unconnected nodes, with their leaders' overlap."""
-        of = stars.select("node", "leader", (F.col("n") - F.col("overlap")).alias("extra"))
-        placed = postings.join(of, "node")
-        blocks = placed.groupBy("token", "leader").agg(
-            F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("place")).alias("left")
+    def _neighbours(self, placed: DataFrame) -> DataFrame:
+        """Pairs (a, b) of entries that follow each other closely in a list, in an order of its own."""
+        entry = F.struct(*[F.col(c) for c in placed.columns if c != "token"])
+        order = W.partitionBy("token").orderBy(F.xxhash64("token", "node"))
+        with_next = placed.withColumn("next", F.array(*[F.lead(entry, i).over(order) for i in range(1, NEIGHBOURS + 1)]))
+
+        def near(x: Column) -> Column:
+            sides = {**{f"{c}_a": F.col(c) for c in placed.columns}, **{f"{c}_b": x[c] for c in placed.columns if c != "token"}}
+            return x.isNotNull() & (sides["component_a"] != sides["component_b"]) & self._near("_a", "_b", sides)
+
+        pair = lambda x: F.struct(x["node"].alias("node"), x["n"].alias("n"))
+        met = with_next.select("node", "n", F.explode(F.transform(F.filter("next", near), pair)).alias("other"))
+        return met.select(F.col("node").alias("a"), F.col("other.node").alias("b"), F.col("n").alias("n_a"), F.col("other.n").alias("n_b"))
+
+    def neighbour_links(self, postings: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between close entries of different stars. They connect most of a family at a few comparisons a node."""
+        placed = postings.drop("once").join(stars.select("node", F.col("leader").alias("component")), "node")
+        pairs = write_and_read(self._neighbours(placed).dropDuplicates(["a", "b"]), "jaccard-pairs")
+        done = self.compared(pairs, sets).join(pairs, ["a", "b"])
+        return done.filter(self._links(F.col("overlap"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+    def open_pairs(self, postings: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs (a, b) of unconnected nodes that may link, with sizes, leaders and overlaps with their leaders."""
+        nodes = _labelled(stars.drop("n"), labels, "node", "component")
+        placed = postings.drop("once").join(nodes, "node")
+        mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        mixed = mixed.filter(F.col("lo") != F.col("hi")).select("token")
+        # Written, so that the join below deals its rows itself and can split a frequent shingle.
+        placed = write_and_read(placed.join(mixed, "token", "left_semi"), "jaccard-open")
+        one, two = (placed.select("token", *[F.col(c).alias(f"{c}_{i}") for c in placed.columns if c != "token"]) for i in "ab")
+        pairs = one.join(two, "token").filter(
+            (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & self._near("_a", "_b")
         )
-        blocks = _labelled(blocks, labels, "leader", "component")
-        blocks = write_and_read(blocks, "jaccard-blocks")
-        many = blocks.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        blocks = blocks.join(many.filter(F.col("lo") != F.col("hi")).select("token"), "token", "left_semi")
-        one, two = (blocks.select("token", *[F.col(c).alias(f"{c}{i}") for c in blocks.columns if c != "token"]) for i in (1, 2))
-        need = least_overlap(F.col("least1"), F.col("least2"), self.percent)
-        sizes = (F.col("least1") * self.percent <= F.col("most2") * 100) & (F.col("least2") * self.percent <= F.col("most1") * 100)
-        near = sizes & (F.least("left1", "left2") >= need) & (F.col("component1") != F.col("component2"))
-        pairs = one.join(two, "token").filter((F.col("leader1") < F.col("leader2")) & near)
-        pairs = write_and_read(pairs.select(F.col("leader1").alias("a"), F.col("leader2").alias("b")).distinct(), "jaccard-leaders")
-        star = stars.groupBy("leader").agg(
-            F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("overlap")).alias("extra"), F.first("ln").alias("ln")
+        known = [F.col(f"{c}_{i}") for c in ("n", "leader", "ln", "overlap") for i in "ab"]
+        pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *known)
+        return write_and_read(pairs.dropDuplicates(["a", "b"]), "jaccard-pairs")
+
+    def open_links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (a, b) of open pairs: derived from the answers of their leaders, counted where these leave it open.
+
+        The overlap of two leaders is counted once a pair of stars.
+        """
+        leaders = pairs.select(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).distinct()
+        answers = self.compared(leaders, sets)
+        answers = answers.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), F.col("overlap").alias("answer"))
+        n_a, n_b = F.col("n_a"), F.col("n_b")
+        top = F.col("answer") + (n_a - F.col("overlap_a")) + (n_b - F.col("overlap_b"))
+        floor = F.col("answer") - (F.col("ln_a") - F.col("overlap_a")) - (F.col("ln_b") - F.col("overlap_b"))
+        known = pairs.join(answers, ["leader_a", "leader_b"]).withColumns(
+            {
+                "joined": self._links(F.col("answer"), F.col("ln_a"), F.col("ln_b")),  # then so are all members
+                "sure": self._links(floor, n_a, n_b),
+                "possible": self._links(top, n_a, n_b),
+            }
         )
-        known = self.compared(pairs, sets)
-        for side in "ab":
-            known = known.join(star.select([F.col(c).alias(side if c == "leader" else f"{c}_{side}") for c in star.columns]), side)
-        need = least_overlap(F.col("least_a"), F.col("least_b"), self.percent)
-        known = known.withColumn("linked", self._links(F.col("overlap"), F.col("ln_a"), F.col("ln_b")))
-        open_ = F.col("overlap") + F.col("extra_a") + F.col("extra_b") >= need
-        return write_and_read(known.filter(F.col("linked") | open_).select("a", "b", "overlap", "linked"), "jaccard-star-pairs")
-
-    def member_links(self, postings: DataFrame, stars: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links (a, b) between members of pairs of stars whose leaders do not link."""
-        of = stars.select("node", "leader", "ln", F.col("overlap").alias("own"))
-        placed = postings.join(of, "node")
-        one, two = (placed.select("token", *[F.col(c).alias(f"{c}{i}") for c in placed.columns if c != "token"]) for i in (1, 2))
-        tried = one.join(pairs.select(F.col("a").alias("leader1"), F.col("b").alias("leader2"), "overlap"), "leader1")
-        tried = tried.join(two, ["token", "leader2"]).filter(self._near("n1", "place1", "n2", "place2"))
-        top = F.col("overlap") + F.col("n1") - F.col("own1") + F.col("n2") - F.col("own2")
-        floor = F.col("overlap") - (F.col("ln1") - F.col("own1")) - (F.col("ln2") - F.col("own2"))
-        tried = tried.filter(self._links(top, F.col("n1"), F.col("n2")))
-        tried = tried.select(
-            F.col("node1").alias("a"), F.col("node2").alias("b"), "n1", "n2", self._links(floor, F.col("n1"), F.col("n2")).alias("sure")
-        )
-        tried = write_and_read(tried.dropDuplicates(["a", "b"]), "jaccard-member-pairs")
-        sure = tried.filter("sure").select("a", "b")
-        done = self.compared(tried.filter("not sure"), sets).join(tried.filter("not sure"), ["a", "b"])
-        return sure.unionByName(done.filter(self._links(F.col("overlap"), F.col("n1"), F.col("n2"))).select("a", "b"))
+        known = write_and_read(known.select("a", "b", "n_a", "n_b", "leader_a", "leader_b", "joined", "sure", "possible"), "jaccard-answers")
+        joined = known.filter("joined").select(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).distinct()
+        sure = known.filter("sure AND NOT joined").select("a", "b")
+        left = known.filter("possible AND NOT sure AND NOT joined").select("a", "b", "n_a", "n_b")
+        counted = self.compared(left, sets).join(left, ["a", "b"]).filter(self._links(F.col("overlap"), n_a, n_b))
+        return joined.unionByName(sure).unionByName(counted.select("a", "b"))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), one row per document."""
@@ -287,14 +328,12 @@ class Join:
         sets = self.sets(members, postings)
         stars = self.stars(postings, sets)
         edges = stars.filter(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        edges = write_and_read(edges.unionByName(self.neighbour_links(postings, stars, sets)), "jaccard-edges")
         labels = components(edges)
-        pairs = self.leader_pairs(postings, stars, labels, sets)
-        edges = write_and_read(edges.unionByName(pairs.filter("linked").select("a", "b")), "jaccard-edges")
-        labels = components(edges)
-        apart = _labelled(_labelled(pairs.filter("not linked"), labels, "a", "ca"), labels, "b", "cb").filter("ca != cb")
-        apart = write_and_read(apart, "jaccard-apart")
-        if not apart.isEmpty():
-            labels = components(edges.unionByName(self.member_links(postings, stars, apart, sets)))
+        pairs = self.open_pairs(postings, stars, labels)
+        if not pairs.isEmpty():
+            more = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(self.open_links(pairs, sets))
+            labels = components(more)
         return self.result(members, labels)
 
     def result(self, members: DataFrame, labels: DataFrame) -> DataFrame:
