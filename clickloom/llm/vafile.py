@@ -31,7 +31,7 @@ SCALE = 256
 CELL = 16
 K = 5
 EVERY = 50
-QUERY_BLOCK = 8192
+QUERY_BLOCK = 32_768
 DATA_BLOCK = 2048
 TILE = 512  # queries whose bounds are in memory at once
 LIMIT = 2**24  # of a scaled component; sums of up to 2**15 products then fit a long
