@@ -2,17 +2,18 @@
 
 A node that holds ``k`` shards is cut along the dimension in which its documents spread most (range over the
 range of the whole table) at the weighted quantile ``floor(k / 2) / k`` of bytes, until each node is one shard
-of the target bytes. All nodes of a level are cut at once. The quantile comes from three histograms of 1,024
-buckets: one of the coordinate, then, inside the bucket of the cut, one of a hash of the text and one of a hash
-of the id. So a cut through a frequent coordinate value parts no group of equal texts but the one it falls in,
-and a group of copies larger than a shard is split. What reaches the driver is one row per node.
+of the target bytes. All nodes of a level are cut at once. The quantile comes from histograms of 1,024 buckets: one of
+the coordinate, then, inside the bucket of the cut, three of the bits of a hash of the text. Documents with equal
+texts have the metadata of the first of them, so a cut parts no group of copies, unless the group that it falls on
+weighs more than ``WHOLE_GROUP`` of a shard; then a histogram of a hash of the id parts the group. What reaches the
+driver is one row per node.
 
 Slots: documents of a shard are ordered by the hash of the id. Shards are cut into ranges of this hash, so no
 window runs over a whole shard.
 
 Edge cases: null or empty text has 1 byte of size and CRC-32 0; null metadata is the lowest coordinate; equal rows
-are separate documents that the last histogram cannot part; an empty table gives an empty result. Only the
-named columns are read, so further ones may have any name.
+are separate documents that no histogram can part; an empty table gives an empty result. Only the named columns are
+read, so further ones may have any name.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from clickloom.llm.common import documents, register, write_and_read
 
 BINS = 1024
+LEVELS = 5  # histograms of one cut: coordinate, three times ten bits of the text's hash, the id's hash
+WHOLE_GROUP = 1 / 16
 SLOT_ROWS = 20_000
 MAX_SHARDS = 4096  # nodes of one level, which the driver holds
 
@@ -37,48 +40,55 @@ def _prefix_number(text: Column) -> Column:
 def metadata(docs: DataFrame) -> DataFrame:
     """One narrow row per document: size, checksum, coordinates and the two hashes that break ties."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    rows = docs.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.array(
-            F.log2((F.octet_length(text) + 1).cast("double")),
-            _prefix_number(F.col("source")),
-            _prefix_number(F.col("lang")),
-            F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)),
-        ).alias("at"),
+        _prefix_number(F.col("source")).alias("source"),
+        _prefix_number(F.col("lang")).alias("lang"),
         F.xxhash64(F.lit(1), text).alias("h1"),
         F.xxhash64(F.lit(2), F.col("doc_id")).alias("h2"),
-        F.lit(0).alias("node"),
     )
+    rows = write_and_read(rows, "kd-rows")
+    shared = rows.groupBy("h1").agg(
+        F.struct(
+            F.log2(F.first("size").cast("double")).alias("d0"),
+            F.min("source").alias("d1"),
+            F.min("lang").alias("d2"),
+            F.coalesce(F.min("doc_id").cast("double"), F.lit(-1.0)).alias("d3"),
+        ).alias("at")
+    )
+    placed = rows.drop("source", "lang").join(shared, "h1")
+    return placed.select("doc_id", "size", "text_crc32", "h1", "h2", F.array(*[F.col(f"at.d{i}") for i in range(DIMS)]).alias("at"), F.lit(0).alias("node"))
 
 
 DIMS = 4
+_CUT = [f"c{i}" for i in range(LEVELS)]
 
 
-def _top_bits(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 54).cast("int")
+def _ten_bits(h: Column, at: int) -> Column:
+    return F.shiftrightunsigned(h, 54 - 10 * at).bitwiseAND(F.lit(1023)).cast("int")
 
 
 def _with_cuts(nodes: DataFrame, cuts: list[tuple]) -> DataFrame:
     """Join the cuts of one level: at most MAX_SHARDS rows."""
     spark = nodes.sparkSession
-    schema = "node int, dim int, low double, width double, c0 int, c1 int, c2 int, here boolean"
+    schema = "node int, dim int, low double, width double, " + ", ".join(f"{c} int" for c in _CUT)
     return nodes.join(F.broadcast(spark.createDataFrame(cuts, schema)), "node")
 
 
 def _bins() -> list[Column]:
     scaled = F.try_divide(F.element_at("at", F.col("dim") + 1) - F.col("low"), F.col("width")) * BINS
     coordinate = F.when(F.col("width") > 0, F.least(F.floor(scaled), F.lit(BINS - 1))).otherwise(0).cast("int")
-    return [coordinate, _top_bits(F.col("h1")), _top_bits(F.col("h2"))]
+    return [coordinate, *[_ten_bits(F.col("h1"), i) for i in range(LEVELS - 2)], _ten_bits(F.col("h2"), 0)]
 
 
 def _children(nodes: DataFrame, cuts: list[tuple]) -> DataFrame:
-    """Node numbers of the next level: below the cut 2 n, above it 2 n + 1."""
-    b0, b1, b2 = _bins()
-    key, at = F.struct(b0.alias("a"), b1.alias("b"), b2.alias("c")), F.struct(F.col("c0").alias("a"), F.col("c1").alias("b"), F.col("c2").alias("c"))
-    left = (key < at) | (F.col("here") & (key == at))
-    return _with_cuts(nodes, cuts).withColumn("node", F.col("node") * 2 + F.when(left, 0).otherwise(1)).drop("dim", "low", "width", "c0", "c1", "c2", "here")
+    """Node numbers of the next level: below the cut 2 n, from it on 2 n + 1."""
+    key = F.struct(*[b.alias(f"k{i}") for i, b in enumerate(_bins())])
+    cut = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(_CUT)])
+    side = F.when(key < cut, 0).otherwise(1)
+    return _with_cuts(nodes, cuts).withColumn("node", F.col("node") * 2 + side).drop("dim", "low", "width", *_CUT)
 
 
 def _level(nodes: DataFrame, shards: dict[int, int], spread: list[float] | None) -> tuple[list[tuple], list[float]]:
@@ -89,24 +99,28 @@ def _level(nodes: DataFrame, shards: dict[int, int], spread: list[float] | None)
     stats = nodes.groupBy("node").agg(*aggs).collect()
     if spread is None:
         spread = [max((r[f"u{d}"] - r[f"l{d}"] for r in stats), default=0.0) for d in range(DIMS)]
-    cuts, goal = {}, {}
+    cuts, goal, share = {}, {}, {}
     for r in stats:
         k = shards[r["node"]]
         if k < 2:
-            cuts[r["node"]] = [r["node"], 0, 0.0, 0.0, BINS, 0, 0, False]  # all stays below
+            cuts[r["node"]] = [r["node"], 0, 0.0, 0.0, BINS, 0, 0, 0, 0]  # all stays below
             continue
         widths = [(r[f"u{d}"] - r[f"l{d}"]) / spread[d] if spread[d] > 0 else 0.0 for d in range(DIMS)]
         d = max(range(DIMS), key=lambda d: widths[d])
-        cuts[r["node"]] = [r["node"], d, r[f"l{d}"], r[f"u{d}"] - r[f"l{d}"], 0, 0, 0, False]
-        goal[r["node"]] = r["size"] * (k // 2) / k
-    before = {n: 0 for n in goal}
-    for depth in range(3):
-        known = _with_cuts(nodes, [tuple(c) for n, c in cuts.items() if n in goal])
-        bins = _bins()
+        cuts[r["node"]] = [r["node"], d, r[f"l{d}"], r[f"u{d}"] - r[f"l{d}"], *[0] * LEVELS]
+        goal[r["node"]], share[r["node"]] = r["size"] * (k // 2) / k, r["size"] / k
+    before, cell = dict.fromkeys(goal, 0), dict.fromkeys(goal, 0)
+    open_ = set(goal)
+    for depth in range(LEVELS):
+        if depth == LEVELS - 1:  # the cell is one group of copies, or very few texts
+            open_ = {n for n in open_ if cell[n] > WHOLE_GROUP * share[n]}
+        if not open_:
+            break
+        known, bins = _with_cuts(nodes, [tuple(cuts[n]) for n in open_]), _bins()
         for i in range(depth):
             known = known.filter(bins[i] == F.col(f"c{i}"))
         sums = known.groupBy("node", bins[depth].alias("bin")).agg(F.sum("size").alias("size"))
-        bounds = known.sparkSession.createDataFrame([(n, float(goal[n] - before[n])) for n in goal], "node int, goal double")
+        bounds = known.sparkSession.createDataFrame([(n, float(goal[n] - before[n])) for n in open_], "node int, goal double")
         order = W.partitionBy("node").orderBy("bin")
         upto = sums.withColumn("upto", F.sum("size").over(order)).withColumn("most", F.max("bin").over(W.partitionBy("node")))
         at = (F.col("upto") >= F.col("goal")) | (F.col("bin") == F.col("most"))
@@ -114,9 +128,12 @@ def _level(nodes: DataFrame, shards: dict[int, int], spread: list[float] | None)
         for r in found.collect():
             n, f = r["node"], r["f"]
             cuts[n][4 + depth] = f["bin"]
-            before[n] += f["upto"] - f["size"]
-            if depth == 2:
-                cuts[n][7] = abs(before[n] + f["size"] - goal[n]) < abs(goal[n] - before[n])
+            before[n], cell[n] = before[n] + f["upto"] - f["size"], f["size"]
+    for n in goal:
+        # The last cell goes to the nearer side as a whole.
+        below = abs(before[n] + cell[n] - goal[n]) < abs(goal[n] - before[n])
+        last = cuts[n][4 + LEVELS - 1] if n in open_ else 0
+        cuts[n][4 + LEVELS - 1] = (last + 1 if n in open_ else BINS) if below else last
     return [tuple(c) for c in cuts.values()], spread
 
 

@@ -12,7 +12,9 @@ from tests.llm.conftest import frame
 def plain_tree(rows, shards):
     """The same tree over lists: rows are (coordinates, h1, h2, size)."""
     spread = [max(r[0][d] for r in rows) - min(r[0][d] for r in rows) for d in range(sharding.DIMS)]
-    top = lambda h: (h % 2**64) >> 54
+
+    def bits(h, at):
+        return (h % 2**64 >> (54 - 10 * at)) & 1023
 
     def split(rows, k):
         if k < 2 or not rows:
@@ -20,20 +22,39 @@ def plain_tree(rows, shards):
         low = [min(r[0][d] for r in rows) for d in range(sharding.DIMS)]
         width = [max(r[0][d] for r in rows) - low[d] for d in range(sharding.DIMS)]
         d = max(range(sharding.DIMS), key=lambda d: width[d] / spread[d] if spread[d] else 0.0)
-        bin_ = lambda r: min(sharding.BINS - 1, int((r[0][d] - low[d]) / width[d] * sharding.BINS)) if width[d] else 0
+
+        def key(r):
+            at = min(sharding.BINS - 1, int((r[0][d] - low[d]) / width[d] * sharding.BINS)) if width[d] else 0
+            return (at, *(bits(r[1], i) for i in range(3)))
+
+        total = sum(r[3] for r in rows)
         cells = {}
         for r in rows:
-            cells.setdefault((bin_(r), top(r[1]), top(r[2])), []).append(r)
-        goal, before, left, right = sum(r[3] for r in rows) * (k // 2) / k, 0, [], []
-        ordered, open_ = sorted(cells), True
-        for key in ordered:
-            size = sum(r[3] for r in cells[key])
-            if open_ and before + size >= goal:
-                here = abs(before + size - goal) < abs(goal - before)
-                (left if here else right).extend(cells[key])
-                open_ = False
+            cells.setdefault(key(r), []).append(r)
+        goal, before, left, right = total * (k // 2) / k, 0, [], []
+        for at in sorted(cells):
+            size = sum(r[3] for r in cells[at])
+            if right or before >= goal:
+                right += cells[at]
+            elif before + size < goal:
+                left += cells[at]
             else:
-                (left if open_ else right).extend(cells[key])
+                parts = [cells[at]]
+                if size > sharding.WHOLE_GROUP * total / k:
+                    parts = [[r for r in cells[at] if bits(r[2], 0) == i] for i in range(1024)]
+                inner, closed = before, False
+                for part in parts:
+                    weight = sum(r[3] for r in part)
+                    if closed:
+                        right += part
+                    elif inner + weight < goal:
+                        left += part
+                    elif part:
+                        (left if abs(inner + weight - goal) < abs(goal - inner) else right).extend(part)
+                        closed = True
+                    inner += weight
+                before = max(goal, before + size)
+                continue
             before += size
         return split(left, k // 2) + split(right, k - k // 2)
 
@@ -65,6 +86,19 @@ def test_bytes_are_near_equal_and_slots_are_dense(spark, monkeypatch):
         assert sorted(r["slot"] for r in own) == list(range(len(own)))
 
 
+def test_copies_stay_together(spark):
+    random.seed(8)
+    texts = [f"text {i} " * random.randint(1, 30) for i in range(2000)]
+    docs = frame(spark, [(i, random.choice(texts), random.choice(["en", "de"]), f"s{i % 9}", 0) for i in range(6000)])
+    rows = sharding.shard(docs, shards=16).collect()
+    by_text, mean = {}, sum(r["size"] for r in rows) / 16
+    for r in rows:
+        by_text.setdefault(r["text_crc32"], set()).add(r["shard"])
+    assert all(len(shards) == 1 for shards in by_text.values())
+    sums = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(16)]
+    assert max(sums) < 1.06 * mean and min(sums) > 0.94 * mean
+
+
 def test_a_group_of_copies_larger_than_a_shard_is_split(spark):
     docs = frame(spark, [(i, "copy " * 20 if i % 3 else f"text {i} " * 12, "en", "s", 0) for i in range(3000)])
     rows = sharding.shard(docs, shards=8).collect()
