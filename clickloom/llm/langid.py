@@ -58,8 +58,11 @@ def fit(docs: DataFrame) -> Model:
     )
     known = known.select("lang", "text", F.xxhash64("text").alias("h"))
     hashes = known.groupBy("lang", "h").agg(F.count("*").alias("n"))
-    first = W.partitionBy("lang").orderBy("h")
-    picked = hashes.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= SAMPLE_TEXTS).select("lang", "h")
+    # The smallest hashes of each of 64 parts of a language first, so that no task gets a whole language.
+    picked = hashes
+    for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
+        first = W.partitionBy(*part).orderBy("h")
+        picked = picked.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= SAMPLE_TEXTS).select("lang", "h")
     top = hashes.groupBy("lang").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
     sample = picked.join(F.broadcast(top), "lang")  # at most SAMPLE_TEXTS * MAX_LANGUAGES rows
     start = F.pmod(F.col("h"), F.greatest(F.length("text") - SLICE_CHARS, F.lit(1))).cast("int") + 1
