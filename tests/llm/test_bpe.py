@@ -6,7 +6,7 @@ import random
 import pytest
 
 from clickloom.llm import bpe
-from tests.llm.conftest import AWKWARD, clashing_kept, frame
+from tests.llm.conftest import AWKWARD, clashing_kept
 
 tokenizers = pytest.importorskip("public_tokenizers")
 PATH, PATTERN = bpe.default_tokenizer()
