@@ -13,7 +13,7 @@ FLOOR_AMPLITUDE = 384
 
 
 def _rise_time(peak: Column) -> Column:
-    """Rise time code of a clipped peak: three ramps, steps 4, 2 and 1."""
+    """Rise time code of a clipped peak: three ramps, steps 4, 2 and 1 (fixed values)."""
     return (
         F.when(peak < 232, 32 + (231 - peak) * 4).when(peak < 240, 16 + (239 - peak) * 2).otherwise(255 - peak)
     )
@@ -29,6 +29,7 @@ def clipped_amplitudes(spark: SparkSession) -> DataFrame:
     ipis = F.explode(F.sequence(F.lit(IPI_RANGE[0]), F.lit(IPI_RANGE[1])))
     grid = spark.range(1).select(peaks.alias("raw_peak")).select("raw_peak", ipis.alias("ipi"))
     rise = _rise_time(F.col("raw_peak")).cast("double")
+    # Fixed values of the curve.
     curve = F.round(F.pow(4000.0 / F.col("ipi"), -0.75) * F.pow(F.lit(10.0), 5.24 * F.pow(rise, -0.11)))
     ceiling = F.col("ipi") * CEILING_PER_IPI
     # Rise time 0 means an infinite curve value, hence the ceiling.

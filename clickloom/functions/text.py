@@ -86,6 +86,7 @@ def coordinate_ok(c: Column) -> Column:
 # Patterns tried in order before the slash-date rule (fixed values).
 COMMON_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss", "dd-MMM-yyyy HH:mm:ss")
 TIME_SUFFIXES = (" H:mm:ss", " H:mm", "")
+# Messages of the date check (fixed values).
 DATE_TOO_EARLY = "Date earlier than allowed minimum."
 DATE_INVALID = "- Invalid datetime format. Please use format: yyyy-MM-ddTHH:mm:ssZ."
 

@@ -14,6 +14,19 @@ from clickloom.session import write_and_read
 STEM = ["stem", "family"]
 
 
+# Texts of the reports (fixed values).
+PAIR_MESSAGE = (
+    "Found %d problematic file(s): %d with multiple CP/FP tokens in the filename, "
+    "%d lacking a matching pair (.CP1/.CP3 or .FP1/.FP3).\nSee the 'missing' list for full paths."
+)
+UNKNOWN_KIND = "Extension kind not recognized as '1' or '3'."
+LACKS_KINDS = "Variant lacks both kinds (N=%d, HasKinds=%d)."
+WORSE_VARIANT = (
+    "Dedup by pair: this variant SumScore=%s, SumBytes=%s, MinScore=%s; "
+    'best variant "%s" SumScore=%s, SumBytes=%s, MinScore=%s.'
+)
+
+
 def drop_copies(files: DataFrame) -> DataFrame:
     """First file of each (name without case, size)."""
     keyed = files.withColumn("_lower", F.lower("name_ext"))
@@ -100,8 +113,7 @@ def pair_message(problems: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count_if(F.col("problem") == "DOUBLE_EXTENSION").alias("n_double")
     )
     text = F.format_string(
-        "Found %d problematic file(s): %d with multiple CP/FP tokens in the filename, "
-        "%d lacking a matching pair (.CP1/.CP3 or .FP1/.FP3).\nSee the 'missing' list for full paths.",
+        PAIR_MESSAGE,
         "n",
         "n_double",
         F.col("n") - F.col("n_double"),
@@ -166,8 +178,7 @@ def reject_reason() -> tuple[Column, Column]:
     no_pair = ~F.coalesce(F.col("has_kinds"), F.lit(False)) | (F.col("n") < 2)
     code = F.when(bad_kind, "INVALID_EXTKIND").when(no_pair, "NOT_PAIR_13").otherwise("WORSE_VARIANT")
     pieces = F.format_string(
-        "Dedup by pair: this variant SumScore=%s, SumBytes=%s, MinScore=%s; "
-        'best variant "%s" SumScore=%s, SumBytes=%s, MinScore=%s.',
+        WORSE_VARIANT,
         short_number(F.col("sum_score")),
         short_number(F.col("sum_bytes")),
         short_number(F.col("min_score")),
@@ -177,11 +188,11 @@ def reject_reason() -> tuple[Column, Column]:
         short_number(F.col("best_min_score")),
     )
     text = (
-        F.when(bad_kind, "Extension kind not recognized as '1' or '3'.")
+        F.when(bad_kind, UNKNOWN_KIND)
         .when(
             no_pair,
             F.format_string(
-                "Variant lacks both kinds (N=%d, HasKinds=%d).",
+                LACKS_KINDS,
                 F.coalesce("n", F.lit(0)),
                 F.coalesce(F.col("has_kinds").cast("int"), F.lit(0)),
             ),
