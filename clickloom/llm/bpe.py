@@ -71,14 +71,19 @@ def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
     return [i for piece in pieces(text) for i in _plain(encoding, piece)]
 
 
+def _ids(texts: pa.Array, path: str, pattern: str) -> tuple[list[list[int]], pa.ListArray]:
+    ids = [encode_text(t.as_py(), path, pattern) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, np.int32), *[np.asarray(i, np.int32) for i in ids]])
+    return ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def encoded(text: Column, path: str, pattern: str) -> Column:
     """Ids of a text as an array of int."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        ids = [np.asarray(encode_text(t.as_py(), path, pattern), np.int32) for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+        return _ids(texts, path, pattern)[1]
 
     return encode(text)
 
@@ -94,6 +99,18 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return decode(ids)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of ids and the bytes decoded from them, in one call: Spark would encode again for a chained decoding."""
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(texts: pa.Array) -> pa.Array:
+        ids, column = _ids(texts, path, pattern)
+        decode = _encoding(path, pattern).decode_bytes
+        return pa.StructArray.from_arrays([column, pa.array([decode(i) for i in ids], pa.binary())], ["ids", "decoded"])
+
+    return both(text)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, out: str = "ids") -> DataFrame:
     return docs.withColumn(out, encoded(F.col("text"), path, pattern))
 
@@ -104,12 +121,13 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
 def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Encode, decode, and return per document the number of ids and both digests, after the columns to keep."""
-    coded = decode(encode(docs.select(*keep, "text"), path, pattern, "__ids"), path, pattern, "__ids", "__decoded")
+    coded = docs.select(*keep, round_trip(F.col("text"), path, pattern).alias("__coded"))
+    ids = F.col("__coded.ids")
     return coded.select(
         *keep,
-        F.size("__ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("__ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("__decoded", 256).alias("decoded_sha256"),
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("__coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

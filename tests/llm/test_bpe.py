@@ -62,3 +62,12 @@ def test_decoding_is_of_raw_bytes(spark):
     encoding = bpe._encoding(PATH, PATTERN)
     assert all(bytes(r["decoded"]) == encoding.decode_bytes(r["ids"]) for r in rows)
     assert any(b"\xff" in bytes(r["decoded"]) for r in rows)
+
+
+def test_separate_steps_give_the_round_trip(awkward):
+    from pyspark.sql import functions as F
+
+    apart = bpe.decode(bpe.encode(awkward, PATH, PATTERN, "codes"), PATH, PATTERN, "codes", "raw")
+    both = awkward.select("doc_id", bpe.round_trip(F.col("text"), PATH, PATTERN).alias("r")).select("doc_id", "r.ids", "r.decoded")
+    key = lambda rows: sorted(str((r[0], list(r[1]), bytes(r[2]))) for r in rows)
+    assert key(apart.select("doc_id", "codes", "raw").collect()) == key(both.collect())
