@@ -71,11 +71,9 @@ def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
     return [i for piece in pieces(text) for i in _plain(encoding, piece)]
 
 
-def _ids(texts: pa.Array, path: str, pattern: str) -> tuple[list[list[int]], pa.ListArray]:
-    ids = [encode_text(t.as_py(), path, pattern) for t in texts]
+def _column(ids: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    flat = np.concatenate([np.empty(0, np.int32), *[np.asarray(i, np.int32) for i in ids]])
-    return ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
 
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
@@ -83,7 +81,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return _ids(texts, path, pattern)[1]
+        return _column([np.asarray(encode_text(t.as_py(), path, pattern), np.int32) for t in texts])
 
     return encode(text)
 
@@ -104,9 +102,12 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("ids array<int>, decoded binary")
     def both(texts: pa.Array) -> pa.Array:
-        ids, column = _ids(texts, path, pattern)
-        decode = _encoding(path, pattern).decode_bytes
-        return pa.StructArray.from_arrays([column, pa.array([decode(i) for i in ids], pa.binary())], ["ids", "decoded"])
+        ids, raw = [], []
+        for text in texts:  # one list of Python numbers at a time: they take nine times the room of the array
+            found = encode_text(text.as_py(), path, pattern)
+            raw.append(_encoding(path, pattern).decode_bytes(found))
+            ids.append(np.asarray(found, np.int32))
+        return pa.StructArray.from_arrays([_column(ids), pa.array(raw, pa.binary())], ["ids", "decoded"])
 
     return both(text)
 

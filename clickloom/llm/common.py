@@ -14,7 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # One Arrow batch: so many rows of ordinary texts, fewer of very long ones.
-BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 2 << 20
 # A side with more rows than this is never hinted for broadcast.
 BROADCAST_ROWS = 50_000
 
