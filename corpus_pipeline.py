@@ -5,6 +5,7 @@ Every stage but the last returns the columns of ``documents`` and works on all r
 1. ``language_id`` drops documents whose language is rejected (no letters, or dictionaries that fit equally well).
 2. ``line_dedup`` cuts repeated lines out of texts; ``n_chars`` is counted anew. No document is dropped.
 3. ``near_duplicates`` keeps of each group of linked documents the one with the smallest id (of repeated rows one).
+   Documents link at a Jaccard similarity of at least ``NEAR_PERCENT`` of their runs of ``NEAR_WORDS`` words.
 4. ``mixture`` repeats or drops documents so that sources come near their target weights.
 5. ``byte_bpe`` encodes and decodes: doc_id, source, n_tokens and digests of the ids and the decoded bytes, a row a copy.
 """
@@ -19,6 +20,8 @@ from clickloom.llm import bpe, jaccard, langid, line_dedup, mixing
 from clickloom.llm.common import documents, register, tuned
 from clickloom.session import write_and_read
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -32,7 +35,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.representatives(docs)
+    return jaccard.representatives(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,20 @@ def test_near_duplicates(stages):
     assert sorted(after) == sorted(r for r, found in zip(sorted(start), sorted(plain_components(start), key=lambda x: x[0]), strict=True) if found[0] == found[2])
 
 
+def test_near_duplicates_link_at_five_words_and_80_percent(spark):
+    """Pairs on both sides of 0.8: 300 words, the second text with a run of them replaced."""
+    rows = []
+    for n in range(15, 34):
+        words = [f"w{n}x{i}" for i in range(300)]
+        rows.append((2 * n, " ".join(words), "en", "s", 0))
+        words[100 : 100 + n] = [f"other{n}x{i}" for i in range(n)]
+        rows.append((2 * n + 1, " ".join(words), "en", "s", 0))
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, frame(spark, rows, False), "")
+    want = sorted(d for d, _, first in plain_components(rows, 5, 80) if d == first)
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+    assert want != sorted(d for d, _, first in plain_components(rows) if d == first)
+
+
 def test_mixture(spark, stages):
     start, after = stages[0][3], stages[0][4]
     rows = mixing.mix(frame(spark, start, False)).select("doc_id", "__mix.copies").collect()
