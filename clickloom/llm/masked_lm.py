@@ -4,7 +4,9 @@ A small network predicts every word from the two words on each side of it. A doc
 words of ``log p(word | words on both sides)``.
 
 Vocabulary: words are counted over all documents; the most frequent ones get an id, the others one of a few hashed
-ids. Network: one embedding table per place of the window, their sum through tanh, then a two-level softmax (class of
+ids. The probability of a word with a hashed id is that of the id times the word's share ``n / (N + 1)`` of it: n counts
+the word, N all words of the id, and the 1 is left for words that were not counted. Counts of the ``KNOWN`` most frequent
+words are with each task; those of the others are joined with the documents' words. Network: one embedding table per place of the window, their sum through tanh, then a two-level softmax (class of
 32 words, word of the class), so a prediction costs 64 outputs and not 1,024. The biases start at the counts, so
 training starts from the unigram model.
 
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.llm.common import documents, register, write_and_read
 
@@ -43,6 +45,10 @@ BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-6
 SLICE_WORDS = 65_536  # words predicted at once
 MAX_COUNTED = 200_000  # distinct words a task counts before it sends them on
 SLICE_WEIGHTS = 16_384
+KNOWN = 65_536  # words whose counts every task holds
+COUNT_STEPS = 16  # steps of the counts' histogram that a doubling takes
+FIXED = 2**30  # logs of joined counts are summed as multiples of 1 / FIXED, so that their order does not matter
+HASH_SEED = 42  # that of Spark's xxhash64
 SEED = 7
 
 Batches = Iterator[pa.RecordBatch]
@@ -73,26 +79,72 @@ def _count(batches: Batches) -> Batches:
 class Vocabulary:
     ids: dict[bytes, int]
     counts: np.ndarray  # of each id, over the corpus
+    places: dict[bytes, int]  # of the words with ids, then of other frequent ones, in the two arrays
+    place_ids: np.ndarray
+    place_logs: np.ndarray  # log of the share of the id
+    first_step: int  # counts below this step of their histogram are not here
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int32, len(words))
-        unknown = np.flatnonzero(ids < 0)
-        if len(unknown):
-            first = SIZE - HASHED
-            ids[unknown] = [first + xxhash.xxh32_intdigest(words[i]) % HASHED for i in unknown.tolist()]
-        return ids
+        return self.encode_shares(words)[0]
 
+    def encode_shares(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Ids, logs of the words' shares of them, and the words that are not in ``places``: their logs lack that of the count."""
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int32, len(words))
+        ids, logs = self.place_ids[at], self.place_logs[at]
+        unknown = np.flatnonzero(at < 0)
+        rare = [words[i] for i in unknown.tolist()]
+        if rare:
+            ids[unknown] = [hashed_id(w) for w in rare]
+            logs[unknown] = -np.log(self.counts[ids[unknown]] + 1)
+        return ids, logs, rare
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """The most frequent words of all documents, and the total of the others spread over the hashed ids."""
+
+def hashed_id(word: bytes) -> int:
+    return SIZE - HASHED + xxhash.xxh64_intdigest(word, HASH_SEED) % HASHED
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): all words of all documents, written."""
     counted = docs.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = write_and_read(counted, "lm-words")
+    return write_and_read(counted, "lm-words")
+
+
+def _step() -> Column:
+    return F.floor(F.log2(F.col("n").cast("double")) * COUNT_STEPS).cast("int")
+
+
+def _first_known(counted: DataFrame) -> int:
+    """The lowest step of the counts' histogram from which on there are at most KNOWN words."""
+    steps = counted.groupBy(_step().alias("step")).count().orderBy(F.desc("step")).collect()  # at most 64 COUNT_STEPS rows
+    lowest, total = 64 * COUNT_STEPS, 0
+    for r in steps:
+        total += r["count"]
+        if total > KNOWN:
+            break
+        lowest = r["step"]
+    return lowest
+
+
+def vocabulary(docs: DataFrame, counted: DataFrame | None = None) -> Vocabulary:
+    """The most frequent words of all documents, the totals of the hashed ids, and the shares of further frequent words."""
+    counted = word_counts(docs) if counted is None else counted
     top = counted.orderBy(F.desc("n"), "word").limit(SIZE - HASHED).collect()
-    words = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
+    ids = {bytes(r["word"]): i for i, r in enumerate(top)}
     counts = np.zeros(SIZE)
-    counts[: len(top)] = [r["n"] for r in top]
-    counts[SIZE - HASHED :] = (words - counts.sum()) / HASHED
-    return Vocabulary({bytes(r["word"]): i for i, r in enumerate(top)}, counts)
+    for r in counted.groupBy(F.pmod(F.xxhash64("word"), F.lit(HASHED)).alias("of")).agg(F.sum("n").alias("n")).collect():
+        counts[SIZE - HASHED + r["of"]] = r["n"]
+    for i, r in enumerate(top):
+        counts[i] = r["n"]
+        counts[hashed_id(bytes(r["word"]))] -= r["n"]
+    first_step = _first_known(counted)
+    further = counted.filter(_step() >= first_step).collect()  # at most KNOWN rows
+    further = sorted((-r["n"], bytes(r["word"])) for r in further if bytes(r["word"]) not in ids)
+    words = [*ids, *[w for _, w in further]]
+    place_ids = np.array([*range(len(ids)), *[hashed_id(w) for _, w in further], PAD], np.int32)  # the last is that of no place
+    place_logs = np.zeros(len(place_ids))
+    n = np.array([-n for n, _ in further], np.float64)
+    place_logs[len(ids) : -1] = np.log(n) - np.log(counts[place_ids[len(ids) : -1]] + 1)
+    return Vocabulary(ids, counts, {w: i for i, w in enumerate(words)}, place_ids, place_logs, first_step)
 
 
 class Network:
@@ -191,12 +243,17 @@ def _groups(of: np.ndarray):
         yield group, int(of[group[0]])
 
 
-def _laid_out(texts: pa.Array, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a batch in one array with pads between documents; start and length of each document."""
+def _laid_out(texts: pa.Array, known: Vocabulary, shares: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a batch in one array with pads between documents; start and length of each document.
+
+    ``shares`` gets the sum of the logs of each document's shares, and its words that lack a count.
+    """
     parts, starts, lengths, at = [np.full(SIDE, PAD, np.int32)], [], [], SIDE
     gap = np.full(SIDE, PAD, np.int32)
     for text in texts:
-        ids = known.encode(split_words(text.as_py()))
+        ids, logs, rare = known.encode_shares(split_words(text.as_py()))
+        if shares is not None:
+            shares.append((logs.sum(), Counter(rare)))
         parts += [ids, gap]
         starts.append(at)
         lengths.append(len(ids))
@@ -284,9 +341,9 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
     return Network(state[: Network.LENGTH])
 
 
-def scores_of(texts: pa.Array, known: Vocabulary, network: Network) -> tuple[np.ndarray, np.ndarray]:
+def scores_of(texts: pa.Array, known: Vocabulary, network: Network, shares: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Number of words and summed log-probability of each text."""
-    laid, starts, lengths = _laid_out(texts, known)
+    laid, starts, lengths = _laid_out(texts, known, shares)
     at = np.flatnonzero(laid != PAD)
     logs = np.zeros(len(laid))
     for i in range(0, len(at), SLICE_WORDS):
@@ -298,7 +355,7 @@ def scores_of(texts: pa.Array, known: Vocabulary, network: Network) -> tuple[np.
 
 
 def score(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
-    """(doc_id, n_tokens, score, mean_score), one row per document."""
+    """(doc_id, n_tokens, score, mean_score), one row per document; the score is that of the words' ids."""
     shared = docs.sparkSession.sparkContext.broadcast((known, network.flat))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -313,10 +370,44 @@ def score(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
     return scored.withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
 
 
+def word_scores(docs: DataFrame, known: Vocabulary, network: Network, counted: DataFrame) -> DataFrame:
+    """As ``score``, with the probabilities of the words instead of those of their ids."""
+    shared = docs.sparkSession.sparkContext.broadcast((known, network.flat))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Batches) -> Batches:
+        vocabulary, flat = shared.value
+        model = Network(flat)
+        for batch in batches:
+            rare, times, ends, shares = [], [], [0], []
+            n, total = scores_of(batch.column("text"), vocabulary, model, shares)
+            for i, (logs, found) in enumerate(shares):
+                total[i] += logs
+                rare += found.keys()
+                times += found.values()
+                ends.append(len(rare))
+            offsets = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((rare, pa.binary()), (times, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total), *lists], ["doc_id", "n_tokens", "score", "rare", "times"])
+
+    schema = f"doc_id {id_type}, n_tokens long, score double, rare array<binary>, times array<int>"
+    # Written, so that the rows keep their numbers.
+    scored = write_and_read(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("of")).select("row", "of.rare", "of.times")
+    # Words that occur once, or that were not counted, add nothing.
+    counts = counted.filter((F.col("n") > 1) & (_step() < known.first_step))
+    counts = counts.select(F.col("word").alias("rare"), F.round(F.log("n") * FIXED).cast("long").alias("log"))
+    more = rare.join(counts, "rare").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("more"))
+    whole = scored.select("doc_id", "n_tokens", "score", "row").join(more, "row", "left")
+    whole = whole.withColumn("score", F.col("score") + F.coalesce(F.col("more") / F.lit(float(FIXED)), F.lit(0.0)))
+    return whole.select("doc_id", "n_tokens", "score").withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
+
+
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Train on the corpus and score it."""
-    known = vocabulary(docs)
-    return score(docs, known, train(docs, known))
+    counted = word_counts(docs)
+    known = vocabulary(docs, counted)
+    return word_scores(docs, known, train(docs, known), counted)
 
 
 @register("op7_masked_lm_score")

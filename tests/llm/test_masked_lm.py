@@ -103,3 +103,45 @@ def test_awkward_rows(awkward, empty):
     assert by_id[7]["score"] < 0 and math.isfinite(by_id[7]["score"])
     assert len({r["score"] for r in rows if r["doc_id"] == 5}) == 1
     assert lm.score_corpus(empty).count() == 0
+
+
+def test_hashed_ids_are_those_of_spark(spark):
+    from pyspark.sql import functions as F
+
+    words = [f"word{i}" * (i % 9 + 1) for i in range(300)]
+    of = F.pmod(F.xxhash64(F.col("w").cast("binary")), F.lit(lm.HASHED))
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", of.alias("of")).collect()
+    assert all(lm.hashed_id(r["w"].encode()) == lm.SIZE - lm.HASHED + r["of"] for r in rows)
+
+
+@pytest.mark.parametrize("most", [0, 1500, 10**6])
+def test_scores_are_those_of_words_and_not_of_hashed_ids(spark, monkeypatch, most):
+    """Every word outside the vocabulary takes its own share of its id, wherever its count comes from."""
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "KNOWN", most)
+    random.seed(3)
+    names = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(random.choices(names, [1 / (k + 5) for k in range(4000)], k=120)), "en", "s", 0) for i in range(200)]
+    rows += [(200, None, "en", "s", 0), (None, rows[0][1], "en", "s", 0), (3, rows[3][1], "en", "s", 0)]
+    rows += [(201, "w1 w2 qzxv w3 w4", "en", "s", 0)]
+    docs = frame(spark, rows, False)
+    n = Counter(w for r in rows for w in lm.split_words(r[1]))
+    counted = lm.word_counts(docs)
+    known = lm.vocabulary(docs, counted)
+    assert len(n) > len(known.ids) + 500 and len(known.places) <= max(most, len(known.ids))
+    totals = Counter()
+    for w in n.keys() - known.ids.keys():
+        totals[lm.hashed_id(w)] += n[w]
+    assert {i: known.counts[i] for i in totals} == totals
+    network = lm.train(docs, known, 1)
+    share = lambda w: 0.0 if w in known.ids else math.log(max(n[w], 1) / (totals[lm.hashed_id(w)] + 1))
+    others = [*rows, (301, "w1 w2 w3999 neverseen w4 neverseen", "en", "s", 0)]
+    got = lm.word_scores(frame(spark, others, False), known, network, counted).collect()
+    want = [(r[0], plain_score(r[1], known, network) + sum(map(share, lm.split_words(r[1])))) for r in others]
+    order = lambda x: (str(x[0]), x[1])
+    for (a, x), (b, y) in zip(sorted(((r["doc_id"], r["score"]) for r in got), key=order), sorted(want, key=order), strict=True):
+        assert a == b and x == pytest.approx(y, rel=1e-4, abs=1e-3)
+    whole = {r["doc_id"]: r["score"] for r in lm.score_corpus(docs).collect()}
+    ids_only = {r["doc_id"]: r["score"] for r in lm.score(docs, known, network).collect()}
+    assert whole[201] < ids_only[201] - 1
