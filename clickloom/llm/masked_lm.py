@@ -11,7 +11,8 @@ words are with each task; those of the others are joined with the documents' wor
 training starts from the unigram model.
 
 Training: in each round every task starts from the shared weights and runs Adagrad steps over every ``STRIDE``-th
-word of all its documents; what changed, times the words trained on, is summed slice by slice across tasks and averaged.
+word of all its documents, from another first word in each round, so that the rounds together train on every word; what
+changed, times the words trained on, is summed slice by slice across tasks and averaged.
 What is gathered grows with the number of tasks; what reaches the driver is one set of weights.
 
 Edge cases: null or empty text has no words and score 0 (mean null); long texts are predicted in slices with their
@@ -40,7 +41,7 @@ CLASSES, CLASS_WORDS = 32, 32
 SIZE = CLASSES * CLASS_WORDS
 HASHED = 64  # ids shared by the words outside the vocabulary
 PAD = SIZE
-ROUNDS, STRIDE = 2, 8
+ROUNDS, STRIDE = 2, 2  # as many rounds as the stride: each word is a target once
 BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-6
 SLICE_WORDS = 65_536  # words predicted at once
 MAX_COUNTED = 200_000  # distinct words a task counts before it sends them on
@@ -265,7 +266,14 @@ def _contexts(laid: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([laid[at + shift] for shift in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
 
-def _trainer(shared):
+def _targets(texts: pa.Array, known: Vocabulary, phase: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of every ``STRIDE``-th word of each document, from word ``phase`` on, and the words laid out."""
+    laid, starts, lengths = _laid_out(texts, known)
+    words = np.flatnonzero(laid != PAD)
+    return words[(words - np.repeat(starts, lengths)) % STRIDE == phase], laid
+
+
+def _trainer(shared, phase: int):
     """Run gradient steps over a task's documents and send what changed (weights and squares), slice by slice."""
 
     def run(batches: Batches) -> Batches:
@@ -280,9 +288,7 @@ def _trainer(shared):
                 network.step(part[:-1], part[-1], squares)
 
         for batch in batches:
-            laid, _, _ = _laid_out(batch.column("text"), known)
-            words = np.flatnonzero(laid != PAD)
-            at = words[trained % STRIDE :: STRIDE]
+            at, laid = _targets(batch.column("text"), known, phase)
             if len(at):
                 waiting.append(np.vstack([_contexts(laid, at), laid[at][None]]))
                 trained += len(at)
@@ -330,9 +336,9 @@ def _sum_changes(batches: Batches) -> Batches:
 def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
     spark, texts = docs.sparkSession, docs.select("text")
     state = np.concatenate([Network.start(known.counts).flat, np.full(Network.LENGTH, FIRST_SQUARE, np.float32)])
-    for _ in range(rounds):
+    for number in range(rounds):
         shared = spark.sparkContext.broadcast((known, state))
-        sent = texts.mapInArrow(_trainer(shared), "slice int, task int, n long, change binary")
+        sent = texts.mapInArrow(_trainer(shared, number % STRIDE), "slice int, task int, n long, change binary")
         summed = sent.repartition("slice").sortWithinPartitions("slice", "task").mapInArrow(_sum_changes, "slice int, n long, change binary")
         state = state.copy()
         for row in summed.collect():  # weights and squares once

@@ -145,3 +145,21 @@ def test_scores_are_those_of_words_and_not_of_hashed_ids(spark, monkeypatch, mos
     whole = {r["doc_id"]: r["score"] for r in lm.score_corpus(docs).collect()}
     ids_only = {r["doc_id"]: r["score"] for r in lm.score(docs, known, network).collect()}
     assert whole[201] < ids_only[201] - 1
+
+
+def test_rounds_train_on_every_word_once(spark, monkeypatch):
+    """However the documents are dealt to tasks and batches, the rounds of a training have each word as target once."""
+    rows = [(i, " ".join(f"t{i}x{j}" for j in range(i % 7)), "en", "s", 0) for i in range(60)]
+    known = lm.vocabulary(frame(spark, rows, False))
+    assert len(known.ids) == sum(i % 7 for i in range(60))
+    met, asked = [], []
+    texts = [r[1] for r in rows]
+    for number in range(lm.ROUNDS):
+        for part in (texts[:11], texts[11:12], texts[12:]):
+            at, laid = lm._targets(pa.array(part), known, number % lm.STRIDE)
+            met += laid[at].tolist()
+    assert sorted(met) == list(range(len(known.ids)))
+    trainer = lm._trainer
+    monkeypatch.setattr(lm, "_trainer", lambda shared, phase: asked.append(phase) or trainer(shared, phase))
+    lm.train(frame(spark, rows, False), known)
+    assert asked == list(range(lm.STRIDE))
