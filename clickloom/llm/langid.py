@@ -1,8 +1,8 @@
 """Language identification by compression.
 
 Fitting: every language gets a raw-content dictionary of 1 KB slices from at most ``SAMPLE_TEXTS`` labelled texts
-(those with the smallest hashes, equal texts once). At most ``MAX_LANGUAGES`` languages, the most frequent ones,
-are learned. These bounds are the only ones; every text is classified as a whole.
+(those with the smallest hashes, equal texts once). Every label is learned; with so many that the dictionaries
+would hold more than ``ALL_TEXTS`` slices, each language gets fewer, one at least. Every text is classified as a whole.
 
 Classification: the text's letter runs, lower-cased and joined by spaces, are cut into blocks of 4 KB; each block is
 compressed by zstandard with each dictionary, and the language with the smallest sum wins. Equal sums go to the
@@ -27,7 +27,7 @@ from clickloom.llm.common import documents, register
 
 SAMPLE_TEXTS = 128
 SLICE_CHARS = 1024
-MAX_LANGUAGES = 200
+ALL_TEXTS = 200 * SAMPLE_TEXTS
 BLOCK = 4096
 LEVEL = 9
 MIN_MARGIN = 0.01
@@ -59,12 +59,13 @@ def fit(docs: DataFrame) -> Model:
     known = known.select("lang", "text", F.xxhash64("text").alias("h"))
     hashes = known.groupBy("lang", "h").agg(F.count("*").alias("n"))
     # The smallest hashes of each of 64 parts of a language first, so that no task gets a whole language.
+    texts_each = max(1, min(SAMPLE_TEXTS, ALL_TEXTS // max(1, hashes.select("lang").distinct().count())))
     picked = hashes
     for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
         first = W.partitionBy(*part).orderBy("h")
-        picked = picked.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= SAMPLE_TEXTS).select("lang", "h")
-    top = hashes.groupBy("lang").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
-    sample = picked.join(F.broadcast(top), "lang")  # at most SAMPLE_TEXTS * MAX_LANGUAGES rows
+        picked = picked.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= texts_each).select("lang", "h")
+    sizes = hashes.groupBy("lang").agg(F.sum("n").alias("rows"))
+    sample = picked.join(sizes, "lang")  # at most ALL_TEXTS rows, or one a language
     start = F.pmod(F.col("h"), F.greatest(F.length("text") - SLICE_CHARS, F.lit(1))).cast("int") + 1
     slices = known.join(F.broadcast(sample), ["lang", "h"]).groupBy("lang", "rows", "h")
     slices = slices.agg(F.min(F.substring(F.col("text"), start, F.lit(SLICE_CHARS))).alias("slice")).collect()
@@ -104,7 +105,7 @@ def classify_text(text: str | None, model: Model) -> tuple[str, float]:
 
 def language(text: Column, spark: SparkSession, model: Model) -> Column:
     """Struct of lang, score and rejected."""
-    shared = spark.sparkContext.broadcast(model)  # at most MAX_LANGUAGES * SAMPLE_TEXTS KB or so
+    shared = spark.sparkContext.broadcast(model)  # ALL_TEXTS KB or so at most, or 1 KB a language
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     @F.arrow_udf("lang string, score double, rejected boolean")

@@ -65,3 +65,13 @@ def test_one_language_and_none(spark):
     assert {(r["lang_pred"], r["score"]) for r in langid.predict(frame(spark, rows)).collect()} == {("en", 1.0)}
     nameless = [(*r[:2], None, *r[3:]) for r in rows]
     assert {(r["lang_pred"], r["score"]) for r in langid.predict(frame(spark, nameless)).collect()} == {("und", 0.0)}
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """More labels than 200, and fewer slices a language when there are many."""
+    rows = [(8 * i + j, f"word{i} {'abcdefgh'[j]} text{i}", f"l{i:03}", "s", 0) for i in range(230) for j in range(8)]
+    docs = frame(spark, rows, False)
+    assert {lang for lang, _ in langid.fit(docs)} == {r[2] for r in rows}
+    monkeypatch.setattr(langid, "ALL_TEXTS", 2 * 230)
+    model = langid.fit(docs)
+    assert len(model) == 230 and all(content.count(b"word") <= 2 for _, content in model)
