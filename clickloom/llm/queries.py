@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline  # noqa: F401
-from clickloom.llm import block_naming, bpe, jaccard, langid, licenses, line_dedup, masked_lm, mixing, sharding, vafile  # noqa: F401
+from clickloom.llm import (  # noqa: F401
+    block_naming,
+    bpe,
+    decontamination,
+    jaccard,
+    langid,
+    licenses,
+    line_dedup,
+    masked_lm,
+    mixing,
+    sharding,
+    vafile,
+)
 from clickloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
