@@ -14,6 +14,7 @@ from clickloom.llm import (  # noqa: F401
     masked_lm,
     mixing,
     sharding,
+    spelling,
     vafile,
 )
 from clickloom.llm.common import ORACLES, QUERIES

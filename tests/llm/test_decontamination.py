@@ -53,7 +53,7 @@ def texts_and_items(seed, n=60):
     return texts, items
 
 
-@pytest.mark.parametrize("seed, part_bytes, slice_words", [(0, 1 << 20, 1000), (1, 700, 12)])
+@pytest.mark.parametrize("seed, part_bytes, slice_words", [(0, 1 << 20, 1000), (1, 250, 12)])
 def test_equals_plain_search(spark, seed, part_bytes, slice_words):
     texts, items = texts_and_items(seed)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
@@ -61,7 +61,7 @@ def test_equals_plain_search(spark, seed, part_bytes, slice_words):
     if part_bytes < 1000:
         items = items[:9] + items[-5:]
         benchmark = spark.createDataFrame(items, ITEMS)
-        assert 1 < len(list(dc.parts(benchmark, part_bytes=part_bytes, slice_words=slice_words))) < 6
+        assert 1 < len(list(dc.parts(benchmark, part_bytes=part_bytes, slice_words=slice_words))) < 20
     found = dc.find(docs, benchmark, part_bytes=part_bytes, slice_words=slice_words)
     assert digests(found) == sorted(((i, *d) for i, d in enumerate(plain(texts, items))), key=str)
 
