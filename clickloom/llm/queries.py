@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline  # noqa: F401
 from clickloom.llm import (  # noqa: F401
+    alignment,
     block_naming,
     bpe,
     decontamination,

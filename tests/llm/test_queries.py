@@ -25,7 +25,7 @@ def con(small_sf):
 
 def test_one_query_an_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 13)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -46,6 +46,7 @@ SCHEMAS = {
     "op9_license_scan": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
     "op11_aho_corasick_decontamination": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
     "op12_q_chunk_spellings": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op13_pair_bitmap_alignment": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
     "op10_compression_langid": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
 }
 
