@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,9 @@ MAX_UNITS, MAX_UNIT_TOKENS = 300_000, 4 << 20  # units and tokens of units that
 
 _SPACE = " \t\n"
 _UNIT = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
+# The pattern that byte-level files mean where they ask for one (fixed value), and units too long for its other engine.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_UNIT = 10_000
 # Other white space before one of these: A's pattern may take both together, so the text is not cut.
 _OTHER = re.compile(r"[^\S \t\n][ \t\n]")
 
@@ -86,10 +91,32 @@ class _Grown:
         return self.held[: self.size]
 
 
+def _by_rank(content: dict, names: list[bytes]):
+    """The same tokenizer for short texts, several times as fast, where merges are made in the order of their ids; else None."""
+    import tiktoken
+
+    model, before = content["model"], content["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    if not plain or not level or content["normalizer"]:
+        return None
+    special = {t["id"] for t in content["added_tokens"]}
+    made = []
+    for merge in model["merges"]:
+        left, right = merge.split(" ") if isinstance(merge, str) else merge
+        made.append(model["vocab"][left + right])
+    ranks = {name: i for i, name in enumerate(names) if name and i not in special}
+    if made != sorted(set(made)) or len(ranks) != 256 + len(made):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Both tokenizers and the units aligned so far."""
 
     def __init__(self, a_path: str, b_path: str):
+        # A task has one core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -97,11 +124,13 @@ class Aligner:
         self.a.encode_special_tokens = True
         byte_of = _byte_of()
         with open(a_path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        vocabulary = content["model"]["vocab"]
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in byte_of for c in token):
                 self.a_bytes[i] = bytes(byte_of[c] for c in token)
+        self.ranks = _by_rank(content, self.a_bytes)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [
@@ -112,6 +141,12 @@ class Aligner:
         self.cut = not any("▁" in p.lstrip("▁") or any(c in p for c in _SPACE) for p in ordinary)
         self.cut = self.cut and len(self.b.encode("a")) == 1
         self.pairs_an_a = len(pieces)
+        self.a_size = np.array([len(t) for t in self.a_bytes], np.int64)
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
+        # Texts of an id within its group, at the end of its side and (B) at the end of its unit.
+        self.a_text = [f"{i}," for i in range(len(self.a_bytes))] + [f"{i}|" for i in range(len(self.a_bytes))]
+        self.b_text = [f"{i}{end}" for end in (",", ";", ";\n") for i in range(len(pieces))]
+        self.texts = self.a_text + self.b_text
         self._forget()
 
     def _forget(self) -> None:
@@ -125,92 +160,103 @@ class Aligner:
         text = " " + text
         return _UNIT.findall(text) if self.cut and not _OTHER.search(text) else [text]
 
+    def _a_ids(self, units: list[str]) -> list[list[int]]:
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        encode = self.ranks.encode_ordinary
+        long = lambda u: self.a.encode(u, add_special_tokens=False).ids
+        return [encode(u) if len(u) < LONG_UNIT else long(u) for u in units]
+
     def _b_ids(self, units: list[str]) -> list[list[int]]:
         if self.cut:  # behind a visible character, so that the model adds no space; its one token goes
             return [ids[1:] for ids in self.b.encode(["a" + u for u in units], num_threads=1)]
         return self.b.encode([u[1:] for u in units], num_threads=1)
 
+    def _same(self, units: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> np.ndarray:
+        """Units whose tokens give back their bytes on both sides."""
+        whole = "".join(units).encode()
+        if all(b"".join(map(names.__getitem__, chain.from_iterable(ids))) == whole for names, ids in ((self.a_bytes, a_ids), (self.b_bytes, b_ids))):
+            sizes = np.fromiter((len(u) if u.isascii() else len(u.encode()) for u in units), np.int64, len(units))
+            if all((_sums(size[_flat(ids)], _lengths(ids)) == sizes).all() for size, ids in ((self.a_size, a_ids), (self.b_size, b_ids))):
+                return np.ones(len(units), bool)
+        return np.array(
+            [
+                b"".join(map(self.a_bytes.__getitem__, a)) == unit.encode() == b"".join(map(self.b_bytes.__getitem__, b))
+                for unit, a, b in zip(units, a_ids, b_ids, strict=True)
+            ],
+            bool,
+        )
+
     def learn(self, units: list[str]) -> None:
         """Align units that are new."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b_ids = self._b_ids(units)
-        good = []
-        for i, unit in enumerate(units):
-            raw = unit.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a_ids[i])) == raw == b"".join(map(self.b_bytes.__getitem__, b_ids[i]))
-            if not same:
-                a_ids[i], b_ids[i] = [], []
-            good.append(same)
-            self.index[unit] = len(self.index)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a_ids, b_ids))
-        flat_a, flat_b = ([t for x in ids for t in x] for ids in (a_ids, b_ids))
-        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        a_ids, b_ids = self._a_ids(units), self._b_ids(units)
+        good = self._same(units, a_ids, b_ids)
+        if not good.all():
+            a_ids, b_ids = ([x if same else [] for x, same in zip(ids, good.tolist(), strict=True)] for ids in (a_ids, b_ids))
+        a, b, n_a, n_b = _flat(a_ids), _flat(b_ids), _lengths(a_ids), _lengths(b_ids)
         # All units one after the other: both tokenizers have the same number of bytes in each.
-        a_end = np.cumsum(np.fromiter((len(self.a_bytes[t]) for t in flat_a), np.int64, len(a)))
-        b_end = np.cumsum(np.fromiter((len(self.b_bytes[t]) for t in flat_b), np.int64, len(b)))
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         ends = np.union1d(a_end, b_end)
         self.pairs.add(a[np.searchsorted(a_end, ends)] * self.pairs_an_a + b[np.searchsorted(b_end, ends)])
-        a_last, b_last = np.isin(a_end, b_end), np.isin(b_end, a_end)
-        closed = np.concatenate([[0], np.cumsum(a_last)])
-        until = np.cumsum(n_a)
-        n_groups = closed[until] - closed[until - n_a]
+        a_last, b_last = np.isin(a_end, b_end, assume_unique=True), np.isin(b_end, a_end, assume_unique=True)
+        n_groups = _sums(a_last.astype(np.int64), n_a)
         n_links = n_a + n_b - n_groups
-        first = self.start.size and self.start.all[-1] + self._links(-1)
+        first = self.start.all[-1] + self.last_links if self.start.size else 0
         self.start.add(first + np.cumsum(n_links) - n_links)
+        self.last_links = int(n_links[-1])
         self.n_a.add(np.where(good, n_a, -1))
         self.n_b.add(n_b)
         self.n_groups.add(n_groups)
-        a_parts = [f"{t}|" if last else f"{t}," for t, last in zip(flat_a, a_last.tolist(), strict=True)]
-        b_parts = [f"{t};" if last else f"{t}," for t, last in zip(flat_b, b_last.tolist(), strict=True)]
-        at_a, at_b = 0, 0
-        for k, m in zip(n_a.tolist(), n_b.tolist(), strict=True):
-            self.text.append(_interleaved(a_parts[at_a : at_a + k], b_parts[at_b : at_b + m]))
-            at_a, at_b = at_a + k, at_b + m
-
-    def _links(self, unit: int) -> int:
-        return max(self.n_a.all[unit], 0) + self.n_b.all[unit] - self.n_groups.all[unit]
+        self.index.update(zip(units, range(len(self.index), len(self.index) + len(units)), strict=True))
+        # Group by group, A's ids and then B's: a token's place is after all tokens of both sides in earlier groups.
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        in_a, in_b = np.bincount(a_group, minlength=1), np.bincount(b_group, minlength=1)
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[a_group]] = a + len(self.a_bytes) * a_last
+        closes = np.zeros(len(b), np.int64)
+        closes[np.cumsum(n_b)[n_b > 0] - 1] = 1
+        order[np.arange(len(b)) + np.cumsum(in_a)[b_group]] = len(self.a_text) + b + len(self.b_bytes) * (b_last + closes)
+        texts = iter("".join(map(self.texts.__getitem__, order.tolist())).split("\n"))
+        self.text += [next(texts) if same else "" for same in (n_b > 0).tolist()]
 
     def align(self, texts: list[str | None]):
         """Per text n_a, n_b, n_groups and the digest; then text numbers and id pairs of all links."""
         if len(self.index) > MAX_UNITS or self.pairs.size > MAX_UNIT_TOKENS:
             self._forget()
         units = [self.units(t) if t else [] for t in texts]
-        new = dict.fromkeys(u for x in units for u in x if u not in self.index)
-        if new:
-            self.learn(list(new))
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        ids = np.fromiter((self.index[u] for x in units for u in x), np.int64, int(sizes.sum()))
-        row = np.repeat(np.arange(len(units)), sizes)
-        bad = np.zeros(len(units), bool)
-        bad[row[self.n_a.all[ids] < 0]] = True
-        ids, row = ids[~bad[row]], row[~bad[row]]
-        n_a, n_b, n_groups = (np.zeros(len(units), np.int64) for _ in range(3))
-        for total, column in ((n_a, self.n_a), (n_b, self.n_b), (n_groups, self.n_groups)):
-            np.add.at(total, row, column.all[ids])
-        digests = []
-        for some, wrong in zip(units, bad.tolist(), strict=True):
-            joined = "" if wrong else "".join([self.text[self.index[u]] for u in some])[:-1]
+        flat, sizes = list(chain.from_iterable(units)), _lengths(units)
+        found = list(map(self.index.get, flat))
+        if None in found:
+            self.learn(list(dict.fromkeys(u for u, i in zip(flat, found, strict=True) if i is None)))
+            found = list(map(self.index.get, flat))
+        ids = np.array(found, np.int64)
+        bad = _sums((self.n_a.all[ids] < 0).astype(np.int64), sizes) > 0
+        digests, at = [], 0
+        for size, wrong in zip(sizes.tolist(), bad.tolist(), strict=True):
+            joined = "" if wrong else "".join(map(self.text.__getitem__, found[at : at + size]))[:-1]
             digests.append(hashlib.sha256(joined.encode()).hexdigest() if joined else "")
+            at += size
+        ids, sizes = ids[~np.repeat(bad, sizes)], np.where(bad, 0, sizes)
+        n_a, n_b, n_groups = (_sums(column.all[ids], sizes) for column in (self.n_a, self.n_b, self.n_groups))
         links = self.n_a.all[ids] + self.n_b.all[ids] - self.n_groups.all[ids]
-        before = np.cumsum(links) - links
-        at = np.repeat(self.start.all[ids] - before, links) + np.arange(int(links.sum()))
-        return n_a, n_b, n_groups, digests, np.repeat(row, links), self.pairs.all[at]
-
-
-def _interleaved(a: list[str], b: list[str]) -> str:
-    """Group by group, A's ids and then B's; every group ends with a semicolon."""
-    if len(a) == 1 or len(b) == 1:
-        return "".join(a) + "".join(b)
-    out, j = [], 0
-    for part in a:
-        out.append(part)
-        if part[-1] == "|":
-            while True:
-                j += 1
-                out.append(b[j - 1])
-                if b[j - 1][-1] == ";":
-                    break
-    return "".join(out)
+        places = np.repeat(self.start.all[ids] - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))
+        row = np.repeat(np.arange(len(units)), n_a + n_b - n_groups)
+        return n_a, n_b, n_groups, digests, row, self.pairs.all[places]
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+
+
+def _lengths(lists: list[list]) -> np.ndarray:
+    return np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of values that lie one after the other in groups of these sizes."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
 
 
 @lru_cache(maxsize=1)

@@ -83,7 +83,9 @@ PARTS = [" ", "  ", "\n", "\r\n", "\n\n", "\t ", " \t", "a", "don't", "'s", "É"
 def test_cut_texts_have_the_tokens_of_the_whole(coders, seed):
     rng = random.Random(seed)
     both = alignment.Aligner(A_PATH, B_PATH)
-    assert both.cut
+    assert both.cut and both.ranks is not None
+    if seed == 3:  # the library of the file itself
+        both.ranks = None
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(1, 60))) for _ in range(300)]
     texts += [" ", "\n", "  ", "▁", "a ▁b", "x" * 70_000, " " * 70_000 + "x", "\n" * 5_000]
     want = plain(coders, enumerate(texts))
