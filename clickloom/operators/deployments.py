@@ -190,8 +190,10 @@ def raise_on(found: DataFrame) -> None:
     """Write the violations and raise with their messages, equal ones once.
 
     Every check and column that fails is named. Where one has more than ``SHOWN`` messages the rest is counted, and
-    the exception names the written table (also as ``path``).
+    the exception names the written table (also as ``path``). A sheet without violations leaves no table.
     """
+    if found.isEmpty():
+        return
     folder = new_folder(found.sparkSession, "violations", kept=True)
     found.write.parquet(folder)
     table = found.sparkSession.read.schema(found.schema).parquet(folder)
@@ -199,8 +201,6 @@ def raise_on(found: DataFrame) -> None:
     order = W.partitionBy("check_id", "column_name").orderBy("row_no", "message")
     ranked = messages.withColumn("_n", F.row_number().over(order))
     shown = ranked.filter(F.col("_n") <= SHOWN).orderBy("row_no", "check_id", "column_name").collect()
-    if not shown:
-        return
     totals = messages.groupBy("check_id", "column_name").count().filter(F.col("count") > SHOWN)
     lines = list(dict.fromkeys(r.message for r in shown))
     more = [f"{r['count'] - SHOWN} more of {r.check_id} {r.column_name}" for r in totals.orderBy("check_id", "column_name").collect()]

@@ -1,8 +1,11 @@
 """Files to deployments, and the tables built from the matches.
 
-A file names a recorder serial and a day; a deployment covers days of a serial. Counts, first
-deployments and unmatched files come from these (serial, day) tables and never list the pairs of a
-busy recorder. Only :func:`match_pairs` lists pairs, because there they are the result.
+A file names a recorder serial and a day; a deployment covers an interval of days of a serial. The interval is cut into
+blocks of 1, 2, 4, ... days that start at multiples of their length, at most two of each length, and a day lies in one block
+of each length. So files and deployments meet in equal (serial, level, block), however long a deployment lasts, and each
+pair meets once. Counts and types are added up for each block and not for each day, the lowest row number is kept for
+each block, and busy serials are spread over their blocks. Only :func:`match_pairs` lists pairs, because there they
+are the result.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from clickloom.operators.ordering import first_row, number_in_groups
 LIST_FILES = 10_000
 # Receiver numbers that may be sent to every task: a few MB.
 MAX_BROADCAST = 100_000
+# Longest blocks: 2^14 days, 45 years. A longer interval has several of them.
+TOP_LEVEL = 14
 
 MANUFACTURER = "CHELONIA"
 STATUS = "Active"
@@ -67,11 +72,48 @@ def _serial_rows(files: DataFrame, mode: str) -> DataFrame:
     return files.withColumn("serial", F.explode(F.array_distinct(starts)))
 
 
+def covered_days(activation: Column, deploy: Column, end: Column, inclusive: bool = False) -> tuple[Column, Column]:
+    """First day and the day after the last of what :func:`in_range` accepts, as day numbers."""
+    first = F.unix_date(F.least(activation, deploy))
+    if not inclusive:  # the activation day itself counts only if it lies before the deployment
+        first = F.unix_date(activation) + F.when(activation < deploy, 0).otherwise(1)
+    return first, F.unix_date(end)
+
+
+def day_blocks(first: Column, until: Column) -> Column:
+    """Blocks (level, block) that together hold the days from ``first`` up to ``until``, none twice.
+
+    Level by level, a block at either end that does not fill a block of the next level is taken.
+    """
+    pieces = []
+    for level in range(TOP_LEVEL):
+        low = F.shiftright(first + F.lit(2**level - 1), level)
+        high = F.shiftright(until, level)
+        odd = lambda n: F.pmod(n, F.lit(2)) == 1
+        one = lambda n, level=level: F.struct(F.lit(level).alias("level"), n.cast("long").alias("block"))
+        pieces.append(F.when((low < high) & odd(low), one(low)))
+        pieces.append(F.when((low < high) & odd(high), one(high - 1)))
+    low, high = F.shiftright(first + F.lit(2**TOP_LEVEL - 1), TOP_LEVEL), F.shiftright(until, TOP_LEVEL) - 1
+    tops = F.when(low <= high, F.transform(F.sequence(low, high), lambda n: F.struct(F.lit(TOP_LEVEL).alias("level"), n.cast("long").alias("block"))))
+    none = F.array().cast("array<struct<level: int, block: bigint>>")
+    return F.concat(F.array_compact(F.array(*pieces)), F.coalesce(tops, none))
+
+
+def blocks_of_day(day: Column) -> Column:
+    """The block (level, block) of each length that a day lies in."""
+    number = F.unix_date(day)
+    levels = range(TOP_LEVEL + 1)
+    return F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(number, k).cast("long").alias("block")) for k in levels))
+
+
+BLOCK = ["serial", "level", "block"]
+
+
 @dataclass(frozen=True)
 class MatchIndex:
-    """Both sides of the match by serial and day.
+    """Both sides of the match.
 
-    ``files``: sel_no, name_ext, serial, day. ``covered``: row_no, serial, day.
+    ``files``: sel_no, name_ext, serial, day. ``covered``: row_no, serial, level, block.
     """
 
     files: DataFrame
@@ -99,23 +141,23 @@ def match_index(
         if serials.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
             serials = F.broadcast(serials)
         named = named.join(serials, "serial", "left_semi")
-    # Days beyond the files of a serial cannot match; an end date far off adds no rows.
-    known = named.groupBy("serial").agg(F.min("day").alias("_from"), F.max("day").alias("_to"))
-    first = F.greatest(F.least("activation", "deploy"), F.col("_from"))
-    last = F.least(F.date_sub("end", 1), F.col("_to"))
-    covered = (
-        spans.join(known, "serial")
-        .filter(last >= first)
-        .withColumn("day", F.explode(F.sequence(first, last)))
-        .filter(in_range(F.col("day"), F.col("activation"), F.col("deploy"), F.col("end"), inclusive))
-        .select("row_no", "serial", "day")
-    )
-    return MatchIndex(named, covered)
+    first, until = covered_days(F.col("activation"), F.col("deploy"), F.col("end"), inclusive)
+    blocks = F.explode(day_blocks(F.col("first"), F.col("until"))).alias("at")
+    covered = spans.select("row_no", "serial", first.alias("first"), until.alias("until")).filter("first < until")
+    return MatchIndex(named, covered.select("row_no", "serial", blocks).select("row_no", "serial", "at.*"))
+
+
+def _in_blocks(days: DataFrame) -> DataFrame:
+    """Rows with serial and day once for each block of the day."""
+    kept = [c for c in days.columns if c != "at"]
+    return days.select(*kept, F.explode(blocks_of_day(F.col("day"))).alias("at")).select(*kept, "at.*")
 
 
 def match_pairs(index: MatchIndex) -> DataFrame:
     """Pairs (row_no, sel_no, name_ext) of deployments and train files."""
-    return index.files.join(index.covered, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
+    days = _in_blocks(index.files.select("serial", "day").distinct())
+    rows = days.join(index.covered, BLOCK).select("serial", "day", "row_no")
+    return index.files.join(rows, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
 
 
 def matched_files(index: MatchIndex, deployments: DataFrame) -> DataFrame:
@@ -131,8 +173,11 @@ def annotate(deployments: DataFrame, index: MatchIndex) -> DataFrame:
         F.max_by(N.pod_type(F.col("name_ext")), "sel_no").alias("_type"),
         F.max("sel_no").alias("_last"),
     )
+    per_block = _in_blocks(per_day).groupBy(*BLOCK).agg(
+        F.sum("_n").alias("_n"), F.max_by("_type", "_last").alias("_type"), F.max("_last").alias("_last")
+    )
     found = (
-        index.covered.join(per_day, ["serial", "day"])
+        index.covered.join(per_block, BLOCK)
         .groupBy("row_no")
         .agg(F.sum("_n").alias("MatchCount"), F.max_by("_type", "_last").alias("PodType"))
     )
@@ -153,9 +198,11 @@ def lower_name(name: str = "name_ext") -> Column:
 
 def first_deployment(index: MatchIndex) -> DataFrame:
     """Lowest deployment row of each file name."""
-    lowest = index.covered.groupBy("serial", "day").agg(F.min("row_no").alias("row_no"))
+    lowest = index.covered.groupBy(*BLOCK).agg(F.min("row_no").alias("row_no"))
+    days = _in_blocks(index.files.select("serial", "day").distinct()).join(lowest, BLOCK)
+    days = days.groupBy("serial", "day").agg(F.min("row_no").alias("row_no"))
     return (
-        index.files.join(lowest, ["serial", "day"])
+        index.files.join(days, ["serial", "day"])
         .groupBy(lower_name())
         .agg(F.min("row_no").alias("row_no"))
     )

@@ -1,8 +1,10 @@
 """Minutes and trains from what ranges of records know.
 
 ``rows`` are the rows of :func:`clickloom.sources.trains.read_trains`. Clicks of whole minutes are reduced where they
-were read; only the loose records, of two minutes a range, are shuffled as records. Markers are numbered by adding
-what earlier ranges of the file hold, which takes one row a range.
+were read; only the loose records, of two minutes a range, are shuffled as records.
+
+Everything that is known of a file as a whole (its ranges, end, header, raw twin and failures) comes into one row, by one
+aggregate. Markers are numbered by adding what earlier ranges of the file hold, as that row tells.
 """
 
 from __future__ import annotations
@@ -10,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.operators import trains as T
-from clickloom.operators.ordering import earlier_runs, number_in_groups
+from clickloom.operators.ordering import number_in_groups
 from clickloom.operators.segment import MINUTE
-from clickloom.sources.trains import CLICK, ENDED, LOOSE_CLICK, LOOSE_TRAIN, MARK
+from clickloom.sources.trains import CLICK, ENDED, LOOSE_CLICK, LOOSE_TRAIN, MARK, RANGE
 
 KEYS = ["pod_file", "split", "markers", "what", "train_id"]
 FACTS = ["class_byte", "first_rec", "no_of_clicks", "first_us", "last_us", "min_ici_us"]
@@ -33,32 +35,77 @@ def parts(rows: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(parts: DataFrame, own: Column) -> DataFrame:
-    """Add ``minute``: markers of the file up to the row."""
-    held = parts.groupBy("pod_file", F.col("split").alias("run")).agg(F.max(own).alias("_m"))
-    before = held.select(
-        "pod_file", F.col("run").alias("split"), F.coalesce(F.sum("_m").over(earlier_runs(["pod_file"])), F.lit(0)).alias("_before")
-    )
-    return parts.join(before, ["pod_file", "split"]).withColumn("minute", F.col("_before") + F.col("markers")).drop("_before")
+def _before(runs: Column) -> Column:
+    """Markers of the earlier ranges, for each range of a file; ranges are numbered from 0 without gaps."""
+    add = lambda n, run: n + run["markers"]
+    return F.transform(runs, lambda _, i: F.aggregate(F.slice(runs, F.lit(1), i), F.lit(0).cast("long"), add))
+
 
+def _total(runs: Column) -> Column:
+    return F.aggregate(runs, F.lit(0).cast("long"), lambda n, run: n + run["markers"])
 
-def in_minutes(parts: DataFrame, file_ends: DataFrame | None = None) -> DataFrame:
-    """Parts with ``minute``, cut at the end of their file.
 
-    With ``file_ends`` (last record number of each file) a file ends before its first end-of-file record, and
-    its last record goes: it lies after the last marker or closes the tail minute.
+def file_facts(ends: DataFrame, parts: DataFrame, headers: DataFrame, raw: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """One row for each file: what its ranges, its header and its raw twin tell, and why it failed, if it did.
+
+    ``ends`` (pod_file, last_rec) names the train files, ``raw`` the raw files beside them and ``counts`` their click
+    counts. A file ends before its first end-of-file record. Files have as many entries in an array as ranges.
     """
-    numbered = _numbered(parts.filter(F.col("error").isNull()), F.col("markers"))
-    if file_ends is None:
-        return numbered
-    ends = numbered.filter(F.col("what") == ENDED).groupBy("pod_file")
-    ends = ends.agg(F.min("split").alias("_split"), F.min("single").alias("_end"))
-    last = file_ends.join(ends, "pod_file", "left").select(
-        "pod_file", "_split", F.coalesce(F.col("_end") - 1, F.col("last_rec")).alias("_last")
+    found = parts.filter(F.col("what").isin(RANGE, ENDED) | F.col("error").isNotNull()).select(
+        "pod_file", "error",
+        F.when(F.col("what") == RANGE, F.struct("split", "markers")).alias("run"),
+        F.when(F.col("what") == ENDED, F.struct("split", F.col("single").alias("rec_no"), "markers")).alias("end"),
+    )
+    header = [c for c in headers.columns if c not in ("pod_file", "error")]
+    tables = [ends.withColumn("is_train", F.lit(True)), found, headers]
+    if raw is not None:
+        known = counts.filter("total IS NOT NULL OR error IS NOT NULL")
+        run = F.when(F.col("total").isNotNull(), F.struct("split", F.col("total").alias("markers")))
+        tables.append(known.select("pod_file", F.col("error").alias("raw_error"), run.alias("raw_run")))
+        tables.append(raw.select("pod_file", F.lit(True).alias("has_raw")))
+    rows = tables[0]
+    for table in tables[1:]:
+        rows = rows.unionByName(table, allowMissingColumns=True)
+    one = [c for c in ("is_train", "has_raw", "last_rec", *header) if c in rows.columns]
+    errors = [c for c in ("error", "raw_error") if c in rows.columns]
+    lists = {"run": "runs", "raw_run": "raw_runs"}
+    facts = rows.groupBy("pod_file").agg(
+        *(F.max(c).alias(c) for c in one),
+        *(F.min(c).alias(c) for c in errors),
+        F.min("end").alias("end"),
+        *(F.sort_array(F.collect_list(c)).alias(name) for c, name in lists.items() if c in rows.columns),
+    )
+    before = _before(F.col("runs"))
+    end = F.col("end")
+    facts = facts.withColumn("before", before).withColumn(
+        "n_markers", F.when(end.isNotNull(), F.get("before", end["split"].cast("int")) + end["markers"]).otherwise(_total(F.col("runs")))
     )
-    within = F.col("_split").isNull() | (F.col("split") <= F.col("_split"))
-    closes = F.col("what").isin(LOOSE_TRAIN, LOOSE_CLICK) & (F.col("single") == F.col("_last"))
-    return numbered.join(last, "pod_file").filter(within & ~closes).drop("_split", "_last")
+    if raw is not None:
+        n_cp1 = F.when(F.col("raw_error").isNull(), F.nullif(_total(F.col("raw_runs")), F.lit(0).cast("long")))
+        facts = facts.withColumn("raw_before", _before(F.col("raw_runs")))
+        facts = facts.withColumn("has_tail", F.coalesce(n_cp1 > F.col("n_markers"), F.lit(False))).drop("raw_runs")
+    return facts.drop("runs")
+
+
+def good_files(facts: DataFrame) -> DataFrame:
+    return facts.filter("is_train AND error IS NULL")
+
+
+def in_minutes(parts: DataFrame, facts: DataFrame, closed: bool = False) -> DataFrame:
+    """Parts of the files that did not fail, with ``minute``: markers of the file up to the row.
+
+    With ``closed`` (C-POD) a file ends where ``facts`` says and its last record goes: it lies after the last marker
+    or closes the tail minute.
+    """
+    rows = parts.filter(F.col("error").isNull() & ~F.col("what").isin(RANGE, ENDED))
+    last = F.coalesce(F.col("end.rec_no") - 1, F.col("last_rec")).alias("_last")
+    known = good_files(facts).select("pod_file", "before", F.col("end.split").alias("_split"), last)
+    rows = rows.join(known, "pod_file").withColumn("minute", F.get("before", F.col("split").cast("int")) + F.col("markers"))
+    if closed:
+        within = F.col("_split").isNull() | (F.col("split") <= F.col("_split"))
+        closes = F.col("what").isin(LOOSE_TRAIN, LOOSE_CLICK) & (F.col("single") == F.col("_last"))
+        rows = rows.filter(within & ~closes)
+    return rows.drop("before", "_split", "_last")
 
 
 def marks(minutes: DataFrame) -> DataFrame:
@@ -134,8 +181,9 @@ def click_arrays(whole: DataFrame, shared: DataFrame, values: list[str], segment
     return first.unionByName(T.click_arrays(shared, values, segment_clicks=segment_clicks))
 
 
-def click_totals(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(click totals of each minute of raw files, markers of each file) from counts by range and marker."""
-    minutes = _numbered(counts, F.col("markers")).withColumnRenamed("minute", "minute_no")
-    totals = minutes.filter("minute_no >= 1").groupBy(*MINUTE).agg(F.sum("n").alias("nall"))
-    return totals, totals.groupBy("pod_file").agg(F.max("minute_no").alias("n_cp1"))
+def click_totals(counts: DataFrame, facts: DataFrame) -> DataFrame:
+    """Click totals of each minute of raw files, from counts by range and marker."""
+    known = facts.filter("has_raw AND raw_error IS NULL").select("pod_file", "raw_before")
+    minute = F.get("raw_before", F.col("split").cast("int")) + F.col("markers")
+    rows = counts.filter(F.col("error").isNull()).join(known, "pod_file").withColumn("minute_no", minute)
+    return rows.filter("minute_no >= 1").groupBy(*MINUTE).agg(F.sum("n").alias("nall"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +21,7 @@ from clickloom.operators import (
     trains as T,
 )
 from clickloom.plans import outputs as O
-from clickloom.session import at_once, scratch, write_and_read
+from clickloom.session import at_once, scratch, step
 from clickloom.sources import files as I, records as Q, trains as J
 
 # Bytes of a C-POD click in the array form.
@@ -47,62 +49,66 @@ def of_kind(files: DataFrame, kind: str) -> DataFrame:
 
 
 NO_RAW_FILE = "no CP1 file: click totals and tail minute are missing"
+# Files whose facts may be sent to every task: about a kilobyte each, for 10 GB of records.
+MAX_BROADCAST = 20_000
 
 
-def _status(files: DataFrame, bad: DataFrame, raw: DataFrame | None = None, bad_raw: DataFrame | None = None) -> DataFrame:
-    """OK, PARTIAL (no readable raw file beside it) or FAILED for each file."""
-    rows = files.select("pod_file").join(bad, "pod_file", "left")
+def _status(facts: DataFrame) -> DataFrame:
+    """OK, PARTIAL (no readable raw file beside it) or FAILED for each train file."""
     missing = F.lit(None).cast("string")
-    if raw is not None:
-        beside = raw.select("pod_file", F.lit(True).alias("_raw")).distinct()
-        rows = rows.join(beside, "pod_file", "left").join(bad_raw.withColumnRenamed("error", "_raw_error"), "pod_file", "left")
-        missing = F.when(F.col("_raw").isNull(), NO_RAW_FILE).otherwise(F.col("_raw_error"))
-    return rows.select(
+    if "has_raw" in facts.columns:
+        missing = F.when(F.col("has_raw").isNull(), NO_RAW_FILE).otherwise(F.col("raw_error"))
+    return facts.filter("is_train").select(
         "pod_file",
         F.when(F.col("error").isNotNull(), "FAILED").when(missing.isNotNull(), "PARTIAL").otherwise("OK").alias("status"),
         F.coalesce("error", missing).alias("error"),
     )
 
 
+def _few(facts: DataFrame) -> DataFrame:
+    """Sent to every task if the files are counted to be few; else joined by shuffle."""
+    return F.broadcast(facts) if facts.count() <= MAX_BROADCAST else facts
+
+
 @dataclass(frozen=True)
 class _Minutes:
-    """What one read of train files gives: parts by minute, minute rows, and the files that failed."""
+    """What one read of train files gives: parts by minute, minute rows, and the facts of each file."""
 
     parts: DataFrame
     rows: DataFrame
-    bad: DataFrame
-    bad_raw: DataFrame | None = None
+    facts: DataFrame
 
 
 def _cpod_minutes(files: DataFrame, read) -> _Minutes:
     """Minutes of C-POD files; ``read`` makes the written parts of the CP3 files."""
+    spark = files.sparkSession
     three, one = of_kind(files, "CP3"), of_kind(files, "CP1")
     found, counts, headers = at_once(
-        lambda: write_and_read(read(three), "cp3-parts"),
-        lambda: write_and_read(J.read_click_counts(one), "cp1-counts"),
-        lambda: write_and_read(Q.read_headers(three, "CP3"), "headers"),
+        lambda: step(spark, "cp3-parts", lambda: read(three)),
+        lambda: step(spark, "cp1-counts", lambda: J.read_click_counts(one)),
+        lambda: step(spark, "cp3-headers", lambda: Q.read_headers(three, "CP3")),
     )
-    bad = write_and_read(Q.failures(found, headers), "failures")
-    bad_raw = Q.failures(counts)
-    minutes = V.in_minutes(found, Q.file_ends(three, "CP3"))
-    marks = write_and_read(V.marks(minutes), "cp3-marks")
-    totals, raw_markers = V.click_totals(counts.join(bad_raw, "pod_file", "left_anti"))
-    known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time", "tilt_min", "tilt_max")
-    per_file = G.with_tail(marks, raw_markers).join(known, "pod_file").join(bad, "pod_file", "left_anti").drop("n_cp1")
-    rows = G.with_minute_on(G.with_clock(G.cpod_minute_rows(marks, per_file)))
-    return _Minutes(minutes, G.with_nall(rows, totals), bad, bad_raw)
+    known = headers.select("pod_file", "start_time", "tilt_min", "tilt_max", "error")
+    facts = step(spark, "cp3-files", lambda: V.file_facts(Q.file_ends(three, "CP3"), found, known, one, counts))
+    few = _few(facts)
+    minutes = V.in_minutes(found, few, closed=True)
+    per_file = V.good_files(few).select("pod_file", "n_markers", "has_tail", "start_time", "tilt_min", "tilt_max")
+    rows = G.with_minute_on(G.with_clock(G.cpod_minute_rows(V.marks(minutes), per_file)))
+    return _Minutes(minutes, G.with_nall(rows, V.click_totals(counts, few)), facts)
 
 
 def _fpod_minutes(three: DataFrame, read) -> _Minutes:
+    spark = three.sparkSession
     found, headers = at_once(
-        lambda: write_and_read(read(three), "fp3-parts"),
-        lambda: write_and_read(Q.read_headers(three, "FP3"), "headers"),
+        lambda: step(spark, "fp3-parts", lambda: read(three)),
+        lambda: step(spark, "fp3-headers", lambda: Q.read_headers(three, "FP3")),
     )
-    bad = write_and_read(Q.failures(found, headers), "failures")
-    minutes = V.in_minutes(found)
-    known = headers.filter(F.col("error").isNull()).select("pod_file", "start_time")
-    rows = G.fpod_minute_rows(V.marks(minutes)).join(known, "pod_file").join(bad, "pod_file", "left_anti")
-    return _Minutes(minutes, G.with_clock(rows), bad)
+    known = headers.select("pod_file", "start_time", "error")
+    facts = step(spark, "fp3-files", lambda: V.file_facts(Q.file_ends(three, "FP3"), found, known))
+    few = _few(facts)
+    minutes = V.in_minutes(found, few)
+    rows = G.fpod_minute_rows(V.marks(minutes)).join(V.good_files(few).select("pod_file", "start_time"), "pod_file")
+    return _Minutes(minutes, G.with_clock(rows), facts)
 
 
 def _trains(minutes: _Minutes, family: str, values: dict[str, str]) -> DataFrame:
@@ -120,7 +126,7 @@ def cpod_trains(files: DataFrame) -> Read:
     """Click trains of C-POD files with their clicks as arrays, and the status of the files."""
     minutes = _cpod_minutes(files, lambda three: _single(J.read_trains(three, "CP3", tuple(CLICK_BYTES.values()))))
     trains = _trains(minutes, "CP", {name: f"v{b}" for name, b in CLICK_BYTES.items()})
-    return Read(trains, _status(of_kind(files, "CP3"), minutes.bad, of_kind(files, "CP1"), minutes.bad_raw))
+    return Read(trains, _status(minutes.facts))
 
 
 def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
@@ -131,36 +137,36 @@ def harmonise_cpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
     """
     minutes = _cpod_minutes(files, lambda three: V.parts(J.read_trains(three, "CP3")))
     counts = T.minute_counts(T.with_class(V.train_facts(minutes.parts, "CP"), "CP"), buzz_us=buzz_us)
-    status = _status(of_kind(files, "CP3"), minutes.bad, of_kind(files, "CP1"), minutes.bad_raw)
-    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), status)
+    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), _status(minutes.facts))
 
 
 def fpod_trains(files: DataFrame) -> Read:
     """Click trains of F-POD files with their click times as arrays, and the status of the files."""
-    three = of_kind(files, "FP3")
-    minutes = _fpod_minutes(three, lambda found: _single(J.read_trains(found, "FP3")))
-    return Read(_trains(minutes, "FP", {}), _status(three, minutes.bad))
+    minutes = _fpod_minutes(of_kind(files, "FP3"), lambda found: _single(J.read_trains(found, "FP3")))
+    return Read(_trains(minutes, "FP", {}), _status(minutes.facts))
 
 
 def harmonise_fpod(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
     """Detection rows of F-POD files. FP1 files are not read."""
-    three = of_kind(files, "FP3")
-    minutes = _fpod_minutes(three, lambda found: V.parts(J.read_trains(found, "FP3")))
+    minutes = _fpod_minutes(of_kind(files, "FP3"), lambda found: V.parts(J.read_trains(found, "FP3")))
     facts = T.with_class(V.train_facts(minutes.parts, "FP"), "FP")
     counts = T.minute_counts(facts, need_species_good=True, buzz_us=buzz_us)
-    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), _status(three, minutes.bad))
+    return Harmonised(D.output_rows(D.fill_empty_minutes(minutes.rows, counts)), _status(minutes.facts))
 
 
 def filtered_click_counts(files: DataFrame, by_duration: bool = False) -> Read:
     """Clicks per minute of FP1 files within the amplitude and frequency limits: one pass, no shuffle of records."""
+    spark = files.sparkSession
     one = of_kind(files, "FP1")
-    headers = write_and_read(Q.read_headers(one, "FP1"), "headers")
+    headers = step(spark, "fp1-headers", lambda: Q.read_headers(one, "FP1"))
     known = headers.filter(F.col("error").isNull()).select("pod_file", "has_extended_amps")
     rows = Q.read_records(one.join(known, "pod_file"), "FP1", (4, 7, 11, 14, 15), carry=("has_extended_amps",), markers=True)
-    counts = write_and_read(Z.counts_by_split(rows, by_duration), "fp1-counts")
-    bad = write_and_read(Q.failures(counts, headers), "failures")
+    counts = step(spark, "fp1-counts", lambda: Z.counts_by_split(rows, by_duration))
+    bad = step(spark, "fp1-failures", lambda: Q.failures(counts, headers))
     whole = counts.filter(F.col("error").isNull()).drop("error").join(bad, "pod_file", "left_anti")
-    return Read(Z.counts_by_minute(whole), _status(one, bad))
+    failed = F.col("error").isNotNull()
+    status = one.select("pod_file").join(bad, "pod_file", "left").withColumn("status", F.when(failed, "FAILED").otherwise("OK"))
+    return Read(Z.counts_by_minute(whole), status.select("pod_file", "status", "error"))
 
 
 def harmonise(files: DataFrame, buzz_us: int = L.BUZZ_US) -> Harmonised:
@@ -192,33 +198,46 @@ def run(
 ) -> dict[str, DataFrame]:
     """Read everything under ``root``, match it to the sheet and write all output tables under ``out``.
 
-    Returns the tables as written. Intermediate tables of the run lie in one folder, which is removed at the end.
+    Returns the tables as written; :func:`clickloom.plans.outputs.published` finds them later. They appear all at once,
+    and until then the set of an earlier run stays. Intermediate tables of the run lie in one folder, which is removed at the
+    end. If the run dies, the next start with the same files, sheet and parameters goes on with the steps it finished.
     """
-    with scratch(spark, "run"):
+    key = input_key(spark, root, sheet_path, project, mode, buzz_us)
+    with scratch(spark, "run", key):
         return _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt)
 
 
+def input_key(spark: SparkSession, root: str, sheet_path: str, *parameters) -> str:
+    """Digest of what a run depends on: path, size and time of every file and of the sheet, and the parameters."""
+    listed = I.detector_files(spark, root).select("path", "length", "modificationTime", F.lit("file").alias("what"))
+    sheet = spark.read.format("binaryFile").load(sheet_path)
+    listed = listed.unionByName(sheet.select("path", "length", "modificationTime", F.lit("sheet").alias("what")))
+    sums = [F.sum(F.xxhash64("path", "length", "modificationTime", "what", F.lit(i)).cast("decimal(20,0)")) for i in (1, 2)]
+    found = listed.agg(F.count("*").alias("n"), *sums).first()
+    facts = [root, sheet_path, *map(str, found), *map(repr, parameters), S.OUTPUT_ORDER]
+    return hashlib.sha256(json.dumps(facts).encode()).hexdigest()[:32]
+
+
 def _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt) -> dict[str, DataFrame]:
-    files = I.list_pod_files(spark, root)
+    files = step(spark, "files", lambda: I.list_pod_files(spark, root))
     kept, rejected = C.dedup_files(files)
-    kept = write_and_read(kept, "kept-files")
-    sheet = P.prepare_deployments(I.read_sheet(spark, sheet_path), project)
-    sheet = write_and_read(sheet, "deployments")
+    kept = step(spark, "kept-files", lambda kept=kept: kept)
+    sheet = step(spark, "deployments", lambda: P.prepare_deployments(I.read_sheet(spark, sheet_path), project))
     index = M.match_index(kept, sheet, mode)
-    index = M.MatchIndex(*at_once(lambda: write_and_read(index.files, "index"), lambda: write_and_read(index.covered, "covered")))
-    rows = write_and_read(M.match_deployments(kept, sheet, index), "matched")
+    index = M.MatchIndex(*at_once(lambda: step(spark, "index", lambda: index.files), lambda: step(spark, "covered", lambda: index.covered)))
+    rows = step(spark, "matched", lambda: M.match_deployments(kept, sheet, index))
     matched = rows.filter(F.col("RowType") == "metadata")
     train = M.train_files(kept)
-    todo = write_and_read(M.process_list(train, kept, index, matched), "process-list")
-    done = harmonise(write_and_read(files_to_read(todo, kept), "files-to-read"), buzz_us)
+    todo = step(spark, "process-list", lambda: M.process_list(train, kept, index, matched))
+    done = harmonise(step(spark, "files-to-read", lambda: files_to_read(todo, kept)), buzz_us)
     name = F.col("name_ext")
     labels = todo.select(
         N.stem(name).alias("pod_file"), N.family(name).alias("family"), "deployment_id", "deploy", "valid_until"
     ).distinct()
-    detections = write_and_read(D.clip(D.relabel(done.detections, labels)), "detections")
+    detections = step(spark, "detections", lambda: D.clip(D.relabel(done.detections, labels)))
     spans = M.detection_spans(detections, ("PODfile", "family"))
-    status = write_and_read(done.status, "status")
-    rest = {
+    status = step(spark, "status", lambda: done.status)
+    tables = {
         "deployments": O.deployment_rows(rows, S.OUTPUT_ORDER),
         "matched_files": M.matched_files(index, matched),
         "receivers": M.receivers(matched),
@@ -226,7 +245,6 @@ def _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt) -> dict[str,
         "bad_files": status.filter("status <> 'OK'"),
         "rejected_files": rejected,
         "file_problems": C.pair_problems(files),
+        "detections": detections.select(*D.OUTPUT_COLUMNS, "PODfile"),
     }
-    jobs = {n: lambda n=n, t=t: O.write_table(t, f"{out}/{n}", fmt) for n, t in rest.items()}
-    jobs["detections"] = lambda: O.write_detections(detections.select(*D.OUTPUT_COLUMNS, "PODfile"), f"{out}/detections", fmt)
-    return dict(zip(jobs, at_once(*jobs.values())))
+    return O.publish(spark, out, tables, fmt, by={"detections": "filename"})

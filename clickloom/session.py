@@ -1,4 +1,4 @@
-"""Session settings and the shared folder for written intermediate tables."""
+"""Session settings, the shared folder for written intermediate tables, and the ledger of a run's finished steps."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from dataclasses import dataclass, field
+from threading import Lock
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +22,26 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Windows inside a run of records stay in memory; a run has at most this many rows.
     "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
+    # Filters reach the reader of detector files.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 T = TypeVar("T")
 # Small independent jobs submitted at the same time.
 PARALLEL_JOBS = 4
 
-# Folder of the run that is going on, below the shared folder.
-_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@dataclass
+class _Run:
+    """The run that is going on: its folder, and the steps it has taken."""
+
+    folder: str
+    steps: set[str] = field(default_factory=set)
+    lock: Lock = field(default_factory=Lock)
+
+
+_run: ContextVar[_Run | None] = ContextVar("run", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -47,29 +61,77 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str, kept: bool = False) -> str:
     """A folder below the shared one. It goes with the run that is going on, unless it is to be ``kept``."""
-    base = None if kept else _run_folder.get()
-    return f"{base or shared_folder(spark) + '/clickloom'}/{label}-{uuid.uuid4().hex}"
+    run = None if kept else _run.get()
+    return f"{run.folder if run else shared_folder(spark) + '/clickloom'}/{label}-{uuid.uuid4().hex}"
+
+
+def hadoop(spark: SparkSession, path: str):
+    """File system of a path, and the path as it knows it."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, name = hadoop(spark, path)
+    return system.exists(name)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, name = hadoop(spark, path)
+    system.delete(name, True)
 
 
 @contextmanager
-def scratch(spark: SparkSession, label: str) -> Iterator[str]:
-    """A folder for the intermediate tables of a run, removed at its end."""
-    folder = new_folder(spark, label)
-    token = _run_folder.set(folder)
+def scratch(spark: SparkSession, label: str, key: str | None = None) -> Iterator[str]:
+    """A folder for the intermediate tables of a run, removed at its end.
+
+    With ``key``, which has to stand for everything that the run reads and for its parameters, the folder outlives a run
+    that fails, and a second start goes on with the steps that were finished (see :func:`step`). Two runs of one key must not go
+    on at the same time.
+    """
+    folder = new_folder(spark, label) if key is None else f"{shared_folder(spark)}/clickloom/{label}-{key}"
+    token = _run.set(_Run(folder))
     try:
         yield folder
+        failed = False
+    except BaseException:
+        failed = True
+        raise
     finally:
-        _run_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _run.reset(token)
+        if key is None or not failed:
+            remove(spark, folder)
+
+
+def step(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A written table that a run makes once: read again if an earlier start of the same run finished it.
+
+    The mark of success that Spark writes last is the entry in the ledger; what a broken start left half done is
+    overwritten. Inside a run each label stands for one table. Outside of one this is :func:`write_and_read`.
+    """
+    run = _run.get()
+    if run is None:
+        return write_and_read(make(), label)
+    with run.lock:
+        if label in run.steps:
+            raise ValueError(f"a run has one step {label!r}")
+        run.steps.add(label)
+    folder = f"{run.folder}/steps/{label}"
+    if not exists(spark, f"{folder}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def write_and_name(df: DataFrame, label: str) -> str:
+    """Write ``df`` once to the shared folder; the name of its folder."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return folder
 
 
 def write_and_read(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder and continue from the written table."""
-    spark = df.sparkSession
-    folder = new_folder(spark, label)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(write_and_name(df, label))
 
 
 def at_once(*jobs: Callable[[], T]) -> list[T]:

@@ -7,19 +7,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom import spec as S
 from clickloom.functions import filenames as N
 from clickloom.operators.ordering import number_as_read, number_rows
+from clickloom.sources.listing import can_list, list_files
 
 NAME_GLOB = "*.[CcFf][Pp][13]"
+NAME_PATTERN = r"\.[CcFf][Pp][13]$"
+
+
+def detector_files(spark: SparkSession, root: str) -> DataFrame:
+    """path, length and modificationTime of the detector files under ``root``.
+
+    Tasks list them; only file systems that tasks cannot open are listed by Spark's file index, on the driver.
+    """
+    if can_list(root):
+        return list_files(spark, root, NAME_PATTERN)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", NAME_GLOB)
+    return files.load(root).select("path", "length", "modificationTime")
 
 
 def list_pod_files(spark: SparkSession, root: str) -> DataFrame:
     """Detector files under ``root``: sel_no (path order), path, name_ext, bytes. File contents are not read."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", NAME_GLOB)
-        .load(root)
-        .select("path", N.base_name(F.col("path")).alias("name_ext"), F.col("length").alias("bytes"))
-    )
+    found = detector_files(spark, root).select("path", N.base_name(F.col("path")).alias("name_ext"), F.col("length").alias("bytes"))
     return number_rows(found, [], ["path"], out="sel_no")
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.layout import END_OF_FILE, LAST_FPOD_CLICK_TYPE, LAYOUTS, MARKER, TICK_US, TRAIN_DETAIL
 from clickloom.sources.records import SPLIT_BYTES, Quarantine, failure, ranges, record_blocks, spread
 
-# What a row is.
-ENDED, MARK, CLICK, LOOSE_TRAIN, LOOSE_CLICK = "end", "marker", "click", "loose train", "loose click"
+# What a row is. The last row of a range has the number of its markers.
+ENDED, MARK, CLICK, LOOSE_TRAIN, LOOSE_CLICK, RANGE = "end", "marker", "click", "loose train", "loose click", "range"
 # Records of one minute that are held back; a longer minute leaves the reader as loose records.
 MAX_HELD = 1 << 20
 
@@ -146,10 +146,11 @@ class _Range:
     def finish(self) -> Iterator[pa.RecordBatch]:
         for items in self.held:
             yield from self._as_loose(items)
+        yield self._batch(RANGE, 1, {"markers": np.array([self.seen])})
 
 
 def read_trains(files: DataFrame, kind: str, values: tuple[int, ...] = (), split_bytes: int | None = None) -> DataFrame:
-    """Rows of CP3 or FP3 files: markers with their bytes, clicks of whole minutes, loose records, ends, errors.
+    """Rows of CP3 or FP3 files: markers with their bytes, clicks of whole minutes, loose records, ends, ranges, errors.
 
     ``markers`` counts the markers of the range up to the record. ``values`` names bytes of C-POD clicks to
     return as ``v<i>``. A file that is gone or too short gives rows with ``error``.
@@ -175,12 +176,19 @@ def read_trains(files: DataFrame, kind: str, values: tuple[int, ...] = (), split
 
 
 def read_click_counts(files: DataFrame, kind: str = "CP1", split_bytes: int | None = None) -> DataFrame:
-    """(pod_file, split, markers, n, error): click records after each marker of a range, counted in the reader."""
+    """(pod_file, split, markers, n, total, error): click records after each marker of a range, counted in the reader.
+
+    ``total`` is the number of markers of the range, in one of its rows.
+    """
     layout = LAYOUTS[kind]
     schema = pa.schema(
-        [("pod_file", pa.string()), ("split", pa.int64()), ("markers", pa.int64()), ("n", pa.int64()), ("error", pa.string())]
+        [("pod_file", pa.string()), *((c, pa.int64()) for c in ("split", "markers", "n", "total")), ("error", pa.string())]
     )
 
+    def row(split: dict, seen: int) -> pa.RecordBatch:
+        values = {"pod_file": split["pod_file"], "split": split["no"], "markers": seen, "n": 0, "total": seen}
+        return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for split in batch.to_pylist():
@@ -191,13 +199,14 @@ def read_click_counts(files: DataFrame, kind: str = "CP1", split_bytes: int | No
                         marked = np.cumsum(kinds == MARKER, dtype=np.int64)
                         n = np.bincount(marked[kinds < MARKER], minlength=int(marked[-1]) + 1)
                         same = [pa.repeat(pa.scalar(split[c], t), len(n)) for c, t in (("pod_file", pa.string()), ("no", pa.int64()))]
-                        counts = [pa.array(seen + np.arange(len(n))), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.string())]
-                        yield pa.RecordBatch.from_arrays([*same, *counts], schema=schema)
+                        counts = [pa.array(seen + np.arange(len(n))), pa.array(n.astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays([*same, *counts, *(pa.nulls(len(n), schema.field(c).type) for c in ("total", "error"))], schema=schema)
                         seen += int(marked[-1])
+                    yield row(split, seen)
                 except Quarantine as error:
                     yield failure(schema, split["pod_file"], error)
 
     found = spread(ranges(files, layout, split_bytes or SPLIT_BYTES)).mapInArrow(
-        read, "pod_file string, split long, markers long, n long, error string"
+        read, "pod_file string, split long, markers long, n long, total long, error string"
     )
-    return found.groupBy("pod_file", "split", "markers", "error").agg(F.sum("n").alias("n"))
+    return found.groupBy("pod_file", "split", "markers", "error").agg(F.sum("n").alias("n"), F.max("total").alias("total"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -57,6 +58,45 @@ def test_click_counts_fill_zeros(spark):
         (dt.datetime(2024, 5, 1, 23), 3), (dt.datetime(2024, 5, 2, 0), 1), (dt.datetime(2024, 5, 2, 1), 1)]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gaps_are_filled_without_a_join(spark):
+    c = clicks(spark)
+    shown = plan(G.click_counts(c, spans(spark), "second", ["pod_file"]))
+    assert "Join" not in shown and "Window" in shown
+    shown = plan(G.detection_positive(c, spans(spark), "second", ["pod_file"]))
+    assert "FullOuter" not in shown
+
+
+@pytest.mark.parametrize("run_bins", [3, 50, 32_768])
+@pytest.mark.parametrize("unit", ["second", "minute", "hour"])
+def test_gaps_equal_the_grid_joined(spark, monkeypatch, run_bins, unit):
+    monkeypatch.setattr(G, "RUN_BINS", run_bins)
+    rng = random.Random(run_bins)
+    before = dt.datetime(1969, 12, 31, 23, 58, 20, 700_000)
+    data, ranges = [], []
+    for name, start in (("a", T0), ("b", before), ("none", T0), ("no clicks", T0)):
+        length = rng.randrange(100, 400)
+        if name != "none":  # its clicks have no span
+            ranges.append((name, start, start + dt.timedelta(seconds=length)))
+        if name != "no clicks":
+            data += [(name, start + dt.timedelta(seconds=rng.uniform(-60, length + 60)), rng.choice(["NBHF", "Sonar"]), 3, 1.5) for _ in range(25)]
+    data.append(("a", None, "NBHF", 3, 2.0))
+    ranges.append(("turned", T0, T0 - dt.timedelta(seconds=1)))
+    c = spark.createDataFrame(data, "pod_file string, time timestamp_ntz, species string, quality int, duration double")
+    s = spark.createDataFrame(ranges, "pod_file string, start timestamp_ntz, end timestamp_ntz")
+    keys = ["pod_file", "species"]
+    counts = G.clicks_per_species(c, unit, ["pod_file"])
+    seen = G.species_spans(s, c, ["pod_file"])
+    want = G.fill_gaps(G.time_grid(seen, unit), counts, [*keys, "time"], ["nclicks", "duration"])
+    got = G.fill_between(seen, counts, unit, keys, ["nclicks", "duration"])
+    columns = [*keys, "time", "nclicks", "duration"]
+    assert rows(got, *columns) == rows(want, *columns)
+    assert [f.dataType for f in got.select(*columns).schema] == [f.dataType for f in want.select(*columns).schema]
+
+
 def test_strict_needs_two_clicks(spark):
     with pytest.raises(G.NoDetections):
         G.detection_positive(clicks(spark, CLICKS[:1]), spans(spark), "minute", ["pod_file"], strict=True)
@@ -103,6 +143,57 @@ def test_equal_sides_pass(spark):
     assert C.reconcile(ours, same).collect()[0].verdict == "PASS"
 
 
+def many_days(spark, n_days, change=None):
+    """Both sides over days of 24 minutes; ``change`` may edit the vendor's row of (day, minute)."""
+    ours, vendor = [], []
+    for d in range(n_days):
+        for m in range(24):
+            t = dt.datetime(2024, 1, 1) + dt.timedelta(days=d, minutes=m)
+            ours += [("r", t, d + m, q) for q in ("Hi", "Mod", "Lo")]
+            row = ("r", t, d + m)
+            vendor += [row] if change is None else change(d, m, row)
+    return (
+        spark.createDataFrame(ours, "rec string, DETECTION_DATE_TIME timestamp_ntz, NUMBER_CLICKS_TOTAL long, QUALITY string"),
+        spark.createDataFrame(vendor, "rec string, dt timestamp_ntz, nall_m long"),
+    )
+
+
+CHANGES = {
+    "one count": lambda d, m, r: [(r[0], r[1], r[2] + (d == 700 and m == 3))],
+    "two counts that add up to the same": lambda d, m, r: [(r[0], r[1], r[2] + (d == 700) * ((m == 3) - (m == 4)))],
+    "a minute less": lambda d, m, r: [] if (d, m) == (700, 3) else [r],
+    "a minute twice": lambda d, m, r: [r, r] if (d, m) == (700, 3) else [r],
+    "a minute elsewhere": lambda d, m, r: [(r[0], r[1] + dt.timedelta(hours=(d, m) == (700, 3)), r[2])],
+    "no count": lambda d, m, r: [(r[0], r[1], None if (d, m) == (700, 3) else r[2])],
+}
+
+
+@pytest.mark.parametrize("change", CHANGES)
+def test_of_a_thousand_days_one_is_compared_row_by_row(spark, change):
+    ours, vendor = many_days(spark, 1000, CHANGES[change])
+    left = C.narrowed(ours, vendor, ("rec",))
+    assert left.days.count() == 1000 and left.days.filter("differs").count() == 1
+    assert left.ours.count() == 72 and 23 <= left.vendor.count() <= 25
+    both = C.by_minute(ours, vendor, ("rec",))
+    want = both.filter("nall_diff <> 0")
+    assert rows(C.mismatches(ours, vendor, ("rec",))) == rows(want)
+    missing = both.agg(F.count_if(F.col("our_nall").isNull()), F.count_if(F.col("vendor_nall").isNull()))
+    assert rows(C.missing_minutes(ours, vendor, ("rec",))) == rows(missing)
+
+
+def test_days_without_counts_keys_or_times_are_compared_row_by_row(spark):
+    t = dt.datetime(2024, 1, 1)
+    ours = spark.createDataFrame(
+        [(k, s, n, q) for k, s, n in (("a", t, None), ("b", None, 4), (None, t, 4), ("c", t, 4)) for q in "123"],
+        "rec string, DETECTION_DATE_TIME timestamp_ntz, NUMBER_CLICKS_TOTAL long, QUALITY string",
+    )
+    vendor = spark.createDataFrame([("a", t, 0), ("b", None, 4), (None, t, 4), ("c", t, 4)], "rec string, dt timestamp_ntz, nall_m long")
+    both = C.by_minute(ours, vendor, ("rec",))
+    missing = both.agg(F.count_if(F.col("our_nall").isNull()), F.count_if(F.col("vendor_nall").isNull()))
+    assert rows(C.missing_minutes(ours, vendor, ("rec",))) == rows(missing)
+    assert rows(C.narrowed(ours, vendor, ("rec",)).days.filter("NOT differs"), "rec") == [("c",)]
+
+
 def real_peak(raw, ipi, extended):
     """Plain form of the amplitude rule, step by step over rising peaks."""
     raw = max(raw, 2)

@@ -63,9 +63,36 @@ def test_missing_dates_serials_and_raw_files_never_match(spark):
     assert pairs(spark, names, deps) == [(5, 0)]
 
 
-def test_far_end_date_adds_no_days(spark):
-    index = M.match_index(files(spark, name(5), name(7)), deployments(spark, ("912", "S", day(1), day(2), dt.datetime(9999, 1, 1))))
-    assert index.covered.count() == 3
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_covered_days_are_those_in_range(spark, inclusive):
+    days = [(a, d, e, x) for a in range(5) for d in range(5) for e in range(7) for x in range(8)]
+    df = spark.createDataFrame(days, "a int, d int, e int, x int").select(*(F.date_from_unix_date(c).alias(c) for c in "adex"))
+    first, until = M.covered_days(F.col("a"), F.col("d"), F.col("e"), inclusive)
+    within = (F.unix_date("x") >= first) & (F.unix_date("x") < until)
+    wrong = df.filter(within != M.in_range(F.col("x"), F.col("a"), F.col("d"), F.col("e"), inclusive))
+    assert wrong.count() == 0
+
+
+def test_blocks_hold_each_day_of_an_interval_once(spark, monkeypatch):
+    monkeypatch.setattr(M, "TOP_LEVEL", 4)
+    spans = [(a, b) for a in range(-40, 41, 3) for b in range(a, a + 75, 2)]
+    df = spark.createDataFrame(spans, "first int, until int")
+    for r in df.withColumn("blocks", M.day_blocks(F.col("first"), F.col("until"))).collect():
+        held = [d for level, block in r.blocks for d in range(block << level, (block + 1) << level)]
+        assert sorted(held) == list(range(r.first, r.until))
+        assert len([1 for level, _ in r.blocks if level < 4]) <= 2 * 4
+    own = spark.createDataFrame([(n,) for n in (-17, 0, 5)], "n int").select("n", M.blocks_of_day(F.date_from_unix_date("n")).alias("at"))
+    for r in own.collect():
+        assert [tuple(b) for b in r["at"]] == [(k, r.n >> k) for k in range(5)]
+
+
+def test_long_deployments_are_few_rows(spark):
+    """No row a day: 30 years are fewer than 2 x 14 blocks, and an end date far off adds blocks of 45 years."""
+    deps = [("912", "S", day(1), day(2), day(30 * 365)), ("912", "S", day(1), day(2), dt.datetime(9999, 1, 1))]
+    index = M.match_index(files(spark, name(5), name(7)), deployments(spark, *deps))
+    sizes = dict(rows(index.covered.groupBy("row_no").count()))
+    assert sizes[1] <= 2 * M.TOP_LEVEL and sizes[2] <= 2 * M.TOP_LEVEL + 3_000_000 // 2**M.TOP_LEVEL
+    assert rows(M.match_pairs(index), "row_no", "sel_no") == [(1, 0), (1, 1), (2, 0), (2, 1)]
 
 
 @pytest.mark.parametrize("mode", ["serial", "contains"])

@@ -14,7 +14,7 @@ from clickloom.layout import LAYOUTS
 from clickloom.operators import deployments as P, matching as M, segment as G
 from clickloom.plans import harmonise as H, outputs as O
 from clickloom.session import new_folder
-from clickloom.sources import files as I, records as Q
+from clickloom.sources import datasource as DS, files as I, records as Q
 from workload import fixtures as X, matches, recordings as W
 from workload.fixtures import with_views
 from workload.registry import query
@@ -232,6 +232,63 @@ def s5(spark, sf):
     return rows.select("pod_file", "rec_no", "rec_type", F.when(F.col("rec_type") <= 183, time_us()).alias("time_us"))
 
 
+# The same records through the source, read by name and with filters that it takes over.
+
+
+def scanned(spark, sf, kind: str, *bytes_wanted: int) -> DataFrame:
+    files = to_read(spark, sf, kind).select("pod_file", "path", "bytes")
+    return Q.without_errors(DS.scan(files, kind, bytes_wanted))
+
+
+@query(
+    "s2_scan_cp3_markers",
+    views(
+        """SELECT pod_file, row_number() OVER (PARTITION BY pod_file ORDER BY rec_no) AS rec_no, rec_type, b4 FROM cp3 QUALIFY rec_type = 254""",
+        "cp3",
+    ),
+)
+def s2_scan(spark, sf):
+    """Markers of CP3 files; what follows the end mark is told by its record number."""
+    rows = scanned(spark, sf, "CP3", 4)
+    ends = rows.filter("rec_type = 255").groupBy("pod_file").agg(F.min("rec_no").alias("end"))
+    marks = rows.filter("rec_type = 254").join(ends, "pod_file", "left").filter("end IS NULL OR rec_no < end")
+    return marks.select("pod_file", "rec_no", "rec_type", "b4")
+
+
+@query(
+    "s3_scan_cp1",
+    views(
+        """SELECT pod_file, rec_no + CAST(rec_no > n // 2 AS INT) AS rec_no, rec_type
+FROM cp1_seg JOIN (SELECT pod_file, count(*) AS n FROM cp1_seg GROUP BY pod_file) c USING (pod_file) WHERE rec_no + CAST(rec_no > n // 2 AS INT) BETWEEN 100 AND 50000""",
+        "cp1_seg",
+    ),
+)
+def s3_scan(spark, sf):
+    """A range of record numbers: other ranges of the files are not opened."""
+    return scanned(spark, sf, "CP1").filter("rec_no >= 100 AND rec_no <= 50000").drop("error")
+
+
+@query(
+    "s4_scan_fp3_details",
+    views("SELECT pod_file, rec_no, rec_type, b15, b16 FROM fp_seg WHERE rec_type = 249 AND b15 >= 64", "fp_seg"),
+)
+def s4_scan(spark, sf):
+    """Train records by type and byte."""
+    return scanned(spark, sf, "FP3", 15, 16).filter("rec_type = 249 AND b15 >= 64")
+
+
+@query(
+    "s5_scan_fp1_types",
+    views(
+        """SELECT regexp_replace(pod_file, ' POD1', ' FPOD_2') AS pod_file, CASE WHEN rec_type < 254 THEN CAST((time_us // 5) >> 16 AS INT) ELSE 254 END AS rec_type,
+       count(*) AS n FROM cp1_seg GROUP BY ALL""",
+        "cp1_seg",
+    ),
+)
+def s5_scan(spark, sf):
+    return scanned(spark, sf, "FP1").groupBy("pod_file", "rec_type").agg(F.count("*").alias("n"))
+
+
 @query(
     "s6_header_facts",
     views(
@@ -345,6 +402,13 @@ def s8(spark, sf):
 # ---- sinks
 
 
+def _published(spark: SparkSession, name: str, rows: DataFrame, fmt: str = "parquet", **how) -> DataFrame:
+    """Written and published below a new folder, and read as its readers find it."""
+    out = new_folder(spark, name)
+    O.publish(spark, out, {name: rows}, fmt, **how)
+    return O.published(spark, out)[name]
+
+
 @query(
     "k1_write_deployments",
     matches.views(
@@ -359,7 +423,7 @@ def k1(spark, sf):
     def build():
         rows = M.match_deployments(X.odd_file_list(spark, sf), X.conformed_deployments(spark, sf), matches.odd_index(spark, sf))
         out = O.deployment_rows(rows, S.OUTPUT_ORDER)
-        return O.write_table(out, new_folder(spark, "k1"), "csv")
+        return _published(spark, "deployments", out, "csv")
 
     return build()
 
@@ -369,7 +433,7 @@ def k2(spark, sf):
     """Written by recorder and read again."""
     def build():
         out = H.harmonise_cpod(to_read(spark, sf), W.BUZZ_US).detections
-        return O.write_detections(out, new_folder(spark, "k2"))
+        return _published(spark, "detections", out, by={"detections": "filename"})
 
     return build()
 
@@ -378,7 +442,7 @@ def k2(spark, sf):
 def k3(spark, sf):
     def build():
         out = matches.r1(spark, sf)
-        return O.write_table(out, new_folder(spark, "k3"), "csv")
+        return _published(spark, "receivers", out, "csv")
 
     return build()
 
@@ -519,6 +583,82 @@ def c7(spark, sf):
     )
 
 
+# A sheet with one deployment a customer and five projects; two of them have wrong dates and coordinates.
+VARIED = """
+SELECT *, f AND row_no % 17 = 0 AS early, f AND row_no % 13 = 0 AS ended, f AND row_no % 9 = 0 AS recovered, f AND row_no % 11 = 0 AS north, f AND row_no % 14 = 0 AS word
+FROM (SELECT row_number() OVER (ORDER BY row_no) AS at, row_no, rcv_project IN ('BUILDING', 'MACHINERY') AS f, rcv_project, receiver, station_name, deploy_lat, deploy_long,
+             activation_day, deploy_day, valid_until_day FROM fx_deployments) d"""
+VARIED_DATES = """
+SELECT *, CASE WHEN early THEN activation_day - INTERVAL 40 YEAR ELSE activation_day END + INTERVAL 8 HOUR AS a, deploy_day + INTERVAL 30 MINUTE AS d,
+       CASE WHEN ended THEN activation_day - INTERVAL 1 DAY ELSE valid_until_day END + INTERVAL 7 HOUR AS v,
+       CASE WHEN recovered THEN activation_day - INTERVAL 3 DAY ELSE deploy_day + INTERVAL 200 DAY END + INTERVAL 9 HOUR AS r FROM varied"""
+VARIED_FAULTS = f"""
+SELECT rcv_project, at, 'V3' AS check_id, c AS column_name, printf('Row %d: %s is earlier than minDate.', at, c) AS message
+FROM (SELECT rcv_project, at, unnest([struct_pack(c := 'ACTIVATION_DATE_TIME', t := a), struct_pack(c := 'DEPLOY_DATE_TIME', t := CAST(d AS TIMESTAMP)),
+      struct_pack(c := 'VALID_DATA_UNTIL_DATE_TIME', t := v), struct_pack(c := 'RECOVER_DATE_TIME', t := r)], recursive := true) FROM dates) u WHERE t < TIMESTAMP '{S.MIN_DATE}'
+UNION ALL SELECT rcv_project, at, 'V4', c, m FROM (
+  SELECT rcv_project, at, 'DEPLOY_DATE_TIME' AS c, 'Deployment date must be before recovery date.' AS m FROM dates WHERE d > r
+  UNION ALL SELECT rcv_project, at, 'ACTIVATION_DATE_TIME', 'Activation date must be before recovery date.' FROM dates WHERE a > r
+  UNION ALL SELECT rcv_project, at, 'ACTIVATION_DATE_TIME', 'Activation date must be before valid until date.' FROM dates WHERE a > v
+  UNION ALL SELECT rcv_project, at, 'DEPLOY_DATE_TIME', 'Deployment date must be before valid until date.' FROM dates WHERE d > v) o
+UNION ALL SELECT rcv_project, at, 'V5', 'DEPLOY_LAT', printf('Row %d: - Invalid %s.', at, CASE WHEN north AND word THEN 'latitude and longitude' WHEN north THEN 'latitude' ELSE 'longitude' END)
+FROM dates WHERE north OR word"""
+
+
+def varied_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of VARIED_DATES as a sheet has them: everything text, dates in four cells."""
+    base, row = X.deployments(spark, sf), F.col("row_no")
+    faulty = F.col("rcv_project").isin("BUILDING", "MACHINERY")
+    every = lambda n: faulty & (row % n == 0)
+    first = F.col("activation_day")
+    dates = {
+        "ACTIVATION": (F.when(every(17), F.add_months(first, -480)).otherwise(first), "8:00"),
+        "DEPLOY": (F.col("deploy_day"), "0:30:00"),
+        "VALID_DATA_UNTIL": (F.when(every(13), F.date_sub(first, 1)).otherwise(F.col("valid_until_day")), "07:00"),
+        "RECOVER": (F.when(every(9), F.date_sub(first, 3)).otherwise(F.date_add("deploy_day", 200)), "9:00:00"),
+    }
+    parts = []
+    for name, (day, time) in dates.items():
+        units = zip(("YEAR", "MONTH", "DAY"), (F.year, F.month, F.dayofmonth), strict=True)
+        parts += [unit(day).cast("string").alias(f"{name}_{part}") for part, unit in units] + [F.lit(time).alias(f"{name}_TIME")]
+    return base.select(
+        "row_no", F.col("rcv_project").alias("RCV_PROJECT"), F.col("receiver").alias("RECEIVER"), F.col("station_name").alias("STATION_NAME"),
+        F.when(every(11), "95.5").otherwise(X.text(F.col("deploy_lat"))).alias("DEPLOY_LAT"),
+        F.when(every(14), "west").otherwise(X.text(F.col("deploy_long"))).alias("DEPLOY_LONG"), *parts,
+    )
+
+
+@query(
+    "c7_prepare_each_project",
+    with_views(
+        f"""SELECT rcv_project AS project, at AS row_no, check_id, column_name, message FROM ({VARIED_FAULTS}) f
+UNION ALL SELECT rcv_project, at, 'OK', receiver, strftime(a, '%Y-%m-%d %H:%M') || ' ' || strftime(r, '%Y-%m-%d %H:%M') FROM dates WHERE NOT f""",
+        "fx_deployments",
+        extra={"varied": VARIED, "dates": VARIED_DATES},
+    ),
+)
+def c7_projects(spark, sf):
+    """The strict preparation of each project: its checked rows, or the table of everything that is wrong with them."""
+    path = new_folder(spark, "varied-sheet")
+    rows = varied_sheet(spark, sf)
+    rows.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no").write.option("header", True).csv(path)
+    sheet = I.read_sheet(spark, path)
+    tables = []
+    for name in [r.project for r in P.projects(sheet).select("project").collect()]:  # the choices a user has
+        try:
+            done = P.prepare_deployments(sheet, name)
+            day = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
+            text = F.concat(day("ACTIVATION_DATE_TIME"), F.lit(" "), day("RECOVER_DATE_TIME"))
+            found = done.select("row_no", F.lit("OK").alias("check_id"), F.col("RECEIVER").alias("column_name"), text.alias("message"))
+        except P.MetadataError as error:
+            found = spark.read.parquet(error.path).select("row_no", "check_id", "column_name", "message")
+        tables.append(found.select(F.lit(name).alias("project"), "*"))
+    every = tables[0]
+    for table in tables[1:]:
+        every = every.unionByName(table)
+    return every
+
+
 RUN_SQL = f"""
 SELECT * REPLACE (concat('S', substr(filename, 1, 3), ' 2024 01 02 POD', regexp_extract(filename, 'POD_?([0-9]+)', 1)) AS filename), filename AS PODfile
 FROM (SELECT * FROM ({W.CP_ROWS_SQL}) a UNION ALL BY NAME SELECT * FROM ({FP_ROWS_SQL}) b) u

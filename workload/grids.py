@@ -85,8 +85,7 @@ def u7(spark, sf):
 def j12(spark, sf):
     clicks = events(spark, sf)
     counts = G.clicks_per_species(G.high_and_moderate(clicks), "minute", KEYS)
-    grid = G.species_grid(spans(spark, sf), clicks, "minute", KEYS)
-    return G.fill_gaps(grid, counts, [*KEYS, "time", "species"], ["nclicks", "duration"])
+    return G.fill_between(G.species_spans(spans(spark, sf), clicks, KEYS), counts, "minute", [*KEYS, "species"], ["nclicks", "duration"])
 
 
 # The second grid, as sums over its hours.
