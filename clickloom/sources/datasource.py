@@ -1,13 +1,16 @@
 """Detector files as a Spark source of its own: ``spark.read.format("detector_records")``.
 
 Options: ``kind`` (CP1, CP3, FP1 or FP3); ``path``, a folder searched at any depth, or ``files``, a Parquet table with
-pod_file, path and bytes; ``split_bytes``, the bytes of one range. The schema asked for decides which bytes of a record are
-decoded: any of pod_file, rec_no, rec_type, b<i> (the 1-based bytes) and error.
+pod_file, path and bytes; ``split_bytes``, the bytes of one range; ``pushdown``, whether filters are taken over. The schema
+asked for decides which bytes of a record are decoded: any of pod_file, rec_no, rec_type, b<i> (the 1-based bytes) and error.
 
 A partition is a range of whole records, or several where there are more than ``MAX_TASKS``. Filters on names choose files
 before anything is opened, filters on rec_no choose ranges and blocks, filters on rec_type and bytes are applied to a
 block before rows are made of it. What a pushed filter settles is not tested again by Spark.
 
+``pushdown`` is off unless asked for: Spark keeps one reader for each ``load()``, and where one plan uses the same frame
+twice with different filters, both uses get the reader of the last one. With ``pushdown`` load once for each use.
+
 A range that can never be read gives a row with ``error``, as in :mod:`clickloom.sources.records`. Filters on a record's
 values drop such a row like every row that lacks the values, so the read fails instead, unless ``error IS NULL`` is asked for
 as well: no file is lost unseen. Without an ``error`` column the read fails, too.
@@ -54,7 +57,7 @@ def _listed(path: str, kind: str) -> list[tuple[str, str, int]]:
 
 def _tabled(path: str) -> list[tuple[str, str, int]]:
     system, inner = filesystem(path)
-    table = pq.read_table(inner, filesystem=system, columns=["pod_file", "path", "bytes"])
+    table = pq.read_table(inner, filesystem=system, columns=["pod_file", "path", "bytes"], use_threads=False)
     return list(zip(*(table.column(c).to_pylist() for c in ("pod_file", "path", "bytes")), strict=True))
 
 
@@ -108,11 +111,15 @@ class RecordReader(D.DataSourceReader):
         self.kind, self.columns = kind, columns
         self.path, self.files = options.get("path"), options.get("files")
         self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
+        self.pushdown = options.get("pushdown", "false").lower() == "true"
         self.wanted = _Wanted()
 
     # ---- planning
 
     def pushFilters(self, filters: list[D.Filter]) -> Iterable[D.Filter]:
+        if not self.pushdown:
+            yield from filters
+            return
         for f in filters:
             column = f.attribute[0] if hasattr(f, "attribute") and len(f.attribute) == 1 else None
             known = type(f) in _COMPARE or isinstance(f, (D.In, D.IsNotNull))
@@ -219,10 +226,10 @@ def register(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scan(files: DataFrame, kind: str, bytes_wanted: tuple[int, ...] = (), split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def scan(files: DataFrame, kind: str, bytes_wanted: tuple[int, ...] = (), split_bytes: int = SPLIT_BYTES, pushdown: bool = False) -> DataFrame:
     """The given files (pod_file, path, bytes) through the source: pod_file, rec_no, rec_type, b<i> ..., error."""
     spark = register(files.sparkSession)
     columns = ["pod_file string", "rec_no long", "rec_type int", *[f"b{i} int" for i in bytes_wanted], "error string"]
     listed = write_and_name(files.select("pod_file", "path", "bytes"), "scan-files")
     reader = spark.read.format(FORMAT).schema(", ".join(columns)).option("kind", kind)
-    return reader.option("files", listed).option("split_bytes", split_bytes).load()
+    return reader.options(files=listed, split_bytes=split_bytes, pushdown=pushdown).load()

@@ -59,15 +59,27 @@ FILTERS = [
 @pytest.mark.parametrize("wanted", FILTERS)
 def test_filters_give_the_same_rows(spark, folder, wanted):
     want = Q.read_records(listed(spark, folder), "CP3", (4, 37)).filter(wanted)
-    assert rows(read(spark, folder, split_bytes=40 * 7).filter(wanted)) == rows(want)
+    for pushdown in (False, True):
+        if pushdown or "error" in wanted or "NULL" not in wanted:
+            assert rows(read(spark, folder, split_bytes=40 * 7, pushdown=pushdown).filter(wanted)) == rows(want)
+
+
+def test_one_frame_used_twice(spark, folder):
+    """Without pushdown a frame may be used with several filters; with it each use needs its own."""
+    once = read(spark, folder)
+    pairs = lambda a, b: a.filter("rec_type = 254").join(b.filter("rec_type = 3"), ["pod_file", "rec_no"], "full_outer").count()
+    want = once.filter("rec_type IN (254, 3)").count()
+    assert want > 0 and pairs(once, once) == want
+    assert pairs(read(spark, folder, pushdown=True), read(spark, folder, pushdown=True)) == want
 
 
 def test_filters_are_pushed(spark, folder):
     tested_again = lambda df: [line for line in plan(df).splitlines() if "Filter (" in line or "Filter isnotnull" in line]
-    df = read(spark, folder)
+    df = read(spark, folder, pushdown=True)
+    assert tested_again(read(spark, folder).filter("rec_type = 254"))
     assert not tested_again(df.filter("rec_type = 254 AND rec_no >= 20 AND pod_file LIKE 'a%' AND b4 IN (1, 2)"))
     assert tested_again(df.filter("rec_type = 254 OR b4 = 7"))
-    reader = DS.RecordReader("CP3", ["pod_file", "rec_type"], {"path": "x"})
+    reader = DS.RecordReader("CP3", ["pod_file", "rec_type"], {"path": "x", "pushdown": "true"})
     taken = [EqualTo(("rec_type",), 254), In(("b4",), (1, 2)), LessThan(("rec_no",), 9), StringStartsWith(("pod_file",), "a"), IsNull(("error",))]
     left = [StringStartsWith(("error",), "x"), IsNull(("b4",))]
     assert list(reader.pushFilters([*taken, *left])) == left
@@ -76,26 +88,27 @@ def test_filters_are_pushed(spark, folder):
 
 def test_only_ranges_that_can_hold_rows_are_read(spark, folder):
     tasks = lambda df: df.rdd.getNumPartitions()
-    whole = read(spark, folder, split_bytes=40 * 7)
+    load = lambda: read(spark, folder, split_bytes=40 * 7, pushdown=True)
+    whole = load()
     assert tasks(whole) == 3 * 8 + 1
-    assert tasks(whole.filter("pod_file = 'c'")) == 8
-    assert tasks(whole.filter("pod_file = 'c' AND rec_no BETWEEN 15 AND 21")) == 1
-    assert tasks(whole.filter("pod_file = 'c' AND rec_no = 22")) == 1
-    assert whole.filter("pod_file = 'c' AND rec_no BETWEEN 15 AND 21").count() == 7
+    assert tasks(load().filter("pod_file = 'c'")) == 8
+    assert tasks(load().filter("pod_file = 'c' AND rec_no BETWEEN 15 AND 21")) == 1
+    assert tasks(load().filter("pod_file = 'c' AND rec_no = 22")) == 1
+    assert load().filter("pod_file = 'c' AND rec_no BETWEEN 15 AND 21").count() == 7
 
 
 def test_failed_ranges_are_rows_and_never_vanish(spark, folder):
     files = listed(spark, folder).withColumn("bytes", F.col("bytes") + F.when(F.col("pod_file") == "c", 4000).otherwise(0))
     gone = spark.createDataFrame([("gone", str(folder / "gone.CP3"), 5000)], files.schema)
-    scan = DS.scan(files.unionByName(gone), "CP3")
-    bad = scan.filter("error IS NOT NULL")
+    load = lambda: DS.scan(files.unionByName(gone), "CP3", pushdown=True)
+    bad = load().filter("error IS NOT NULL")
     assert [(r[0], "ends inside" in r[1] or "FileNotFound" in r[1]) for r in rows(bad.select("pod_file", "error"))] == [("c", True), ("gone", True)]
-    assert scan.filter("error IS NULL").count() == 100
-    assert scan.filter("error IS NULL AND rec_type = 254").count() == 20
+    assert load().filter("error IS NULL").count() == 100
+    assert load().filter("error IS NULL AND rec_type = 254").count() == 20
     with pytest.raises(Exception, match="ends inside|FileNotFound"):
-        scan.filter("rec_type = 254").count()
+        load().filter("rec_type = 254").count()
     with pytest.raises(Exception, match="ends inside|FileNotFound"):
-        scan.select("pod_file").filter("rec_no > 3").count()
+        load().select("pod_file").filter("rec_no > 3").count()
 
 
 def test_wrong_options_are_told(spark, folder):

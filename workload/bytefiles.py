@@ -237,7 +237,7 @@ def s5(spark, sf):
 
 def scanned(spark, sf, kind: str, *bytes_wanted: int) -> DataFrame:
     files = to_read(spark, sf, kind).select("pod_file", "path", "bytes")
-    return Q.without_errors(DS.scan(files, kind, bytes_wanted))
+    return Q.without_errors(DS.scan(files, kind, bytes_wanted, pushdown=True))
 
 
 @query(
@@ -248,10 +248,9 @@ def scanned(spark, sf, kind: str, *bytes_wanted: int) -> DataFrame:
     ),
 )
 def s2_scan(spark, sf):
-    """Markers of CP3 files; what follows the end mark is told by its record number."""
-    rows = scanned(spark, sf, "CP3", 4)
-    ends = rows.filter("rec_type = 255").groupBy("pod_file").agg(F.min("rec_no").alias("end"))
-    marks = rows.filter("rec_type = 254").join(ends, "pod_file", "left").filter("end IS NULL OR rec_no < end")
+    """Markers of CP3 files; what follows the end mark is told by its record number. Each scan has its own filter."""
+    ends = scanned(spark, sf, "CP3").filter("rec_type = 255").groupBy("pod_file").agg(F.min("rec_no").alias("end"))
+    marks = scanned(spark, sf, "CP3", 4).filter("rec_type = 254").join(ends, "pod_file", "left").filter("end IS NULL OR rec_no < end")
     return marks.select("pod_file", "rec_no", "rec_type", "b4")
 
 
@@ -586,22 +585,22 @@ def c7(spark, sf):
 # A sheet with one deployment a customer and five projects; two of them have wrong dates and coordinates.
 VARIED = """
 SELECT *, f AND row_no % 17 = 0 AS early, f AND row_no % 13 = 0 AS ended, f AND row_no % 9 = 0 AS recovered, f AND row_no % 11 = 0 AS north, f AND row_no % 14 = 0 AS word
-FROM (SELECT row_number() OVER (ORDER BY row_no) AS at, row_no, rcv_project IN ('BUILDING', 'MACHINERY') AS f, rcv_project, receiver, station_name, deploy_lat, deploy_long,
+FROM (SELECT row_number() OVER (ORDER BY row_no) AS place, row_no, rcv_project IN ('BUILDING', 'MACHINERY') AS f, rcv_project, receiver, station_name, deploy_lat, deploy_long,
              activation_day, deploy_day, valid_until_day FROM fx_deployments) d"""
 VARIED_DATES = """
 SELECT *, CASE WHEN early THEN activation_day - INTERVAL 40 YEAR ELSE activation_day END + INTERVAL 8 HOUR AS a, deploy_day + INTERVAL 30 MINUTE AS d,
        CASE WHEN ended THEN activation_day - INTERVAL 1 DAY ELSE valid_until_day END + INTERVAL 7 HOUR AS v,
        CASE WHEN recovered THEN activation_day - INTERVAL 3 DAY ELSE deploy_day + INTERVAL 200 DAY END + INTERVAL 9 HOUR AS r FROM varied"""
 VARIED_FAULTS = f"""
-SELECT rcv_project, at, 'V3' AS check_id, c AS column_name, printf('Row %d: %s is earlier than minDate.', at, c) AS message
-FROM (SELECT rcv_project, at, unnest([struct_pack(c := 'ACTIVATION_DATE_TIME', t := a), struct_pack(c := 'DEPLOY_DATE_TIME', t := CAST(d AS TIMESTAMP)),
+SELECT rcv_project, place, 'V3' AS check_id, c AS column_name, printf('Row %d: %s is earlier than minDate.', place, c) AS message
+FROM (SELECT rcv_project, place, unnest([struct_pack(c := 'ACTIVATION_DATE_TIME', t := a), struct_pack(c := 'DEPLOY_DATE_TIME', t := CAST(d AS TIMESTAMP)),
       struct_pack(c := 'VALID_DATA_UNTIL_DATE_TIME', t := v), struct_pack(c := 'RECOVER_DATE_TIME', t := r)], recursive := true) FROM dates) u WHERE t < TIMESTAMP '{S.MIN_DATE}'
-UNION ALL SELECT rcv_project, at, 'V4', c, m FROM (
-  SELECT rcv_project, at, 'DEPLOY_DATE_TIME' AS c, 'Deployment date must be before recovery date.' AS m FROM dates WHERE d > r
-  UNION ALL SELECT rcv_project, at, 'ACTIVATION_DATE_TIME', 'Activation date must be before recovery date.' FROM dates WHERE a > r
-  UNION ALL SELECT rcv_project, at, 'ACTIVATION_DATE_TIME', 'Activation date must be before valid until date.' FROM dates WHERE a > v
-  UNION ALL SELECT rcv_project, at, 'DEPLOY_DATE_TIME', 'Deployment date must be before valid until date.' FROM dates WHERE d > v) o
-UNION ALL SELECT rcv_project, at, 'V5', 'DEPLOY_LAT', printf('Row %d: - Invalid %s.', at, CASE WHEN north AND word THEN 'latitude and longitude' WHEN north THEN 'latitude' ELSE 'longitude' END)
+UNION ALL SELECT rcv_project, place, 'V4', c, m FROM (
+  SELECT rcv_project, place, 'DEPLOY_DATE_TIME' AS c, 'Deployment date must be before recovery date.' AS m FROM dates WHERE d > r
+  UNION ALL SELECT rcv_project, place, 'ACTIVATION_DATE_TIME', 'Activation date must be before recovery date.' FROM dates WHERE a > r
+  UNION ALL SELECT rcv_project, place, 'ACTIVATION_DATE_TIME', 'Activation date must be before valid until date.' FROM dates WHERE a > v
+  UNION ALL SELECT rcv_project, place, 'DEPLOY_DATE_TIME', 'Deployment date must be before valid until date.' FROM dates WHERE d > v) o
+UNION ALL SELECT rcv_project, place, 'V5', 'DEPLOY_LAT', printf('Row %d: - Invalid %s.', place, CASE WHEN north AND word THEN 'latitude and longitude' WHEN north THEN 'latitude' ELSE 'longitude' END)
 FROM dates WHERE north OR word"""
 
 
@@ -623,16 +622,16 @@ def varied_sheet(spark: SparkSession, sf: str) -> DataFrame:
         parts += [unit(day).cast("string").alias(f"{name}_{part}") for part, unit in units] + [F.lit(time).alias(f"{name}_TIME")]
     return base.select(
         "row_no", F.col("rcv_project").alias("RCV_PROJECT"), F.col("receiver").alias("RECEIVER"), F.col("station_name").alias("STATION_NAME"),
-        F.when(every(11), "95.5").otherwise(X.text(F.col("deploy_lat"))).alias("DEPLOY_LAT"),
-        F.when(every(14), "west").otherwise(X.text(F.col("deploy_long"))).alias("DEPLOY_LONG"), *parts,
+        F.when(every(11), "95.5").otherwise(X.text(F.col("deploy_lat") / 2)).alias("DEPLOY_LAT"),
+        F.when(every(14), "west").otherwise(X.text(F.col("deploy_long") / 2)).alias("DEPLOY_LONG"), *parts,
     )
 
 
 @query(
     "c7_prepare_each_project",
     with_views(
-        f"""SELECT rcv_project AS project, at AS row_no, check_id, column_name, message FROM ({VARIED_FAULTS}) f
-UNION ALL SELECT rcv_project, at, 'OK', receiver, strftime(a, '%Y-%m-%d %H:%M') || ' ' || strftime(r, '%Y-%m-%d %H:%M') FROM dates WHERE NOT f""",
+        f"""SELECT rcv_project AS project, place AS row_no, check_id, column_name, message FROM ({VARIED_FAULTS}) f
+UNION ALL SELECT rcv_project, place, 'OK', receiver, strftime(a, '%Y-%m-%d %H:%M') || ' ' || strftime(r, '%Y-%m-%d %H:%M') FROM dates WHERE NOT f""",
         "fx_deployments",
         extra={"varied": VARIED, "dates": VARIED_DATES},
     ),
