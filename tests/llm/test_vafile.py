@@ -11,22 +11,19 @@ from clickloom.llm import vafile
 
 
 def plain(rows, k=5, every=50):
-    """Best k of each query row by comparing with all rows."""
-    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) and abs(x) < 65536 for x in v)]
-    out, asked = [], set()
-    for i, q in ok:
-        if i % every or (i, tuple(q)) in asked:
-            continue
-        asked.add((i, tuple(q)))
-        scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in ok if j != i and len(v) == len(q))
-        out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:k], 1)]
+    """Best k of each query row by comparing with all other rows."""
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(256 * x) for x in v)]
+    out = []
+    for at, (i, q) in enumerate(ok):
+        if i % every == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for n, (j, v) in enumerate(ok) if n != at and len(v) == len(q))
+            out += [(i, rank, j, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, j) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
-def got(spark, rows, k=5, every=50, **how):
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("own")).withColumn("query", F.lit(1)).repartition(3)
-    vectors = vafile.scaled(df)
-    return sorted(tuple(r) for r in vafile.top_k(vectors, vectors.filter(F.col("vec_id") % every == 0), k, **how).collect())
+def got(spark, rows, every=50, partitions=3, kind="float", **how):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumn("v", F.lit("own")).withColumn("row", F.lit(1))
+    return sorted(tuple(r) for r in vafile.top_k(vafile.scaled(df.repartition(partitions)), every, **how).collect())
 
 
 def random_rows(seed, n, d, values=None):
@@ -44,7 +41,25 @@ def test_queries_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(vafile, "TILE", 7)
     monkeypatch.setattr(vafile, "DATA_BLOCK", 13)
     rows = random_rows(4, 300, 8)
-    assert got(spark, rows, every=5, query_block=9) == plain(rows, every=5)
+    assert got(spark, rows, every=5, query_bytes=25 * 64) == plain(rows, every=5)
+
+
+def test_queries_from_very_many_partitions(spark):
+    rows = random_rows(11, 3000, 2)
+    assert got(spark, rows, every=1000, partitions=400) == plain(rows, every=1000)
+
+
+def test_large_components_stay(spark):
+    rows = [(0, [1.0, 2.0]), (1, [70000.0, 1.0]), (2, [1.0, 1.0]), (50, [-70000.0, 3e38]), (51, [3e38, 3e38]), (52, [-3e38, 1.0]), (53, [1e20, -1e20]), (54, [1e20, -1.1e20])]
+    assert got(spark, rows, k=3) == plain(rows, k=3)
+    rows = [(i, [x * 1.7, -x]) for i, x in enumerate([1e9, -1e9, 2e15, -2e15, 1e200, -1e200, 3.5, 1e300, -7e299])]
+    assert got(spark, rows, every=2, kind="double", k=2) == plain(rows, every=2, k=2)
+
+
+def test_text_sorts_as_numbers_do():
+    random.seed(1)
+    numbers = [0, 1, -1, 9, 10, -9, -10] + [random.choice([-1, 1]) * random.randrange(10 ** random.randrange(1, 90)) for _ in range(500)]
+    assert sorted(numbers) == sorted(numbers, key=vafile.ranked)
 
 
 def test_awkward_vectors(spark):
@@ -64,20 +79,37 @@ def test_large_groups_of_equal_vectors(spark):
     assert got(spark, rows) == plain(rows)
 
 
+def cells_of(vectors):
+    return vafile.Cells(vectors[:: max(1, len(vectors) // 1000)], vectors.min(axis=0), vectors.max(axis=0))
+
+
 def test_bounds_enclose_scores():
     r = np.random.default_rng(9)
-    vectors, queries = r.integers(-(2**23), 2**23, (200, 64)), r.integers(-(2**23), 2**23, (20, 64))
-    block = vafile.QueryBlock([(i, -i - 1, q.tolist()) for i, q in enumerate(queries)])
-    lower, upper = block.bounds(vectors, np.arange(200))
+    vectors, queries = r.integers(-(2**23), 2**23, (200, 64)).astype(float), r.integers(-(2**23), 2**23, (20, 64)).astype(float)
+    vectors[3, 5], vectors[4, 6] = 1e12, -1e12
+    cells = vafile.Cells(vectors[:50], vectors.min(axis=0), vectors.max(axis=0))
+    low, high = cells.corners(cells.codes(vectors))
+    assert (low <= vectors).all() and (vectors <= high).all()
+    lower, upper = vafile.QueryBlock(-1 - np.arange(20), queries).bounds(low, high, np.arange(200))
     exact = queries @ vectors.T
     assert (lower <= exact).all() and (exact <= upper).all()
 
 
 def test_few_exact_vectors_are_read(spark, monkeypatch):
-    """The floor found in the first pass leaves only a small part of the vectors to the second."""
-    rows = random_rows(10, 2000, 8)
-    block = vafile.QueryBlock([(i, i, [math.floor(256 * x) for x in v]) for i, v in rows[::50]])
-    vectors = np.array([[math.floor(256 * x) for x in v] for _, v in rows])
-    lower, upper = block.bounds(vectors, np.arange(2000))
+    """At 64 dimensions at most 5% of the vectors are noted for a query, and far fewer are fetched."""
+    rows = random_rows(10, 2000, 64)
+    fetched, fetch = [], vafile._fetched
+
+    def counting(pairs, *more):
+        fetched.append(pairs.count())
+        return fetch(pairs, *more)
+
+    monkeypatch.setattr(vafile, "_fetched", counting)
+    assert got(spark, rows) == plain(rows)
+    vectors = np.array([[math.floor(256 * x) for x in v] for _, v in rows], float)
+    cells = cells_of(vectors)
+    queries = vafile.QueryBlock(np.arange(0, 2000, 50), vectors[::50])
+    lower, upper = queries.bounds(*cells.corners(cells.codes(vectors)), np.arange(2000))
     floors = np.sort(lower, axis=1)[:, -5]
-    assert (upper >= floors[:, None]).mean() < 0.1
+    assert (upper >= floors[:, None]).mean() < 0.05
+    assert len(fetched) == 2 and fetched[0] <= 40 * 20 and sum(fetched) < 0.02 * 40 * 2000
