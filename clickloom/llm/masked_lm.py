@@ -10,6 +10,8 @@ words are with each task; those of the others are joined with the documents' wor
 32 words, word of the class), so a prediction costs 64 outputs and not 1,024. The biases start at the counts, so
 training starts from the unigram model.
 
+Documents are encoded once, to 16-bit ids, and every later pass reads these.
+
 Training: in each round every task starts from the shared weights and runs Adagrad steps over every ``STRIDE``-th
 word of all its documents, from another first word in each round, so that the rounds together train on every word; what
 changed, times the words trained on, is summed slice by slice across tasks and averaged.
@@ -42,8 +44,8 @@ SIZE = CLASSES * CLASS_WORDS
 HASHED = 64  # ids shared by the words outside the vocabulary
 PAD = SIZE
 ROUNDS, STRIDE = 2, 2  # as many rounds as the stride: each word is a target once
-BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-6
-SLICE_WORDS = 65_536  # words predicted at once
+BATCH, RATE, FIRST_SQUARE = 4096, 0.15, 1e-6
+SLICE_WORDS = 8192  # words predicted at once
 MAX_COUNTED = 200_000  # distinct words a task counts before it sends them on
 SLICE_WEIGHTS = 16_384
 KNOWN = 65_536  # words whose counts every task holds
@@ -181,43 +183,49 @@ class Network:
         return network
 
     def _hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.embed[0][context[0]]
+        total = np.take(self.embed[0], context[0], axis=0)
         for place in range(1, 2 * SIDE):
-            total += self.embed[place][context[place]]
-        return np.tanh(total + self.hidden)
+            total += np.take(self.embed[place], context[place], axis=0)
+        total += self.hidden
+        return np.tanh(total, out=total)
 
     def log_probabilities(self, context: np.ndarray, words: np.ndarray) -> np.ndarray:
         """log p of each word given its context (one row a place)."""
-        h = self._hidden(context)
-        of, within = words // CLASS_WORDS, words % CLASS_WORDS
-        out = _log_softmax(h @ self.to_class + self.class_bias)[np.arange(len(words)), of]
-        for group, c in _groups(of):
-            logs = _log_softmax(h[group] @ self.to_word[c] + self.word_bias[c])
-            out[group] += logs[np.arange(len(group)), within[group]]
+        order, edges, of, within = _by_class(words)
+        h = self._hidden(context[:, order])
+        logs = _log_picked(h @ self.to_class + self.class_bias, of)
+        for c in range(CLASSES):
+            a, b = edges[c], edges[c + 1]
+            if a < b:
+                logs[a:b] += _log_picked(h[a:b] @ self.to_word[c] + self.word_bias[c], within[a:b])
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def gradient(self, context: np.ndarray, words: np.ndarray) -> Network:
         """Gradient of the mean loss of a batch, laid out like the weights."""
         n = len(words)
+        # Words of one class lie together, so that each class is one product over a slice.
+        order, edges, of, within = _by_class(words)
+        context = context[:, order]
         h = self._hidden(context)
-        of, within = words // CLASS_WORDS, words % CLASS_WORDS
         out = Network(np.zeros(self.LENGTH, self.flat.dtype))
-        error = np.exp(_log_softmax(h @ self.to_class + self.class_bias))
-        error[np.arange(n), of] -= 1
+        error = _softmax_error(h @ self.to_class + self.class_bias, of)
         back = error @ self.to_class.T
         out.to_class[:], out.class_bias[:] = h.T @ error, error.sum(axis=0)
-        for group, c in _groups(of):
-            hc = h[group]
-            e = np.exp(_log_softmax(hc @ self.to_word[c] + self.word_bias[c]))
-            e[np.arange(len(group)), within[group]] -= 1
-            back[group] += e @ self.to_word[c].T
-            out.to_word[c], out.word_bias[c] = hc.T @ e, e.sum(axis=0)
+        for c in range(CLASSES):
+            a, b = edges[c], edges[c + 1]
+            if a < b:
+                e = _softmax_error(h[a:b] @ self.to_word[c] + self.word_bias[c], within[a:b])
+                back[a:b] += e @ self.to_word[c].T
+                out.to_word[c], out.word_bias[c] = h[a:b].T @ e, e.sum(axis=0)
         back *= 1 - h * h
         for place in range(2 * SIDE):
-            order = np.argsort(context[place], kind="stable")
-            sorted_ids = context[place][order]
-            first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-            out.embed[place][sorted_ids[first]] = np.add.reduceat(back[order], first, axis=0)
+            ids = context[place].astype(np.uint16)
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            out.embed[place][ids[first]] = np.add.reduceat(np.take(back, order, axis=0), first, axis=0)
         out.hidden[:] = back.sum(axis=0)
         out.flat /= n
         return out
@@ -231,35 +239,77 @@ class Network:
         self.flat -= change
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_picked(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Log-softmax of one column a row."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), picked]
+    return chosen - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _softmax_error(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Softmax less one at the given column of each row: the slope of the loss."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), picked] -= 1
+    return x
 
 
-def _groups(of: np.ndarray):
-    """Rows of each class that occurs."""
+def _by_class(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the words by class, where each class starts in it, and class and place within it of the ordered words."""
+    of = (words // CLASS_WORDS).astype(np.uint8)  # bytes sort in one pass
     order = np.argsort(of, kind="stable")
-    edges = np.flatnonzero(np.diff(of[order])) + 1
-    for group in np.split(order, edges) if len(order) else ():
-        yield group, int(of[group[0]])
-
-
-def _laid_out(texts: pa.Array, known: Vocabulary, shares: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a batch in one array with pads between documents; start and length of each document.
-
-    ``shares`` gets the sum of the logs of each document's shares, and its words that lack a count.
-    """
-    parts, starts, lengths, at = [np.full(SIDE, PAD, np.int32)], [], [], SIDE
-    gap = np.full(SIDE, PAD, np.int32)
-    for text in texts:
-        ids, logs, rare = known.encode_shares(split_words(text.as_py()))
-        if shares is not None:
-            shares.append((logs.sum(), Counter(rare)))
+    of = of[order]
+    return order, np.searchsorted(of, np.arange(CLASSES + 1)), of, words[order] % CLASS_WORDS
+
+
+def _laid(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of several documents in one array with pads between them; start and length of each document."""
+    gap = np.full(SIDE, PAD, np.uint16)
+    lengths = np.fromiter(map(len, documents), np.int64, len(documents))
+    starts = SIDE + np.cumsum(lengths + SIDE) - lengths - SIDE
+    parts = [gap]
+    for ids in documents:
         parts += [ids, gap]
-        starts.append(at)
-        lengths.append(len(ids))
-        at += len(ids) + SIDE
-    return np.concatenate(parts), np.array(starts, np.int64), np.array(lengths, np.int64)
+    return np.concatenate(parts), starts, lengths
+
+
+def _laid_out(texts: pa.Array, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _laid([known.encode(split_words(t.as_py())).astype(np.uint16) for t in texts])
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    """Ids of each document of an encoded batch."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[a:b].view(np.uint16) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """Words as 16-bit ids, once for all passes: doc_id, row, ids, the summed logs of the words' shares, words without a count."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Batches) -> Batches:
+        vocabulary = shared.value
+        for batch in batches:
+            ids, sums, rare, times, ends = [], [], [], [], [0]
+            for text in batch.column("text"):
+                own, logs, unknown = vocabulary.encode_shares(split_words(text.as_py()))
+                ids.append(own.astype(np.uint16).tobytes())
+                sums.append(logs.sum())
+                found = Counter(unknown)
+                rare += found.keys()
+                times += found.values()
+                ends.append(len(rare))
+            offsets = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((rare, pa.binary()), (times, pa.int32()))]
+            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(sums, pa.float64()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "shares", "rare", "times"])
+
+    schema = f"doc_id {id_type}, ids binary, shares double, rare array<binary>, times array<int>"
+    # Written, so that the rows keep their numbers.
+    return write_and_read(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-encoded")
 
 
 def _contexts(laid: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -268,7 +318,10 @@ def _contexts(laid: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _targets(texts: pa.Array, known: Vocabulary, phase: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of every ``STRIDE``-th word of each document, from word ``phase`` on, and the words laid out."""
-    laid, starts, lengths = _laid_out(texts, known)
+    return _every(*_laid_out(texts, known), phase)
+
+
+def _every(laid: np.ndarray, starts: np.ndarray, lengths: np.ndarray, phase: int) -> tuple[np.ndarray, np.ndarray]:
     words = np.flatnonzero(laid != PAD)
     return words[(words - np.repeat(starts, lengths)) % STRIDE == phase], laid
 
@@ -277,7 +330,7 @@ def _trainer(shared, phase: int):
     """Run gradient steps over a task's documents and send what changed (weights and squares), slice by slice."""
 
     def run(batches: Batches) -> Batches:
-        known, state = shared.value
+        state = shared.value
         mine, trained = state.copy(), 0
         network, squares = Network(mine[: Network.LENGTH]), mine[Network.LENGTH :]
         waiting: list[np.ndarray] = []
@@ -288,11 +341,11 @@ def _trainer(shared, phase: int):
                 network.step(part[:-1], part[-1], squares)
 
         for batch in batches:
-            at, laid = _targets(batch.column("text"), known, phase)
+            at, laid = _every(*_laid(_ids(batch.column("ids"))), phase)
             if len(at):
                 waiting.append(np.vstack([_contexts(laid, at), laid[at][None]]))
                 trained += len(at)
-            if sum(w.shape[1] for w in waiting) >= 16 * BATCH:
+            if sum(w.shape[1] for w in waiting) >= 8 * BATCH:
                 train(np.hstack(waiting))
                 waiting = []
         if waiting:
@@ -334,11 +387,15 @@ def _sum_changes(batches: Batches) -> Batches:
 
 
 def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
-    spark, texts = docs.sparkSession, docs.select("text")
+    return train_encoded(encoded(docs, known), known, rounds)
+
+
+def train_encoded(corpus: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
+    spark, ids = corpus.sparkSession, corpus.select("ids")
     state = np.concatenate([Network.start(known.counts).flat, np.full(Network.LENGTH, FIRST_SQUARE, np.float32)])
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast((known, state))
-        sent = texts.mapInArrow(_trainer(shared, number % STRIDE), "slice int, task int, n long, change binary")
+        shared = spark.sparkContext.broadcast(state)
+        sent = ids.mapInArrow(_trainer(shared, number % STRIDE), "slice int, task int, n long, change binary")
         summed = sent.repartition("slice").sortWithinPartitions("slice", "task").mapInArrow(_sum_changes, "slice int, n long, change binary")
         state = state.copy()
         for row in summed.collect():  # weights and squares once
@@ -347,9 +404,8 @@ def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
     return Network(state[: Network.LENGTH])
 
 
-def scores_of(texts: pa.Array, known: Vocabulary, network: Network, shares: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and summed log-probability of each text."""
-    laid, starts, lengths = _laid_out(texts, known, shares)
+def _totals(laid: np.ndarray, starts: np.ndarray, lengths: np.ndarray, network: Network) -> np.ndarray:
+    """Summed log-probability of the words of each document."""
     at = np.flatnonzero(laid != PAD)
     logs = np.zeros(len(laid))
     for i in range(0, len(at), SLICE_WORDS):
@@ -357,63 +413,62 @@ def scores_of(texts: pa.Array, known: Vocabulary, network: Network, shares: list
         logs[part] = network.log_probabilities(_contexts(laid, part), laid[part])
     # Pads count 0, so a document's sum may run up to the start of the next one.
     totals = np.add.reduceat(logs, starts) if len(starts) else np.empty(0)
-    return lengths, np.where(lengths > 0, totals, 0.0)
+    return np.where(lengths > 0, totals, 0.0)
 
 
-def score(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
-    """(doc_id, n_tokens, score, mean_score), one row per document; the score is that of the words' ids."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, network.flat))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def scores_of(texts: pa.Array, known: Vocabulary, network: Network) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words and summed log-probability of each text."""
+    laid, starts, lengths = _laid_out(texts, known)
+    return lengths, _totals(laid, starts, lengths, network)
+
+
+def _scored(corpus: DataFrame, network: Network) -> DataFrame:
+    """Encoded documents (without ids) with n_tokens and the score of their ids."""
+    shared = corpus.sparkSession.sparkContext.broadcast(network.flat)
+    kept = [c for c in corpus.columns if c != "ids"]
+    types = ", ".join(f"{c} {corpus.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Batches) -> Batches:
-        words, flat = shared.value
-        model = Network(flat)
+        model = Network(shared.value)
         for batch in batches:
-            n, total = scores_of(batch.column("text"), words, model)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total)], ["doc_id", "n_tokens", "score"])
+            laid, starts, lengths = _laid(_ids(batch.column("ids")))
+            totals = _totals(laid, starts, lengths, model)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(lengths), pa.array(totals)], [*kept, "n_tokens", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_tokens long, score double")
-    return scored.withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
+    return corpus.select(*kept, "ids").mapInArrow(run, f"{types}, n_tokens long, score double")
+
+
+def _with_mean(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", "n_tokens", "score").withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
+
+
+def score(docs: DataFrame, known: Vocabulary, network: Network) -> DataFrame:
+    """(doc_id, n_tokens, score, mean_score), one row per document; the score is that of the words' ids."""
+    return _with_mean(_scored(encoded(docs, known).select("doc_id", "ids"), network))
 
 
 def word_scores(docs: DataFrame, known: Vocabulary, network: Network, counted: DataFrame) -> DataFrame:
     """As ``score``, with the probabilities of the words instead of those of their ids."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, network.flat))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return word_scores_encoded(encoded(docs, known), known, network, counted)
 
-    def run(batches: Batches) -> Batches:
-        vocabulary, flat = shared.value
-        model = Network(flat)
-        for batch in batches:
-            rare, times, ends, shares = [], [], [0], []
-            n, total = scores_of(batch.column("text"), vocabulary, model, shares)
-            for i, (logs, found) in enumerate(shares):
-                total[i] += logs
-                rare += found.keys()
-                times += found.values()
-                ends.append(len(rare))
-            offsets = pa.array(ends, pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in ((rare, pa.binary()), (times, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(total), *lists], ["doc_id", "n_tokens", "score", "rare", "times"])
 
-    schema = f"doc_id {id_type}, n_tokens long, score double, rare array<binary>, times array<int>"
-    # Written, so that the rows keep their numbers.
-    scored = write_and_read(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("of")).select("row", "of.rare", "of.times")
+def word_scores_encoded(corpus: DataFrame, known: Vocabulary, network: Network, counted: DataFrame) -> DataFrame:
+    rare = corpus.select("row", F.explode(F.arrays_zip("rare", "times")).alias("of")).select("row", "of.rare", "of.times")
     # Words that occur once, or that were not counted, add nothing.
     counts = counted.filter((F.col("n") > 1) & (_step() < known.first_step))
     counts = counts.select(F.col("word").alias("rare"), F.round(F.log("n") * FIXED).cast("long").alias("log"))
     more = rare.join(counts, "rare").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("more"))
-    whole = scored.select("doc_id", "n_tokens", "score", "row").join(more, "row", "left")
-    whole = whole.withColumn("score", F.col("score") + F.coalesce(F.col("more") / F.lit(float(FIXED)), F.lit(0.0)))
-    return whole.select("doc_id", "n_tokens", "score").withColumn("mean_score", F.try_divide("score", F.col("n_tokens")))
+    scored = _scored(corpus.select("doc_id", "row", "shares", "ids"), network).join(more, "row", "left")
+    more = F.coalesce(F.col("more") / F.lit(float(FIXED)), F.lit(0.0))
+    return _with_mean(scored.withColumn("score", F.col("score") + F.col("shares") + more))
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
     """Train on the corpus and score it."""
     counted = word_counts(docs)
     known = vocabulary(docs, counted)
-    return word_scores(docs, known, train(docs, known), counted)
+    corpus = encoded(docs, known)
+    return word_scores_encoded(corpus, known, train_encoded(corpus, known), counted)
 
 
 @register("op7_masked_lm_score")
