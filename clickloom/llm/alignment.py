@@ -467,7 +467,8 @@ def scored(docs: DataFrame, a_path: str, b_path: str, keep: tuple[str, ...] = ("
     """One row per document: the columns to keep, counts, sums of its links' scores and the digest of its groups."""
     aligned, bits, pairs_an_a = align(docs, a_path, b_path, keep, **bounds)
     table = write_and_read(scores(bits, pairs_an_a).select("pair", "count", "best"), "alignment-scores")
-    sent = bits.join(table, "pair").select("chunk", "n", "docs", "planes", "count", "best")
+    # Merged at any size, as scores grow with the corpus.
+    sent = bits.join(table.hint("merge"), "pair").select("chunk", "n", "docs", "planes", "count", "best")
     sums = sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_added_up, "chunk long, doc int, n_best long, count_sum long")
     return aligned.join(sums, ["chunk", "doc"], "left").select(
         *(F.col(f"__{c}").alias(c) for c in keep),
