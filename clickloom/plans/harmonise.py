@@ -237,7 +237,10 @@ def _run(spark, root, sheet_path, out, project, mode, buzz_us, fmt) -> dict[str,
     detections = step(spark, "detections", lambda: D.clip(D.relabel(done.detections, labels)))
     spans = M.detection_spans(detections, ("PODfile", "family"))
     status = step(spark, "status", lambda: done.status)
+    options = {c: values for c, values in S.OPTIONS.items() if c in sheet.columns}
     tables = {
+        # Dates, order and coordinates stop a run; values outside the options only lead to rows here.
+        "violations": P.violation_rows(sheet, P.option_cases(options)),
         "deployments": O.deployment_rows(rows, S.OUTPUT_ORDER),
         "matched_files": M.matched_files(index, matched),
         "receivers": M.receivers(matched),

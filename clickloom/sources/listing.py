@@ -32,7 +32,8 @@ def can_list(root: str) -> bool:
 
 def lead_of(path: str, inner: str) -> str:
     """What stands before the paths of a file system in the paths of Spark."""
-    return path[: len(path) - len(inner)] or "file:" if path.endswith(inner) else "file:"
+    lead = path[: len(path) - len(inner)] if path.endswith(inner) else ""
+    return "file:" if lead in ("", "file://") else lead
 
 
 def _folder(path: str, name: re.Pattern) -> pa.RecordBatch:

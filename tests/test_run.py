@@ -14,12 +14,13 @@ from clickloom.plans import harmonise as H
 COLUMNS = [
     "RCV_PROJECT", "RECEIVER", "STATION_NAME", "DEPLOY_LAT", "DEPLOY_LONG",
     *[f"{p}_{x}" for p in ("ACTIVATION", "DEPLOY", "VALID_DATA_UNTIL") for x in ("YEAR", "MONTH", "DAY", "TIME")],
+    "MOORING_TYPE",
 ]
 LINES = [
-    "p1,C-POD-912,KF2,55.68,10.98,2024,4,30,8:43,2024,5,1,10:01,2024,5,1,10:03:00",
-    "p1,F-POD-6601,KF3,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00",
-    "p1,C-POD-77,KF4,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00",
-    "p2,C-POD-5,KF5,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00",
+    "p1,C-POD-912,KF2,55.68,10.98,2024,4,30,8:43,2024,5,1,10:01,2024,5,1,10:03:00,bottom-mooring",
+    "p1,F-POD-6601,KF3,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00,balloon",
+    "p1,C-POD-77,KF4,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00,",
+    "p2,C-POD-5,KF5,55.68,10.98,2024,4,30,8:43,2024,5,1,9:00,2024,5,3,9:00:00,raft",
 ]
 CP = "KF2O 2024 04 30 POD912 file01"
 FP = "KF3O 2024 05 01 FPOD_6601 file0"
@@ -69,6 +70,7 @@ def test_run_writes_all_tables(spark, folder, fmt):
         (FP, "Yes", "2 days, 0 hours, 0 minutes", "0 days, 0 hours, 1 minutes", "OK"),
     ]
     assert got["bad_files"].count() == 0
+    assert rows(got["violations"], "check_id", "row_no", "column_name") == [("V10", 2, "MOORING_TYPE")]
     assert {r.reason for r in got["rejected_files"].collect()} == {"WORSE_VARIANT"}
     assert [r.path.rsplit("/", 1)[1] for r in got["file_problems"].collect()] == ["lone 2024 05 01 POD3 file01.CP3"]
 
