@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -127,3 +128,19 @@ def test_zip_by_position_keeps_train_records_without_click(spark):
     columns = ("minute_no", "pos", "class_byte", "time_us")
     assert rows(G.zip_by_position(cut), *columns) == [(1, 1, 2, 40), (1, 2, 3, None), (2, 1, 7, 60)]
     assert rows(G.zip_by_position(cut, need_click=True), *columns) == [(1, 1, 2, 40), (2, 1, 7, 60)]
+
+
+def test_read_records_are_never_broadcast(spark):
+    """The rows of a reader in Python are estimated by its input, here three short rows, however many it returns."""
+
+    def read(batches):
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                n = 50_000
+                kinds = pa.array([254 if i % 100 == 0 else 1 for i in range(n)], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(1, n + 1), pa.int64()), kinds], ["pod_file", "rec_no", "rec_type"])
+
+    listed = spark.createDataFrame([("a",), ("b",), ("c",)], "pod_file string").repartition(2)
+    cut = G.segment(listed.mapInArrow(read, SCHEMA), stop_at_end=True, run_rows=1000).select("pod_file", "rec_no")
+    assert len(cut.collect()) == 150_000
+    assert "BroadcastExchange" not in cut._jdf.queryExecution().executedPlan().toString()
