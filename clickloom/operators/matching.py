@@ -147,6 +147,12 @@ def match_index(
     return MatchIndex(named, covered.select("row_no", "serial", blocks).select("row_no", "serial", "at.*"))
 
 
+def _meet(one: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """Joined by merging. Blocks and names are made by expressions, so estimates see the compressed tables that they come
+    from, and both sides would be broadcast at many times the size that is allowed."""
+    return one.join(other.hint("merge"), on)
+
+
 def _in_blocks(days: DataFrame) -> DataFrame:
     """Rows with serial and day once for each block of the day."""
     kept = [c for c in days.columns if c != "at"]
@@ -156,14 +162,14 @@ def _in_blocks(days: DataFrame) -> DataFrame:
 def match_pairs(index: MatchIndex) -> DataFrame:
     """Pairs (row_no, sel_no, name_ext) of deployments and train files."""
     days = _in_blocks(index.files.select("serial", "day").distinct())
-    rows = days.join(index.covered, BLOCK).select("serial", "day", "row_no")
-    return index.files.join(rows, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
+    rows = _meet(days, index.covered, BLOCK).select("serial", "day", "row_no")
+    return _meet(index.files, rows, ["serial", "day"]).select("row_no", "sel_no", "name_ext")
 
 
 def matched_files(index: MatchIndex, deployments: DataFrame) -> DataFrame:
     """Which file belongs to which deployment: DeploymentID, FileName, and ``row_no`` and ``sel_no`` for their order."""
     ids = deployments.select("row_no", "DeploymentID")
-    return match_pairs(index).join(ids, "row_no").select("DeploymentID", F.col("name_ext").alias("FileName"), "row_no", "sel_no")
+    return _meet(match_pairs(index), ids, ["row_no"]).select("DeploymentID", F.col("name_ext").alias("FileName"), "row_no", "sel_no")
 
 
 def annotate(deployments: DataFrame, index: MatchIndex) -> DataFrame:
@@ -177,7 +183,7 @@ def annotate(deployments: DataFrame, index: MatchIndex) -> DataFrame:
         F.sum("_n").alias("_n"), F.max_by("_type", "_last").alias("_type"), F.max("_last").alias("_last")
     )
     found = (
-        index.covered.join(per_block, BLOCK)
+        _meet(index.covered, per_block, BLOCK)
         .groupBy("row_no")
         .agg(F.sum("_n").alias("MatchCount"), F.max_by("_type", "_last").alias("PodType"))
     )
@@ -199,10 +205,10 @@ def lower_name(name: str = "name_ext") -> Column:
 def first_deployment(index: MatchIndex) -> DataFrame:
     """Lowest deployment row of each file name."""
     lowest = index.covered.groupBy(*BLOCK).agg(F.min("row_no").alias("row_no"))
-    days = _in_blocks(index.files.select("serial", "day").distinct()).join(lowest, BLOCK)
+    days = _meet(_in_blocks(index.files.select("serial", "day").distinct()), lowest, BLOCK)
     days = days.groupBy("serial", "day").agg(F.min("row_no").alias("row_no"))
     return (
-        index.files.join(days, ["serial", "day"])
+        _meet(index.files, days, ["serial", "day"])
         .groupBy(lower_name())
         .agg(F.min("row_no").alias("row_no"))
     )

@@ -183,3 +183,15 @@ def test_contains_drops_starts_of_serials_before_the_shuffle(spark):
     plan = index.files._jdf.queryExecution().executedPlan().toString()
     # Reading from the top: the semi-join comes before any exchange of the exploded starts.
     assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan[: plan.index("LeftSemi")]
+
+
+@pytest.mark.parametrize("find", [M.match_pairs, M.first_deployment, lambda index: M.file_lists(M.match_pairs(index))])
+def test_blocks_and_names_are_never_broadcast(spark, find):
+    """They are made by expressions, so their estimated size is that of the tables below."""
+    names = [name(n, f"POD{900 + n % 3}") for n in range(40)]
+    deps = [(f"C-POD-{900 + k}", "S", day(0), day(2), day(30)) for k in range(3)]
+    found = find(M.match_index(files(spark, *names), deployments(spark, *deps)))
+    assert found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joined = [line for line in plan.splitlines() if "HashJoin" in line and ("serial" in line or "block" in line)]
+    assert "SortMergeJoin" in plan and not joined
