@@ -43,7 +43,9 @@ def clicks_per_bin(clicks: DataFrame, unit: str, keys: list[str]) -> DataFrame:
 def time_grid(spans: DataFrame, unit: str, start: str = "start", end: str = "end") -> DataFrame:
     """Every bin from start (cut to the unit) to end, for each row of ``spans``.
 
-    Blocks first, then the bins of a block, so that no row ever holds the bins of a whole deployment.
+    Blocks first, then the bins of a block, so that no row ever holds the bins of a whole deployment. The blocks are dealt
+    to a given number of tasks: adaptive execution would put all of them into one, because blocks are small until they are
+    exploded.
     """
     step = UNITS[unit]
     first = F.unix_seconds(truncate(unit, F.col(start)).cast("timestamp"))
@@ -58,7 +60,8 @@ def time_grid(spans: DataFrame, unit: str, start: str = "start", end: str = "end
     )
     low = F.col("_block") * GRID_BLOCK
     high = F.least(F.col("_bins"), low + GRID_BLOCK - 1)
-    return blocks.repartition(*rest, "_block").select(
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(tasks, *rest, "_block").select(
         *rest, "_first", F.explode(F.sequence(low, high)).alias("_bin")
     ).select(*rest, F.timestamp_seconds(F.col("_first") + F.col("_bin") * step).cast("timestamp_ntz").alias("time"))
 

@@ -216,3 +216,11 @@ def test_amplitude_table_equals_the_plain_rule(spark):
     got = Counter(tuple(r) for r in A.with_real_amplitude(df).select("raw_peak", "ipi", "has_extended_amps", "real_peak").collect())
     assert got == Counter((r, i, e, real_peak(r, i, e)) for r, i, e in data)
     assert A.clipped_amplitudes(spark).count() == 33 * 247
+
+
+def test_a_long_grid_is_made_by_several_tasks(spark):
+    """Its blocks are few bytes until they are exploded, which adaptive execution would take for work of one task."""
+    grid = G.time_grid(spans(spark, end=30 * 86_400), "second")
+    per_task = grid.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in per_task) == 30 * 86_400 + 1
+    assert len(per_task) > 1
